@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tablewarden.llm import packing, quality, toxicity
 from tablewarden.llm.common import documents, scratch
+from tablewarden.llm.labelled import score_column
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -20,12 +20,12 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is 0.3 or more."""
-    return quality.keep_scored(docs, lambda d: quality.score_quality(d, _labels(spark, sf_dir)), F.col("score") >= 0.3)
+    return docs.filter(score_column(quality.fit_quality(docs, _labels(spark, sf_dir))) >= 0.3)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under 0.5."""
-    return quality.keep_scored(docs, lambda d: toxicity.score_toxicity(d, _labels(spark, sf_dir)), F.col("score") < 0.5)
+    return docs.filter(score_column(toxicity.fit_toxicity(docs, _labels(spark, sf_dir))) < 0.5)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

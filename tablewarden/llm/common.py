@@ -118,3 +118,11 @@ def word_hashes(text: bytes, is_word: np.ndarray = ~SPACE, lower: bool = True) -
         data = LOWER[data]
     starts, ends = runs(is_word[data])
     return span_hash(prefix_hash(data), starts, ends)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

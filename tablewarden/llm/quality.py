@@ -12,13 +12,14 @@ scored each for itself; labels, lang and source never enter a score.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import map_rows, prefix_hash, scratch, span_hash
-from .labelled import SAMPLE, fold, teachers
+from .common import prefix_hash, span_hash
+from .labelled import SAMPLE, Scorer, fit, teachers
 from .models import Network
 
 BUCKETS, DIM, NEAR = 16_384, 48, 2
@@ -118,48 +119,7 @@ def pool(vectors: np.ndarray, text: str) -> np.ndarray:
     return np.concatenate((mean, x.std(0), [np.linalg.norm(mean), len(np.unique(w)) / len(w)])).astype(np.float32)
 
 
-def pooled(df: DataFrame, vectors: np.ndarray) -> DataFrame:
-    """doc_id, features (little-endian 32-bit floats) of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("features", pa.binary())])
-    return map_rows(df.select("doc_id", "text"), lambda: lambda c: {"doc_id": c["doc_id"], "features": [pool(vectors, t or "").tobytes() for t in c["text"]]}, schema)
-
-
-def fit_and_score(features: DataFrame, labels: DataFrame, label: str, model, sample: int = SAMPLE, fit_parts: tuple[int, ...] = (0, 1, 2, 3), held_part: int = 3) -> DataFrame:
-    """features (doc_id, features) with score. model: an unfitted one with fit(x, y, held) and score(x)."""
-    chosen = teachers(labels, label, sample)
-    rows = features.join(F.broadcast(chosen), "doc_id").filter(F.col("part").isin(*fit_parts)).orderBy("doc_id").limit(sample).collect()  # at most `sample` rows
-    y = np.array([r["label"] for r in rows], int)
-    fitted, constant = None, float(y.mean()) if len(y) else 0.5
-    if len(set(y.tolist())) > 1:
-        x = np.stack([np.frombuffer(r["features"], np.float32) for r in rows]).astype(float)
-        fitted = model.fit(x, y, np.array([r["part"] == held_part for r in rows]))
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-
-    def make():
-        def step(c):
-            if fitted is None:
-                return {"doc_id": c["doc_id"], "score": [constant] * len(c["doc_id"])}
-            x = np.stack([np.frombuffer(b, np.float32) for b in c["features"]]).astype(float)
-            return {"doc_id": c["doc_id"], "score": np.clip(fitted.score(x), 0, 1).tolist()}
-
-        return step
-
-    return map_rows(features.select("doc_id", "features"), make, schema, rows=4096)
-
-
-def verdict(scores: DataFrame, threshold: float) -> DataFrame:
-    """doc_id, held_out, score, predicted."""
-    return scores.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
-
-
-def score_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, score of every row of docs."""
+def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
+    """Word vectors of all of docs, then the network on its labelled rows; the last of four parts of these sets the temperature."""
     vectors = word_vectors(context_vectors(docs))
-    return fit_and_score(scratch(pooled(docs, vectors), "pooled"), labels, "quality", Network(), sample)
-
-
-def keep_scored(docs: DataFrame, scorer, keep) -> DataFrame:
-    """The rows of docs, all columns, whose text's score satisfies `keep`. Equal texts have equal scores, so texts are scored by hash and length."""
-    key = [F.xxhash64("_text").alias("_hash"), F.char_length("_text").alias("_n")]
-    del key
-    return docs
+    return fit(docs, teachers(labels, "quality", sample), partial(pool, vectors), Network(), held_part=3)

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, licenses, media, packing, quality, token_counts, toxicity
+from . import bpe, fingerprints, licenses, media, near_dups, packing, quality, repeats, token_counts, toxicity
 from .common import documents
+from .labelled import scored, verdict
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,16 +45,25 @@ def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.read_media(media.store_texts(documents(spark, sf_dir)))
 
 
+def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.near_duplicates(documents(spark, sf_dir), size=2, threshold=0.8)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = quality.score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.verdict(scores, 0.3)
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return verdict(scored(docs, quality.fit_quality(docs, labels)), 0.3)
+
+
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest_kept(documents(spark, sf_dir))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = toxicity.score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.verdict(scores, 0.5)
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return verdict(scored(docs, toxicity.fit_toxicity(docs, labels)), 0.5)
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_fingerprints, op2_bpe, op3_licenses, op4_packing, op5_token_counts, op6_media, op8_quality, op10_toxicity]
+    found = [op1_fingerprints, op2_bpe, op3_licenses, op4_packing, op5_token_counts, op6_media, op7_near_dups, op8_quality, op9_repeats, op10_toxicity]
     return {f.__name__: f for f in found}

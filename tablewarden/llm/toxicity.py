@@ -17,10 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, map_rows, prefix_hash, runs, scratch, span_hash
-from .labelled import SAMPLE, teachers
+from .common import LOWER, map_rows, prefix_hash, runs, span_hash
+from .labelled import SAMPLE, Scorer, fit, teachers
 from .models import Trees
-from .quality import fit_and_score
 
 # Insults, and words of the second person, in the corpus' languages.
 INSULTS = ["idiot", "moron", "stupid", "loser", "pathetic", "scum", "trash", "worthless", "clown", "disgusting", "dumb", "imbecile", "fool", "garbage", "vermin", "filth", "dummkopf", "trottel", "arschloch", "blöd", "widerlich", "abschaum", "imbécile", "crétin", "débile", "ordure", "connard", "estúpido", "imbécil", "idiota", "basura", "asqueroso"]
@@ -146,19 +145,8 @@ class Describer:
         )
 
 
-def described(df: DataFrame, table: np.ndarray, odds: np.ndarray) -> DataFrame:
-    """doc_id, features of every row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("features", pa.binary())])
-
-    def make():
-        describe = Describer(table, odds)
-        return lambda c: {"doc_id": c["doc_id"], "features": [describe(t or "").tobytes() for t in c["text"]]}
-
-    return map_rows(df.select("doc_id", "text"), make, schema)
-
-
-def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, score of every row of docs."""
-    chosen = teachers(labels, "toxic", sample).filter(F.col("part").isin(*MINED))
-    table, odds = mine(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
-    return fit_and_score(scratch(described(docs, table, odds), "described"), labels, "toxic", Trees(), sample, FITTED, FITTED[-1])
+def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
+    """Mine the lexicon from two of the teachers' parts, grow the trees on the third, calibrate on the last."""
+    chosen = teachers(labels, "toxic", sample)
+    table, odds = mine(docs.select("doc_id", "text").join(F.broadcast(chosen.filter(F.col("part").isin(*MINED))), "doc_id"))
+    return fit(docs, chosen.filter(F.col("part").isin(*FITTED)), Describer(table, odds), Trees(), held_part=FITTED[-1])
