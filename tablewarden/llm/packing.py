@@ -17,6 +17,7 @@ import os
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ ROUNDS, STEP, SLACK = 60, 0.5, 0.02
 #: Pieces that one task ranks within one length.
 RANKED = 100_000
 #: Distinct words whose ids one Python worker keeps.
-CACHED = 400_000
+CACHED = 1_000_000
 
 
 # --- pieces ----------------------------------------------------------------------------------------------
@@ -48,14 +49,36 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.closing = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.closing[i] = token.endswith("</w>")
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHED:
+        new = words.difference(self)
+        if len(self) + 2 * len(new) > CACHED:
             self.clear()
-            new = list(words)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[w] = np.asarray(e.ids, "<u4").tobytes()
+            new = words
+        # a letter before one of these signs ends the word's own match, and ASCII letters have one lower case
+        stems = {}
+        for w in new:
+            stem = w[:-1] if w[-1] in ".,!" and w[:-1].isalpha() else w
+            stems[w] = (stem.lower() if stem.isascii() else stem), w[len(stem) :]
+        unknown = {x for pair in stems.values() for x in pair}.difference(self)
+        latin = [w for w in unknown if w.isalpha() and max(w) < "\u0250"]
+        # Latin words are one match each, whose last id closes it: they can go to the tokenizer together
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(latin)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.flatnonzero(self.closing[ids]) + 1) * 4 if len(ids) else ids
+        if len(ends) == len(latin):
+            raw, start = ids.tobytes(), 0
+            for w, end in zip(latin, ends.tolist(), strict=True):
+                self[w] = raw[start:end]
+                start = end
+        rest = [*unknown.difference(self)]
+        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self[w] = pack_ids(f"<{len(e.ids)}I", *e.ids)
+        for w, (stem, sign) in stems.items():
+            if sign or w not in self:
+                self[w] = self[stem] + self[sign]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         # str.split() also splits at the four separators 1C to 1F, which the tokenizer does not call white space
