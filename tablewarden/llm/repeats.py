@@ -261,19 +261,19 @@ def repeated_windows(docs: DataFrame, hot: int = HOT) -> DataFrame:
     mixed = equal.groupBy("name").agg(F.count("*").alias("runs"), F.sum(F.col("one.hi") - F.col("one.lo") + LENGTH).alias("size"), F.sum((F.col("m") == 1).cast("int")).alias("single"), F.max("grams").alias("grams"))
     mixed = scratch(mixed.filter("single > 0 and (runs > 1 or grams > 1)").select("name", "size"), "mixed")
     wanted = scratch(equal.join(mixed, "name").select("name", "size", (F.col("m") > 1).alias("twice"), "one.text_hash", "one.n_bytes", "one.lo", "one.hi"), "wanted")
-    size = wanted.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("hi") - F.col("lo") + LENGTH), F.lit(0)).alias("bytes")).first()
-    snippets = scratch(_cut(texts, wanted, size["n"]), "snippets")
+    size = wanted.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo") + LENGTH), F.lit(0)).alias("bytes")).first()
+    snippets = scratch(_cut(texts, wanted), "snippets")
     parts = max(1, math.ceil(size["bytes"] / TASK))
     merged = _merged(snippets.filter(F.col("size") <= hot).repartition(parts, "name"))
     return whole.unionByName(merged).unionByName(_counted(snippets.filter(F.col("size") > hot)))
 
 
-def _cut(texts: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+def _cut(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of the wanted runs, from one row of each text."""
     lists = wanted.groupBy("text_hash", "n_bytes").agg(F.collect_list(F.struct("name", "size", "twice", "lo", "hi")).alias("cuts"))
     # of all texts only those that hold a wanted run are moved
-    keys = wanted.select("text_hash").distinct()
-    some = texts.join(F.broadcast(keys) if n * 16 <= SMALL else keys, "text_hash", "left_semi")
+    keys = scratch(wanted.select("text_hash").distinct(), "keys")
+    some = texts.join(F.broadcast(keys) if keys.count() * 16 <= SMALL else keys, "text_hash", "left_semi")
     some = some.withColumn("n_bytes", F.octet_length("text")).groupBy("text_hash", "n_bytes").agg(F.first("text").alias("text"))
     schema = pa.schema([("name", pa.int64()), ("size", pa.int64()), ("twice", pa.bool_()), ("text_hash", pa.int64()), ("n_bytes", pa.int32()), ("lo", pa.int32()), ("snippet", pa.binary())])
 
