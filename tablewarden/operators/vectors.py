@@ -81,7 +81,7 @@ def nearest_each(df: DataFrame, queries: DataFrame, vector: str, key: str, k: in
     return part.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def approximate_nearest(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, tables: int = 12, bits: int = 6, sample: int = 1000, seed: int = 3) -> DataFrame:
+def approximate_nearest(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, tables: int = 28, bits: int = 4, sample: int = 1000, seed: int = 3) -> DataFrame:
     """query, key, distance, rank by cosine, over rows that share a bucket: signs of `bits` random projections in each of `tables` tables.
 
     The projections are centred on the mean of `sample` rows at most; every row is indexed.
