@@ -6,8 +6,9 @@
    batches of BATCH and stops as soon as the posterior (uniform prior, so a Beta) puts the chance of a
    similarity over the threshold below MISS. Survivors are confirmed on their full shingle sets.
 4. Links give components. Only buckets that still hold several components are looked at again: their classes
-   meet in blocks, and pairs of different components go through the same pruning and confirmation. What one
-   component holds is never compared again, so a large group of near copies stays linear.
+   meet in blocks, and pairs of different components go through the same pruning and confirmation: two rounds
+   with the best pair of each class, to join what belongs together, then one with all pairs that are left.
+   What one component holds is never compared again, so a large group of near copies stays linear.
 
 A pair at the threshold shares no band with probability (1 - 0.8**ROWS)**(HASHES/ROWS), 5e-8 here.
 
@@ -31,8 +32,8 @@ from .common import fresh, map_rows, mix, scratch, word_hashes
 HASHES, ROWS, BATCH = 128, 4, 32
 #: Chance that a pair at the threshold is pruned in one comparison of a batch.
 MISS = 1e-7
-#: Classes in one block of a bucket.
-BLOCK = 256
+#: Classes in one block of a bucket; bands in which components are joined by their best pairs before all pairs are looked at.
+BLOCK, QUICK = 256, 8
 #: Bytes of rows under which one side of a join is sent to all tasks.
 SMALL = 8 << 20
 
@@ -99,7 +100,7 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
             return {
                 "doc_id": c["doc_id"],
                 "text_hash": c["text_hash"],
-                "class": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
+                "class": [digest(s) if len(s) else None for s in sets],
                 "n_shingles": list(map(len, sets)),
                 "signature": [signature(s).tobytes() if len(s) else None for s in sets],
             }
@@ -111,8 +112,8 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
 
 def pruned(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """a, b of the pairs that the signatures do not rule out, each with its share of equal minima."""
-    sig = classes.select("class", "signature")
-    rows = pairs.join(sig.withColumnsRenamed({"class": "a", "signature": "sa"}), "a").join(sig.withColumnsRenamed({"class": "b", "signature": "sb"}), "b")
+    sig = classes.select("id", "signature")
+    rows = pairs.join(sig.withColumnsRenamed({"id": "a", "signature": "sa"}), "a").join(sig.withColumnsRenamed({"id": "b", "signature": "sb"}), "b")
     bounds = fewest_matches(threshold)
 
     def make():
@@ -120,123 +121,135 @@ def pruned(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
             a, b = (np.frombuffer(b"".join(c[k]), np.uint32).reshape(-1, HASHES) for k in ("sa", "sb"))
             keep = survive(a, b, bounds)
             share = (a[keep] == b[keep]).mean(1)
-            return {k: [x for x, y in zip(c[k], keep, strict=True) if y] for k in ("a", "b")} | {"share": share.tolist()}
+            return {k: np.array(c[k], np.int64)[keep] for k in ("a", "b")} | {"share": share}
 
         return step
 
-    return map_rows(rows.select("a", "b", "sa", "sb"), make, pa.schema([("a", pa.binary()), ("b", pa.binary()), ("share", pa.float64())]), rows=2048)
+    return map_rows(rows.select("a", "b", "sa", "sb"), make, PAIRS, rows=2048)
+
+
+PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("share", pa.float64())])
+
+
+def digest(found: np.ndarray) -> bytes:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
-    """a, b of the pairs whose full sets reach the threshold."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    wanted = scratch(wanted.join(classes.select("class", "text_hash"), "class"), "wanted")
+    """a, b of the pairs whose full sets reach the threshold. Texts are moved, not sets: they are smaller."""
+    wanted = scratch(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "class", "text_hash"), "id"), "wanted")
     hashes = wanted.select("text_hash").distinct()
-    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text")
     if wanted.count() * 16 <= SMALL:
         hashes = F.broadcast(hashes)
-    rows = texts.join(hashes, "text_hash", "left_semi").dropDuplicates(["text_hash", "text"])
-    schema = pa.schema([("class", pa.binary()), ("shingles", pa.binary())])
-
-    def make():
-        def step(c):
-            sets = [shingles(t, size) for t in c["text"]]
-            return {"class": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "shingles": [s.tobytes() for s in sets]}
-
-        return step
-
-    sets = scratch(map_rows(rows.select("text"), make, schema).join(wanted.select("class"), "class", "left_semi"), "sets").dropDuplicates(["class"])
-    both = pairs.select("a", "b").join(sets.withColumnsRenamed({"class": "a", "shingles": "xa"}), "a").join(sets.withColumnsRenamed({"class": "b", "shingles": "xb"}), "b")
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").join(hashes, "text_hash", "left_semi").dropDuplicates(["text_hash", "text"])
+    texts = scratch(texts.join(wanted, "text_hash").select("id", "class", "text"), "texts")
+    one = lambda k: texts.select(F.col("id").alias(k), F.col("class").alias(f"c{k}"), F.col("text").alias(f"t{k}"))
+    both = pairs.select("a", "b").join(one("a"), "a").join(one("b"), "b")
     percent = round(threshold * 100)
 
     def check():
+        last: list = [None, None]
+
+        def set_of(text: str) -> np.ndarray:
+            if last[0] != text:  # the rows of one leader stand together
+                last[:] = [text, shingles(text, size)]
+            return last[1]
+
         def step(c):
             keep = []
-            for x, y in zip(c["xa"], c["xb"], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for ta, tb, ca, cb in zip(c["ta"], c["tb"], c["ca"], c["cb"], strict=True):
+                x, y = set_of(ta), shingles(tb, size)
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            return {k: [v for v, ok in zip(c[k], keep, strict=True) if ok] for k in ("a", "b")}
+                # two texts of one 64-bit hash: only the class's own counts
+                keep.append(100 * common >= percent * (len(x) + len(y) - common) and digest(x) == ca and digest(y) == cb)
+            keep = np.array(keep, bool)
+            return {k: np.array(c[k], np.int64)[keep] for k in ("a", "b")}
 
         return step
 
-    return map_rows(both.select("a", "b", "xa", "xb"), check, pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+    return map_rows(both.select("a", "b", "ta", "tb", "ca", "cb"), check, pa.schema([("a", pa.int64()), ("b", pa.int64())]), rows=256)
 
 
 def components(links: DataFrame) -> DataFrame:
-    """class, component of all classes with links: each takes the smallest name among its own and its neighbours', then that name's own; until nothing changes."""
-    edges = scratch(links.select(F.col("a").alias("class"), F.col("b").alias("near")).union(links.select("b", "a")).filter("class <> near").distinct(), "edges")
-    state = edges.groupBy("class").agg(F.min("near").alias("m")).select("class", F.least("class", "m").alias("component"))
+    """id, component of all classes with links: each takes the smallest id among its own and its neighbours', then that one's own; until nothing changes."""
+    edges = scratch(links.select(F.col("a").alias("id"), F.col("b").alias("near")).union(links.select("b", "a")).filter("id <> near").distinct(), "edges")
+    state = edges.groupBy("id").agg(F.min("near").alias("m")).select("id", F.least("id", "m").alias("component"))
     while True:
         state = scratch(state, "state")
-        names = state.select(F.col("class").alias("component"), F.col("component").alias("next"))
-        jumped = state.join(names, "component").select("class", F.col("component").alias("before"), F.col("next").alias("component"))
-        near = edges.join(jumped.select(F.col("class").alias("near"), F.col("component").alias("other")), "near").groupBy("class").agg(F.min("other").alias("other"))
-        new = scratch(jumped.join(near, "class").select("class", "before", F.least("component", "other").alias("component")), "jumped")
+        names = state.select(F.col("id").alias("component"), F.col("component").alias("next"))
+        jumped = state.join(names, "component").select("id", F.col("component").alias("before"), F.col("next").alias("component"))
+        near = edges.join(jumped.select(F.col("id").alias("near"), F.col("component").alias("other")), "near").groupBy("id").agg(F.min("other").alias("other"))
+        new = scratch(jumped.join(near, "id").select("id", "before", F.least("component", "other").alias("component")), "jumped")
         if not new.filter("component <> before").limit(1).count():
             return state
-        state = new.select("class", "component")
+        state = new.select("id", "component")
+
 
+def unsettled(bands: DataFrame, parts: DataFrame, classes: DataFrame, threshold: float, best: bool) -> DataFrame:
+    """a, b of classes of different components that share a bucket and survive pruning; the first band that a pair shares answers for it.
 
-def _unsettled(bands: DataFrame, parts: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """a, b, share of pairs of different components that share a bucket and survive pruning; the first band that a pair shares answers for it."""
-    named = bands.join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    best: of each class's pairs in a block only the one of the most equal minima, and only in the first QUICK bands.
+    """
+    named = (bands.filter(F.col("band") < QUICK) if best else bands).join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("key", "n")
     open_ = scratch(open_, "open")
     g = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = named.join(open_, "key").withColumn("g", g).withColumn("own", F.pmod(F.xxhash64("class", F.lit(1)), F.col("g")).cast("int"))
+    rows = named.join(open_, "key").withColumn("g", g).withColumn("own", F.pmod(F.xxhash64("id", F.lit(1)), F.col("g")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, g - 1)")))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "class", "component").join(classes.select("class", "signature"), "class")
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "id", "component").join(classes.select("id", "signature"), "id")
     bounds = fewest_matches(threshold)
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("share", pa.float64())])
 
     def pairs(table: pa.Table) -> pa.Table:
-        c = {n: table.column(n).to_pylist() for n in ("i", "j", "own", "band", "class", "component", "signature")}
-        sig = np.frombuffer(b"".join(c["signature"]), np.uint32).reshape(-1, HASHES)
-        own, (i, j), band = np.array(c["own"]), (c["i"][0], c["j"][0]), c["band"][0]
-        _, part = np.unique(np.array(c["component"], object).astype("S16"), return_inverse=True)
-        out = ([], [], [])
+        c = {n: table.column(n).to_numpy() for n in ("own", "id", "component")}
+        i, j, band = (table.column(n)[0].as_py() for n in ("i", "j", "band"))
+        sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
+        own, part, at = c["own"], c["component"], np.arange(len(sig))
+        out: list[tuple[int, int, float]] = []
         for x in np.flatnonzero(own == i):
-            y = np.flatnonzero((own == j) & (part != part[x]) & ((i != j) | (np.arange(len(own)) > x)))
+            y = at[(own == j) & (part != part[x]) & ((i != j) | (at > x))]
             y = y[survive(np.broadcast_to(sig[x], (len(y), HASHES)), sig[y], bounds)]
-            same = (sig[y] == sig[x]).reshape(len(y), HASHES // ROWS, ROWS).all(2)
-            y = y[same.argmax(1) == band] if len(y) else y
-            for k in y:
-                a, b = sorted((c["class"][x], c["class"][k]))
-                out[0].append(a)
-                out[1].append(b)
-                out[2].append(float((sig[k] == sig[x]).mean()))
-        return pa.table([pa.array(v, f.type) for v, f in zip(out, schema, strict=True)], schema=schema)
+            equal = sig[y] == sig[x]
+            first = equal.reshape(len(y), HASHES // ROWS, ROWS).all(2).argmax(1) == band
+            y, share = y[first], equal[first].mean(1)
+            if best and len(y):
+                k = share.argmax()
+                y, share = y[k : k + 1], share[k : k + 1]
+            out += [(*sorted((int(c["id"][x]), int(c["id"][k]))), float(s)) for k, s in zip(y, share, strict=True)]
+        cols = list(zip(*out, strict=True)) or [()] * 3
+        return pa.table([pa.array(list(v), f.type) for v, f in zip(cols, PAIRS, strict=True)], schema=PAIRS)
 
     from pyspark.sql.pandas.types import from_arrow_schema
 
-    return rows.groupBy("key", "i", "j").applyInArrow(pairs, from_arrow_schema(schema))
+    return rows.groupBy("key", "i", "j").applyInArrow(pairs, from_arrow_schema(PAIRS)).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id of every row: components of the links of similarity >= threshold on runs of `size` words."""
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = scratch(sketch(docs, size), "sketch")
-    classes = scratch(rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"), F.first("signature").alias("signature")), "classes")
+    classes = rows.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.min("text_hash").alias("text_hash"), F.first("signature").alias("signature"))
+    classes = scratch(classes.withColumn("id", F.monotonically_increasing_id()), "classes")  # written, so the ids stay
     n_bands, width = HASHES // ROWS, 4 * ROWS
     key: Column = F.transform(F.sequence(F.lit(0), F.lit(n_bands - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * width + 1, F.lit(width))))
-    bands = classes.select("class", F.posexplode(key).alias("band", "key"))
-    leaders = scratch(bands.groupBy("key").agg(F.min("class").alias("a"), F.count("*").alias("n")).filter("n > 1").select("key", "a"), "leaders")
+    bands = classes.select("id", F.posexplode(key).alias("band", "key"))
+    leaders = scratch(bands.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1").select("key", "a"), "leaders")
     shared = scratch(bands.join(leaders, "key"), "shared")
-    bands = shared.select("key", "band", "class")
-    star = shared.filter("a <> class").select("a", F.col("class").alias("b")).distinct()
+    bands = shared.select("key", "band", "id")
+    star = shared.filter("a <> id").select("a", F.col("id").alias("b")).distinct()
     candidates = scratch(pruned(star, classes, threshold), "candidates")
     # one confirmation a class first, with the leader it resembles most
-    best = candidates.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a")).select("a", "b")
-    links = scratch(confirmed(best, classes, docs, size, threshold), "links")
+    tried = scratch(candidates.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a")).select("a", "b"), "tried")
+    links = scratch(confirmed(tried, classes, docs, size, threshold), "links")
     parts = components(links)
-    # every pair that is left between different components
-    rest = scratch(_unsettled(bands, parts, classes, threshold).select("a", "b").distinct().join(best, ["a", "b"], "left_anti"), "rest")
-    if rest.limit(1).count():
-        parts = components(links.union(scratch(confirmed(rest, classes, docs, size, threshold), "more")))
-    ids = parts.join(classes.select("class", "doc_id"), "class")
-    ids = ids.join(ids.groupBy("component").agg(F.min("doc_id").alias("linked")), "component").select("class", "linked")
-    named = classes.select("class", "doc_id").join(ids, "class", "left").select("class", F.coalesce("linked", "doc_id").alias("component_id"))
+    # then each class's best in every block, twice, and last every pair that is left between different components
+    for best in (True, True, False):
+        rest = scratch(unsettled(bands, parts, classes, threshold, best).join(tried, ["a", "b"], "left_anti"), "rest")
+        if rest.limit(1).count():
+            links = links.union(scratch(confirmed(rest, classes, docs, size, threshold), "links"))
+            tried, parts = tried.union(rest), components(links)
+    ids = parts.join(classes.select("id", "doc_id"), "id")
+    ids = ids.join(ids.groupBy("component").agg(F.min("doc_id").alias("linked")), "component").select("id", "linked")
+    named = classes.select("class", "id", "doc_id").join(ids, "id", "left").select("class", F.coalesce("linked", "doc_id").alias("component_id"))
     out = rows.select("doc_id", "text_hash", "n_shingles", "class").join(named, "class", "left")
     return out.select("doc_id", "text_hash", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
