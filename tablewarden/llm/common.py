@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application: they may start in a folder where it can't be imported."""
+    if spark.sparkContext.applicationId not in _shipped:
+        _shipped.add(spark.sparkContext.applicationId)
+        top = Path(__file__).parent.parent
+        path = f"{tempfile.mkdtemp(prefix='spark-tablewarden-')}/{top.name}.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(top.rglob("*.py")):
+                z.write(f, f.relative_to(top.parent))
+        spark.sparkContext.addPyFile(path)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a temporary one only where it is unset, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -32,6 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: the lineage is cut, and lost executors cost nothing."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/tablewarden/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -54,6 +72,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[
                 out = step({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, from_arrow_schema(schema))
 
 

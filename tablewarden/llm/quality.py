@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import prefix_hash, span_hash
+from .common import prefix_hash, ship, span_hash
 from .labelled import SAMPLE, Scorer, fit, teachers
 from .models import Network
 
@@ -90,6 +90,7 @@ def context_vectors(df: DataFrame) -> np.ndarray:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array([*held], pa.int32()), pa.array([0] * len(held), pa.int32()), pa.array([v.astype(np.float32).tobytes() for v in held.values()])], schema=schema)
 
+    ship(df.sparkSession)
     spark_schema = from_arrow_schema(schema)
     part = df.select("text").mapInArrow(sums, spark_schema)
     part = part.repartition("block", "salt").mapInArrow(add, spark_schema)
