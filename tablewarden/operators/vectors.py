@@ -39,46 +39,52 @@ def nearest(df: DataFrame, query: Sequence[float], vector: str, key: str, k: int
     return rows.select(key, *columns, distance(F.col(vector), q, kind).alias("distance")).orderBy("distance", key).limit(k)
 
 
-def nearest_each(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, kind: str = "cosine", block: int = 256) -> DataFrame:
+def _blocks(df: DataFrame, vector: str, key: str, size: int, name: str) -> DataFrame:
+    """Rows of `size` vectors: their keys and one matrix."""
+    import pandas as pd
+
+    def pack(frames):
+        for f in frames:
+            for at in range(0, len(f), size):
+                part = f.iloc[at : at + size]
+                x = np.stack([np.asarray(v, float) for v in part[vector]])
+                if not x.size or not np.isfinite(x).all():
+                    raise ValueError("a vector must have entries, all finite")
+                yield pd.DataFrame({f"{name}_keys": [part[key].tolist()], f"{name}_data": [x.astype("<f8").tobytes()]})
+
+    return df.select(key, vector).mapInPandas(pack, f"{name}_keys array<long>, {name}_data binary")
+
+
+def nearest_each(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, kind: str = "cosine", block: int = 256, rows: int = 4096) -> DataFrame:
     """query, key, distance, rank of the k nearest rows to each query vector (itself left out).
 
-    The queries go to the tasks in blocks of stated size; each task keeps k rows a query, so that only those
-    are shuffled.
+    Blocks of the stated queries meet blocks of all rows; of each meeting k rows a query are left, so only
+    those are shuffled, and neither side is gathered anywhere.
     """
     import pandas as pd
 
-    wanted = [(r[key], check_vector(r[vector])) for r in queries.select(key, vector).collect()]  # a stated query set
-    ids, out = np.array([w[0] for w in wanted]), f"query long, {key} long, distance double"
-    q = np.array([w[1] for w in wanted], float)
-
     def scan(frames):
-        best: dict[int, list[tuple[float, int]]] = {}
         for f in frames:
-            if not len(f):
-                continue
-            x, keys = np.stack(f[vector].to_numpy()).astype(float), f[key].to_numpy()
-            for at in range(0, len(q), block):
-                b = q[at : at + block]
+            for qk, qd, dk, dd in zip(f["q_keys"], f["q_data"], f["d_keys"], f["d_data"], strict=True):
+                qk, dk = np.asarray(qk), np.asarray(dk)
+                q, x = np.frombuffer(qd, "<f8").reshape(len(qk), -1), np.frombuffer(dd, "<f8").reshape(len(dk), -1)
                 if kind == "l2":
-                    d = np.sqrt(np.maximum(((b**2).sum(1)[:, None] + (x**2).sum(1) - 2 * b @ x.T), 0))
+                    d = np.sqrt(np.maximum((q**2).sum(1)[:, None] + (x**2).sum(1) - 2 * q @ x.T, 0))
                 else:
-                    d = -(b @ x.T)
+                    d = -(q @ x.T)
                     if kind == "cosine":
-                        d = 1 + d / (np.linalg.norm(b, axis=1)[:, None] * np.linalg.norm(x, axis=1))
-                d[ids[at : at + block][:, None] == keys] = np.inf
-                m = min(k, d.shape[1])
+                        d = 1 + d / (np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1))
+                d[qk[:, None] == dk] = np.inf
+                m = min(k + 1, d.shape[1])
                 near = np.argpartition(d, m - 1, axis=1)[:, :m]
-                for i, row in enumerate(near):
-                    mine = best.setdefault(at + i, [])
-                    mine += [(float(d[i, j]), int(keys[j])) for j in row if np.isfinite(d[i, j])]
-                    mine.sort()
-                    del mine[k:]
-        rows = [(int(ids[i]), n, d) for i, found in best.items() for d, n in found]
-        yield pd.DataFrame(rows, columns=["query", key, "distance"])
-
-    part = df.select(key, vector).mapInPandas(scan, out)
+                edge = np.take_along_axis(d, near, 1).max(1)
+                i, j = np.nonzero((d <= edge[:, None]) & np.isfinite(d))  # with all ties at the edge
+                yield pd.DataFrame({"query": qk[i], key: dk[j], "distance": d[i, j]})
+
+    pairs = _blocks(df, vector, key, rows, "d").crossJoin(_blocks(queries, vector, key, block, "q"))
+    found = pairs.mapInPandas(scan, f"query long, {key} long, distance double")
     w = Window.partitionBy("query").orderBy("distance", key)
-    return part.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def approximate_nearest(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, tables: int = 28, bits: int = 4, sample: int = 1000, seed: int = 3) -> DataFrame:
