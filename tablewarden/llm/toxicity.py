@@ -27,8 +27,9 @@ SECOND = ["you", "your", "yours", "youre", "yourself", "u", "ur", "du", "dich",
 # Signs that stand in for letters.
 STAND_IN = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
-#: Bytes of the word beginnings that are mined; teachers that must have a term, how sure its odds must be, and terms kept at most.
-BEGINNINGS, SUPPORT, SURE, TERMS = (4, 5, 6), 4, 3.5, 4000
+#: Bytes of the word beginnings that are mined; toxic teachers that must have a term, log-likelihood ratio (in nats) by which
+#: toxic teachers must have it more often than by chance, and terms kept at most.
+BEGINNINGS, SUPPORT, SURE, TERMS = (4, 5, 6), 4, 12.0, 4000
 #: Parts of the teachers (by hash) that the lexicon is mined from; of the others, the last calibrates.
 MINED, FITTED = (0, 1), (2, 3)
 
@@ -99,8 +100,10 @@ def mine(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     both = map_rows(df.select("text", "label"), make, schema, rows=4096).groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).filter(F.col("t") >= SUPPORT)
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
-    sure = odds / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-    rows = both.select("term", odds.alias("odds"), sure.alias("sure")).filter(F.col("sure") >= SURE).orderBy(F.desc("sure"), "term").limit(TERMS).collect()
+    share = toxic / max(1, toxic + clean)
+    n = F.col("t") + F.col("c")
+    sure = F.col("t") * F.log(F.col("t") / n / max(share, 1e-9)) + F.when(F.col("c") > 0, F.col("c") * F.log(F.col("c") / n / max(1 - share, 1e-9))).otherwise(0.0)
+    rows = both.select("term", odds.alias("odds"), sure.alias("sure")).filter((F.col("sure") >= SURE) & (F.col("odds") > 0)).orderBy(F.desc("sure"), "term").limit(TERMS).collect()
     table = np.array([r["term"] for r in rows], np.int64).view(np.uint64)
     order = np.argsort(table)
     return table[order], np.array([r["odds"] for r in rows])[order] if rows else np.zeros(0)
