@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from .common import map_rows
 
 #: Distinct pre-tokens kept by one Python worker; beyond it the memory is emptied and filled again.
-CACHED = 600_000
+CACHED = 400_000
 
 
 class PrefixBPE:
@@ -39,7 +39,7 @@ class PrefixBPE:
         key = (a, b)
         known = self._apart.get(key)
         if known is None:
-            if len(self._apart) > 1_000_000:
+            if len(self._apart) > 400_000:
                 self._apart.clear()
             known = self._apart[key] = self._merge(self.token[a] + self.token[b]) == [a, b]
         return known

@@ -6,6 +6,9 @@ shuffle, so further columns, clashing names included, never reach the operator.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -60,6 +63,14 @@ def narrow(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.coalesce(F.col(n), F.lit("")).alias(n) if n == "text" else F.col(n) for n in names])
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on after a task, and all share an executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: pa.Schema, rows: int = 512) -> DataFrame:
     """mapInArrow over small slices. make() runs once a task and returns columns -> columns."""
     from pyspark.sql.pandas.types import from_arrow_schema
@@ -71,6 +82,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[
                 part = batch.slice(at, rows)
                 out = step({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+        give_back()
 
     ship(df.sparkSession)
     return df.mapInArrow(run, from_arrow_schema(schema))

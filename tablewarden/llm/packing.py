@@ -33,7 +33,7 @@ ROUNDS, STEP, SLACK = 60, 0.5, 0.02
 #: Pieces that one task ranks within one length.
 RANKED = 100_000
 #: Distinct words whose ids one Python worker keeps.
-CACHED = 1_000_000
+CACHED = 400_000
 
 
 # --- pieces ----------------------------------------------------------------------------------------------
