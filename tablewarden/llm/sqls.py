@@ -35,5 +35,30 @@ FROM sets
 """
 
 
+#: Exact similarities of all pairs that share a shingle, and the smallest id that links reach.
+OP7 = """
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words),
+one AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c FROM one a JOIN one b ON a.x = b.x AND a.doc_id < b.doc_id AND a.n * 5 >= b.n * 4 AND b.n * 5 >= a.n * 4 GROUP BY ALL),
+links AS (SELECT a, b FROM pairs WHERE 100 * c >= 80 * (na + nb - c) UNION ALL SELECT b, a FROM pairs WHERE 100 * c >= 80 * (na + nb - c)),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(least(m, doc_id), doc_id) AS component_id, coalesce(least(m, doc_id), doc_id) = doc_id AS kept FROM sets LEFT JOIN least ON doc_id = a
+"""
+
+#: Every 200-byte string by its place, in hexadecimal text.
+OP9 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT r, unnest(range(greatest(length(h) // 2 - 199, 0))) AS p, unnest(list_transform(range(greatest(length(h) // 2 - 199, 0)), lambda i: md5(substr(h, 2 * i + 1, 400)))) AS k FROM d),
+again AS (SELECT r, p FROM starts WHERE k IN (SELECT k FROM starts GROUP BY k HAVING count(*) > 1)),
+bytes AS (SELECT r, unnest(range(length(h) // 2)) AS p, unnest(list_transform(range(length(h) // 2), lambda i: substr(h, 2 * i + 1, 2))) AS x FROM d),
+last AS (SELECT bytes.r, bytes.p, x, max(again.p) OVER (PARTITION BY bytes.r ORDER BY bytes.p) AS s FROM bytes LEFT JOIN again ON bytes.r = again.r AND bytes.p = again.p),
+gone AS (SELECT r, p, x, coalesce(p - s < 200, false) AS g, lag(coalesce(p - s < 200, false), 1, false) OVER (PARTITION BY r ORDER BY p) AS before FROM last),
+sums AS (SELECT r, count(*) FILTER (g) AS n_removed, count(*) FILTER (g AND NOT before) AS n_spans, string_agg(CASE WHEN g THEN '' ELSE x END, '' ORDER BY p) AS kept FROM gone GROUP BY r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN sums USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_fingerprints": OP1}
+    return {"op1_fingerprints": OP1, "op7_near_dups": OP7, "op9_repeats": OP9}
