@@ -6,9 +6,8 @@
    batches of BATCH and stops as soon as the posterior (uniform prior, so a Beta) puts the chance of a
    similarity over the threshold below MISS. Survivors are confirmed on their full shingle sets.
 4. Links give components. Only buckets that still hold several components are looked at again: their classes
-   meet in blocks, and pairs of different components go through the same pruning and confirmation: two rounds
-   with the best pair of each class, to join what belongs together, then one with all pairs that are left.
-   What one component holds is never compared again, so a large group of near copies stays linear.
+   meet in blocks with their texts, where pairs of different components are pruned, confirmed and joined, so that
+   a block gives back only the links that join its components, never all pairs of a large group of near copies.
 
 A pair at the threshold shares no band with probability (1 - 0.8**ROWS)**(HASHES/ROWS), 5e-8 here.
 
@@ -32,8 +31,8 @@ from .common import fresh, map_rows, mix, scratch, word_hashes
 HASHES, ROWS, BATCH = 128, 4, 32
 #: Chance that a pair at the threshold is pruned in one comparison of a batch.
 MISS = 1e-7
-#: Classes in one block of a bucket; bands in which components are joined by their best pairs before all pairs are looked at.
-BLOCK, QUICK = 256, 8
+#: Classes in one block of a bucket.
+BLOCK = 256
 #: Bytes of rows under which one side of a join is sent to all tasks.
 SMALL = 8 << 20
 
@@ -129,20 +128,26 @@ def pruned(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("share", pa.float64())])
+LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def digest(found: np.ndarray) -> bytes:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
-    """a, b of the pairs whose full sets reach the threshold. Texts are moved, not sets: they are smaller."""
-    wanted = scratch(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "class", "text_hash"), "id"), "wanted")
+def texts_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """id, class, text of the classes with these ids; a text of another class but of the same 64-bit hash may be among them."""
+    wanted = scratch(ids.distinct().join(classes.select("id", "class", "text_hash"), "id"), "wanted")
     hashes = wanted.select("text_hash").distinct()
     if wanted.count() * 16 <= SMALL:
         hashes = F.broadcast(hashes)
     texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").join(hashes, "text_hash", "left_semi").dropDuplicates(["text_hash", "text"])
-    texts = scratch(texts.join(wanted, "text_hash").select("id", "class", "text"), "texts")
+    return scratch(texts.join(wanted, "text_hash").select("id", "class", "text"), "texts")
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
+    """a, b of the pairs whose full sets reach the threshold. Texts are moved, not sets: they are smaller."""
+    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), classes, docs)
     one = lambda k: texts.select(F.col("id").alias(k), F.col("class").alias(f"c{k}"), F.col("text").alias(f"t{k}"))
     both = pairs.select("a", "b").join(one("a"), "a").join(one("b"), "b")
     percent = round(threshold * 100)
@@ -167,15 +172,14 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
 
         return step
 
-    return map_rows(both.select("a", "b", "ta", "tb", "ca", "cb"), check, pa.schema([("a", pa.int64()), ("b", pa.int64())]), rows=256)
+    return map_rows(both.select("a", "b", "ta", "tb", "ca", "cb"), check, LINKS, rows=256)
 
 
 def components(links: DataFrame) -> DataFrame:
     """id, component of all classes with links: each takes the smallest id among its own and its neighbours', then that one's own; until nothing changes."""
     edges = scratch(links.select(F.col("a").alias("id"), F.col("b").alias("near")).union(links.select("b", "a")).filter("id <> near").distinct(), "edges")
-    state = edges.groupBy("id").agg(F.min("near").alias("m")).select("id", F.least("id", "m").alias("component"))
+    state = scratch(edges.groupBy("id").agg(F.min("near").alias("m")).select("id", F.least("id", "m").alias("component")), "state")
     while True:
-        state = scratch(state, "state")
         names = state.select(F.col("id").alias("component"), F.col("component").alias("next"))
         jumped = state.join(names, "component").select("id", F.col("component").alias("before"), F.col("next").alias("component"))
         near = edges.join(jumped.select(F.col("id").alias("near"), F.col("component").alias("other")), "near").groupBy("id").agg(F.min("other").alias("other"))
@@ -185,42 +189,57 @@ def components(links: DataFrame) -> DataFrame:
         state = new.select("id", "component")
 
 
-def unsettled(bands: DataFrame, parts: DataFrame, classes: DataFrame, threshold: float, best: bool) -> DataFrame:
-    """a, b of classes of different components that share a bucket and survive pruning; the first band that a pair shares answers for it.
+def unsettled(bands: DataFrame, parts: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
+    """a, b of links between different components that share a bucket, as many as join them.
 
-    best: of each class's pairs in a block only the one of the most equal minima, and only in the first QUICK bands.
+    The classes of such a bucket meet in blocks, with their texts. A pair that survives pruning is confirmed
+    there on its full sets, once (in the first band that it shares), unless the block's own links join it already.
     """
-    named = (bands.filter(F.col("band") < QUICK) if best else bands).join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = bands.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_ = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("key", "n")
-    open_ = scratch(open_, "open")
-    g = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = named.join(open_, "key").withColumn("g", g).withColumn("own", F.pmod(F.xxhash64("id", F.lit(1)), F.col("g")).cast("int"))
+    named = scratch(named.join(scratch(open_, "open"), "key"), "named")
+    rows = named.withColumn("g", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("id", F.lit(1)), F.col("g")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, g - 1)")))
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "id", "component").join(classes.select("id", "signature"), "id")
-    bounds = fewest_matches(threshold)
+    full = texts_of(named.select("id"), classes, docs).join(classes.select("id", "signature"), "id")
+    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "id", "component").join(full, "id")
+    bounds, percent = fewest_matches(threshold), round(threshold * 100)
 
-    def pairs(table: pa.Table) -> pa.Table:
+    def links(table: pa.Table) -> pa.Table:
         c = {n: table.column(n).to_numpy() for n in ("own", "id", "component")}
         i, j, band = (table.column(n)[0].as_py() for n in ("i", "j", "band"))
         sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
-        own, part, at = c["own"], c["component"], np.arange(len(sig))
-        out: list[tuple[int, int, float]] = []
+        own, part, at = c["own"], c["component"].copy(), np.arange(len(sig))
+        texts, names, sets = table.column("text"), table.column("class"), {}
+
+        def set_of(k: int) -> np.ndarray:
+            if k not in sets:
+                found = shingles(texts[k].as_py(), size)
+                sets[k] = found if digest(found) == names[k].as_py() else found[:0]
+            return sets[k]
+
+        out: list[tuple[int, int]] = []
         for x in np.flatnonzero(own == i):
             y = at[(own == j) & (part != part[x]) & ((i != j) | (at > x))]
             y = y[survive(np.broadcast_to(sig[x], (len(y), HASHES)), sig[y], bounds)]
-            equal = sig[y] == sig[x]
-            first = equal.reshape(len(y), HASHES // ROWS, ROWS).all(2).argmax(1) == band
-            y, share = y[first], equal[first].mean(1)
-            if best and len(y):
-                k = share.argmax()
-                y, share = y[k : k + 1], share[k : k + 1]
-            out += [(*sorted((int(c["id"][x]), int(c["id"][k]))), float(s)) for k, s in zip(y, share, strict=True)]
-        cols = list(zip(*out, strict=True)) or [()] * 3
-        return pa.table([pa.array(list(v), f.type) for v, f in zip(cols, PAIRS, strict=True)], schema=PAIRS)
+            y = y[(sig[y] == sig[x]).reshape(len(y), HASHES // ROWS, ROWS).all(2).argmax(1) == band]
+            mine = set_of(x) if len(y) else sig[:0, 0]
+            y = [k for k in y.tolist() if len(set_of(k))] if len(mine) else []
+            if not y:
+                continue
+            sizes = np.array([len(sets[k]) for k in y])
+            cat = np.concatenate([sets[k] for k in y])
+            hit = mine[np.minimum(np.searchsorted(mine, cat), len(mine) - 1)] == cat
+            common = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+            for k, ok in zip(y, 100 * common >= percent * (len(mine) + sizes - common), strict=True):
+                if ok and part[k] != part[x]:
+                    out.append(tuple(sorted((int(c["id"][x]), int(c["id"][k])))))
+                    part[part == part[k]] = part[x]
+        cols = list(zip(*out, strict=True)) or [()] * 2
+        return pa.table([pa.array(list(v), f.type) for v, f in zip(cols, LINKS, strict=True)], schema=LINKS)
 
     from pyspark.sql.pandas.types import from_arrow_schema
 
-    return rows.groupBy("key", "i", "j").applyInArrow(pairs, from_arrow_schema(PAIRS)).select("a", "b").distinct()
+    return rows.groupBy("key", "i", "j").applyInArrow(links, from_arrow_schema(LINKS))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -238,15 +257,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
     star = shared.filter("a <> id").select("a", F.col("id").alias("b")).distinct()
     candidates = scratch(pruned(star, classes, threshold), "candidates")
     # one confirmation a class first, with the leader it resembles most
-    tried = scratch(candidates.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a")).select("a", "b"), "tried")
-    links = scratch(confirmed(tried, classes, docs, size, threshold), "links")
+    best = candidates.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a")).select("a", "b")
+    links = scratch(confirmed(scratch(best, "best"), classes, docs, size, threshold), "links")
     parts = components(links)
-    # then each class's best in every block, twice, and last every pair that is left between different components
-    for best in (True, True, False):
-        rest = scratch(unsettled(bands, parts, classes, threshold, best).join(tried, ["a", "b"], "left_anti"), "rest")
-        if rest.limit(1).count():
-            links = links.union(scratch(confirmed(rest, classes, docs, size, threshold), "links"))
-            tried, parts = tried.union(rest), components(links)
+    # then all that buckets still hold between different components
+    more = scratch(unsettled(bands, parts, classes, docs, size, threshold), "more")
+    if more.limit(1).count():
+        parts = components(links.union(more))
     ids = parts.join(classes.select("id", "doc_id"), "id")
     ids = ids.join(ids.groupBy("component").agg(F.min("doc_id").alias("linked")), "component").select("id", "linked")
     named = classes.select("class", "id", "doc_id").join(ids, "id", "left").select("class", F.coalesce("linked", "doc_id").alias("component_id"))
