@@ -28,8 +28,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
+#: Rows that go to a Python worker at once, unless the session sets a number: whole texts are large rows.
+ROWS_AT_ONCE = 1000
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once an application: they may start in a folder where it can't be imported."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
     if spark.sparkContext.applicationId not in _shipped:
         _shipped.add(spark.sparkContext.applicationId)
         top = Path(__file__).parent.parent
