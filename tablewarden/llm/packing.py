@@ -12,8 +12,10 @@ tables give empty tables; repeated rows are pieces of their own; equal ranks are
 
 from __future__ import annotations
 
+import contextlib
 import math
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
@@ -54,40 +56,57 @@ class WordIds(dict):
             self.closing[i] = token.endswith("</w>")
 
     def learn(self, words: set[str]) -> None:
-        new = words.difference(self)
-        if len(self) + 2 * len(new) > CACHED:
+        """Keep the ids of these words, none of which is kept yet."""
+        if len(self) + len(words) > CACHED:
             self.clear()
-            new = words
-        # a letter before one of these signs ends the word's own match, and ASCII letters have one lower case
-        stems = {}
-        for w in new:
-            stem = w[:-1] if w[-1] in ".,!" and w[:-1].isalpha() else w
-            stems[w] = (stem.lower() if stem.isascii() else stem), w[len(stem) :]
-        unknown = {x for pair in stems.values() for x in pair}.difference(self)
-        latin = [w for w in unknown if w.isalpha() and max(w) < "\u0250"]
-        # Latin words are one match each, whose last id closes it: they can go to the tokenizer together
+        # letters alone are one match, whose last id closes it: such words can go to the tokenizer together
+        latin = [w for w in words if w.isalpha() and (w.isascii() or max(w) < "\u0100")]
         ids = np.array(self.tokenizer.encode_batch_fast([" ".join(latin)], add_special_tokens=False)[0].ids, "<u4")
-        ends = (np.flatnonzero(self.closing[ids]) + 1) * 4 if len(ids) else ids
+        ends = ((np.flatnonzero(self.closing[ids]) + 1) * 4).tolist() if len(ids) else []
         if len(ends) == len(latin):
             raw, start = ids.tobytes(), 0
-            for w, end in zip(latin, ends.tolist(), strict=True):
+            for w, end in zip(latin, ends, strict=True):
                 self[w] = raw[start:end]
                 start = end
-        rest = [*unknown.difference(self)]
+            words = words.difference(latin)
+        rest = [*words]
         for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self[w] = pack_ids(f"<{len(e.ids)}I", *e.ids)
-        for w, (stem, sign) in stems.items():
-            if sign or w not in self:
-                self[w] = self[stem] + self[sign]
+
+    @staticmethod
+    def split(text: str) -> list[str]:
+        """Parts that the tokenizer treats each for itself, in order.
+
+        White space always parts (str.split() takes the separators 1C to 1F for white space, the tokenizer does
+        not). In texts of Latin-1 letters without apostrophes, which may start a match of their own, runs of
+        letters part too, and lower case is one to one.
+        """
+        if any(x in text for x in "\x1c\x1d\x1e\x1f"):
+            return [text]
+        if "'" not in text:
+            if text.isascii():
+                return ASCII_PARTS(text.lower())
+            with contextlib.suppress(UnicodeEncodeError):
+                text.encode("latin-1")
+                return LATIN_PARTS(text.lower())
+        return text.split()
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        # str.split() also splits at the four separators 1C to 1F, which the tokenizer does not call white space
-        split = [[t] if any(x in t for x in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        self.learn({w for ws in split for w in ws})
+        split = [self.split(t) for t in texts]
+        words = {w for ws in split for w in ws}
+        new = words.difference(self)
+        if len(self) + len(new) > CACHED:
+            new = words
+        self.learn(new)
         get = self.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
 
+ASCII_PARTS = re.compile(r"[a-z]+|[^a-z\s]+").findall
+# superscript figures and fractions are numbers, not letters
+LATIN_PARTS = re.compile(r"[^\W\d_²³¹¼½¾]+|(?:[\d_²³¹¼½¾]|[^\w\s])+").findall
+
+
 @lru_cache(2)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
