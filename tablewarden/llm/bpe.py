@@ -23,6 +23,8 @@ from .common import map_rows
 
 #: Distinct pre-tokens kept by one Python worker; beyond it the memory is emptied and filled again.
 CACHED = 400_000
+#: Bytes up to which prefixes are shared between pre-tokens.
+SHARED = 24
 
 
 class PrefixBPE:
@@ -33,24 +35,46 @@ class PrefixBPE:
         self.token = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self._apart: dict[tuple[int, int], bool] = {}
+        self._spines: tuple[dict, dict] = ({}, {})
+        self._rows: dict[bytes, tuple[int, int]] = {}
 
     def apart(self, a: int, b: int) -> bool:
-        """Whether a, b stay as they are when the bytes of both are merged from scratch."""
-        key = (a, b)
-        known = self._apart.get(key)
-        if known is None:
-            if len(self._apart) > 400_000:
-                self._apart.clear()
-            known = self._apart[key] = self._merge(self.token[a] + self.token[b]) == [a, b]
-        return known
-
-    def _merge(self, piece: bytes) -> list[int]:
+        """Whether a, b stay as they are when the bytes of both are merged from scratch.
+
+        While the two grow, what touches at the border is some end piece of a and some beginning of b. They join
+        if the two together are a token whose merge comes before the merges that take either of them up; of
+        equal merges the left one comes first.
+        """
+        get = self.ranks.get
+        for x, taken_x in self._spine(a, 1):
+            for y, taken_y in self._spine(b, 0):
+                r = get(x + y)
+                if r is not None and r < taken_x and r <= taken_y:
+                    return False
+        return True
+
+    def _spine(self, token: int, side: int) -> list[tuple[bytes, int]]:
+        """The token, its last merge's left (0) or right (1) part, that part's part, ...: bytes, and the merge that takes it up."""
+        found = self._spines[side].get(token)
+        if found is None:
+            found, t, taken = [], token, len(self.ranks) + 1
+            while True:
+                piece = self.token[t]
+                found.append((piece, taken))
+                if len(piece) == 1:
+                    break
+                taken, t = t, self._merge(piece, t)[-side]
+            self._spines[side][token] = found
+        return found
+
+    def _merge(self, piece: bytes, before: int) -> list[int]:
+        """Plain merging by the merges that come before the given one."""
         ranks, parts = self.ranks, [piece[i : i + 1] for i in range(len(piece))]
         while len(parts) > 1:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 r = ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
+                if r is not None and r < before and (best is None or r < best):
                     best, at = r, i
             if best is None:
                 break
@@ -59,14 +83,24 @@ class PrefixBPE:
 
     def extend(self, piece: bytes, last: list[int], start: list[int]) -> None:
         """Append the rows of the prefixes that the table (last, start) does not have yet."""
-        ranks, apart, longest = self.ranks, self.apart, self.longest
+        get, known, longest = self.ranks.get, self._apart, self.longest
+        if len(known) > CACHED:
+            known.clear()
         for i in range(len(last) + 1, len(piece) + 1):
             for j in range(max(0, i - longest), i):
-                t = ranks.get(piece[j:i])
-                if t is not None and (j == 0 or apart(last[j - 1], t)):
-                    last.append(t)
-                    start.append(j)
-                    break
+                t = get(piece[j:i])
+                if t is None:
+                    continue
+                if j:
+                    pair = (last[j - 1], t)
+                    ok = known.get(pair)
+                    if ok is None:
+                        ok = known[pair] = self.apart(*pair)
+                    if not ok:
+                        continue
+                last.append(t)
+                start.append(j)
+                break
             else:
                 raise ValueError("the vocabulary lacks single bytes")
 
@@ -83,7 +117,19 @@ class PrefixBPE:
             return [whole]
         last: list[int] = []
         start: list[int] = []
+        rows = self._rows
+        for i in range(1, min(len(piece), SHARED) + 1):
+            row = rows.get(piece[:i])
+            if row is None:
+                break
+            last.append(row[0])
+            start.append(row[1])
+        known = len(last)
         self.extend(piece, last, start)
+        if len(rows) > CACHED:
+            rows.clear()
+        for i in range(known, min(len(piece), SHARED)):
+            rows[piece[: i + 1]] = last[i], start[i]
         return self.read(last, start)
 
     def edit(self, piece: bytes, last: list[int], start: list[int], at: int) -> tuple[list[int], list[int]]:
