@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -56,11 +57,15 @@ class SumTree:
 
 
 class CountedText:
-    def __init__(self, text: str, count, pattern):
+    def __init__(self, text: str, count, pattern, count_all=None):
+        """count: pre-token -> tokens; count_all: the same for a list."""
         self.text, self.count, self.pattern = text, count, pattern
-        self.ends = [m.end() for m in pattern.finditer(text)]
-        starts = [0, *self.ends]
-        self.tree = SumTree([count(text[s:e]) for s, e in zip(starts, self.ends, strict=False)])
+        pieces = pattern.findall(text) if not pattern.groups else []
+        self.ends = list(accumulate(map(len, pieces)))
+        if (self.ends[-1] if self.ends else 0) != len(text):  # the matches leave gaps
+            self.ends = [m.end() for m in pattern.finditer(text)]
+            pieces = [text[s:e] for s, e in zip([0, *self.ends], self.ends, strict=False)]
+        self.tree = SumTree(count_all(pieces) if count_all else [count(p) for p in pieces])
 
     @property
     def n_tokens(self) -> int:
@@ -112,10 +117,16 @@ def count_edited(df: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = enc.known.get(piece)
             return len(ids if ids is not None else enc.pieces(piece)[0])
 
+        def count_all(pieces: list[str]) -> list[int]:
+            found = list(map(enc.known.get, pieces))
+            if None in found:
+                return [count(p) if ids is None else len(ids) for p, ids in zip(pieces, found, strict=True)]
+            return list(map(len, found))
+
         def step(c):
             out = {n: [] for n in names}
             for text, lo, hi, new in zip(c["text"], c["lo"], c["hi"], c["new"], strict=True):
-                t = CountedText(text or "", count, pat)
+                t = CountedText(text or "", count, pat, count_all)
                 before = (len(t.text), len(t.ends), t.n_tokens)
                 again = t.edit(lo or 0, hi or 0, new or "")
                 for n, v in zip(names, (*before, len(t.text), len(t.ends), t.n_tokens, again), strict=True):
