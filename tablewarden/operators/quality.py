@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import operator
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -109,13 +111,20 @@ def quality_score(df: DataFrame, validity: float = 100.0, timestamp: str | None
     return one.withColumn("score", score).withColumn("grade", grade(F.col("score")))
 
 
-def score_alerts(history: DataFrame, drop: float = 10, floor: float = 60, n: int = 3) -> DataFrame:
-    """dataset, observed_utc, type of every alert in a score history: SCORE_DROP, BELOW_FLOOR, ROLLING_DECLINE."""
+def score_alerts(history: DataFrame, drop: float = 10, floor: float = 60, n: int = 3, dimension_drop: float = 15) -> DataFrame:
+    """dataset, observed_utc, score, type, dimension of every alert in a score history: SCORE_DROP, BELOW_FLOOR, ROLLING_DECLINE, and DIMENSION_DROP once a dimension that the history has."""
     from .windows import against_previous, rolling_decline
 
-    h = rolling_decline(against_previous(history, ["dataset"], "observed_utc", ["score"]), n)
-    tests = F.array(F.when(F.col("score_change") < -drop, F.lit("SCORE_DROP")), F.when(F.col("score") < floor, F.lit("BELOW_FLOOR")), F.when(F.col("declining"), F.lit("ROLLING_DECLINE")))
-    return h.select("dataset", "observed_utc", "score", F.explode(F.filter(tests, lambda x: x.isNotNull())).alias("type"))
+    dims = [c for c in WEIGHTS if c in history.columns]
+    h = rolling_decline(against_previous(history, ["dataset"], "observed_utc", ["score", *dims]), n)
+    one = lambda bad, name, dim=None: F.when(bad, F.struct(F.lit(name).alias("type"), F.lit(dim).cast("string").alias("dimension")))
+    tests = F.array(
+        one(F.col("score_change") < -drop, "SCORE_DROP"),
+        one(F.col("score") < floor, "BELOW_FLOOR"),
+        one(F.col("declining"), "ROLLING_DECLINE"),
+        *[one(F.col(f"{c}_change") < -dimension_drop, "DIMENSION_DROP", c) for c in dims],
+    )
+    return h.select("dataset", "observed_utc", "score", F.explode(F.filter(tests, lambda x: x.isNotNull())).alias("x")).select("dataset", "observed_utc", "score", "x.*")
 
 
 # --- contracts and expectations ----------------------------------------------------------------------------
@@ -138,12 +147,45 @@ def failing_rows(df: DataFrame, rule: str, column: str, value=None) -> Column:
     return F.coalesce(tests[rule](), F.lit(False))
 
 
-def check_contract(df: DataFrame, contract: dict, as_of: str | None = None) -> DataFrame:
+# Clauses that a contract may hold, by part; whatever else it holds is refused.
+CLAUSES = {
+    "contract": {"sla", "quality", "schema", "rules", "null_ratio"},
+    "sla": {"min_rows", "max_rows", "freshness", "max_seconds"},
+    "freshness": {"column", "hours"},
+    "quality": {"min_score", *(f"min_{d}" for d in WEIGHTS)},
+    "schema": {"required", "forbidden", "no_extra", "columns"},
+    "column": {"type", "not_null", "unique", "min", "max", "between", "min_length", "max_length", "pattern", "allowed"},
+    "rule": {"name", "column", "condition", "description"},
+}
+_CONDITION = re.compile(r"\s*(>=|<=|!=|==|>|<)\s*(-?\d+\.?\d*)\s*")
+_HOLDS = {">": operator.gt, "<": operator.lt, ">=": operator.ge, "<=": operator.le, "==": operator.eq, "!=": operator.ne}
+
+
+def check_clauses(contract: dict) -> None:
+    """Raises on clauses, column rules and conditions that check_contract does not know."""
+    sla, schema, rules = contract.get("sla", {}), contract.get("schema", {}), contract.get("rules", [])
+    parts = [("contract", contract), ("sla", sla), ("freshness", sla.get("freshness", {})), ("quality", contract.get("quality", {})), ("schema", schema)]
+    for part, given in parts + [("column", r) for r in schema.get("columns", {}).values()] + [("rule", r) for r in rules]:
+        if unknown := sorted(set(given) - CLAUSES[part]):
+            raise ValueError(f"unknown clauses in {part}: {', '.join(unknown)}")
+    for r in rules:
+        if "column" not in r or not _CONDITION.fullmatch(r.get("condition", "")):
+            raise ValueError(f"a rule needs a column and a condition of operator and number: {r}")
+
+
+def check_contract(df: DataFrame, contract: dict, as_of: str | None = None, report: DataFrame | dict | None = None, elapsed: float | None = None) -> DataFrame:
     """clause, column, rule, expected, actual, severity of every violation; all data clauses in one aggregate.
 
-    contract: {sla: {min_rows, max_rows, freshness: {column, hours}}, schema: {required, forbidden, no_extra, columns: {name: {type, not_null, unique, min, max, min_length, max_length, pattern, allowed}}}, null_ratio}
+    contract: {sla: {min_rows, max_rows, freshness: {column, hours}, max_seconds}, quality: {min_score, min_completeness, ...}, schema: {required, forbidden, no_extra, columns: {name: {type, not_null, unique, min, max, min_length, max_length, pattern, allowed}}}, rules: [{name, column, condition: "op number"}], null_ratio}
+
+    A rule is over the values that are numbers. Quality floors are held against `report` (the row of quality_score),
+    max_seconds against `elapsed`, freshness against `as_of`: a clause whose value is not given raises, as do unknown clauses.
     """
-    spark, sla, schema = df.sparkSession, contract.get("sla", {}), contract.get("schema", {})
+    check_clauses(contract)
+    spark, sla, schema, floors = df.sparkSession, contract.get("sla", {}), contract.get("schema", {}), contract.get("quality", {})
+    for name, clause, given in (("freshness", "freshness" in sla, as_of), ("max_seconds", "max_seconds" in sla, elapsed), ("quality", floors, report)):
+        if clause and given is None:
+            raise ValueError(f"the contract's {name} clause can't be checked: its value is not given")
     cols, static = schema.get("columns", {}), []
     for c in schema.get("required", []):
         if c not in df.columns:
@@ -159,7 +201,16 @@ def check_contract(df: DataFrame, contract: dict, as_of: str | None = None) -> D
         checks.append(("sla", None, "min_rows", str(sla["min_rows"]), rows < sla["min_rows"], rows, "HIGH"))
     if "max_rows" in sla:
         checks.append(("sla", None, "max_rows", str(sla["max_rows"]), rows > sla["max_rows"], rows, "MEDIUM"))
-    if "freshness" in sla and as_of:
+    if "max_seconds" in sla:
+        checks.append(("sla", None, "max_seconds", str(sla["max_seconds"]), F.lit(float(elapsed) > sla["max_seconds"]), F.lit(round(float(elapsed), 1)), "HIGH"))
+    if floors:
+        found = (report.first() if isinstance(report, DataFrame) else report) or {}
+        found = found if isinstance(found, dict) else found.asDict()
+        for rule, least in floors.items():
+            if (actual := found.get(rule.removeprefix("min_"))) is None:
+                raise ValueError(f"the report has no {rule.removeprefix('min_')}")
+            checks.append(("quality", None, rule, str(least), F.lit(float(actual) < least), F.lit(float(actual)), "HIGH"))
+    if "freshness" in sla:
         f = sla["freshness"]
         hours = (F.lit(as_of).cast("timestamp").cast("long") - F.max(f["column"]).cast("timestamp").cast("long")) / 3600
         checks.append(("sla", f["column"], "freshness", str(f["hours"]), F.coalesce(hours > f["hours"], F.lit(True)), F.round(hours, 2), "HIGH"))
@@ -177,6 +228,14 @@ def check_contract(df: DataFrame, contract: dict, as_of: str | None = None) -> D
             elif value is not False:
                 bad = F.count_if(failing_rows(df, rule, c, value))
                 checks.append(("schema", c, rule, str(value), bad > 0, bad, "HIGH" if rule == "not_null" else "MEDIUM"))
+    for r in contract.get("rules", []):
+        c, (op, limit) = r["column"], _CONDITION.fullmatch(r["condition"]).groups()
+        if c not in df.columns:
+            static.append(("rules", c, r.get("name", "rule"), r["condition"], "absent", "HIGH"))
+            continue
+        x = F.col(f"`{c}`").try_cast("double")
+        bad = F.count_if(~F.isnan(x) & ~_HOLDS[op](x, float(limit)))
+        checks.append(("rules", c, r.get("name", "rule"), r["condition"], bad > 0, bad, "HIGH"))
     if "null_ratio" in contract:
         nulls = sum([F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns], F.lit(0)) / F.when(rows > 0, rows * len(df.columns))
         checks.append(("rules", None, "null_ratio", str(contract["null_ratio"]), F.coalesce(nulls > contract["null_ratio"], F.lit(False)), F.round(nulls, 6), "MEDIUM"))
@@ -188,8 +247,8 @@ def check_contract(df: DataFrame, contract: dict, as_of: str | None = None) -> D
     return out
 
 
-def enforce_contract(df: DataFrame, contract: dict, as_of: str | None = None, warn_only: bool = False) -> DataFrame:
-    bad = check_contract(df, contract, as_of)
+def enforce_contract(df: DataFrame, contract: dict, as_of: str | None = None, warn_only: bool = False, report: DataFrame | dict | None = None, elapsed: float | None = None) -> DataFrame:
+    bad = check_contract(df, contract, as_of, report, elapsed)
     if not warn_only and bad.filter("severity = 'HIGH'").limit(1).count():
         raise ValueError("the contract is broken")
     return bad

@@ -49,7 +49,7 @@ WITH h AS (SELECT *, score - lag(score) OVER w AS c, CASE WHEN score < lag(score
 g AS (SELECT *, sum(f) OVER (PARTITION BY dataset ORDER BY observed_utc ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) = 2 AS d FROM h)
 SELECT dataset, observed_utc, score, 'SCORE_DROP' AS type FROM g WHERE c < -10 UNION ALL SELECT dataset, observed_utc, score, 'BELOW_FLOOR' FROM g WHERE score < 20 UNION ALL SELECT dataset, observed_utc, score, 'ROLLING_DECLINE' FROM g WHERE d""")
 def _(t):
-    return quality.score_alerts(_daily(t), floor=20)
+    return quality.score_alerts(_daily(t), floor=20).select("dataset", "observed_utc", "score", "type")
 
 
 _CONTRACT = {

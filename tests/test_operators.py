@@ -199,6 +199,30 @@ def test_contract_on_an_empty_table(spark):
         quality.enforce_contract(df, {"sla": {"min_rows": 1}})
 
 
+def test_contract_quality_duration_and_rules(spark):
+    df = spark.createDataFrame([(1, "5"), (-2, "x"), (None, "nan"), (3, None)], "a int, b string")
+    report = spark.createDataFrame([(70.0, 80.0)], "score double, completeness double")
+    contract = {"sla": {"max_seconds": 60}, "quality": {"min_score": 75, "min_completeness": 80}, "rules": [{"name": "positive", "column": "a", "condition": "> 0"}, {"name": "not five", "column": "b", "condition": "!= 5"}, {"name": "small", "column": "a", "condition": "<= 3.0"}, {"name": "gone", "column": "c", "condition": "== 1"}]}
+    found = quality.check_contract(df, contract, report=report, elapsed=61.04)
+    assert rows(found.select("clause", "column", "rule", "actual")) == [("quality", None, "min_score", "70.0"), ("rules", "a", "positive", "1"), ("rules", "b", "not five", "1"), ("rules", "c", "gone", "absent"), ("sla", None, "max_seconds", "61.0")]
+    for broken in ({"sla": contract["sla"]}, {"quality": contract["quality"]}, {"rules": contract["rules"][:1]}):
+        with pytest.raises(ValueError, match="broken"):
+            quality.enforce_contract(df, broken, report=report, elapsed=61)
+    assert quality.check_contract(df, {"sla": {"max_seconds": 60}}, elapsed=60).count() == 0
+    assert quality.check_contract(df.limit(0), {"rules": contract["rules"][:3]}).count() == 0
+
+
+@pytest.mark.parametrize("contract", [{"quality": {"min_score": 1}}, {"sla": {"max_seconds": 1}}, {"sla": {"freshness": {"column": "a", "hours": 1}}}, {"qualty": {}}, {"sla": {"min": 1}}, {"quality": {"score": 1}}, {"schema": {"columns": {"absent": {"nul": True}}}}, {"rules": [{"column": "a", "condition": "about 3"}]}, {"rules": [{"condition": "> 3"}]}])
+def test_contract_refuses_what_it_cannot_check(spark, contract):
+    with pytest.raises(ValueError):
+        quality.enforce_contract(spark.createDataFrame([(1,)], "a int"), contract)
+
+
+def test_score_alerts_of_dimensions(spark):
+    df = spark.createDataFrame([("d", "1", 90.0, 100.0, 90.0), ("d", "2", 85.0, 84.0, 75.0), ("d", "3", 84.9, None, 59.0), ("e", "3", 84.0, 0.0, 0.0)], "dataset string, observed_utc string, score double, completeness double, validity double")
+    assert rows(quality.score_alerts(df, n=4).select("dataset", "observed_utc", "type", "dimension")) == [("d", "2", "DIMENSION_DROP", "completeness"), ("d", "3", "DIMENSION_DROP", "validity")]
+
+
 def test_profile_of_all_nulls(spark):
     df = spark.createDataFrame([(None, None)], "a int, b string")
     a, b = quality.profile_columns(df).collect()
