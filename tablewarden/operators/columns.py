@@ -12,11 +12,11 @@ from pyspark.sql.types import ArrayType, MapType, NumericType, StringType, Struc
 from ..functions.values import coerce
 
 
-def flatten(df: DataFrame, sep: str = "__", depth: int = 10, most: int = 32) -> DataFrame:
+def flatten(df: DataFrame, sep: str = "__", depth: int = 10) -> DataFrame:
     """Structs to parent__child columns, arrays to parent__0, parent__1 and so on.
 
-    An array's width is its longest, found by one aggregate over all array columns; more than `most` entries
-    stay an array. Of two columns of one name the first stays. Maps stay as they are.
+    An array's width is its longest, found by one aggregate over all array columns, whatever it is. Of two columns
+    of one name the first stays. Maps stay as they are.
     """
     for _ in range(depth):
         arrays = [f.name for f in df.schema if isinstance(f.dataType, ArrayType)]
@@ -29,7 +29,7 @@ def flatten(df: DataFrame, sep: str = "__", depth: int = 10, most: int = 32) ->
                 again = True
                 for x in f.dataType.names:
                     out.setdefault(f"{f.name}{sep}{x}", c.getField(x))
-            elif isinstance(f.dataType, ArrayType) and 0 <= (widths[f.name] or 0) <= most:
+            elif isinstance(f.dataType, ArrayType):
                 again = True
                 for i in range(widths[f.name] or 0):
                     out.setdefault(f"{f.name}{sep}{i}", F.get(c, F.lit(i)))

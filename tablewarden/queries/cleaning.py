@@ -20,8 +20,13 @@ def _(t):
 
 @query("xf1_flatten_arrays", "SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS head__0, CAST(embedding[2] AS DOUBLE) AS head__1, label AS meta__label FROM embeddings")
 def _(t):
-    rows = t.embeddings.select("vec_id", F.transform(F.slice("embedding", 1, 2), lambda x: x.cast("double")).alias("head"), F.struct("label").alias("meta"))
-    return columns.flatten(rows)
+    rows = t.embeddings.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("head"), F.struct("label").alias("meta"))
+    return columns.flatten(rows).select("vec_id", "head__0", "head__1", "meta__label")
+
+
+@query("xf1_flatten_embedding", "SELECT vec_id, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS embedding__{i}" for i in range(64)) + " FROM embeddings")
+def _(t):
+    return columns.flatten(t.embeddings.select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding")))
 
 
 @query("xf2_sanitise_names", 'SELECT c_custkey AS customer_key, c_name AS full_name, c_acctbal AS full_name_2 FROM customer')

@@ -23,6 +23,13 @@ def test_flatten_nested(spark):
     assert rows(out) == [(1, "x", "y", 2, 5, 6), (2, None, None, None, None, None)]
 
 
+def test_flatten_wide_arrays(spark):
+    df = spark.createDataFrame([(1, [(i,) for i in range(70)], list(range(33))), (2, [(7,)], None)], "id int, l array<struct<v: int>>, m array<int>")
+    out = columns.flatten(df)
+    assert out.columns == ["id", *[f"l__{i}__v" for i in range(70)], *[f"m__{i}" for i in range(33)]]
+    assert rows(out) == [(1, *range(70), *range(33)), (2, 7, *[None] * 102)]
+
+
 def test_flatten_keeps_the_first_of_two_names(spark):
     df = spark.createDataFrame([("first", ("second",))], "a__b string, a struct<b: string>")
     assert rows(columns.flatten(df)) == [("first",)]
