@@ -105,7 +105,7 @@ def encrypt(df: DataFrame, columns: Sequence[str], key: bytes) -> DataFrame:
 def decrypt(df: DataFrame, columns: Sequence[str], key: bytes) -> DataFrame:
     """What can't be decrypted stays as it is."""
     k = F.lit(key)
-    dec = lambda c: F.try_aes_decrypt(F.unbase64(F.substring(c, len(ENCRYPTED) + 1, 1 << 20)), k).cast("string")
+    dec = lambda c: F.try_aes_decrypt(F.unbase64(F.substring(c, F.lit(len(ENCRYPTED) + 1), F.length(c))), k).cast("string")
     return df.withColumns({c: F.when(F.col(c).startswith(ENCRYPTED), F.coalesce(dec(F.col(c)), F.col(c))).otherwise(F.col(c)) for c in columns if c in df.columns})
 
 

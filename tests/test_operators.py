@@ -181,6 +181,13 @@ def test_encryption_keeps_what_it_cannot_read(spark):
     assert rows(privacy.decrypt(sealed, ["s"], b"fedcba9876543210")).count(("x",)) == 0
 
 
+def test_encryption_of_long_texts(spark):
+    key = b"0123456789abcdef"
+    df = spark.range(3).select("id", F.concat(F.repeat(F.lit("aé"), (1 << 20) + F.col("id").cast("int")), F.lit("end")).alias("s"))
+    back = privacy.decrypt(privacy.encrypt(df, ["s"], key), ["s"], key)
+    assert back.join(df.withColumnRenamed("s", "t"), "id").filter("s = t").count() == 3
+
+
 def test_noise_checks(spark):
     df = spark.createDataFrame([(1.0,), (None,)], "v double")
     assert rows(privacy.add_noise(df, ["v"], 1.0))[-1] == (None,)
