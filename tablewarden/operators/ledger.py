@@ -31,10 +31,16 @@ def canonical(df: DataFrame) -> DataFrame:
     return df.withColumn("body", F.to_json(F.struct(*keys)))
 
 
-def chain(df: DataFrame) -> DataFrame:
-    """df (segment_id, seq, body) with prev_hash and self_hash: SHA-256 over the hash before and the body, a fold along seq within each segment.
+# Numbers of seq in a block of a segment: no more events are folded at once, however long a segment is.
+BLOCK = 1 << 14
 
-    Segments are bounded by the writer (a partition's events), so one is folded by one task.
+
+def chain(df: DataFrame, block: int = BLOCK) -> DataFrame:
+    """df (segment_id, seq, body) with block, prev_hash and self_hash: SHA-256 over the hash before and the body, a fold along seq.
+
+    seq numbers the events of a segment: whole numbers, each once. Segments are cut into blocks of `block` numbers, and
+    the first of a block is hashed behind GENESIS, so that blocks are folded apart. Its prev_hash links it to the block
+    before, and heads() folds the blocks' last hashes into the segment's.
     """
 
     def fold(f: pd.DataFrame) -> pd.DataFrame:
@@ -45,26 +51,44 @@ def chain(df: DataFrame) -> DataFrame:
             out.append((prev, own))
             prev = own
         f["prev_hash"], f["self_hash"] = [x for x, _ in out], [x for _, x in out]
-        return f[["segment_id", "seq", "body", "prev_hash", "self_hash"]]
+        return f[["segment_id", "seq", "block", "body", "prev_hash", "self_hash"]]
 
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    return df.select("segment_id", "seq", "body").groupBy("segment_id").applyInPandas(fold, f"segment_id {kinds['segment_id']}, seq {kinds['seq']}, body string, prev_hash string, self_hash string")
+    cut = df.select("segment_id", "seq", F.expr(f"(seq - pmod(seq, {block})) div {block}").alias("block"), "body")
+    folded = cut.groupBy("segment_id", "block").applyInPandas(fold, f"segment_id {kinds['segment_id']}, seq {kinds['seq']}, block long, body string, prev_hash string, self_hash string")
+    first = F.col("prev_hash") == GENESIS
+    return _linked(folded).select("segment_id", "seq", "block", "body", F.when(first, F.coalesce("_before", F.lit(GENESIS))).otherwise(F.col("prev_hash")).alias("prev_hash"), "self_hash")
+
+
+def _blocks(chained: DataFrame) -> DataFrame:
+    return chained.groupBy("segment_id", "block").agg(F.count("*").alias("n"), F.max_by("self_hash", "seq").alias("head"))
+
+
+def _linked(chained: DataFrame) -> DataFrame:
+    """chained with _before: the last hash of the block before in the segment. Only blocks are ordered within segments."""
+    w = Window.partitionBy("_s").orderBy("_b")
+    b = _blocks(chained).select(F.col("segment_id").alias("_s"), F.col("block").alias("_b"), "head").withColumn("_before", F.lag("head").over(w)).drop("head")
+    return chained.join(b, F.col("segment_id").eqNullSafe(F.col("_s")) & F.col("block").eqNullSafe(F.col("_b")), "left").drop("_s", "_b")
 
 
 def broken_links(chained: DataFrame) -> DataFrame:
     """segment_id, seq, problem: CONTENT (hash does not fit the body), ORDER (prev_hash is not the hash before)."""
-    w = Window.partitionBy("segment_id").orderBy("seq")
-    before = F.coalesce(F.lag("self_hash").over(w), F.lit(GENESIS))
+    w = Window.partitionBy("segment_id", "block").orderBy("seq")
+    before = F.coalesce(F.lag("self_hash").over(w), "_before", F.lit(GENESIS))
+    fits = lambda prev: F.sha2(F.concat_ws("|", prev, F.col("body")), 256) == F.col("self_hash")
     tests = F.array(
-        F.when(F.sha2(F.concat_ws("|", "prev_hash", "body"), 256) != F.col("self_hash"), F.lit("CONTENT")),
+        F.when(~(fits(F.col("prev_hash")) | ((F.row_number().over(w) == 1) & fits(F.lit(GENESIS)))), F.lit("CONTENT")),
         F.when(F.col("prev_hash") != before, F.lit("ORDER")),
     )
-    return chained.select("segment_id", "seq", tests.alias("t")).select("segment_id", "seq", F.explode(F.filter("t", lambda x: x.isNotNull())).alias("problem"))
+    return _linked(chained).select("segment_id", "seq", tests.alias("t")).select("segment_id", "seq", F.explode(F.filter("t", lambda x: x.isNotNull())).alias("problem"))
 
 
 def heads(chained: DataFrame) -> DataFrame:
-    """segment_id, entry_count, last_hash."""
-    return chained.groupBy("segment_id").agg(F.count("*").alias("entry_count"), F.max_by("self_hash", "seq").alias("last_hash"))
+    """segment_id, entry_count, last_hash: the last hash of a segment of one block, else SHA-256 folded along the blocks' last hashes."""
+    hashes = F.transform(F.array_sort("_x"), lambda x: x["head"])
+    folded = F.aggregate(F.slice(hashes, F.lit(2), F.size(hashes)), F.element_at(hashes, 1), lambda h, x: F.sha2(F.concat_ws("|", h, x), 256))
+    found = _blocks(chained).groupBy("segment_id").agg(F.sum("n").alias("entry_count"), F.collect_list(F.struct("block", "head")).alias("_x"))
+    return found.select("segment_id", "entry_count", folded.alias("last_hash"))
 
 
 def truncated(chained: DataFrame, anchors: DataFrame, slack: int = 1) -> DataFrame:

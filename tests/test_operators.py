@@ -265,6 +265,31 @@ def test_ledger_tampering(spark):
     assert ledger.seal(heads.limit(0)).first()["merkle_root"] == ledger.EMPTY_ROOT
 
 
+def test_ledger_blocks(spark):
+    log = spark.range(20000).select((F.col("id") % 10 == 0).cast("int").alias("segment_id"), F.col("id").alias("seq"), F.concat(F.lit("b"), F.col("id")).alias("body"))
+    assert ledger.chain(log).groupBy("segment_id", "block").count().agg(F.max("count")).first()[0] <= ledger.BLOCK < 18000
+    log = spark.createDataFrame([(s, i, f"{s}-{i}") for s in range(3) for i in range(-2, 11)], "segment_id int, seq int, body string")
+    chained = ledger.chain(log, block=4).cache()
+    assert chained.groupBy("segment_id", "block").count().agg(F.max("count")).first()[0] == 4
+    sealed = ledger.seal(ledger.heads(chained))
+    assert ledger.verify_seal(chained, sealed).first()["ok"]
+    assert {r["entry_count"] for r in ledger.heads(chained).collect()} == {13}
+    one = F.col("segment_id") == 1
+    edits = [
+        (chained.withColumn("body", F.when(one & (F.col("seq") == 4), "x").otherwise(F.col("body"))), [(1, 4, "CONTENT")]),
+        (chained.withColumn("self_hash", F.when(one & (F.col("seq") == 3), "x").otherwise(F.col("self_hash"))), [(1, 3, "CONTENT"), (1, 4, "ORDER")]),
+        (chained.filter(~one | (F.col("seq") != 4)), [(1, 5, "ORDER")]),
+        (chained.filter(~one | (F.col("seq") != 3)), [(1, 4, "ORDER")]),
+        (chained.filter(~one | ~F.col("seq").between(4, 7)), [(1, 8, "ORDER")]),
+        (chained.filter(~one | (F.col("seq") < 8)), []),
+        (chained.filter(~one | (F.col("seq") >= 0)), [(1, 0, "ORDER")]),
+    ]
+    for df, problems in edits:
+        assert rows(ledger.broken_links(df)) == problems
+        assert not ledger.verify_seal(df, sealed).first()["ok"]
+    assert rows(ledger.truncated(edits[5][0], ledger.heads(chained))) == [(1, 13, 10)]
+
+
 def test_loads(spark, tmp_path):
     a = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     b = spark.createDataFrame([(2, "c"), (2, "d"), (3, "e")], "k int, v string")
