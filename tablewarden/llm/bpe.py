@@ -1,12 +1,15 @@
 """Byte-level BPE by prefix dynamic programming.
 
 For every byte prefix of a pre-token the table keeps the one token that can end its encoding. A token t that
-ends at i and starts at j is that token exactly if (last[j], t) is a pair that merging leaves apart. The table
-of a prefix does not depend on what follows, so appends go on from the stored row and an edit is re-encoded
-from the first row that it touches.
-
-Nulls: a null text is the empty text, no tokens. Empty tables give empty tables; repeated rows are encoded
-each for itself; columns other than the text (and the key of the queries) are left alone.
+ends at i and starts at j is that token exactly if (last[j], t) is a pair that merging leaves apart. An automaton
+over the tokens names those that end at i, longest first, so that only they are tried. The table of a prefix does
+not depend on what follows, so appends go on from the stored row and an edit is re-encoded from the first row
+that it touches.
+
+Nulls: a null text is the empty text, no tokens. Very long texts: the work is in proportion to the text, and a
+text's ids are held once. Ties: none, an encoding is unique. Empty tables give empty tables; repeated rows are
+encoded each for itself; columns other than the text (and the key of the queries) are left alone. doc_id is an
+integer in the queries; encode_texts takes a key of any type.
 """
 
 from __future__ import annotations
@@ -15,16 +18,82 @@ import base64
 import hashlib
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
 from .common import map_rows
 
-#: Distinct pre-tokens kept by one Python worker; beyond it the memory is emptied and filled again.
-CACHED = 400_000
-#: Bytes up to which prefixes are shared between pre-tokens.
-SHARED = 24
+#: Distinct pre-tokens in each of the two generations that one Python worker remembers.
+CACHED = 250_000
+#: Judged pairs of tokens, and steps of the automaton beyond its tree, that one Python worker remembers.
+REMEMBERED = 1_000_000
+
+
+class Generations(dict):
+    """A bounded memory of make(key): the newest `most` keys, and those of the generation before until they are met again."""
+
+    def __init__(self, make, most: int = CACHED):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+class Suffixes:
+    """Automaton over the tokens: after each byte, the tokens that end there."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.steps: list[dict[int, int]] = [{}]
+        own: list[tuple[int, int] | None] = [None]
+        for token, rank in ranks.items():
+            at = 0
+            for b in token:
+                nxt = self.steps[at].get(b)
+                if nxt is None:
+                    nxt = self.steps[at][b] = len(self.steps)
+                    self.steps.append({})
+                    own.append(None)
+                at = nxt
+            own[at] = (rank, len(token))
+        self.fail = [0] * len(self.steps)
+        #: Of each state: (token, length) of the tokens that are suffixes of what it has read, longest first.
+        self.ends: list[tuple[tuple[int, int], ...]] = [()] * len(self.steps)
+        level = [0]
+        tree = [dict(s) for s in self.steps]
+        while level:
+            below = []
+            for at in level:
+                for b, nxt in tree[at].items():
+                    back = self.fail[at]
+                    while back and b not in tree[back]:
+                        back = self.fail[back]
+                    self.fail[nxt] = tree[back].get(b, 0) if at else 0
+                    more = self.ends[self.fail[nxt]]
+                    self.ends[nxt] = (own[nxt], *more) if own[nxt] else more
+                    below.append(nxt)
+            level = below
+        self.added = 0
+
+    def step(self, state: int, byte: int) -> int:
+        """The state after a byte that the tree does not lead on with; remembered, up to a bound, as a step of its own."""
+        back = state
+        while back and byte not in self.steps[back]:
+            back = self.fail[back]
+        found = self.steps[back].get(byte, 0)
+        if self.added < REMEMBERED:
+            self.added += 1
+            self.steps[state][byte] = found
+        return found
 
 
 class PrefixBPE:
@@ -34,9 +103,9 @@ class PrefixBPE:
         self.ranks = ranks
         self.token = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
-        self._apart: dict[tuple[int, int], bool] = {}
+        self.suffixes = Suffixes(ranks)
+        self._apart: dict[int, bool] = {}
         self._spines: tuple[dict, dict] = ({}, {})
-        self._rows: dict[bytes, tuple[int, int]] = {}
 
     def apart(self, a: int, b: int) -> bool:
         """Whether a, b stay as they are when the bytes of both are merged from scratch.
@@ -83,19 +152,25 @@ class PrefixBPE:
 
     def extend(self, piece: bytes, last: list[int], start: list[int]) -> None:
         """Append the rows of the prefixes that the table (last, start) does not have yet."""
-        get, known, longest = self.ranks.get, self._apart, self.longest
-        if len(known) > CACHED:
+        known, auto = self._apart, self.suffixes
+        steps, ends, state = auto.steps, auto.ends, 0
+        if len(known) > REMEMBERED:
             known.clear()
-        for i in range(len(last) + 1, len(piece) + 1):
-            for j in range(max(0, i - longest), i):
-                t = get(piece[j:i])
-                if t is None:
-                    continue
+        done = len(last)
+        for b in piece[max(0, done - self.longest) : done]:
+            nxt = steps[state].get(b)
+            state = auto.step(state, b) if nxt is None else nxt
+        for i in range(done, len(piece)):
+            b = piece[i]
+            nxt = steps[state].get(b)
+            state = auto.step(state, b) if nxt is None else nxt
+            for t, size in ends[state]:
+                j = i + 1 - size
                 if j:
-                    pair = (last[j - 1], t)
+                    pair = last[j - 1] << 32 | t
                     ok = known.get(pair)
                     if ok is None:
-                        ok = known[pair] = self.apart(*pair)
+                        ok = known[pair] = self.apart(last[j - 1], t)
                     if not ok:
                         continue
                 last.append(t)
@@ -117,19 +192,7 @@ class PrefixBPE:
             return [whole]
         last: list[int] = []
         start: list[int] = []
-        rows = self._rows
-        for i in range(1, min(len(piece), SHARED) + 1):
-            row = rows.get(piece[:i])
-            if row is None:
-                break
-            last.append(row[0])
-            start.append(row[1])
-        known = len(last)
         self.extend(piece, last, start)
-        if len(rows) > CACHED:
-            rows.clear()
-        for i in range(known, min(len(piece), SHARED)):
-            rows[piece[: i + 1]] = last[i], start[i]
         return self.read(last, start)
 
     def edit(self, piece: bytes, last: list[int], start: list[int], at: int) -> tuple[list[int], list[int]]:
@@ -152,21 +215,20 @@ class Encoder:
     """Pre-tokens of a text to ids, with a bounded memory of distinct pre-tokens."""
 
     def __init__(self, path: str, pattern: str):
-        self.bpe, self.find, self.known = load(path), regex.compile(pattern).findall, {}
-
-    def pieces(self, text: str) -> list[list[int]]:
-        known, out, encode = self.known, [], self.bpe.encode
-        for p in self.find(text):
-            ids = known.get(p)
-            if ids is None:
-                if len(known) >= CACHED:
-                    known.clear()
-                ids = known[p] = encode(p.encode())
-            out.append(ids)
-        return out
+        self.bpe, self.find = load(path), regex.compile(pattern).findall
+        encode = self.bpe.encode
+        #: Pre-token -> its ids as 32-bit numbers.
+        self.known = Generations(lambda piece: np.array(encode(piece.encode()), "<u4").tobytes())
+
+    def ids(self, pieces: list[str]) -> list[int]:
+        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4").tolist()
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids in self.pieces(text) for i in ids]
+        return self.ids(self.find(text))
+
+    def counts(self, pieces: list[str]) -> list[int]:
+        """Tokens of each pre-token."""
+        return [len(x) >> 2 for x in map(self.known.__getitem__, pieces)]
 
 
 @lru_cache(2)
@@ -220,8 +282,8 @@ def digest_texts(df: DataFrame, path: str, pattern: str) -> DataFrame:
         def step(c):
             out = {f.name: [] for f in schema}
             for t in c["text"]:
-                pieces = enc.pieces(t or "")
-                ids = [i for p in pieces for i in p]
+                pieces = enc.find(t or "")
+                ids = enc.ids(pieces)
                 out["n_tokens"].append(len(ids))
                 out["ids_sha256"].append(sha(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
                 out["decoded_sha256"].append(sha(enc.bpe.decode(ids)).hexdigest())
