@@ -35,10 +35,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The edit: 40 code points from a third of the text on become its last 20."""
-    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    trees = token_counts.build_trees(documents(spark, sf_dir), *bpe.default_vocabulary())
     third = F.floor(F.char_length("text") / 3)
-    edits = docs.select("doc_id", "text", third.alias("lo"), (third + 40).alias("hi"), F.expr("right(text, 20)").alias("new"))
-    return token_counts.count_edited(edits, *bpe.default_vocabulary())
+    edits = trees.withColumns({"lo": third, "hi": third + 40, "new": F.expr("right(text, 20)")})
+    return token_counts.edit_trees(edits, *bpe.default_vocabulary(), trees=False)
 
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,23 @@ def test_bpe_like_tiktoken_on_odd_texts(odd, none):
     assert bpe.digest_texts(none, PATH, PATTERN).count() == 0
 
 
+def test_digests_like_tiktoken(odd, docs, spark, sf):
+    enc, sha = _tiktoken(), hashlib.sha256
+    want = lambda t: (len(enc.encode_ordinary(t)), sha(" ".join(map(str, enc.encode_ordinary(t))).encode()).hexdigest(), sha(t.encode()).hexdigest())
+    for df, got in ((odd, bpe.digest_texts(odd, PATH, PATTERN)), (docs, queries()["op2_bpe"](spark, sf))):
+        have = sorted(map(repr, (tuple(r)[:4] for r in got.collect())))
+        assert have == sorted(repr((r["doc_id"], *want(r["text"] or ""))) for r in df.collect())
+
+
+def test_bpe_memories_are_bounded(monkeypatch):
+    """The same ids when the memories of pre-tokens, pairs and steps are emptied all the time."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    enc, small, text = _tiktoken(), bpe.Encoder.__new__(bpe.Encoder), "some words, other words; größere Wörter 東京 " * 3
+    small.bpe, small.find = bpe.PrefixBPE(bpe.load(PATH).ranks), token_counts.compiled(PATTERN).findall
+    small.known = bpe.Generations(lambda p: b"".join(i.to_bytes(4, "little") for i in small.bpe.encode(p.encode())), 3)
+    assert small.encode(text) == enc.encode_ordinary(text) and len(small.known) <= 3 and small.bpe.suffixes.added <= 5
+
+
 def test_bpe_random_pieces():
     enc, own, rng = _tiktoken(), bpe.load(PATH), random.Random(5)
     for alphabet in ("ab", "theron", "aàé 東", " \n\t", "0123", "!?.-"):
@@ -94,41 +111,83 @@ def test_bpe_appends_and_edits_go_on_from_the_table():
 # --- token counts --------------------------------------------------------------------------------------------
 
 
-def test_counts_after_edits():
+def _same_as_built(t, text):
+    built = token_counts.CountedText(text, t.count, t.pattern)
+    assert (t.text, t.lengths, t.counts) == (text, built.lengths, built.counts)
+    assert (t.n_chars, t.n_pretokens, t.n_tokens) == (len(text), len(built.lengths), sum(built.counts))
+
+
+@pytest.mark.parametrize("fan", [2, 3, 64])
+@pytest.mark.parametrize("pattern", [PATTERN, "[ab]+|1(?=!)"])
+def test_counts_after_edits(fan, pattern, monkeypatch):
+    monkeypatch.setattr(token_counts, "FAN", fan)
+    monkeypatch.setattr(token_counts, "WINDOW", 2)
     enc, rng = bpe.encoder(PATH, PATTERN), random.Random(3)
-    pattern = token_counts.compiled(PATTERN)
-    count = lambda p: sum(map(len, enc.pieces(p)))
-    for _ in range(400):
-        t = token_counts.CountedText("".join(rng.choices("ab 'st\n1!é", k=rng.randint(0, 60))), count, pattern)
-        for _ in range(4):
-            lo = rng.randint(0, len(t.text) + 2)
-            t.edit(lo, lo + rng.randint(0, 12), "".join(rng.choices("ab 's\n2", k=rng.randint(0, 9))))
-            assert t.n_tokens == len(enc.encode(t.text)), t.text
-            assert t.ends == [m.end() for m in pattern.finditer(t.text)]
+    for _ in range(150):
+        t = token_counts.CountedText("".join(rng.choices("ab 'st\n1!é", k=rng.randint(0, 90))), enc.counts, token_counts.compiled(pattern))
+        for _ in range(5):
+            before, lo = t.text, rng.randint(0, t.n_chars + 2)
+            hi, new = lo + rng.randint(0, 12), "".join(rng.choices("ab 's\n2", k=rng.randint(0, 9)))
+            t.edit(lo, hi, new)
+            _same_as_built(t, before[:lo] + new + before[hi:])
+            if pattern == PATTERN:
+                assert t.n_tokens == len(enc.encode(t.text)), t.text
 
 
 def test_an_edit_touches_few_pieces():
     enc = bpe.encoder(PATH, PATTERN)
-    t = token_counts.CountedText("some words in a row " * 5000, lambda p: sum(map(len, enc.pieces(p))), token_counts.compiled(PATTERN))
+    t = token_counts.CountedText("some words in a row " * 5000, enc.counts, token_counts.compiled(PATTERN))
     assert t.edit(50_000, 50_004, "other") < 10
-
-
-@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 5000])
-def test_sum_tree(n):
-    rng, tree, plain = random.Random(n), token_counts.SumTree(list(range(n))), list(range(n))
-    for _ in range(60):
-        lo = rng.randint(0, len(plain))
-        hi, new = min(len(plain), lo + rng.randint(0, 5)), [rng.randint(0, 9) for _ in range(rng.randint(0, 5))]
-        tree.splice(lo, hi, new)
-        plain[lo:hi] = new
-        assert tree.total == sum(plain)
-
-
-def test_counts_of_odd_rows(odd, none):
-    edits = odd.withColumns({"lo": F.lit(1), "hi": F.when(F.col("doc_id") != 1, F.lit(10**6)), "new": F.when(F.col("doc_id") != 4, F.lit("X"))})
-    assert token_counts.count_edited(edits, PATH, PATTERN).count() == odd.count()
-    empty = none.withColumns({"lo": F.lit(0), "hi": F.lit(0), "new": F.lit("")})
-    assert token_counts.count_edited(empty, PATH, PATTERN).count() == 0
+    assert t.edit(0, 0, "x") < 10 and t.edit(t.n_chars, t.n_chars, "x") < 10
+
+
+def test_the_tree_stays_low_under_many_edits():
+    enc, rng = bpe.encoder(PATH, PATTERN), random.Random(4)
+    t, plain = token_counts.CountedText("", enc.counts, token_counts.compiled(PATTERN)), ""
+    for _ in range(3000):
+        at = rng.randint(0, len(plain))
+        t.edit(at, at, " new words")
+        plain = plain[:at] + " new words" + plain[at:]
+    _same_as_built(t, plain)
+    depth, node = 0, t.root
+    while isinstance(node, token_counts.Node):
+        depth, node = depth + 1, node.below[0]
+    assert depth <= 4 and max(len(b.lengths) for b in t.root.blocks()) <= 2 * token_counts.FAN
+
+
+def _edited(rows):
+    return {r["doc_id"]: (r["text"] or "")[: r["lo"] or 0] + (r["new"] or "") + (r["text"] or "")[max(r["lo"] or 0, r["hi"] or 0) :] for r in rows}
+
+
+def test_counts_of_odd_rows(odd, docs, none):
+    """Every column against the library's counts of the text before and after."""
+    enc, pat = _tiktoken(), token_counts.compiled(PATTERN)
+    sizes = lambda t: (len(t), len(pat.findall(t)), len(enc.encode_ordinary(t)))
+    for df in (odd.filter("doc_id is not null").dropDuplicates(["doc_id"]), docs):
+        edits = df.withColumns({"lo": F.lit(1), "hi": F.when(F.col("doc_id") != 1, F.lit(10**6)), "new": F.when(F.col("doc_id") != 4, F.lit("X"))})
+        rows = edits.collect()
+        own, after = {r["doc_id"]: r["text"] or "" for r in rows}, _edited(rows)
+        trees = token_counts.build_trees(df, PATH, PATTERN).join(edits.select("doc_id", "lo", "hi", "new"), "doc_id")
+        got = token_counts.edit_trees(trees, PATH, PATTERN).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert tuple(r)[1:4] == sizes(own[r["doc_id"]]) and tuple(r)[4:7] == sizes(after[r["doc_id"]])
+            assert r["text"] == after[r["doc_id"]] and sum(r["lengths"]) == len(r["text"]) and sum(r["counts"]) == r["edited_n_tokens"]
+    assert token_counts.build_trees(odd, PATH, PATTERN).count() == odd.count()
+    empty = none.select("doc_id", "text").withColumns({"lengths": F.array().cast("array<int>"), "counts": F.array().cast("array<int>"), "lo": F.lit(0), "hi": F.lit(0), "new": F.lit("")})
+    assert token_counts.edit_trees(empty, PATH, PATTERN).count() == token_counts.build_trees(none, PATH, PATTERN).count() == 0
+
+
+def test_token_count_query(spark, sf, docs):
+    enc, pat = _tiktoken(), token_counts.compiled(PATTERN)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    rows = queries()["op5_token_counts"](spark, sf).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        t = texts[r["doc_id"]]
+        e = t[: len(t) // 3] + t[-20:] + t[len(t) // 3 + 40 :]
+        assert tuple(r)[1:7] == tuple(n for x in (t, e) for n in (len(x), len(pat.findall(x)), len(enc.encode_ordinary(x))))
+        assert r["n_reencoded"] <= 70
 
 
 # --- licences ------------------------------------------------------------------------------------------------
