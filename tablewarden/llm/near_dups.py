@@ -2,18 +2,22 @@
 
 1. Texts of equal shingle sets are one class; from here on only classes are compared, so copies cost nothing.
 2. Signatures of HASHES minima are cut into bands of ROWS; classes that share a band are candidates.
-3. In each bucket all classes are compared with its leader first. A comparison reads the signatures in
-   batches of BATCH and stops as soon as the posterior (uniform prior, so a Beta) puts the chance of a
-   similarity over the threshold below MISS. Survivors are confirmed on their full shingle sets.
-4. Links give components. Only buckets that still hold several components are looked at again: their classes
-   meet in blocks with their texts, where pairs of different components are pruned, confirmed and joined, so that
-   a block gives back only the links that join its components, never all pairs of a large group of near copies.
+3. In each bucket all classes are compared with its leader. A comparison reads the signatures in batches of BATCH
+   and stops as soon as the posterior (uniform prior, so a Beta) puts the chance of a similarity over the
+   threshold below MISS. Survivors are confirmed on their full shingle sets: first the best of each class, then
+   those that the links found so far do not join already. The leader is then done with.
+4. Links give components. Only buckets that still hold several are looked at again. A shingle that no other class of
+   these buckets has cannot be shared, so classes with too many of them leave (again and again, as others' shingles
+   become their own). In what is left every class outside a bucket's largest component meets the others in blocks,
+   with sizes, signatures and sets, so that a block gives back only the links that join components.
 
 A pair at the threshold shares no band with probability (1 - 0.8**ROWS)**(HASHES/ROWS), 5e-8 here.
 
 Nulls: a null or empty text, or one without words, has no shingles and is linked with nothing; its component
 is its own doc_id. Rows with a null doc_id take part; a component's id is its smallest id that is not null, and
-null if it has none. Equal rows are copies of each other. Empty tables give empty tables.
+null if it has none. Equal rows are copies of each other. Very long texts are read whole; a signature stays of one
+size. Ties: of equally similar leaders the one of the larger number comes first, which changes no result. Empty
+tables give empty tables. doc_id is an integer.
 """
 
 from __future__ import annotations
@@ -31,8 +35,10 @@ from .common import fresh, map_rows, mix, scratch, word_hashes
 HASHES, ROWS, BATCH = 128, 4, 32
 #: Chance that a pair at the threshold is pruned in one comparison of a batch.
 MISS = 1e-7
-#: Classes in one block of a bucket.
-BLOCK = 256
+#: Classes on one side of a block of a bucket, and shingles of them (8 classes, at least).
+BLOCK, HELD = 1024, 1 << 22
+#: Times that classes without enough shared shingles are looked for; what is left afterwards is compared.
+PEELS = 6
 #: Bytes of rows under which one side of a join is sent to all tasks.
 SMALL = 8 << 20
 
@@ -90,7 +96,7 @@ def survive(a: np.ndarray, b: np.ndarray, bounds: list[tuple[int, int]]) -> np.n
 
 
 def sketch(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, text_hash, class (of the shingle set; null without shingles), n_shingles, signature."""
+    """doc_id, text_hash, class (of the shingle set; null without shingles), n_shingles, signature of every row."""
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("class", pa.binary()), ("n_shingles", pa.int64()), ("signature", pa.binary())])
 
     def make():
@@ -189,57 +195,119 @@ def components(links: DataFrame) -> DataFrame:
         state = new.select("id", "component")
 
 
-def unsettled(bands: DataFrame, parts: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame:
-    """a, b of links between different components that share a bucket, as many as join them.
+def apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs a, b whose classes are not in one component yet."""
+    of = lambda k: parts.select(F.col("id").alias(k), F.col("component").alias(f"part_{k}"))
+    named = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return named.filter(F.coalesce("part_a", "a") != F.coalesce("part_b", "b")).select(*pairs.columns)
 
-    The classes of such a bucket meet in blocks, with their texts. A pair that survives pruning is confirmed
-    there on its full sets, once (in the first band that it shares), unless the block's own links join it already.
+
+def still_open(rows: DataFrame, name: str) -> DataFrame:
+    """key, band, id, component of the buckets that hold several components."""
+    several = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
+    return scratch(rows.join(several, "key"), name)
+
+
+def shingle_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """id, n, shingles (array of 64-bit hashes) of the classes with these ids."""
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+    def make():
+        def step(c):
+            found = [(k, s.view(np.int64)) for k, name, s in zip(c["id"], c["class"], (shingles(t, size) for t in c["text"]), strict=True) if digest(s) == name]
+            return {"id": [k for k, _ in found], "n": [len(s) for _, s in found], "shingles": [s for _, s in found]}
+
+        return step
+
+    return scratch(map_rows(texts_of(ids, classes, docs), make, schema, rows=256), "sets")
+
+
+def peeled(rows: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """rows of open buckets without the classes that cannot reach the threshold with any other, and id, n, own of those that stay.
+
+    own: shingles that no other class of the open buckets has; a similarity is at most the share of the others.
+    """
+    percent = round(threshold * 100)
+    for _ in range(PEELS):
+        held = sets.join(rows.select("id").distinct(), "id", "left_semi")
+        lone = held.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("m"), F.min("id").alias("id")).filter("m = 1")
+        sizes = held.select("id", "n").join(lone.groupBy("id").agg(F.count("*").alias("own")), "id", "left").fillna(0, ["own"])
+        sizes = scratch(sizes, "sizes")
+        hopeful = sizes.filter(100 * (F.col("n") - F.col("own")) >= percent * F.col("n"))
+        before, after = sizes.count(), hopeful.count()
+        if before == after:
+            break
+        rows = still_open(rows.join(hopeful.select("id"), "id", "left_semi"), "peeled")
+    return rows, sizes
+
+
+def block_links(rows: DataFrame, sizes: DataFrame, sets: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """a, b of links between different components of a bucket, as many as join them.
+
+    Each bucket is a grid: the classes outside its largest component (they ask) against all. Rows that are copied: those
+    that ask once for every block of all, the others once for every block of those that ask. A pair that sizes and
+    signatures do not rule out is confirmed there on its sets, in the first band that it shares, unless links of
+    the block join it already.
     """
-    named = bands.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("key", "n")
-    named = scratch(named.join(scratch(open_, "open"), "key"), "named")
-    rows = named.withColumn("g", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("own", F.pmod(F.xxhash64("id", F.lit(1)), F.col("g")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, g - 1)")))
-    full = texts_of(named.select("id"), classes, docs).join(classes.select("id", "signature"), "id")
-    rows = rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "id", "component").join(full, "id")
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    rows = rows.join(sizes, "id")
+    counts = rows.groupBy("key", "component").agg(F.count("*").alias("m"), F.max("n").alias("longest"))
+    counts = counts.groupBy("key").agg(
+        F.max_by("component", F.struct("m", "component")).alias("main"),
+        F.sum("m").alias("all"),
+        (F.sum("m") - F.max("m")).alias("outside"),
+        F.greatest(F.lit(8), F.least(F.lit(BLOCK), F.floor(HELD / F.max("longest")))).alias("per"),
+    )
+    rows = rows.join(scratch(counts, "counts"), "key").withColumn("main", F.col("component") == F.col("main"))
+    part = lambda n: F.ceil(F.col(n) / F.col("per")).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("id", F.lit(1)), part(n)).cast("int")
+    fixed = ["key", "band", "id", "component", "own", "main"]
+    one = rows.select(*fixed, F.explode(F.sequence(F.lit(0), part("outside") - 1)).alias("i"), place("all").alias("j"), F.lit(False).alias("asks"))
+    two = rows.filter("not main").select(*fixed, place("outside").alias("i"), F.explode(F.sequence(F.lit(0), part("all") - 1)).alias("j"), F.lit(True).alias("asks"))
+    full = sets.select("id", "shingles").join(classes.select("id", "signature"), "id")
     bounds, percent = fewest_matches(threshold), round(threshold * 100)
 
     def links(table: pa.Table) -> pa.Table:
-        c = {n: table.column(n).to_numpy() for n in ("own", "id", "component")}
-        i, j, band = (table.column(n)[0].as_py() for n in ("i", "j", "band"))
+        c = {n: table.column(n).to_numpy(zero_copy_only=False) for n in ("id", "component", "own", "main", "asks")}
+        band = table.column("band")[0].as_py()
         sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
-        own, part, at = c["own"], c["component"].copy(), np.arange(len(sig))
-        texts, names, sets = table.column("text"), table.column("class"), {}
-
-        def set_of(k: int) -> np.ndarray:
-            if k not in sets:
-                found = shingles(texts[k].as_py(), size)
-                sets[k] = found if digest(found) == names[k].as_py() else found[:0]
-            return sets[k]
-
-        out: list[tuple[int, int]] = []
-        for x in np.flatnonzero(own == i):
-            y = at[(own == j) & (part != part[x]) & ((i != j) | (at > x))]
+        held = table.column("shingles").combine_chunks()
+        at, flat = held.offsets.to_numpy(), held.values.to_numpy()
+        ids, part, n = c["id"], c["component"].copy(), np.diff(at)
+        shared, others, out = n - c["own"], np.flatnonzero(~c["asks"]), []
+        for x in np.flatnonzero(c["asks"]):
+            mine = np.sort(flat[at[x] : at[x + 1]])
+            y = others[(part[others] != part[x]) & (c["main"][others] | (ids[others] > ids[x]))]
+            # what both can share, against the least that they have together
+            y = y[100 * np.minimum(shared[y], shared[x]) >= percent * (c["own"][y] + c["own"][x] + np.maximum(shared[y], shared[x]))]
             y = y[survive(np.broadcast_to(sig[x], (len(y), HASHES)), sig[y], bounds)]
             y = y[(sig[y] == sig[x]).reshape(len(y), HASHES // ROWS, ROWS).all(2).argmax(1) == band]
-            mine = set_of(x) if len(y) else sig[:0, 0]
-            y = [k for k in y.tolist() if len(set_of(k))] if len(mine) else []
-            if not y:
-                continue
-            sizes = np.array([len(sets[k]) for k in y])
-            cat = np.concatenate([sets[k] for k in y])
-            hit = mine[np.minimum(np.searchsorted(mine, cat), len(mine) - 1)] == cat
-            common = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
-            for k, ok in zip(y, 100 * common >= percent * (len(mine) + sizes - common), strict=True):
-                if ok and part[k] != part[x]:
-                    out.append(tuple(sorted((int(c["id"][x]), int(c["id"][k])))))
-                    part[part == part[k]] = part[x]
+            for some in np.array_split(y, -(-len(y) // 64)) if len(y) else []:
+                some = some[part[some] != part[x]]
+                if not len(some):
+                    continue
+                cat = np.concatenate([flat[at[k] : at[k + 1]] for k in some])
+                hit = mine[np.minimum(np.searchsorted(mine, cat), len(mine) - 1)] == cat
+                common = np.add.reduceat(hit.astype(np.int64), np.cumsum(n[some]) - n[some])
+                for k in some[100 * common >= percent * (n[x] + n[some] - common)]:
+                    if part[k] != part[x]:
+                        out.append((int(ids[x]), int(ids[k])))
+                        part[part == part[k]] = part[x]
         cols = list(zip(*out, strict=True)) or [()] * 2
         return pa.table([pa.array(list(v), f.type) for v, f in zip(cols, LINKS, strict=True)], schema=LINKS)
 
-    from pyspark.sql.pandas.types import from_arrow_schema
+    return one.unionByName(two).join(full, "id").groupBy("key", "i", "j").applyInArrow(links, from_arrow_schema(LINKS))
+
 
-    return rows.groupBy("key", "i", "j").applyInArrow(links, from_arrow_schema(LINKS))
+def unsettled(bands: DataFrame, parts: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame | None:
+    """Links (a, b) that join components once the buckets, without their leaders, have been looked at again; None if nothing is open."""
+    rows = still_open(bands.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")), "open")
+    if not rows.limit(1).count():
+        return None
+    sets = shingle_sets(rows.select("id"), classes, docs, size)
+    rows, sizes = peeled(rows, sets, threshold)
+    return scratch(block_links(rows, sizes, sets, classes, threshold), "more") if rows.limit(1).count() else None
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -253,16 +321,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8) -> D
     bands = classes.select("id", F.posexplode(key).alias("band", "key"))
     leaders = scratch(bands.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1").select("key", "a"), "leaders")
     shared = scratch(bands.join(leaders, "key"), "shared")
-    bands = shared.select("key", "band", "id")
     star = shared.filter("a <> id").select("a", F.col("id").alias("b")).distinct()
     candidates = scratch(pruned(star, classes, threshold), "candidates")
-    # one confirmation a class first, with the leader it resembles most
-    best = candidates.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a")).select("a", "b")
-    links = scratch(confirmed(scratch(best, "best"), classes, docs, size, threshold), "links")
+    best = scratch(candidates.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a")).select("a", "b"), "best")
+    links = scratch(confirmed(best, classes, docs, size, threshold), "links")
     parts = components(links)
-    # then all that buckets still hold between different components
-    more = scratch(unsettled(bands, parts, classes, docs, size, threshold), "more")
-    if more.limit(1).count():
+    rest = scratch(apart(candidates.select("a", "b").join(best, ["a", "b"], "left_anti"), parts), "rest")
+    if rest.limit(1).count():
+        links = scratch(links.union(confirmed(rest, classes, docs, size, threshold)), "all_links")
+        parts = components(links)
+    # a leader has met all of its bucket; the others meet where they are in different components
+    others = shared.filter("a <> id").select("key", "band", "id")
+    more = unsettled(others, parts, classes, docs, size, threshold)
+    if more is not None and more.limit(1).count():
         parts = components(links.union(more))
     ids = parts.join(classes.select("id", "doc_id"), "id")
     ids = ids.join(ids.groupBy("component").agg(F.min("doc_id").alias("linked")), "component").select("id", "linked")

@@ -139,6 +139,21 @@ def test_large_group_of_near_copies(spark, share, monkeypatch):
     _check_near(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 2)
 
 
+@pytest.mark.parametrize("block", [4, 1024])
+def test_chains_of_near_copies(spark, block, monkeypatch):
+    """Each text is like its neighbours in the chain, not like the leader; a second chain shares half of its words."""
+    monkeypatch.setattr(near_dups, "BLOCK", block)
+    rng, texts = random.Random(2), []
+    for start in range(2):
+        words = [f"w{i}" if i % 2 or not start else f"v{i}" for i in range(100)]
+        for k in range(60):
+            words[(k * 7) % 100] = f"n{start}-{k}"
+            texts.append(" ".join(words))
+    texts += _noisy(rng, texts[30], 30, 0.06)
+    rng.shuffle(texts)
+    _check_near(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 2)
+
+
 def test_near_documents(docs):
     _check_near(docs, 2)
 
