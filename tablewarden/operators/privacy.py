@@ -13,14 +13,14 @@ from ..functions.values import luhn, mask
 
 # Patterns of personal data in values.
 VALUE_PATTERNS = {
-    "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "PHONE": r"(\+?[0-9]{1,3}[ .-])?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}",
-    "SSN": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
-    "CARD": r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b",
-    "IPV4": r"\b(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(\.(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])){3}\b",
-    "PASSPORT": r"\b[A-Z]{1,2}[0-9]{7}\b",
-    "LICENCE": r"\b[A-Z][0-9]{7,12}\b",
-    "IBAN": r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b",
+    "EMAIL": r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b",
+    "PHONE": r"\b(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}\b",
+    "SSN": r"\b\d{3}-\d{2}-\d{4}\b",
+    "CARD": r"\b(?:\d{4}[-\s]?){3}\d{4}\b",
+    "IPV4": r"\b(?:(?:25[0-5]|2[0-4]\d|[01]?\d\d?)\.){3}(?:25[0-5]|2[0-4]\d|[01]?\d\d?)\b",
+    "PASSPORT": r"\b[A-Z]\d{8}\b",
+    "LICENCE": r"\b[A-Z]\d{7,12}\b",
+    "IBAN": r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b",
 }
 
 
@@ -178,38 +178,70 @@ def vault_counts(vault: DataFrame) -> DataFrame:
 
 # --- safe harbour ----------------------------------------------------------------------------------------
 
-# Name patterns and what is done to such columns.
+# Category, what is done to its columns, pattern of their names (case does not count, the first that is found holds).
 SAFE_HARBOUR = [
-    (r"name$", "drop"), (r"(phone|fax|mobile)", "drop"), (r"e?mail", "drop"), (r"(street|address)", "drop"), (r"(ssn|social_security)", "drop"),
-    (r"(url|web_?site)", "drop"), (r"ip_?addr", "drop"), (r"(photo|image|biometric|fingerprint|voice)", "drop"), (r"(licen[cs]e|vehicle|plate|vin$)", "drop"), (r"(device|serial)", "drop"),
-    (r"(mrn|pat_id|patient_id|member_id|account|beneficiary)", "hash"), (r"(zip|postal)", "zip3"), (r"^age$|_age$", "age"), (r"(birth|dob|death|admit|admsn|disch|service_date)", "year"),
-]
+    ("name", "drop", r"pat_name|patient_name|first_name|last_name|full_name|provider_name|prov_name|staff_name|contact_name|guarantor_name|\bname\b"),
+    ("address", "drop", r"pat_addr|address|addr_line|street|mailing_address|home_address|res_addr"),
+    ("zip", "zip", r"zip|postal|post_code|zipcode|zip_code|pat_zip"),
+    ("city", "drop", r"city|town|borough|municipality|pat_city"),
+    ("county", "drop", r"county|parish|district|precinct"),
+    (
+        "date",
+        "year",
+        r"admit_date|admission_date|discharge_date|service_date|procedure_date|surgery_date|contact_date|hosp_disch_time|inp_adm_date|death_date|dod\b|ordering_date|result_date|svc_date\b|eff_date\b|create_date|update_date|appt_date|visit_date|entry_date|referral_date|auth_date|expire_date|issue_date|start_date|end_date",
+    ),
+    ("birth_date", "year", r"birth_date|dob\b|date_of_birth|pat_brth_dt|birthdate"),
+    ("age", "age", r"age_in_days|age_in_months|age_in_years|\bage\b|\bage_c\b|patient_age|cur_age|calc_age"),
+    ("phone", "drop", r"phone|telephone|home_phone|work_phone|cell_phone|mobile|pat_home_phone|pat_work_phone|contact_phone"),
+    ("fax", "drop", r"fax|fax_number|fax_num|fax_no"),
+    ("email", "drop", r"email|e_mail|pat_email|email_address|electronic_mail"),
+    ("ssn", "drop", r"ssn|social_security|soc_sec_num|social_security_num"),
+    ("mrn", "hash", r"mrn\b|pat_mrn|pat_mrn_id|medical_record|med_rec_num|medical_record_number"),
+    ("account_number", "hash", r"pat_id\b|patient_id\b|pat_enc_csn|csn\b|encounter_id|enc_id\b|visit_id\b|contact_serial_num"),
+    ("health_plan", "drop", r"health_plan|plan_id|member_id|subscriber_id|insurance_id|policy_num|coverage_id|ben_plan_id|ben_id\b"),
+    ("certificate_license", "hash", r"certificate|license_num|dea_num|dea_number|npi\b|prov_npi|provider_npi|state_license"),
+    ("vehicle", "drop", r"vin\b|vehicle_id|license_plate|plate_num|vehicle_serial"),
+    ("device", "drop", r"device_id|serial_num|serial_number|implant_id|device_serial|udi\b"),
+    ("web_url", "drop", r"url\b|web_address|website|homepage|web_url|hyperlink"),
+    ("ip_address", "drop", r"ip_address|ip_addr|\bip\b"),
+    ("photo", "drop", r"photo|image|picture|profile_pic|facial_image"),
+    ("biometric", "drop", r"fingerprint|voiceprint|retinal|biometric|iris_scan|palm_print"),
+]
 # ZIP areas of fewer than 20,000 people.
 RESTRICTED_ZIP3 = ("036", "059", "063", "102", "203", "556", "692", "790", "821", "823", "830", "831", "878", "879", "884", "890", "893")
 
 
-def safe_harbour_plan(columns: Sequence[str]) -> dict[str, str]:
+def safe_harbour_plan(columns: Sequence[str], overrides: dict[str, str] | None = None) -> dict[str, str]:
+    """column -> drop, hash, zip, year or age, for the columns that identify by name. overrides: action by column."""
     import re
 
-    return {c: next(a for p, a in SAFE_HARBOUR if re.search(p, c.lower())) for c in columns if any(re.search(p, c.lower()) for p, _ in SAFE_HARBOUR)}
+    found = {c: next((a for _, a, p in SAFE_HARBOUR if re.search(p, c, re.IGNORECASE)), None) for c in columns}
+    found |= {c: a for c, a in (overrides or {}).items() if c in found}
+    return {c: a for c, a in found.items() if a}
 
 
-def safe_harbour(df: DataFrame) -> DataFrame:
-    """Drops identifiers, hashes record numbers (16 hex), keeps three digits of ZIPs (000 where restricted), years of dates, ages up to 89 as text and 90+."""
-    plan = safe_harbour_plan(df.columns)
+def safe_harbour(df: DataFrame, overrides: dict[str, str] | None = None, hash_identifiers: bool = True, age_cap: int = 90, label: str = "90+") -> DataFrame:
+    """Drops identifiers, hashes record numbers (16 hex; or drops them, too), keeps three digits of ZIPs, years of dates, ages under the cap.
+
+    A ZIP of fewer than three digits or of a restricted area is 000. Nulls and dates without a year in front become
+    empty texts; a null age stays null, an age that is no number stays as it is.
+    """
+    plan = safe_harbour_plan(df.columns, overrides)
     out = {}
     for c, action in plan.items():
-        x = F.col(c)
-        if action == "hash":
-            out[c] = F.substring(F.sha2(x.cast("string"), 256), 1, 16)
-        elif action == "zip3":
-            three = F.substring(F.trim(x.cast("string")), 1, 3)
-            out[c] = F.when(F.trim(x.cast("string")) == "", F.lit(None)).when(three.isin(*RESTRICTED_ZIP3), F.lit("000")).otherwise(three)
+        x = F.col(f"`{c}`")
+        text = x.cast("string")
+        if action == "hash" and hash_identifiers:
+            out[c] = F.coalesce(F.substring(F.sha2(text, 256), 1, 16), F.lit(""))
+        elif action == "zip":
+            digits = F.regexp_replace(text, "[^0-9]", "")
+            three = F.substring(digits, 1, 3)
+            out[c] = F.when(text.isNull(), "").when((F.length(digits) < 3) | three.isin(*RESTRICTED_ZIP3), "000").otherwise(three)
         elif action == "year":
-            out[c] = F.coalesce(F.year(x.cast("string").try_cast("timestamp")), F.year(x.cast("string").try_cast("date"))).cast("string")
+            out[c] = F.coalesce(F.regexp_extract(text, "^([0-9]{4})", 1), F.lit(""))
         elif action == "age":
-            out[c] = F.when(x.cast("string").try_cast("double") >= 90, "90+").otherwise(x.cast("string"))
-    return df.withColumns(out).drop(*[c for c, a in plan.items() if a == "drop"])
+            out[c] = F.when(text.try_cast("double") >= age_cap, label).otherwise(text)
+    return df.withColumns(out).drop(*[c for c, a in plan.items() if c not in out])
 
 
 # --- transfers and breaches --------------------------------------------------------------------------------

@@ -82,32 +82,46 @@ def grade(score: Column) -> Column:
     return F.when(score >= 90, "A").when(score >= 80, "B").when(score >= 70, "C").when(score >= 60, "D").otherwise("F")
 
 
-def quality_score(df: DataFrame, validity: float = 100.0, timestamp: str | None = None, as_of: str | None = None, max_days: int = 30) -> DataFrame:
-    """The five dimensions (0 to 100), score and grade. Consistency: numbers within three deviations of their column's mean."""
+def quality_score(df: DataFrame, passed: int | None = None, total: int | None = None, as_of: str | None = None, max_days: int = 365, weights: dict[str, float] | None = None) -> DataFrame:
+    """rows, the five dimensions (0 to 100), score and grade.
+
+    Completeness: cells that are neither null nor NaN. Uniqueness: rows that repeat no other. Validity: passed of total
+    expectations of a validation. Consistency: the mean over numeric columns of the share within three deviations of
+    the mean (100 where nothing deviates; columns of fewer than two values do not count). Timeliness: the mean over
+    timestamp columns of the share of values at most max_days old at as_of (default: now). What has nothing to
+    count is 100. weights are scaled to a sum of 1.
+    """
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    value = {c: F.nanvl(F.col(f"`{c}`"), F.lit(None)) if k in ("double", "float") else F.col(f"`{c}`") for c, k in kinds.items()}
     numbers = [c for c in df.columns if _numeric(df, c)]
-    first = df.agg(F.count("*").alias("n"), *[F.count(f"`{c}`").alias(f"f{i}") for i, c in enumerate(df.columns)], *[F.avg(c).alias(f"m{i}") for i, c in enumerate(numbers)], *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(numbers)], *([F.max(timestamp).cast("timestamp").cast("double").alias("t")] if timestamp else [])).first()
-    n = first["n"]
-    filled = sum(first[f"f{i}"] for i in range(len(df.columns)))
-    complete = 100.0 * filled / (n * len(df.columns)) if n and df.columns else 0.0
-    dup = duplicate_rows(df)
-    tests = [(F.count_if(F.abs(F.col(c) - first[f"m{i}"]) <= 3 * first[f"s{i}"]), F.count(c)) for i, c in enumerate(numbers) if first[f"s{i}"]]
-    within = sum([a for a, _ in tests], F.lit(0)) if tests else F.lit(1)
-    total = sum([b for _, b in tests], F.lit(0)) if tests else F.lit(1)
-    consistent = df.agg(F.coalesce(within / F.when(total > 0, total), F.lit(1.0)).alias("c")) if tests else df.sparkSession.range(1).select(F.lit(1.0).alias("c"))
-    if timestamp and as_of and first["t"] is not None:
-        age = F.greatest(F.lit(0.0), (F.lit(as_of).cast("timestamp").cast("double") - first["t"]) / 86400)
-        timely = F.greatest(F.lit(0.0), F.when(age <= max_days, 100.0).otherwise(100.0 - (age - max_days) / max_days * 100))
-    else:
-        timely = F.lit(100.0)
-    one = dup.crossJoin(consistent).select(
+    times = [c for c, k in kinds.items() if k in ("timestamp", "timestamp_ntz")]
+    now = F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp()
+    old = lambda c: F.floor((now.cast("double") - F.col(f"`{c}`").cast("timestamp").cast("double")) / 86400)
+    share = lambda good, n: F.when(n > 0, 100.0 * good / F.when(n > 0, n))
+    # one row of as many numbers as the table has columns
+    first = df.agg(
+        F.count("*").alias("n"),
+        *[F.count(value[c]).alias(f"f{i}") for i, c in enumerate(df.columns)],
+        *[F.avg(value[c].cast("double")).alias(f"m{i}") for i, c in enumerate(numbers)],
+        *[F.stddev_samp(value[c].cast("double")).alias(f"s{i}") for i, c in enumerate(numbers)],
+        *[share(F.count_if(old(c) <= max_days), F.count(F.col(f"`{c}`"))).alias(f"t{i}") for i, c in enumerate(times)],
+    ).first()
+    n, cells = first["n"], first["n"] * len(df.columns)
+    complete = 100.0 * sum(first[f"f{i}"] for i in range(len(df.columns))) / cells if cells else 100.0
+    fresh = [first[f"t{i}"] for i in range(len(times)) if first[f"t{i}"] is not None]
+    shares = [F.lit(100.0) if first[f"s{i}"] == 0 else share(F.count_if(F.abs(value[c].cast("double") - first[f"m{i}"]) <= 3 * first[f"s{i}"]), F.count(value[c])) for i, c in enumerate(numbers) if first[f"s{i}"] is not None]
+    consistent = df.agg((sum(shares, F.lit(0.0)) / len(shares) if shares else F.lit(100.0)).alias("c"))
+    one = duplicate_rows(df).crossJoin(consistent).select(
         "rows",
         F.round(F.lit(complete), 2).alias("completeness"),
-        F.round(F.coalesce(100.0 - 100.0 * F.col("duplicates") / F.when(F.col("rows") > 0, F.col("rows")), F.lit(0.0)), 2).alias("uniqueness"),
-        F.round(F.lit(float(validity)), 2).alias("validity"),
-        F.round(F.col("c") * 100, 2).alias("consistency"),
-        F.round(timely, 2).alias("timeliness"),
+        F.round(F.lit(100.0) - (F.lit(100.0) * F.col("duplicates") / n if n else F.lit(0.0)), 2).alias("uniqueness"),
+        F.round(F.lit(100.0 * passed / total if total and passed is not None else 100.0), 2).alias("validity"),
+        F.round("c", 2).alias("consistency"),
+        F.round(F.lit(sum(fresh) / len(fresh) if fresh else 100.0), 2).alias("timeliness"),
     )
-    score = F.round(sum([F.col(k) * w for k, w in WEIGHTS.items()], F.lit(0.0)), 2)
+    weights = weights or WEIGHTS
+    scale = sum(weights.values()) or 1.0
+    score = F.round(sum([F.col(k) * (w / scale) for k, w in weights.items()], F.lit(0.0)), 2)
     return one.withColumn("score", score).withColumn("grade", grade(F.col("score")))
 
 
@@ -305,18 +319,18 @@ def expectations_from_profile(profile: DataFrame, null_slack: float = 0.05, few:
 
 
 def freshness(df: DataFrame, column: str, as_of: str, hours: float) -> DataFrame:
-    """newest, age_hours, severity: HIGH at three times the threshold, MEDIUM over it, else OK."""
+    """newest, age_hours, severity: HIGH over three times the threshold, MEDIUM over it, else OK."""
     one = df.agg(F.max(column).cast("timestamp").alias("t"))
     age = F.round((F.lit(as_of).cast("timestamp").cast("long") - F.col("t").cast("long")) / 3600, 4)
-    return one.select(F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("newest"), age.alias("age_hours"), F.when(age >= 3 * hours, "HIGH").when(age > hours, "MEDIUM").otherwise("OK").alias("severity"))
+    return one.select(F.date_format("t", "yyyy-MM-dd HH:mm:ss").alias("newest"), age.alias("age_hours"), F.when(age > 3 * hours, "HIGH").when(age > hours, "MEDIUM").otherwise("OK").alias("severity"))
 
 
 def volume_alerts(observations: DataFrame, threshold: float = 0.5, n: int = 5) -> DataFrame:
-    """deviation from the mean of the n observations before; severity HIGH at twice the threshold."""
+    """deviation from the mean of the n observations before; severity HIGH over twice the threshold."""
     from .windows import volume_baseline
 
     dev = F.abs(F.col("row_count") - F.col("baseline")) / F.when(F.col("baseline") > 0, F.col("baseline"))
-    return volume_baseline(observations, n).withColumn("deviation", F.round(dev, 4)).withColumn("severity", F.when(F.col("deviation") >= 2 * threshold, "HIGH").when(F.col("deviation") > threshold, "MEDIUM").otherwise("OK"))
+    return volume_baseline(observations, n).withColumn("deviation", F.round(dev, 4)).withColumn("severity", F.when(dev > 2 * threshold, "HIGH").when(dev > threshold, "MEDIUM").otherwise("OK"))
 
 
 def mean_drift(now: DataFrame, previous: DataFrame, threshold: float = 1.0) -> DataFrame:
@@ -327,17 +341,25 @@ def mean_drift(now: DataFrame, previous: DataFrame, threshold: float = 1.0) -> D
     return now.join(p, "column").filter("mean is not null and _mean is not null").select("column", F.round(F.coalesce(drift, F.lit(0.0)), 4).alias("drift"), F.coalesce(drift > threshold, F.lit(False)).alias("drifted"))
 
 
-def null_alerts(df: DataFrame, critical: Sequence[str], floor: float = 0.2, previous: dict[str, float] | None = None, spike: float = 0.1) -> DataFrame:
-    """column, null_rate, alert: CRITICAL_FIELD (any null, or absent), NULL_SPIKE against the rates before, NULL_FLOOR."""
-    absent = [c for c in critical if c not in df.columns]
+def null_alerts(df: DataFrame, critical: Sequence[str] = (), floor: float = 0.5, previous: dict[str, float] | None = None, spike: float = 0.2) -> DataFrame:
+    """column, alert, severity, previous_rate, null_rate of the critical fields, or of all columns if none are named.
+
+    NULL_SPIKE: the rate rose by more than `spike` since the rates before; HIGH at more than twice that, or for a
+    critical field over the floor. NULL_FLOOR (HIGH): a critical field is absent, or over the floor without a spike.
+    """
+    schema = "column string, alert string, severity string, previous_rate double, null_rate double"
+    absent = df.sparkSession.createDataFrame([(c, "NULL_FLOOR", "HIGH", None, 1.0) for c in critical if c not in df.columns], schema)
     parts = []
-    for c in df.columns:
-        rate = F.round(F.coalesce(F.avg(F.col(f"`{c}`").isNull().cast("int")), F.lit(0.0)), 6)
+    for c in (c for c in (critical or df.columns) if c in df.columns):
+        rate = F.coalesce(F.avg(F.col(f"`{c}`").isNull().cast("int")), F.lit(0.0))
         before = F.lit((previous or {}).get(c)).cast("double")
-        alert = F.when(F.lit(c in critical) & (rate > 0), "CRITICAL_FIELD").when(rate - before > spike, "NULL_SPIKE").when(rate > floor, "NULL_FLOOR")
-        parts.append(F.struct(F.lit(c).alias("column"), rate.alias("null_rate"), alert.alias("alert")))
-    found = df.agg(F.array(*parts).alias("x")).select(F.explode("x").alias("x")).select("x.*").filter("alert is not null")
-    return found.unionByName(df.sparkSession.createDataFrame([(c, 1.0, "CRITICAL_FIELD") for c in absent], "column string, null_rate double, alert string"))
+        jump, low = F.coalesce(rate - before, F.lit(0.0)), F.lit(c in critical) & (rate > floor)
+        alert = F.when(jump > spike, "NULL_SPIKE").when(low, "NULL_FLOOR")
+        severity = F.when((jump > spike) & ~((jump > 2 * spike) | low), "MEDIUM").otherwise("HIGH")
+        parts.append(F.struct(F.lit(c).alias("column"), alert.alias("alert"), severity.alias("severity"), F.when(jump > spike, F.round(before, 4)).alias("previous_rate"), F.round(rate, 4).alias("null_rate")))
+    if not parts:
+        return absent
+    return df.agg(F.array(*parts).alias("x")).select(F.explode("x").alias("x")).select("x.*").filter("alert is not null").unionByName(absent)
 
 
 def observe(df: DataFrame, dataset: str, observed: str, columns: Sequence[str] | None = None) -> DataFrame:

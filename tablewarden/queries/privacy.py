@@ -54,6 +54,21 @@ def _(t):
     return _people(t).select("id", privacy.has_value(F.col("note"), "CARD").alias("card"))
 
 
+_PAPERS = "(SELECT CASE o_orderkey % 7 WHEN 0 THEN 'pass C12345678.' WHEN 1 THEN 'lic D1234567' WHEN 2 THEN 'call 5551234567' WHEN 3 THEN 'or (555) 123-4567 and E123456789' WHEN 4 THEN 'AB1234567' WHEN 5 THEN 'C12345678 D123456789012' ELSE 'DE44500105175407324931 at 10.0.0.1' END AS note FROM orders)"
+
+
+@query("pv3_papers", f"""
+WITH p AS {_PAPERS}, m AS (
+ SELECT unnest(['PASSPORT', 'LICENCE', 'PHONE', 'IBAN', 'IPV4']) AS entity,
+  unnest([regexp_matches(note, '\\b[A-Z]\\d{{8}}\\b'), regexp_matches(regexp_replace(note, '\\b[A-Z]\\d{{8}}\\b', ' ', 'g'), '\\b[A-Z]\\d{{7,12}}\\b'),
+   regexp_matches(note, '\\b(?:\\+?1[-.\\s]?)?\\(?\\d{{3}}\\)?[-.\\s]?\\d{{3}}[-.\\s]?\\d{{4}}\\b'), regexp_matches(note, '\\b[A-Z]{{2}}\\d{{2}}[A-Z0-9]{{11,30}}\\b'),
+   regexp_matches(note, '\\b(?:(?:25[0-5]|2[0-4]\\d|[01]?\\d\\d?)\\.){{3}}(?:25[0-5]|2[0-4]\\d|[01]?\\d\\d?)\\b')]) AS hit FROM p)
+SELECT 'note' AS "column", entity, count(*) FILTER (hit) AS hits, round(count(*) FILTER (hit) / count(*), 6) AS rate FROM m GROUP BY entity""")
+def _(t):
+    notes = t.orders.select(F.expr(_PAPERS[len("(SELECT ") : _PAPERS.index(" AS note")]).alias("note"))
+    return privacy.value_rates(notes, ["note"], ["PASSPORT", "LICENCE", "PHONE", "IBAN", "IPV4"])
+
+
 @query("pv3_scan_values", "SELECT * FROM (VALUES ('comment', 'PHONE'), ('comment', 'SSN'), ('email', 'EMAIL'), ('note', 'CARD')) v(\"column\", entity) WHERE (SELECT count(*) FROM customer) > 0")
 def _(t):
     return privacy.scan_values(_people(t), ["comment", "email", "note"]).select("column", "entity")
@@ -123,10 +138,21 @@ def _(t):
     return privacy.vault_counts(privacy.rotate_vault(_vault(t), _KEY, b"fedcba9876543210").filter("encrypted is not null"))
 
 
-@query("pv12_safe_harbour", "SELECT substr(sha256(CAST(c_custkey AS VARCHAR)), 1, 16) AS PAT_ID, CASE WHEN c_custkey % 100 >= 90 THEN '90+' ELSE CAST(c_custkey % 100 AS VARCHAR) END AS AGE, CASE WHEN z IN ('036','059','063','102','203','556','692','790','821','823','830','831','878','879','884','890','893') THEN '000' ELSE z END AS ZIP, CAST(year(DATE '1950-01-01' + CAST(c_custkey % 20000 AS INTEGER)) AS VARCHAR) AS BIRTH_DATE, c_mktsegment AS DIAGNOSIS FROM (SELECT *, lpad(CAST(c_custkey * 37 % 1000 AS VARCHAR), 3, '0') AS z FROM customer)")
+_CHART = """
+SELECT CAST(c_custkey AS VARCHAR) AS PAT_ID, CAST(c_custkey AS VARCHAR) AS PAT_ENC_CSN_ID, CAST(c_custkey AS VARCHAR) AS PROV_NPI, c_name AS PAT_NAME, c_name AS PAT_ADDR, c_name AS CITY, c_name AS COUNTY,
+ c_name AS PAT_EMAIL, c_name AS HOME_PHONE, c_name AS FAX_NO, c_name AS SSN, c_name AS POLICY_NUM, c_name AS VIN, c_name AS DEVICE_ID, c_name AS WEBSITE, c_name AS IP_ADDR, c_name AS PHOTO, c_name AS IRIS_SCAN,
+ CASE WHEN c_custkey % 11 > 0 THEN CAST(c_custkey % 100 AS VARCHAR) END AS AGE,
+ CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 13 = 1 THEN 'x1' ELSE concat('Z-', lpad(CAST(c_custkey * 37 % 1000 AS VARCHAR), 3, '0'), '01') END AS ZIP,
+ concat(CAST(1950 + c_custkey % 70 AS VARCHAR), '-03-04') AS ORDERING_DATE, CASE WHEN c_custkey % 3 > 0 THEN concat(CAST(1900 + c_custkey % 100 AS VARCHAR), '/1/2') ELSE '3.4.1990' END AS BIRTH_DATE, c_mktsegment AS DIAGNOSIS
+FROM customer"""
+
+
+@query("pv12_safe_harbour", f"""
+SELECT substr(sha256(PAT_ID), 1, 16) AS PAT_ID, substr(sha256(PAT_ENC_CSN_ID), 1, 16) AS PAT_ENC_CSN_ID, substr(sha256(PROV_NPI), 1, 16) AS PROV_NPI, CASE WHEN CAST(AGE AS INTEGER) >= 90 THEN '90+' ELSE AGE END AS AGE,
+ CASE WHEN ZIP IS NULL THEN '' WHEN z IN ('1', '036','059','063','102','203','556','692','790','821','823','830','831','878','879','884','890','893') THEN '000' ELSE z END AS ZIP,
+ substr(ORDERING_DATE, 1, 4) AS ORDERING_DATE, regexp_extract(BIRTH_DATE, '^[0-9]{{4}}') AS BIRTH_DATE, DIAGNOSIS FROM (SELECT *, substr(regexp_replace(ZIP, '[^0-9]', '', 'g'), 1, 3) AS z FROM ({_CHART}))""")
 def _(t):
-    rows = _people(t).select(F.col("id").alias("PAT_ID"), F.col("full_name").alias("PAT_NAME"), F.col("email").alias("PAT_EMAIL"), F.col("age").alias("AGE"), F.col("zip").alias("ZIP"), F.col("birth_date").alias("BIRTH_DATE"), F.col("c_mktsegment").alias("DIAGNOSIS"))
-    return privacy.safe_harbour(rows)
+    return privacy.safe_harbour(t.spark.sql(_CHART.replace("VARCHAR", "STRING").replace("FROM customer", "FROM {customer}"), customer=t.customer))
 
 
 @query("pv13_transfers", "SELECT s_suppkey, CASE WHEN d = 'DE' THEN 'DOMESTIC' WHEN d = 'FR' THEN 'INTRA_EU' WHEN d = 'JP' THEN 'ADEQUACY' WHEN d = 'IN' THEN 'SCC' ELSE 'UNKNOWN' END AS class FROM (SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'DE' WHEN 1 THEN 'FR' WHEN 2 THEN 'JP' WHEN 3 THEN 'IN' END AS d FROM supplier)")

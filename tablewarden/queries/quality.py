@@ -35,13 +35,22 @@ def _(t):
     return quality.time_range(t.events, "ts")
 
 
+_SCORED = "(SELECT p_size, p_retailprice, p_type, 7 AS same, TIMESTAMP '2023-01-01 00:00:00' + INTERVAL 1 DAY * CAST(p_partkey * 7 % 500 AS INTEGER) AS seen FROM {part})"
+
+
 @query("ql3_quality_score", f"""
-WITH p AS {_PART}, m AS (SELECT avg(p_size) AS ma, stddev_samp(p_size) AS sa, avg(p_retailprice) AS mb, stddev_samp(p_retailprice) AS sb FROM p),
-d AS (SELECT sum(n) AS rows, sum(n) - count(*) AS dup FROM (SELECT count(*) AS n FROM p GROUP BY p_size, p_retailprice, p_type)),
-x AS (SELECT round(100.0 * (2 * count(*) + count(p_type)) / (3 * count(*)), 2) AS completeness, round((count(*) FILTER (abs(p_size - ma) <= 3 * sa) + count(*) FILTER (abs(p_retailprice - mb) <= 3 * sb)) / (2 * count(*)) * 100, 2) AS consistency FROM p, m)
-SELECT CAST(rows AS BIGINT) AS rows, completeness, round(100.0 - 100.0 * dup / rows, 2) AS uniqueness, CAST(100 AS DOUBLE) AS validity, consistency FROM x, d""")
+WITH p AS {_SCORED.format(part=_PART.replace("SELECT p_size", "SELECT p_partkey, p_size"))}, m AS (SELECT avg(p_size) AS ma, stddev_samp(p_size) AS sa, avg(p_retailprice) AS mb, stddev_samp(p_retailprice) AS sb FROM p),
+d AS (SELECT sum(n) AS rows, sum(n) - count(*) AS dup FROM (SELECT count(*) AS n FROM p GROUP BY p_size, p_retailprice, p_type, same, seen)),
+x AS (SELECT round(100.0 * (4 * count(*) + count(p_type)) / (5 * count(*)), 2) AS completeness,
+ round((100.0 * count(*) FILTER (abs(p_size - ma) <= 3 * sa) / count(*) + 100.0 * count(*) FILTER (abs(p_retailprice - mb) <= 3 * sb) / count(*) + 100) / 3, 2) AS consistency,
+ round(100.0 * count(*) FILTER (floor(epoch(TIMESTAMP '2024-06-01 00:00:00' - seen) / 86400) <= 365) / count(*), 2) AS timeliness FROM p, m),
+y AS (SELECT CAST(rows AS BIGINT) AS rows, CAST(completeness AS DOUBLE) AS completeness, round(100.0 - 100.0 * dup / rows, 2) AS uniqueness, CAST(75 AS DOUBLE) AS validity, consistency, timeliness FROM x, d),
+z AS (SELECT *, round(0.30 * completeness + 0.20 * uniqueness + 0.25 * validity + 0.15 * consistency + 0.10 * timeliness, 2) AS score FROM y)
+SELECT *, CASE WHEN score >= 90 THEN 'A' WHEN score >= 80 THEN 'B' WHEN score >= 70 THEN 'C' WHEN score >= 60 THEN 'D' ELSE 'F' END AS grade FROM z""")
 def _(t):
-    return quality.quality_score(_part(t)).select("rows", "completeness", "uniqueness", "validity", "consistency")
+    rows = t.part.selectExpr("p_partkey", "p_size", "p_retailprice", "case when p_partkey % 9 = 0 then null when p_partkey % 10 = 0 then '' else p_type end as p_type")
+    rows = rows.selectExpr("p_size", "p_retailprice", "p_type", "7 as same", "timestamp'2023-01-01 00:00:00' + make_interval(0, 0, 0, cast(p_partkey * 7 % 500 as int)) as seen")
+    return quality.quality_score(rows, passed=3, total=4, as_of="2024-06-01 00:00:00")
 
 
 @query("ql4_score_alerts", f"""
@@ -100,7 +109,7 @@ def _(t):
     return quality.freshness(t.events, "ts", "2024-02-05 00:00:00", 24).select("newest", "severity")
 
 
-@query("ql11_volume", f"SELECT dataset, observed_utc, CASE WHEN d >= 1.0 THEN 'HIGH' WHEN d > 0.5 THEN 'MEDIUM' ELSE 'OK' END AS severity FROM (SELECT *, round(abs(row_count - b) / b, 4) AS d FROM (SELECT *, avg(row_count) OVER (PARTITION BY dataset ORDER BY observed_utc ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS b FROM ({_DAILY})))")
+@query("ql11_volume", f"SELECT dataset, observed_utc, CASE WHEN d > 1.0 THEN 'HIGH' WHEN d > 0.5 THEN 'MEDIUM' ELSE 'OK' END AS severity FROM (SELECT *, abs(row_count - b) / b AS d FROM (SELECT *, avg(row_count) OVER (PARTITION BY dataset ORDER BY observed_utc ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS b FROM ({_DAILY})))")
 def _(t):
     return quality.volume_alerts(_daily(t)).select("dataset", "observed_utc", "severity")
 
@@ -111,9 +120,15 @@ def _(t):
     return quality.mean_drift(now, before).select("column", F.round("drift", 3).alias("drift"), "drifted")
 
 
-@query("ql13_null_alerts", f"SELECT 'p_type' AS \"column\", round(count(*) FILTER (p_type IS NULL) / count(*), 6) AS null_rate, 'NULL_SPIKE' AS alert FROM {_PART} UNION ALL SELECT 'gone', 1.0, 'CRITICAL_FIELD' FROM (SELECT 1)")
+@query("ql13_null_alerts", f"""
+WITH r AS (SELECT count(*) FILTER (p_type IS NULL) / count(*) AS t, count(*) FILTER (p_size % 5 > 0) / count(*) AS s, count(*) FILTER (p_size % 3 > 0) / count(*) AS w FROM {_PART})
+SELECT 'gone' AS "column", 'NULL_FLOOR' AS alert, 'HIGH' AS severity, CAST(NULL AS DOUBLE) AS previous_rate, 1.0 AS null_rate
+UNION ALL SELECT 'often', 'NULL_FLOOR', 'HIGH', NULL, round(s, 4) FROM r WHERE s > 0.5
+UNION ALL SELECT 'p_type', 'NULL_SPIKE', 'MEDIUM', -0.2, round(t, 4) FROM r WHERE t + 0.2 > 0.2 AND t + 0.2 <= 0.4
+UNION ALL SELECT 'risen', 'NULL_SPIKE', 'HIGH', 0.4, round(w, 4) FROM r WHERE w - 0.4 > 0.2""")
 def _(t):
-    return quality.null_alerts(_part(t), ["gone", "p_size"], previous={"p_type": 0.0})
+    rows = _part(t).selectExpr("p_type", "p_size", "if(p_size % 5 > 0, null, 1) as often", "if(p_size % 3 > 0, null, 1) as risen")
+    return quality.null_alerts(rows, ["gone", "often", "p_type", "risen", "p_size"], previous={"p_type": -0.2, "risen": 0.4, "p_size": 0.0})
 
 
 @query("ql14_observe", "SELECT 'part' AS dataset, '2024-01-01' AS observed_utc, count(*) AS row_count, 6 AS column_count FROM part")

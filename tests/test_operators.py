@@ -200,10 +200,40 @@ def test_noise_checks(spark):
 
 
 def test_safe_harbour(spark):
-    df = spark.createDataFrame([("1", "A B", "03601", 91), ("2", "C", " ", None)], "PAT_ID string, PAT_NAME string, ZIP string, AGE int")
+    df = spark.createDataFrame([("1", "A B", "03601", 91), (None, "C", " ", None)], "PAT_ID string, PAT_NAME string, ZIP string, AGE int")
     out = privacy.safe_harbour(df)
     assert out.columns == ["PAT_ID", "ZIP", "AGE"]
-    assert [tuple(r)[1:] for r in out.collect()] == [("000", "90+"), (None, None)]
+    assert [tuple(r)[1:] for r in out.collect()] == [("000", "90+"), ("000", None)] and out.collect()[1]["PAT_ID"] == ""
+    assert privacy.safe_harbour(df, {"AGE": "drop"}, hash_identifiers=False).columns == ["ZIP"]
+    assert privacy.safe_harbour(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("category,action,names", [(c, a, p.replace(r"\b", "").split("|")) for c, a, p in privacy.SAFE_HARBOUR])
+def test_safe_harbour_knows_every_category(category, action, names):
+    for n in names:
+        assert privacy.safe_harbour_plan([n, n.upper(), f"x {n}"]).keys() == {n, n.upper(), f"x {n}"}, (category, n)
+    assert privacy.safe_harbour_plan([names[0]])[names[0]] == action
+    assert privacy.safe_harbour_plan(["diagnosis", "heart_rate", "department"]) == {}
+
+
+def test_quality_score_of_odd_tables(spark):
+    names = ("completeness", "uniqueness", "validity", "consistency", "timeliness", "score", "grade")
+    one = lambda *a, **k: tuple(quality.quality_score(*a, **k).select(*names).first())
+    empty = spark.createDataFrame([], "a int, t timestamp")
+    assert one(empty) == (100.0, 100.0, 100.0, 100.0, 100.0, 100.0, "A")
+    same = spark.createDataFrame([(5, float("nan")), (5, None), (5, 1.0)], "a int, b double")
+    assert one(same)[:4] == (66.67, 100.0, 100.0, 100.0)
+    assert one(spark.createDataFrame([("x",), ("x",)], "s string"), passed=1, total=4) == (100.0, 50.0, 25.0, 100.0, 100.0, 71.25, "C")
+    stamps = spark.createDataFrame([("2024-01-01", "2020-01-01"), ("2022-01-01", None)], "a string, b string").selectExpr("cast(a as timestamp) a", "cast(b as timestamp) b")
+    assert one(stamps, as_of="2024-06-01 00:00:00")[4] == 25.0
+
+
+def test_null_alerts_of_odd_tables(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "a int, b int")
+    assert rows(quality.null_alerts(df, ["a"]).select("column", "alert", "severity", "null_rate")) == [("a", "NULL_FLOOR", "HIGH", 0.6667)]
+    assert quality.null_alerts(df).count() == 0 and quality.null_alerts(df.limit(0), ["b"]).count() == 0
+    assert rows(quality.null_alerts(df, previous={"a": 0.4}).select("alert", "severity", "previous_rate")) == [("NULL_SPIKE", "MEDIUM", 0.4)]
+    assert rows(quality.null_alerts(df, ["gone"]).select("column", "alert")) == [("gone", "NULL_FLOOR")]
 
 
 def test_contract_on_an_empty_table(spark):
