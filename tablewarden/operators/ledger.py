@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
+
 GENESIS = "GENESIS"
-EMPTY_ROOT = hashlib.sha256(b"").hexdigest()
+# What an empty ledger's root is the hash of, and the ids that a segment may have.
+EMPTY_ROOT = hashlib.sha256(b"EMPTY-LEDGER").hexdigest()
+SEGMENT_ID = "^[A-Za-z0-9_.-]{1,128}$"
 EVENT = "pipeline_id string, event_id string, timestamp_utc string, category string, action string, detail map<string,string>"
 
 
@@ -100,7 +105,10 @@ def truncated(chained: DataFrame, anchors: DataFrame, slack: int = 1) -> DataFra
 
 
 def leaf(segment: Column, count: Column, head: Column) -> Column:
-    return F.sha2(F.concat_ws("|", segment.cast("string"), count.cast("string"), head), 256)
+    """The hash of id, count and head, parted by NUL; an id that no segment may have is an error."""
+    name = segment.cast("string")
+    fits = name.rlike(SEGMENT_ID) & ~name.isin(".", "..")
+    return F.when(fits, F.sha2(F.concat_ws("\0", name, count.cast("string"), head), 256)).otherwise(F.raise_error(F.concat(F.lit("not a segment id: "), F.coalesce(name, F.lit("null")))).cast("string"))
 
 
 def _levels(leaves: DataFrame) -> list[DataFrame]:
@@ -115,10 +123,19 @@ def _levels(leaves: DataFrame) -> list[DataFrame]:
     return out
 
 
-def number_leaves(segment_heads: DataFrame) -> DataFrame:
-    """i, segment_id, hash in order of segment_id. Segments are few beside events: one a partition written."""
-    w = Window.orderBy("segment_id")
-    return segment_heads.select((F.row_number().over(w) - 1).cast("long").alias("i"), "segment_id", leaf(F.col("segment_id"), F.col("entry_count"), F.col("last_hash")).alias("hash"))
+def number_leaves(segment_heads: DataFrame, ranges: int = 32) -> DataFrame:
+    """i, segment_id, hash in order of segment_id. Each of `ranges` tasks numbers one range of ids; only the ranges' sizes are summed up in order.
+
+    The ranges are written before they are numbered, as their borders come from a sample.
+    """
+    spark = segment_heads.sparkSession
+    path = f"{shared_folder(spark)}/leaves-{uuid.uuid4().hex}"
+    own = segment_heads.select("segment_id", leaf(F.col("segment_id"), F.col("entry_count"), F.col("last_hash")).alias("hash"))
+    own.repartitionByRange(ranges, "segment_id").sortWithinPartitions("segment_id").withColumn("_m", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("_r", F.shiftright("_m", 33))
+    before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as ranges
+    sizes = rows.groupBy("_r").agg(F.count("*").alias("_n")).select("_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(sizes, "_r").select((F.col("_before") + F.col("_m").bitwiseAND((1 << 33) - 1)).alias("i"), "segment_id", "hash")
 
 
 def seal(segment_heads: DataFrame) -> DataFrame:
@@ -158,17 +175,41 @@ def check_proof(proofs: DataFrame, root: str) -> DataFrame:
     return proofs.select("segment_id", (folded == root).alias("included"))
 
 
-def govern_buckets(df: DataFrame, key: str, buckets: int, pipeline_id: str, at: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(governed rows, chained events): rows get a stable bucket as their segment, named columns are masked, repeated rows dropped; each bucket has its own chain of start, mask and finish events."""
+def bucket(key: Column, buckets: int) -> Column:
+    """A stable bucket: the first 32 bits of the key's SHA-256."""
+    return F.pmod(F.conv(F.substring(F.sha2(F.coalesce(key.cast("string"), F.lit("")), 256), 1, 8), 16, 10).cast("long"), F.lit(buckets)).cast("int")
+
+
+def govern_buckets(df: DataFrame, key: str, buckets: int, columns: list[str]) -> DataFrame:
+    """df with segment_id (a stable bucket of the key), the named columns masked, repeated rows dropped."""
     from ..functions.values import mask
 
-    rows = df.withColumns({"segment_id": F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")} | {c: mask(F.col(c)) for c in columns})
-    out = rows.dropDuplicates()
-    read = rows.groupBy("segment_id").agg(F.count("*").alias("rows_in"))
-    stats = read.join(out.groupBy("segment_id").agg(F.count("*").alias("rows_out")), "segment_id")
+    return df.withColumns({"segment_id": bucket(F.col(key), buckets)} | {c: mask(F.col(c)) for c in columns}).dropDuplicates()
+
+
+def bucket_trail(read: DataFrame, governed: DataFrame, pipeline_id: str, at: str, columns: list[str]) -> DataFrame:
+    """segment_id, seq, body: start, mask and finish events of each bucket; read, governed: rows with their segment_id."""
+    stats = read.groupBy("segment_id").agg(F.count("*").alias("rows_in")).join(governed.groupBy("segment_id").agg(F.count("*").alias("rows_out")), "segment_id")
     one = lambda seq, action, detail: F.struct(F.lit(seq).alias("seq"), F.to_json(F.struct(F.lit(action).alias("action"), F.lit("PARTITION").alias("category"), detail.cast("string").alias("detail"), F.lit(pipeline_id).alias("pipeline_id"), F.lit(at).alias("timestamp_utc"))).alias("body"))
-    trail = stats.select("segment_id", F.explode(F.array(one(0, "START", F.col("rows_in")), one(1, "MASK", F.lit(",".join(columns))), one(2, "FINISH", F.col("rows_out")))).alias("x")).select("segment_id", "x.*")
-    return out, chain(trail)
+    events = F.array(one(0, "START", F.col("rows_in")), one(1, "MASK", F.lit(",".join(columns))), one(2, "FINISH", F.col("rows_out")))
+    return stats.select("segment_id", F.explode(events).alias("x")).select("segment_id", "x.*")
+
+
+def govern_sealed(df: DataFrame, key: str, buckets: int, pipeline_id: str, at: str, columns: list[str], path: str) -> DataFrame:
+    """Govern df by buckets into `path`: rows, the chained trail and its seal are written, then verified as they stand there.
+
+    merkle_root, segment_count, total_events, rows_in, rows_out, ok. Every bucket has its own chain, so nothing is shared
+    between the tasks that write.
+    """
+    spark = df.sparkSession
+    govern_buckets(df, key, buckets, columns).write.parquet(f"{path}/rows")
+    rows, read = spark.read.parquet(f"{path}/rows"), df.select(bucket(F.col(key), buckets).alias("segment_id"))
+    chain(bucket_trail(read, rows, pipeline_id, at, columns)).write.parquet(f"{path}/trail")
+    trail = spark.read.parquet(f"{path}/trail")
+    seal(heads(trail)).write.parquet(f"{path}/seal")
+    sealed = spark.read.parquet(f"{path}/seal")
+    counts = trail.select("seq", F.get_json_object("body", "$.detail").try_cast("long").alias("n")).agg(F.coalesce(F.sum(F.when(F.col("seq") == 0, F.col("n"))), F.lit(0)).alias("rows_in"), F.coalesce(F.sum(F.when(F.col("seq") == 2, F.col("n"))), F.lit(0)).alias("rows_out"))
+    return sealed.crossJoin(counts).crossJoin(verify_seal(trail, sealed).select("ok"))
 
 
 # --- lineage -------------------------------------------------------------------------------------------------

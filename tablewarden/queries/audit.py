@@ -33,9 +33,16 @@ def _(t):
     return ledger.row_events(t.region, "run-1", "LOAD", "LOAD", "2024-01-01", "r_regionkey", {"region": F.col("r_name")}).select("event_id", F.try_element_at("detail", F.lit("region")).alias("region"))
 
 
-@query("lg2_chain_heads", "SELECT CAST(user_id % 16 AS INTEGER) AS segment_id, count(*) AS entry_count FROM events GROUP BY 1")
+_BODY = """'{"action":"' || CASE WHEN value > 90 THEN 'LOAD_ERROR' WHEN event_id % 3 = 0 THEN 'SOURCE_READ' ELSE 'MASK' END || '","category":"' || upper(event_type) || '","detail":{"name":"' || event_type
+ || '","' || CASE WHEN event_id % 4 = 0 THEN 'pii_field' ELSE 'other' END || '":"email"},"event_id":"' || event_id || '","pipeline_id":"run-' || user_id % 16 || '","timestamp_utc":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"}'"""
+
+
+@query("lg2_chain_heads", f"""
+WITH e AS (SELECT CAST(user_id % 16 AS INTEGER) AS segment_id, event_id AS seq, event_id // {ledger.BLOCK} AS block, {_BODY} AS body FROM events),
+b AS (SELECT segment_id, block, count(*) AS n, list_reduce(list_prepend('GENESIS', list(body ORDER BY seq)), lambda h, x: sha256(h || '|' || x)) AS head FROM e GROUP BY ALL)
+SELECT segment_id, CAST(sum(n) AS BIGINT) AS entry_count, list_reduce(list(head ORDER BY block), lambda h, x: sha256(h || '|' || x)) AS last_hash FROM b GROUP BY segment_id""")
 def _(t):
-    return ledger.heads(_chain(t)).select("segment_id", "entry_count")
+    return ledger.heads(_chain(t))
 
 
 @query("lg3_wn6_broken_links", "SELECT CAST(user_id % 16 AS INTEGER) AS segment_id, event_id AS seq, 'CONTENT' AS problem FROM events WHERE event_id % 500 = 7")
@@ -62,7 +69,7 @@ def _heads(t):
 
 
 _ROOT = f"""
-WITH RECURSIVE leaves AS (SELECT row_number() OVER (ORDER BY segment_id) - 1 AS i, sha256(CAST(segment_id AS VARCHAR) || '|' || CAST(entry_count AS VARCHAR) || '|' || last_hash) AS h FROM ({_heads_sql()})),
+WITH RECURSIVE leaves AS (SELECT row_number() OVER (ORDER BY segment_id) - 1 AS i, sha256(CAST(segment_id AS VARCHAR) || chr(0) || CAST(entry_count AS VARCHAR) || chr(0) || last_hash) AS h FROM ({_heads_sql()})),
 up AS (SELECT 0 AS level, list(h ORDER BY i) AS hs FROM leaves UNION ALL
  SELECT level + 1, list_transform(range((len(hs) + 1) // 2), lambda k: sha256(hs[2 * k + 1] || coalesce(hs[2 * k + 2], hs[2 * k + 1]))) FROM up WHERE len(hs) > 1)
 SELECT (SELECT hs[1] FROM up ORDER BY level DESC LIMIT 1) AS merkle_root, count(*) AS segment_count, CAST(sum(entry_count) AS BIGINT) AS total_events FROM ({_heads_sql()})"""
@@ -82,23 +89,33 @@ def _(t):
     return found.select("ok", "root_matches", F.when(F.col("broken") > 0, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("broken"))
 
 
-@query("lg6_inclusion", "SELECT CAST(user_id % 16 AS INTEGER) AS segment_id, true AS included FROM events GROUP BY 1")
+@query("lg6_inclusion", f"SELECT segment_id, sha256(CAST(segment_id AS VARCHAR) || chr(0) || CAST(entry_count AS VARCHAR) || chr(0) || last_hash) AS leaf, CAST(ceil(log2(count(*) OVER ())) AS INTEGER) AS steps, true AS included FROM ({_heads_sql()})")
 def _(t):
-    root = ledger.seal(_heads(t)).first()["merkle_root"]
-    return ledger.check_proof(ledger.inclusion_proofs(_heads(t)), root)
+    root, proofs = ledger.seal(_heads(t)).first()["merkle_root"], ledger.inclusion_proofs(_heads(t))
+    return proofs.select("segment_id", "leaf", F.size("proof").alias("steps")).join(ledger.check_proof(proofs, root), "segment_id")
+
+
+_LINES = ["l_orderkey", "l_linenumber", "l_partkey"]
+_BUCKET = "CAST(CAST('0x' || substr(sha256(CAST(l_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 16 AS INTEGER)"
+_MASKED = f"SELECT DISTINCT {_BUCKET} AS segment_id, 'MASKED_' || substr(sha256(CAST(l_partkey AS VARCHAR)), 1, 12) AS l_partkey, l_orderkey, l_linenumber FROM lineitem"
 
 
-@query("lg7_govern_buckets", "SELECT DISTINCT 'MASKED_' || substr(sha256(CAST(l_partkey AS VARCHAR)), 1, 12) AS l_partkey, l_orderkey, l_linenumber FROM lineitem")
+@query("lg7_govern_buckets", _MASKED)
 def _(t):
-    rows, _ = ledger.govern_buckets(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), "l_orderkey", 16, "run-1", "2024-01-01", ["l_partkey"])
-    return rows.select("l_partkey", "l_orderkey", "l_linenumber")
+    return ledger.govern_buckets(t.lineitem.select(*_LINES), "l_orderkey", 16, ["l_partkey"])
 
 
-@query("lg7_bucket_trails", "SELECT true AS ok, true AS root_matches, 0 AS broken FROM lineitem LIMIT 1")
+_STEP = """'{{"action":"{0}","category":"PARTITION","detail":"' || {1} || '","pipeline_id":"run-1","timestamp_utc":"2024-01-01"}}'"""
+
+
+@query("lg7_govern_sealed", f"""
+WITH RECURSIVE i AS (SELECT {_BUCKET} AS segment_id, count(*) AS n FROM lineitem GROUP BY 1), o AS (SELECT segment_id, count(*) AS m FROM ({_MASKED}) GROUP BY 1),
+h AS (SELECT segment_id, n, m, list_reduce(['GENESIS', {_STEP.format("START", "n")}, {_STEP.format("MASK", "'l_partkey'")}, {_STEP.format("FINISH", "m")}], lambda h, x: sha256(h || '|' || x)) AS head FROM i JOIN o USING (segment_id)),
+up AS (SELECT 0 AS level, list(sha256(CAST(segment_id AS VARCHAR) || chr(0) || '3' || chr(0) || head) ORDER BY segment_id) AS hs FROM h UNION ALL
+ SELECT level + 1, list_transform(range((len(hs) + 1) // 2), lambda k: sha256(hs[2 * k + 1] || coalesce(hs[2 * k + 2], hs[2 * k + 1]))) FROM up WHERE len(hs) > 1)
+SELECT (SELECT hs[1] FROM up ORDER BY level DESC LIMIT 1) AS merkle_root, count(*) AS segment_count, CAST(3 * count(*) AS BIGINT) AS total_events, CAST(sum(n) AS BIGINT) AS rows_in, CAST(sum(m) AS BIGINT) AS rows_out, true AS ok FROM h""")
 def _(t):
-    _, trail = ledger.govern_buckets(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), "l_orderkey", 16, "run-1", "2024-01-01", ["l_partkey"])
-    trail = t.keep(trail)
-    return ledger.verify_seal(trail, ledger.seal(ledger.heads(trail)))
+    return ledger.govern_sealed(t.lineitem.select(*_LINES), "l_orderkey", 16, "run-1", "2024-01-01", ["l_partkey"], t.folder())
 
 
 @query("ag10_ledger_summary", "SELECT upper(event_type) AS category, count(*) AS events, count(*) FILTER (value > 90) AS errors, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_utc, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_utc FROM events GROUP BY 1")
