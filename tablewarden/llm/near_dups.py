@@ -6,10 +6,11 @@
    and stops as soon as the posterior (uniform prior, so a Beta) puts the chance of a similarity over the
    threshold below MISS. Survivors are confirmed on their full shingle sets: first the best of each class, then
    those that the links found so far do not join already. The leader is then done with.
-4. Links give components. Only buckets that still hold several are looked at again. A shingle that no other class of
-   these buckets has cannot be shared, so classes with too many of them leave (again and again, as others' shingles
-   become their own). In what is left every class outside a bucket's largest component meets the others in blocks,
-   with sizes, signatures and sets, so that a block gives back only the links that join components.
+4. Links give components. Only buckets that still hold several are looked at again: every class outside a bucket's
+   largest component meets the others in blocks. First, the beginnings of signatures tell which classes have any
+   pair to look at. Of those, a shingle that no other has cannot be shared, so classes with too many of them leave
+   (again and again, as others' shingles become their own). What is left meets with sizes, signatures and sets, and a
+   block gives back only the links that join components.
 
 A pair at the threshold shares no band with probability (1 - 0.8**ROWS)**(HASHES/ROWS), 5e-8 here.
 
@@ -37,6 +38,8 @@ HASHES, ROWS, BATCH = 128, 4, 32
 MISS = 1e-7
 #: Classes on one side of a block of a bucket, and shingles of them (8 classes, at least).
 BLOCK, HELD = 1024, 1 << 22
+#: Hashes of a signature by which classes of an open bucket are told to meet at all.
+PREFIX = 64
 #: Times that classes without enough shared shingles are looked for; what is left afterwards is compared.
 PEELS = 6
 #: Bytes of rows under which one side of a join is sent to all tasks.
@@ -241,41 +244,76 @@ def peeled(rows: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFram
     return rows, sizes
 
 
-def block_links(rows: DataFrame, sizes: DataFrame, sets: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """a, b of links between different components of a bucket, as many as join them.
+def grid(rows: DataFrame, longest: Column) -> DataFrame:
+    """rows (key, id, component, ...) of each bucket as a grid: the classes outside its largest component (asks) against all.
 
-    Each bucket is a grid: the classes outside its largest component (they ask) against all. Rows that are copied: those
-    that ask once for every block of all, the others once for every block of those that ask. A pair that sizes and
-    signatures do not rule out is confirmed there on its sets, in the first band that it shares, unless links of
-    the block join it already.
+    Rows that are copied: those that ask once for every block of all, the others once for every block of those that
+    ask. A block holds BLOCK classes on a side, fewer where `longest` of them would exceed HELD. Adds main, i, j, asks.
     """
-    from pyspark.sql.pandas.types import from_arrow_schema
-
-    rows = rows.join(sizes, "id")
-    counts = rows.groupBy("key", "component").agg(F.count("*").alias("m"), F.max("n").alias("longest"))
+    counts = rows.groupBy("key", "component").agg(F.count("*").alias("m"), F.max(longest).alias("longest"))
     counts = counts.groupBy("key").agg(
         F.max_by("component", F.struct("m", "component")).alias("main"),
         F.sum("m").alias("all"),
         (F.sum("m") - F.max("m")).alias("outside"),
         F.greatest(F.lit(8), F.least(F.lit(BLOCK), F.floor(HELD / F.max("longest")))).alias("per"),
     )
+    own = rows.columns
     rows = rows.join(scratch(counts, "counts"), "key").withColumn("main", F.col("component") == F.col("main"))
     part = lambda n: F.ceil(F.col(n) / F.col("per")).cast("int")
     place = lambda n: F.pmod(F.xxhash64("id", F.lit(1)), part(n)).cast("int")
-    fixed = ["key", "band", "id", "component", "own", "main"]
-    one = rows.select(*fixed, F.explode(F.sequence(F.lit(0), part("outside") - 1)).alias("i"), place("all").alias("j"), F.lit(False).alias("asks"))
-    two = rows.filter("not main").select(*fixed, place("outside").alias("i"), F.explode(F.sequence(F.lit(0), part("all") - 1)).alias("j"), F.lit(True).alias("asks"))
+    one = rows.select(*own, "main", F.explode(F.sequence(F.lit(0), part("outside") - 1)).alias("i"), place("all").alias("j"), F.lit(False).alias("asks"))
+    two = rows.filter("not main").select(*own, "main", place("outside").alias("i"), F.explode(F.sequence(F.lit(0), part("all") - 1)).alias("j"), F.lit(True).alias("asks"))
+    return one.unionByName(two)
+
+
+def asked(table: pa.Table, hashes: int) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Columns and signatures of a block, and the places of the rows that do not ask."""
+    c = {n: table.column(n).to_numpy(zero_copy_only=False) for n in table.column_names if n not in ("signature", "shingles")}
+    return c, np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, hashes), np.flatnonzero(~c["asks"])
+
+
+def met(rows: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """rows (key, band, id, component) of those classes that a class of another component of the bucket may be like, by the first PREFIX hashes."""
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64())])
+    bounds = [b for b in fewest_matches(threshold) if b[0] <= PREFIX]
+    sketch = classes.select("id", F.substring("signature", 1, 4 * PREFIX).alias("signature"))
+
+    def alive(table: pa.Table) -> pa.Table:
+        c, sig, others = asked(table, PREFIX)
+        found = np.zeros(len(sig), bool)
+        for x in np.flatnonzero(c["asks"]):
+            y = others[(c["component"][others] != c["component"][x]) & (c["main"][others] | (c["id"][others] > c["id"][x]))]
+            y = y[survive(np.broadcast_to(sig[x], (len(y), PREFIX)), sig[y], bounds)]
+            found[y] = True
+            found[x] |= len(y) > 0
+        ids = np.unique(c["id"][found])
+        return pa.table([pa.array(np.full(len(ids), c["key"][0])), pa.array(ids)], schema=schema)
+
+    cells = grid(rows, F.lit(PREFIX)).select("key", "id", "component", "main", "i", "j", "asks")
+    found = cells.join(sketch, "id").groupBy("key", "i", "j").applyInArrow(alive, from_arrow_schema(schema)).distinct()
+    return still_open(rows.join(scratch(found, "met"), ["key", "id"], "left_semi"), "meeting")
+
+
+def block_links(rows: DataFrame, sizes: DataFrame, sets: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """a, b of links between different components of a bucket, as many as join them.
+
+    A pair that sizes and signatures do not rule out is confirmed in its block on its sets, in the first band that it
+    shares, unless links of the block join it already.
+    """
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    cells = grid(rows.join(sizes, "id"), F.col("n")).select("key", "band", "id", "component", "own", "main", "i", "j", "asks")
     full = sets.select("id", "shingles").join(classes.select("id", "signature"), "id")
     bounds, percent = fewest_matches(threshold), round(threshold * 100)
 
     def links(table: pa.Table) -> pa.Table:
-        c = {n: table.column(n).to_numpy(zero_copy_only=False) for n in ("id", "component", "own", "main", "asks")}
-        band = table.column("band")[0].as_py()
-        sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
+        c, sig, others = asked(table, HASHES)
         held = table.column("shingles").combine_chunks()
-        at, flat = held.offsets.to_numpy(), held.values.to_numpy()
+        at, flat, band = held.offsets.to_numpy(), held.values.to_numpy(), c["band"][0]
         ids, part, n = c["id"], c["component"].copy(), np.diff(at)
-        shared, others, out = n - c["own"], np.flatnonzero(~c["asks"]), []
+        shared, out = n - c["own"], []
         for x in np.flatnonzero(c["asks"]):
             mine = np.sort(flat[at[x] : at[x + 1]])
             y = others[(part[others] != part[x]) & (c["main"][others] | (ids[others] > ids[x]))]
@@ -297,12 +335,15 @@ def block_links(rows: DataFrame, sizes: DataFrame, sets: DataFrame, classes: Dat
         cols = list(zip(*out, strict=True)) or [()] * 2
         return pa.table([pa.array(list(v), f.type) for v, f in zip(cols, LINKS, strict=True)], schema=LINKS)
 
-    return one.unionByName(two).join(full, "id").groupBy("key", "i", "j").applyInArrow(links, from_arrow_schema(LINKS))
+    return cells.join(full, "id").groupBy("key", "i", "j").applyInArrow(links, from_arrow_schema(LINKS))
 
 
 def unsettled(bands: DataFrame, parts: DataFrame, classes: DataFrame, docs: DataFrame, size: int, threshold: float) -> DataFrame | None:
     """Links (a, b) that join components once the buckets, without their leaders, have been looked at again; None if nothing is open."""
     rows = still_open(bands.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")), "open")
+    if not rows.limit(1).count():
+        return None
+    rows = met(rows, classes, threshold)
     if not rows.limit(1).count():
         return None
     sets = shingle_sets(rows.select("id"), classes, docs, size)
