@@ -124,9 +124,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Polynomial prefix sums modulo 2**64 of n bytes, n + 1 long."""
-    power, _ = _tables(len(data) + 1)
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[: len(data)], out=out[1:])
+    return sums_of(_BYTE[data])
+
+
+def sums_of(values: np.ndarray) -> np.ndarray:
+    power, _ = _tables(len(values) + 1)
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * power[: len(values)], out=out[1:])
     return out
 
 

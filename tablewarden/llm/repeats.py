@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, map_rows, mix, prefix_hash, scratch, span_hash
+from .common import fresh, map_rows, mix, scratch, span_hash, sums_of
 
 LENGTH, K, BLOCK = 200, 48, 50
 #: Bytes of runs of one name that are merged at once; of runs in a shard; of runs in one merge (and its name's rest).
@@ -47,22 +47,39 @@ def sliding(x: np.ndarray, width: int, least: np.ufunc, fill: int) -> np.ndarray
     return least(tail[:n], head[width - 1 : width - 1 + n])
 
 
+WIDE = 8
+
+
+def wide_hash(data: np.ndarray) -> np.ndarray:
+    """Prefix sums over the mixed WIDE-byte words that start at each byte: no sum of bytes alone, so texts that are built for the sums to agree don't."""
+    n = max(0, len(data) - WIDE + 1)
+    word = np.zeros(n, np.uint64)
+    for k in range(WIDE):
+        word |= data[k : k + n].astype(np.uint64) << np.uint64(8 * k)
+    return sums_of(mix(word))
+
+
+def wide_span(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the spans [start, end) of WIDE bytes at least."""
+    return span_hash(prefix, starts, ends - (WIDE - 1))
+
+
 def name_runs(text: bytes) -> tuple[np.ndarray, ...] | None:
     """Of every run: name, hash of its bytes, first window, last window + 1, grams of this name in the text (2 for more)."""
     data = np.frombuffer(text, np.uint8)
     n, width = len(data), LENGTH - K + 1
     if n < LENGTH:
         return None
-    p = prefix_hash(data)
+    p = wide_hash(data)
     at = np.arange(n - K + 1)
-    gram = mix(span_hash(p, at, at + K) ^ np.uint64(0x2545F4914F6CDD1D))
+    gram = mix(wide_span(p, at, at + K) ^ np.uint64(0x2545F4914F6CDD1D))
     name = sliding(gram, width, np.minimum, 2**64 - 1)
     lo = np.concatenate(([0], np.flatnonzero(name[1:] != name[:-1]) + 1))
     hi = np.concatenate((lo[1:], [len(name)]))
     # a gram names a window if it is the greatest name among the windows that hold it
     around = np.concatenate((np.zeros(width - 1, np.uint64), name, np.zeros(width - 1, np.uint64)))
     named, count = np.unique(gram[gram == sliding(around, width, np.maximum, 0)], return_counts=True)
-    return name[lo], span_hash(p, lo, hi - 1 + LENGTH), lo, hi, np.minimum(count[np.searchsorted(named, name[lo])], 2)
+    return name[lo], wide_span(p, lo, hi - 1 + LENGTH), lo, hi, np.minimum(count[np.searchsorted(named, name[lo])], 2)
 
 
 RUNS = pa.schema([("name", pa.int64()), ("bytes_hash", pa.int64()), ("text_hash", pa.int64()), ("n_bytes", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("grams", pa.int32())])
@@ -90,6 +107,13 @@ def runs_of(texts: DataFrame) -> DataFrame:
 # --- shards and their merge ----------------------------------------------------------------------------------
 
 
+def block_symbols(snippet: bytes) -> np.ndarray:
+    """The hash of the BLOCK bytes from each place, never 0."""
+    p = wide_hash(np.frombuffer(snippet, np.uint8))
+    at = np.arange(len(snippet) - BLOCK + 1)
+    return wide_span(p, at, at + BLOCK) | np.uint64(1)
+
+
 class Shard:
     """Snippets as one text of block symbols: suffixes in order, and the symbol before each (the transform)."""
 
@@ -97,9 +121,7 @@ class Shard:
         # symbols: the hash of the BLOCK bytes from each place; the last BLOCK places of a snippet are ends (0)
         hashes, sizes = [], []
         for s in snippets:
-            p = prefix_hash(np.frombuffer(s, np.uint8))
-            at = np.arange(len(s) - BLOCK + 1)
-            hashes.append(np.concatenate((span_hash(p, at, at + BLOCK) | np.uint64(1), np.zeros(BLOCK, np.uint64))))
+            hashes += [block_symbols(s), np.zeros(BLOCK, np.uint64)]
             sizes.append(len(s) + 1)
         self.symbols, self.sizes = np.concatenate(hashes), np.array(sizes)
         self.order = self._sort()
@@ -168,8 +190,40 @@ def merge_shards(shards: list[Shard], rounds: int) -> list[np.ndarray]:
     return out
 
 
+def hopeful(snippets: list[bytes]) -> list[tuple[int, int]]:
+    """Of every snippet the first start and the last start + 1 of strings of LENGTH bytes whose blocks all seem to stand again (0, 0 for none).
+
+    Symbols are counted in a table of their last bits: one that stands alone there stands alone.
+    """
+    symbols = [block_symbols(s) for s in snippets]
+    slots = np.uint64((1 << max(10, 1 + int(sum(map(len, symbols))).bit_length())) - 1)
+    slot = [((x >> np.uint64(1)) & slots).astype(np.int64) for x in symbols]
+    again = np.bincount(np.concatenate(slot)) > 1
+    out = []
+    for x in slot:
+        twice = again[x]
+        n = len(x) + BLOCK - LENGTH
+        live = twice[:n].copy()
+        for k in range(BLOCK, LENGTH, BLOCK):
+            live &= twice[k : k + n]
+        found = np.flatnonzero(live)
+        out.append((int(found[0]), int(found[-1]) + 1) if len(found) else (0, 0))
+    return out
+
+
 def repeated_starts(snippets: list[bytes]) -> list[np.ndarray]:
     """Of every snippet the starts of strings of LENGTH bytes that start at another place of the snippets, too."""
+    spans = hopeful(snippets)
+    which = [i for i, (a, b) in enumerate(spans) if b]
+    out = [np.zeros(0, np.int64)] * len(snippets)
+    if which:
+        for i, starts in zip(which, merged_starts([snippets[i][spans[i][0] : spans[i][1] - 1 + LENGTH] for i in which]), strict=True):
+            out[i] = starts + spans[i][0]
+    return out
+
+
+def merged_starts(snippets: list[bytes]) -> list[np.ndarray]:
+    """The same by shard transforms and their merge."""
     cuts, size = [0], 0
     for i, s in enumerate(snippets):
         if size and size + len(s) > SHARD:
@@ -235,7 +289,7 @@ def _counted(snippets: DataFrame) -> DataFrame:
             out = {f.name: [] for f in schema}
             for key, n, lo, twice, s in zip(c["text_hash"], c["n_bytes"], c["lo"], c["twice"], c["snippet"], strict=True):
                 at = np.arange(len(s) - LENGTH + 1)
-                out["window"] += span_hash(prefix_hash(np.frombuffer(s, np.uint8)), at, at + LENGTH).view(np.int64).tolist()
+                out["window"] += wide_span(wide_hash(np.frombuffer(s, np.uint8)), at, at + LENGTH).view(np.int64).tolist()
                 out["lo"] += (at + lo).tolist()
                 for k, v in (("text_hash", key), ("n_bytes", n), ("twice", twice)):
                     out[k] += [v] * len(at)
