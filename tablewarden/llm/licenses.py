@@ -1,16 +1,22 @@
 """License scans with a generalised suffix automaton over the words of licence templates.
 
 A text's words stream through the automaton, which keeps the longest template piece that ends at each word
-(the matching statistics). Long matches that follow each other on one template are chained into spans, and a
-template is reported if its spans cover enough of it. A base phrase stands where the phrase's own state is an
-ancestor, by suffix links, of the state reached.
-
-Nulls: a null text has no words and no labels, score 0. Empty tables give empty tables; repeated rows are
-scanned each for itself; other columns are ignored. Words over 0-9, A-Z, a-z and all bytes from 0x80 on.
+(the matching statistics). A state and its suffix links name every template that the piece or an end of it stands
+in, with all places there, so each template has its own longest match at a word. Long matches that follow each other
+in the text and on one template are chained into spans. Where spans of several templates lie on the same words, the
+one with more matched words holds; a template is reported if a span that holds covers enough of it. A base phrase
+stands where the phrase's own state is an ancestor, by suffix links, of the state reached.
+
+Nulls: a null text has no words and no labels, score 0. Very long texts stream: what is kept is the matches. Ties: of
+spans with as many matched words the one that covers more of its template holds, then the first by name. Empty
+tables give empty tables; repeated rows are scanned each for itself; other columns are ignored. Words over 0-9, A-Z,
+a-z and all bytes from 0x80 on. doc_id is an integer.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
@@ -46,36 +52,42 @@ def words(text: str) -> list[bytes]:
 
 
 class SuffixAutomaton:
-    """Of several word sequences. end[v]: (sequence, index of its last word) of one occurrence of v's words."""
+    """Of several word sequences. ends[v]: (sequence, index of the last word) of every occurrence of v's words."""
 
     def __init__(self, sequences: list[list[int]]):
         self.next: list[dict[int, int]] = [{}]
-        self.link, self.length, self.end = [-1], [0], [(-1, -1)]
+        self.link, self.length = [-1], [0]
+        prefixes = []
         for k, seq in enumerate(sequences):
             last = 0
             for i, w in enumerate(seq):
-                last = self._append(last, w, (k, i))
-
-    def _state(self, nxt: dict[int, int], link: int, length: int, end: tuple[int, int]) -> int:
+                last = self._append(last, w)
+                prefixes.append((last, (k, i)))
+        self.ends: list[list[tuple[int, int]]] = [[] for _ in self.next]
+        for v, end in prefixes:  # a state of one prefix stays so: clones take over shorter ones only
+            self.ends[v].append(end)
+        for v in sorted(range(1, len(self.next)), key=self.length.__getitem__, reverse=True):
+            self.ends[self.link[v]] += self.ends[v]
+
+    def _state(self, nxt: dict[int, int], link: int, length: int) -> int:
         self.next.append(nxt)
         self.link.append(link)
         self.length.append(length)
-        self.end.append(end)
         return len(self.next) - 1
 
     def _split(self, p: int, w: int, q: int) -> int:
-        clone = self._state(dict(self.next[q]), self.link[q], self.length[p] + 1, self.end[q])
+        clone = self._state(dict(self.next[q]), self.link[q], self.length[p] + 1)
         self.link[q] = clone
         while p >= 0 and self.next[p].get(w) == q:
             self.next[p][w] = clone
             p = self.link[p]
         return clone
 
-    def _append(self, last: int, w: int, end: tuple[int, int]) -> int:
+    def _append(self, last: int, w: int) -> int:
         q = self.next[last].get(w)
         if q is not None:
             return q if self.length[q] == self.length[last] + 1 else self._split(last, w, q)
-        new, p = self._state({}, 0, self.length[last] + 1, end), last
+        new, p = self._state({}, 0, self.length[last] + 1), last
         while p >= 0 and w not in self.next[p]:
             self.next[p][w] = new
             p = self.link[p]
@@ -108,6 +120,17 @@ class Scanner:
                     found.append((u, *ends[u]))
                 u = self.sa.link[u]
             self.phrases.append(tuple(found))
+        #: Of each state: (template, words of its piece or 0 for all that is matched, places of the last word on it).
+        self.pieces = [self._pieces(v) for v in range(len(self.sa.next))]
+
+    def _pieces(self, v: int) -> list[tuple[int, int, list[int]]]:
+        out, seen, u = [], set(), v
+        while u > 0 and self.sa.length[u] >= LONG:
+            for k in sorted({k for k, _ in self.sa.ends[u] if k < len(self.names)} - seen):
+                seen.add(k)
+                out.append((k, 0 if u == v else self.sa.length[u], sorted({e for j, e in self.sa.ends[u] if j == k})))
+            u = self.sa.link[u]
+        return out
 
     def statistics(self, ids: list[int | None]):
         """(word, state, length) of every word at which a template piece ends."""
@@ -130,50 +153,87 @@ class Scanner:
         """n_words, base places [(start, label)], spans [(template, first word, last word, template words covered)], coverage by template."""
         ws = words(text)
         ids = list(map(self.vocab.get, ws))
-        places, matches, held = [], [], None
+        places: list[tuple[int, str]] = []
+        open_: dict[int, tuple[int, int, list[int]]] = {}  # of each template: last word, words and places of the match that may go on
+        chains: list[_Chain] = []
         if any(i is not None for i in ids):
             for i, v, n in self.statistics(ids):
                 places += [(i - size + 1, label) for u, label, size in self.phrases[v] if n >= size]
-                if held and (held[0] != i - 1 or n != held[2] + 1):
-                    matches.append(held)
-                    held = None
-                if n >= LONG:
-                    held = (i, v, n)
-            matches += [held] if held else []
-        chains: dict[int, list[list[int]]] = {}
-        for i, v, n in matches:
-            k, e = self.sa.end[v]
-            if k >= len(self.names):
-                continue
-            first, lo = i - n + 1, e - n + 1
-            for c in reversed(chains.setdefault(k, [])):
-                if 0 <= lo - c[3] - 1 <= GAP and 0 <= first - c[1] - 1 <= GAP:
-                    c[1], c[3], c[4] = i, e, c[4] + n
-                    break
-            else:
-                chains[k].append([first, i, lo, e, n])
-        spans = [(self.names[k], c[0], c[1], c[4]) for k, cs in sorted(chains.items()) for c in cs]
-        cover = {self.names[k]: max(c[4] for c in cs) / self.sizes[k] for k, cs in chains.items()}
+                now = {k: (i, m or n, es) for k, m, es in self.pieces[v] if (m or n) >= LONG}
+                for k, (j, m, es) in open_.items():
+                    if k not in now or now[k][1] != m + 1 or j != i - 1:
+                        self._chain(chains, k, j, m, es)
+                open_ = now
+            for k, (j, m, es) in open_.items():
+                self._chain(chains, k, j, m, es)
+        spans, cover = self._holding(c for c in chains if not c.extended)
         return len(ws), places, spans, cover
 
-
-@lru_cache(2)
-def scanner() -> Scanner:
-    return Scanner(BASE, TEMPLATES)
+    def _chain(self, chains: list[_Chain], k: int, i: int, n: int, ends: list[int]) -> None:
+        """Put the match of n words that ends at word i behind the best chain that it follows, at each of its places on template k."""
+        recent = []
+        for c in reversed(chains):
+            if c.last < i - n - GAP:
+                break
+            if c.template == k:
+                recent.append(c)
+        for e in ends:
+            best, gain = None, 0
+            for c in recent:
+                cut = max(0, c.end + n - e, c.last + n - i)  # what both have counts once
+                if cut < n and e - n + cut - c.end <= GAP and i - n + cut - c.last <= GAP and c.matched + n - cut > gain:
+                    best, gain = c, c.matched + n - cut
+            if best:
+                best.extended = True
+            chains.append(_Chain(k, best.first if best else i - n + 1, i, e, gain or n))
+
+    def _holding(self, found) -> tuple[list[tuple[str, int, int, int]], dict[str, float]]:
+        """Spans in order of the text, and the largest share of each template; of spans on the same words (half of the shorter) one holds."""
+        share = lambda c: c.matched / self.sizes[c.template]
+        kept: list[_Chain] = []
+        starts: list[int] = []  # first words of the kept spans, which lie apart but for less than half
+        for c in sorted(found, key=lambda c: (-c.matched, -share(c), c.template, c.first)):
+            at = bisect_left(starts, c.first)
+            near = kept[max(0, at - 2) : at + 2]
+            if all(2 * (min(c.last, d.last) - max(c.first, d.first) + 1) <= c.last - c.first + 1 for d in near):
+                starts.insert(at, c.first)
+                kept.insert(at, c)
+        cover: dict[str, float] = {}
+        for c in kept:
+            name = self.names[c.template]
+            cover[name] = max(cover.get(name, 0.0), share(c))
+        return [(self.names[c.template], c.first, c.last, c.matched) for c in kept], cover
+
+
+@dataclass
+class _Chain:
+    template: int
+    first: int
+    last: int
+    end: int
+    matched: int
+    extended: bool = False
+
+
+@lru_cache(4)
+def scanner_of(base: tuple[tuple[str, str], ...], templates: tuple[tuple[str, str], ...]) -> Scanner:
+    return Scanner(dict(base), dict(templates))
 
 
 SPANS = pa.list_(pa.struct([("template", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("matched_words", pa.int64())]))
 
 
-def scan_licenses(df: DataFrame) -> DataFrame:
+def scan_licenses(df: DataFrame, base: dict[str, str] | None = None, templates: dict[str, str] | None = None) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans of every row.
 
-    score: 1 with a base label, else the largest share of a template that one chain covers.
+    score: 1 with a base label, else the largest share of a template that one span covers. base: phrase -> label;
+    templates: name -> text; those of this module if not given.
     """
+    known = tuple((BASE if base is None else base).items()), tuple((TEMPLATES if templates is None else templates).items())
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()), ("spans", SPANS)])
 
     def make():
-        s = scanner()
+        s = scanner_of(*known)
 
         def step(c):
             rows = []
