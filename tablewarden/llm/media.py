@@ -5,15 +5,19 @@ segments and gives the exact length, or rejects. The type found at offset 0 corr
 media further in are carved. A payload becomes a column by wrapping it as 8-bit mono PCM in a RIFF container.
 
 Nulls: null bytes are empty bytes, of type application/octet-stream and without media; a null declared type is
-never right. Empty tables give empty tables, repeated rows are sniffed each for itself.
+never right. Very long payloads: what formats share in looking for their ends is found once a payload. Ties: of media
+that start together the longest comes first, then by type. Empty tables give empty tables, repeated rows are sniffed
+each for itself. doc_id is an integer; sniff_column takes a key of any type.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
-from functools import lru_cache
+from bisect import bisect_left
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -40,7 +44,34 @@ MAGIC = {
 }
 
 
-def _wav(b: bytes, at: int) -> int:
+class Buffer(bytes):
+    """Bytes, with what the validators have found in them: each part is looked for once, however often a format seems to begin."""
+
+    def __init__(self, _data: bytes = b""):
+        self._places: dict[bytes, list[int]] = {}
+        self.jpeg: dict[int, tuple[int, bool]] = {}
+        self.gif: dict[int, tuple[int, bool]] = {}
+        self.blocks: dict[int, int] = {}
+
+    def places(self, what: bytes) -> list[int]:
+        if what not in self._places:
+            self._places[what] = [m.start() for m in re.finditer(re.escape(what), self)]
+        return self._places[what]
+
+    @cached_property
+    def archives(self) -> dict[int, int]:
+        """Start -> end of the archives whose end record and directory are sound."""
+        out: dict[int, int] = {}
+        for pos in self.places(b"PK\x05\x06"):
+            if pos + 22 <= len(self):
+                size, start, note = struct.unpack_from("<IIH", self, pos + 12)
+                at = pos - size - start
+                if at >= 0 and (not size or self[at + start : at + start + 4] == b"PK\x01\x02") and pos + 22 + note <= len(self):
+                    out.setdefault(at, pos + 22 + note)
+        return out
+
+
+def _wav(b: Buffer, at: int) -> int:
     if len(b) < at + 12 or b[at + 8 : at + 12] != b"WAVE":
         return 0
     end = at + 8 + struct.unpack_from("<I", b, at + 4)[0]
@@ -52,7 +83,7 @@ def _wav(b: bytes, at: int) -> int:
     return end - at if pos == end and {b"fmt ", b"data"} <= seen else 0
 
 
-def _png(b: bytes, at: int) -> int:
+def _png(b: Buffer, at: int) -> int:
     pos = at + 8
     while pos + 12 <= len(b):
         size, name = struct.unpack_from(">I", b, pos)[0], b[pos + 4 : pos + 8]
@@ -65,75 +96,103 @@ def _png(b: bytes, at: int) -> int:
     return 0
 
 
-def _blocks(b: bytes, pos: int) -> int:
+def _blocks(b: Buffer, pos: int) -> int:
     """Past a chain of GIF sub-blocks, or -1."""
-    while pos < len(b):
-        if not b[pos]:
-            return pos + 1
-        pos += 1 + b[pos]
-    return -1
+    path = []
+    while pos not in b.blocks:
+        if pos >= len(b):
+            b.blocks[pos] = -1
+        elif not b[pos]:
+            b.blocks[pos] = pos + 1
+        else:
+            path.append(pos)
+            pos += 1 + b[pos]
+    end = b.blocks[pos]
+    b.blocks.update(dict.fromkeys(path, end))
+    return end
 
 
-def _gif(b: bytes, at: int) -> int:
+def _gif(b: Buffer, at: int) -> int:
     if len(b) < at + 13:
         return 0
-    flags, images = b[at + 10], 0
+    flags = b[at + 10]
     pos = at + 13 + (3 << ((flags & 7) + 1) if flags & 128 else 0)
-    while 0 <= pos < len(b):
-        if b[pos] == 0x3B:
-            return pos + 1 - at if images else 0
-        if b[pos] == 0x21:
-            pos = _blocks(b, pos + 2)
-        elif b[pos] == 0x2C and pos + 10 < len(b):
-            local, images = b[pos + 9], images + 1
-            pos = _blocks(b, pos + 11 + (3 << ((local & 7) + 1) if local & 128 else 0))
-        else:
-            return 0
-    return 0
-
-
-def _jpeg(b: bytes, at: int) -> int:
-    pos, scanned = at + 2, False
-    while pos + 4 <= len(b) and b[pos] == 0xFF:
+    path, end, images = [], 0, False
+    while pos not in b.gif:
+        nxt, image = -1, False
+        if 0 <= pos < len(b):
+            if b[pos] == 0x3B:
+                end = pos + 1
+            elif b[pos] == 0x21:
+                nxt = _blocks(b, pos + 2)
+            elif b[pos] == 0x2C and pos + 10 < len(b):
+                local, image = b[pos + 9], True
+                nxt = _blocks(b, pos + 11 + (3 << ((local & 7) + 1) if local & 128 else 0))
+        path.append((pos, image))
+        if nxt < 0:
+            break
+        pos = nxt
+    else:
+        end, images = b.gif[pos]
+    for pos, image in reversed(path):
+        images |= image
+        b.gif[pos] = end, images
+    return end - at if end and images else 0
+
+
+def _jpeg(b: Buffer, at: int) -> int:
+    """Segments and scans up to the end marker. Where two walks meet, the second takes over what the first has found."""
+    pos, path, end, scanned = at + 2, [], 0, False
+    while True:
+        if pos in b.jpeg:
+            end, scanned = b.jpeg[pos]
+            break
+        scan = False
+        if pos + 2 > len(b) or b[pos] != 0xFF:
+            break
         if b[pos + 1] == 0xD9:
+            end = pos + 2
             break
-        size = struct.unpack_from(">H", b, pos + 2)[0]
+        size = struct.unpack_from(">H", b, pos + 2)[0] if pos + 4 <= len(b) else 0
         if size < 2:
-            return 0
-        scan = b[pos + 1] == 0xDA
-        pos += 2 + size
-        if scan:
-            scanned = True
-            while (pos := b.find(b"\xff", pos)) >= 0 and pos + 1 < len(b) and (b[pos + 1] == 0 or 0xD0 <= b[pos + 1] <= 0xD7):
-                pos += 2
-            if pos < 0:
-                return 0
-    return pos + 2 - at if scanned and b[pos : pos + 2] == b"\xff\xd9" else 0
-
-
-def _bmp(b: bytes, at: int) -> int:
+            break
+        nxt = pos + 2 + size
+        if b[pos + 1] == 0xDA:
+            scan = True
+            while (nxt := b.find(b"\xff", nxt)) >= 0 and nxt + 1 < len(b) and (b[nxt + 1] == 0 or 0xD0 <= b[nxt + 1] <= 0xD7):
+                nxt += 2
+        path.append((pos, scan))
+        if nxt < 0:
+            break
+        pos = nxt
+    if pos not in b.jpeg:
+        b.jpeg[pos] = end, scanned
+    for pos, scan in reversed(path):
+        scanned |= scan
+        b.jpeg[pos] = end, scanned
+    return end - at if scanned and end else 0
+
+
+def _bmp(b: Buffer, at: int) -> int:
     if len(b) < at + 26:
         return 0
     size, _, start, head = struct.unpack_from("<IIII", b, at + 2)
     return size if head in (12, 40, 52, 56, 108, 124) and 14 + head <= start <= size <= len(b) - at else 0
 
 
-def _pdf(b: bytes, at: int) -> int:
-    end = b.find(b"%%EOF", at)
-    return end + 5 - at if end >= 0 and b.find(b"startxref", at, end) >= 0 else 0
+def _pdf(b: Buffer, at: int) -> int:
+    k = bisect_left(b.places(b"%%EOF"), at)
+    end = b.places(b"%%EOF")[k] if k < len(b.places(b"%%EOF")) else -1
+    j = bisect_left(b.places(b"startxref"), at)
+    return end + 5 - at if j < len(b.places(b"startxref")) and b.places(b"startxref")[j] + 9 <= end else 0
 
 
-def _zip(b: bytes, at: int) -> int:
-    pos = b.find(b"PK\x05\x06", at)
-    while pos >= 0 and pos + 22 <= len(b):
-        size, start, note = struct.unpack_from("<IIH", b, pos + 12)
-        if at + start + size == pos and (not size or b[at + start : at + start + 4] == b"PK\x01\x02") and pos + 22 + note <= len(b):
-            return pos + 22 + note - at
-        pos = b.find(b"PK\x05\x06", pos + 1)
-    return 0
+def _zip(b: Buffer, at: int) -> int:
+    """An archive starts where the first sound end record says; local headers of its other files start none."""
+    return b.archives.get(at, at) - at
 
 
-def _flac(b: bytes, at: int) -> int:
+def _flac(b: Buffer, at: int) -> int:
     """FLAC frames have no length: metadata must be sound, and the stream is taken to the end."""
     pos, first = at + 4, True
     while pos + 4 <= len(b):
@@ -160,12 +219,12 @@ def automaton():
 
 def sniff(data: bytes) -> list[tuple[str, int, int]]:
     """(type, offset, length) of the sound media in data, outermost first; what lies within one of them is carved too."""
-    found = []
+    found, data = [], Buffer(data)
     for end, (n, kind) in automaton().iter(data.decode("latin-1")):
         at = end - n + 1
         if size := VALID[kind](data, at):
             found.append((kind, at, size))
-    return sorted(found, key=lambda x: (x[1], -x[2]))
+    return sorted(found, key=lambda x: (x[1], -x[2], x[0]))
 
 
 FOUND = pa.list_(pa.struct([("type", pa.string()), ("start", pa.int64()), ("length", pa.int64())]))

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 
 import duckdb
@@ -216,6 +217,44 @@ def test_templates(spark):
     assert (r[1]["labels"], r[1]["score"], r[1]["spans"]) == ("", 0.0, [])
 
 
+def _with_foreign(text, words):
+    return " ".join(w + f" {words[i % len(words)]}" * (i % 7 == 6) for i, w in enumerate(re.findall(r"[A-Za-z0-9]+", text)))
+
+
+@pytest.mark.parametrize("foreign", [["xyzzy"], ["the", "of", "software"]])
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+def test_each_template_with_foreign_words_and_no_other(name, foreign):
+    s = licenses.scanner_of(tuple(licenses.BASE.items()), tuple(licenses.TEMPLATES.items()))
+    for text in (licenses.TEMPLATES[name], _with_foreign(licenses.TEMPLATES[name], foreign)):
+        cover = s.scan(f"some words first {text} and some after")[3]
+        assert {k for k, x in cover.items() if x >= licenses.COVER} == {name}, cover
+
+
+def test_templates_are_a_parameter(spark, odd):
+    df = spark.createDataFrame([(1, "first one two three four five then one two three four five again one two three four five"), (2, None), (3, "")], "doc_id long, text string")
+    r = licenses.scan_licenses(df, base={"then": "t"}, templates={"own": "one two three four five"}).orderBy("doc_id").collect()
+    assert (r[0]["labels"], r[0]["n_base"], [x["first_word"] for x in r[0]["spans"]]) == ("own,t", 1, [1, 7, 13])
+    assert (r[1]["labels"], r[2]["score"]) == ("", 0.0)
+
+
+def test_all_labels_of_a_text_that_joins_two_notices():
+    s = licenses.scanner_of(tuple(licenses.BASE.items()), tuple(licenses.TEMPLATES.items()))
+    cover = s.scan(licenses.TEMPLATES["lgpl-notice"] + " . and " + licenses.TEMPLATES["gpl-notice"] * 2 + licenses.TEMPLATES["isc"])[3]
+    assert {k for k, x in cover.items() if x >= licenses.COVER} == {"lgpl-notice", "gpl-notice", "isc"}
+
+
+def test_places_of_states():
+    """Every state's places are those of its words in the sequences."""
+    rng = random.Random(4)
+    seqs = [[rng.randint(0, 2) for _ in range(rng.randint(1, 14))] for _ in range(6)]
+    sa = licenses.SuffixAutomaton(seqs)
+    for q in seqs:
+        for a in range(len(q)):
+            for b in range(a + 1, len(q) + 1):
+                want = sorted((k, i + b - a - 1) for k, p in enumerate(seqs) for i in range(len(p) - (b - a) + 1) if p[i : i + b - a] == q[a:b])
+                assert sorted(sa.ends[sa.walk(q[a:b])]) == want
+
+
 def test_automaton_statistics():
     """Longest suffix that stands in a sequence, against all substrings."""
     rng = random.Random(1)
@@ -252,6 +291,27 @@ def test_formats(data, kind):
     assert media.sniff(media.to_wav(data))[1] == (kind, 44, len(data))
 
 
+@pytest.mark.parametrize("piece", [*media.MAGIC, b"%PDF-%%EOF", b"PK\x03\x04PK\x05\x06" + bytes(18), b"\xff\xd8\xff\xda\x00\x02", b"GIF89a" + bytes(7) + b"\x21\xf9\x01", b"RIFF\x04\0\0\0WAVE"])
+def test_a_megabyte_of_beginnings_is_quick(piece):
+    began = time.process_time()
+    media.sniff(piece * (1_000_000 // len(piece)))
+    assert time.process_time() - began < 4  # linear: some tenths of a second on a free machine
+
+
+def test_files_of_one_archive_and_two_archives():
+    def archive(files):
+        body = b"".join(b"PK\x03\x04" + f for f in files)
+        return body + b"PK\x01\x02" + b"PK\x05\x06" + struct.pack("<HHHHIIH", 0, 0, 1, 1, 4, len(body), 0)
+
+    one, two = archive([b"abc", b"defg"]), archive([b"x"])
+    assert media.sniff(one + two) == [("application/zip", 0, len(one)), ("application/zip", len(one), len(two))]
+
+
+def test_feature_text():
+    data = bytes([0, 255, 0, 255, 128, 128])
+    assert media.features("audio/wav", data, 0) == f"audio/wav;rate=8000;samples=6;mean={766 * 1000 // 6};power={(2 * 128**2 + 2 * 127**2) // 6};crossings=3;carved=0"
+
+
 def test_sniff_column(spark):
     df = spark.createDataFrame([(1, _png(), "image/gif"), (2, b"BM plain text", None), (3, None, "image/png"), (4, GIF, "image/gif")], "id long, data binary, declared string")
     got = {r["id"]: (r["type"], r["was_right"]) for r in media.sniff_column(df, "id", "data", "declared").collect()}
