@@ -34,11 +34,12 @@ def _(t):
     return t.spark.read.parquet(out).select("id", "full_name")
 
 
-@query("st5_upsert", "SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL")
+@query("st5_upsert", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_quantity DESC) = 1")
 def _(t):
-    out = t.folder()
-    streams.upsert_stream(_stream(t, t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")), out, t.folder(), ["l_orderkey", "l_linenumber"]).awaitTermination()
-    return t.spark.read.parquet(f"{out}/version=3").select("l_orderkey", "l_linenumber")
+    out, keys = t.folder(), ["l_orderkey"]
+    rows = _stream(t, t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"))
+    streams.upsert_stream(rows, out, t.folder(), keys, "l_linenumber").awaitTermination()
+    return streams.upserted(t.spark, out, keys, "l_linenumber")
 
 
 @query("st6_late", f"SELECT event_id, CASE WHEN ts < TIMESTAMP '{_MARK}' THEN 'late' ELSE 'kept' END AS part FROM events WHERE ts <> TIMESTAMP '{_MARK}'")
@@ -64,9 +65,10 @@ def _(t):
 @query("st7_health_stream", _HEALTH)
 def _(t):
     """The same as a stream whose watermark holds all windows open until the end."""
-    name = f"health_{abs(hash(t.folder()))}"
-    streams.health(_stream(t, _health_rows(t)), "ts", "value", delay="3650 days").writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
-    return t.spark.table(name)
+    out = t.folder()
+    rows = streams.health(_stream(t, _health_rows(t)), "ts", "value", delay="3650 days")
+    rows.writeStream.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(out)).outputMode("complete").option("checkpointLocation", t.folder()).trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(out)
 
 
 @query("st8_distinct", "SELECT DISTINCT user_id FROM events")

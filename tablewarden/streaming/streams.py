@@ -11,7 +11,6 @@ from pyspark.sql.types import StructType
 
 from ..functions.names import check_identifier
 from ..operators import filters
-from ..operators.loads import upsert
 from ..plans.steps import govern
 
 
@@ -46,21 +45,37 @@ def govern_stream(df: DataFrame, out: str, checkpoint: str, run_id: str, at: str
     return run_batches(df, each, checkpoint)
 
 
-def upsert_stream(df: DataFrame, out: str, checkpoint: str, keys: Sequence[str]) -> StreamingQuery:
-    """Versions of a table, one a batch: a batch that runs again gives the same version, so each row counts once by its key."""
+def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row a key: the greatest by `order`, equal ones by all columns, so that the same rows give the same choice."""
+    value = F.struct(*rows.columns)
+    return rows.groupBy(*keys).agg(F.max_by(value, F.struct(*order, *rows.columns)).alias("_row")).select("_row.*")
+
+
+def upsert_stream(df: DataFrame, out: str, checkpoint: str, keys: Sequence[str], order: str) -> StreamingQuery:
+    """Changes by key, a folder a batch, each with its keys' latest rows; a batch that runs again replaces its folder.
+
+    A batch costs what it brings, whatever the table holds; upserted() reads the table, compact_upserts() folds it.
+    """
     if not keys:
         raise ValueError("a load that counts each row once needs keys")
+    order = check_identifier(order)
 
     def each(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.dropDuplicates(list(keys))
-        if n:
-            rows = upsert(spark.read.parquet(f"{out}/version={n - 1}"), rows, keys)
-        rows.write.mode("overwrite").parquet(f"{out}/version={n}")
+        latest(batch, keys, [order]).write.mode("overwrite").parquet(f"{out}/batch={n}")
 
     return run_batches(df, each, checkpoint)
 
 
+def upserted(spark: SparkSession, out: str, keys: Sequence[str], order: str) -> DataFrame:
+    """The table that the batches make: of each key the greatest row by `order`, of equal ones that of the later batch."""
+    return latest(spark.read.parquet(out), keys, [order, "batch"]).drop("batch")
+
+
+def compact_upserts(spark: SparkSession, out: str, to: str, keys: Sequence[str], order: str) -> None:
+    """The table as one batch (-1, before all others) of a new folder, to which a stream may go on writing."""
+    upserted(spark, out, keys, order).write.mode("overwrite").parquet(f"{to}/batch=-1")
+
+
 def divert_late(df: DataFrame, column: str, mark, out: str, late: str, checkpoint: str) -> StreamingQuery:
     """Rows over the stored mark to `out`, rows below it to `late`; none is lost."""
     check_identifier(column)

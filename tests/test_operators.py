@@ -389,3 +389,31 @@ def test_registries(spark):
     df = spark.createDataFrame([("Orders table", "t1"), ("customers", "t2")], "name string, tenant string")
     assert rows(registries.search(df, "orders", ["name"]).select("name")) == [("Orders table",)]
     assert registries.search(df, "orders", ["name"], "t2").count() == 0
+
+
+def test_upserts_go_on_after_a_failed_batch(spark, tmp_path, monkeypatch):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    files = [[(1, 1, "a"), (2, 1, "b")], [(1, 2, "c"), (1, 3, "d")], [(2, 0, "old"), (3, 1, "e")], [(1, 3, "d2"), (4, None, None)]]
+    for f in files:  # one after the other, so that batches come in this order
+        spark.createDataFrame(f, "k int, v int, x string").coalesce(1).write.mode("append").parquet(source)
+    stream = lambda: streams.upsert_stream(streams.read_stream(spark, source, "k int, v int, x string", per_batch=1), out, checkpoint, ["k"], "v")
+    plain, calls = streams.latest, []
+
+    def fails_once(*a):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return plain(*a)
+
+    monkeypatch.setattr(streams, "latest", fails_once)
+    with pytest.raises(Exception, match="lost"):
+        stream().awaitTermination()
+    assert rows(streams.upserted(spark, out, ["k"], "v").select("k", "v")) == [(1, 3), (2, 1)]
+    stream().awaitTermination()
+    want = [(1, 3, "d2"), (2, 1, "b"), (3, 1, "e"), (4, None, None)]
+    assert rows(streams.upserted(spark, out, ["k"], "v")) == want
+    stream().awaitTermination()  # nothing new
+    streams.compact_upserts(spark, out, str(tmp_path / "folded"), ["k"], "v")
+    assert rows(streams.upserted(spark, str(tmp_path / "folded"), ["k"], "v")) == want
+    with pytest.raises(ValueError):
+        streams.upsert_stream(None, out, checkpoint, [], "v")
