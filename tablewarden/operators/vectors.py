@@ -87,11 +87,15 @@ def nearest_each(df: DataFrame, queries: DataFrame, vector: str, key: str, k: in
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def approximate_nearest(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, tables: int = 28, bits: int = 4, sample: int = 1000, seed: int = 3) -> DataFrame:
+def approximate_nearest(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, tables: int = 28, bits: int | None = None, bucket: int = 20_000, sample: int = 1000, seed: int = 3) -> DataFrame:
     """query, key, distance, rank by cosine, over rows that share a bucket: signs of `bits` random projections in each of `tables` tables.
 
-    The projections are centred on the mean of `sample` rows at most; every row is indexed.
+    The projections are centred on the mean of `sample` rows at most; every row is indexed. Bits grow with the rows, so
+    that a bucket holds about `bucket` of them; beyond 4 bits the buckets that differ in one bit are looked at, too.
+    Only keys meet in buckets; vectors are joined to the pairs.
     """
+    if bits is None:
+        bits = min(28, max(4, math.ceil(math.log2(max(1, df.count() / bucket)))))
     first = df.select(vector).limit(sample).collect()
     x = np.array([r[vector] for r in first], float)
     rng = np.random.default_rng(seed)
@@ -100,18 +104,15 @@ def approximate_nearest(df: DataFrame, queries: DataFrame, vector: str, key: str
     planes = planes.tolist()
     shift = [[float(np.dot(p, mean)) for p in t] for t in planes]
 
-    def buckets(c: Column) -> Column:
-        keys = []
-        for t in range(tables):
-            bit = [F.when(_dot(c, F.array(*[F.lit(v) for v in planes[t][b]])) > F.lit(shift[t][b]), F.lit(1 << b)).otherwise(F.lit(0)) for b in range(bits)]
-            total = bit[0]
-            for x in bit[1:]:
-                total = total + x
-            keys.append(total + F.lit(t << bits))
-        return F.array(*keys)
-
-    index = df.select(F.col(key), F.col(vector).alias("_v"), F.explode(buckets(F.col(vector))).alias("_b"))
-    asked = queries.select(F.col(key).alias("query"), F.col(vector).alias("_q"), F.explode(buckets(F.col(vector))).alias("_b"))
-    pairs = asked.join(index, "_b").filter(F.col("query") != F.col(key)).dropDuplicates(["query", key])
+    def codes(c: Column) -> Column:
+        """The bits of each table."""
+        signs = [[F.when(_dot(c, F.array(*[F.lit(v) for v in planes[t][b]])) > F.lit(shift[t][b]), F.lit(1 << b)).otherwise(F.lit(0)).cast("long") for b in range(bits)] for t in range(tables)]
+        return F.array(*[sum(s[1:], s[0]) for s in signs])
+
+    flips = F.array(*[F.lit(v).cast("long") for v in [0, *([1 << b for b in range(bits)] if bits > 4 else [])]])
+    own = df.select(F.col(key), F.posexplode(codes(F.col(vector))).alias("_t", "_b"))
+    asked = queries.select(F.col(key).alias("query"), F.posexplode(codes(F.col(vector))).alias("_t", "_c")).select("query", "_t", F.explode(F.transform(flips, lambda x: x.bitwiseXOR(F.col("_c")))).alias("_b"))
+    pairs = asked.join(own, ["_t", "_b"]).filter(F.col("query") != F.col(key)).select("query", key).distinct()
+    pairs = pairs.join(df.select(key, F.col(vector).alias("_v")), key).join(queries.select(F.col(key).alias("query"), F.col(vector).alias("_q")), "query")
     w = Window.partitionBy("query").orderBy("distance", key)
     return pairs.select("query", key, distance(F.col("_q"), F.col("_v"), "cosine").alias("distance")).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

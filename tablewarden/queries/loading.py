@@ -54,19 +54,23 @@ def _(t):
     return readers.read(t.spark, path, "csv", _SCHEMA)
 
 
-@query("src11_src12_database", "SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey < 10")
+@query("src11_src12_database", "SELECT s_suppkey, CASE WHEN s_nationkey < 3 THEN upper(s_name) || '!' ELSE s_name END AS s_name FROM supplier WHERE s_nationkey < 10 UNION ALL SELECT -s_suppkey, 'new' FROM supplier WHERE s_nationkey < 3")
 def _(t):
-    """Through the JDBC source and the embedded database that comes with Spark: written, read in parts, filtered at the source."""
-    name = f"memory:w{abs(hash(t.folder()))}"
-    url = f"jdbc:derby:{name};create=true"
+    """Through the JDBC source and the embedded database that comes with Spark: written, upserted there, read in parts by a key whose bounds are asked for, filtered at the source."""
+    url = f"jdbc:derby:memory:w{abs(hash(t.folder()))};create=true"
     driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    sinks.write_database(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), url, "SUPPLIER", "replace", **driver)
-    return readers.read_database(t.spark, url, "SUPPLIER", columns=["s_suppkey", "s_name"], where="s_nationkey < 10", key="s_suppkey", bounds=(1, 100), partitions=3, **driver)
+    rows = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
+    sinks.write_database(rows, url, "SUPPLIER", "replace", **driver)
+    changed = rows.filter("s_nationkey < 3").selectExpr("s_suppkey", "concat(upper(s_name), '!') as s_name", "s_nationkey")
+    changed = changed.unionByName(rows.filter("s_nationkey < 3").selectExpr("-s_suppkey as s_suppkey", "'new' as s_name", "s_nationkey"))
+    sinks.write_database(changed, url, "SUPPLIER", "upsert", keys=["s_suppkey"], **driver)
+    return readers.read_database(t.spark, url, "SUPPLIER", columns=["s_suppkey", "s_name"], where="s_nationkey < 10", key="s_suppkey", partitions=3, **driver)
 
 
-@query("src13_fingerprints")
+@query("src13_fingerprints", "SELECT 'orders.parquet' AS file, count(*) AS rows, 6 AS columns, true AS hashed FROM orders")
 def _(t):
-    return readers.fingerprints(t.spark, f"{t.sf_dir}/orders.parquet")
+    found = readers.fingerprints(t.spark, f"{t.sf_dir}/orders.parquet", "parquet")
+    return found.select("file", "rows", "columns", F.col("sha256").rlike("^[0-9a-f]{64}$").alias("hashed"))
 
 
 @query("src14_per_file", "SELECT count(*) AS rows, 4 AS files FROM part")

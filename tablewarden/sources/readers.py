@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.names import check_identifier
 from ..operators.columns import flatten
 
 # Extensions of formats and of codecs that Spark opens by itself.
@@ -50,21 +51,39 @@ def read(spark: SparkSession, path: str | Sequence[str], form: str | None = None
     return flatten(df) if flat else df
 
 
-def read_database(spark: SparkSession, url: str, table: str | None = None, query: str | None = None, columns: Sequence[str] = (), where: str | None = None, key: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 8, **options: str) -> DataFrame:
-    """A table or query of a JDBC source; columns and the filter go to the source, and a numeric key with bounds reads it in parts."""
-    r = spark.read.format("jdbc").option("url", url).options(**options)
-    r = r.option("query", query) if query else r.option("dbtable", table)
-    if key and bounds and not query:
+def quoted(spark: SparkSession, url: str, name: str) -> str:
+    """A checked column name in the quotes of the database."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(check_identifier(name))
+
+
+def read_database(spark: SparkSession, url: str, table: str | None = None, query: str | None = None, columns: Sequence[str] = (), where: str | None = None, key: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 8, ordered: bool = False, **options: str) -> DataFrame:
+    """A table or query of a JDBC source; columns and the filter go to the source.
+
+    A numeric key reads it in parts; its bounds are asked of the source unless given. ordered: by the key, else by all columns.
+    """
+    source = f"({query}) q" if query else table
+    read = lambda what: spark.read.format("jdbc").options(url=url, dbtable=what, **options)
+    if key and not bounds:
+        name = quoted(spark, url, key)
+        found = read(f"(SELECT min({name}) AS lo, max({name}) AS hi FROM {source}) b").load().first()
+        bounds = (found[0], found[1]) if isinstance(found[0], int) and found[0] < found[1] else None
+    r = read(source)
+    if key and bounds:
         r = r.options(partitionColumn=key, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=partitions)
     df = r.load()
     if where:
         df = df.filter(where)
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return df.orderBy(*([key] if key else df.columns)) if ordered else df
 
 
-def fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """file, bytes, sha256 of every file."""
-    return spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+def fingerprints(spark: SparkSession, path: str, form: str | None = None) -> DataFrame:
+    """file, bytes, sha256 of every file; of a named row format also its rows and columns. A file is hashed in one value, so of 2 GB at most."""
+    found = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    if not form:
+        return found
+    rows = read_files(spark, [path], form)
+    return found.join(per_file(rows).withColumnRenamed("_file", "file"), "file", "left").fillna(0, ["rows"]).withColumn("columns", F.lit(len(rows.columns) - 1))
 
 
 def read_files(spark: SparkSession, paths: Sequence[str], form: str, schema: StructType | str | None = None) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.loads import upsert
+from .readers import quoted
 
 # Destinations by the writer that serves them.
 WRITERS = {
@@ -42,14 +43,39 @@ def upsert_files(df: DataFrame, path: str, out: str, keys: Sequence[str]) -> Dat
 
 
 def write_database(df: DataFrame, url: str, table: str, mode: str = "append", keys: Sequence[str] = (), batch: int = 10_000, **options: str) -> None:
-    """append, replace or upsert (the merged table is staged, then replaces it)."""
-    save = lambda d, t, m: d.write.format("jdbc").options(url=url, dbtable=t, batchsize=batch, **options).mode(m).save()
-    if mode == "upsert":
-        target = df.sparkSession.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-        save(upsert(target, df, keys), f"{table}_staged", "overwrite")
-        save(df.sparkSession.read.format("jdbc").options(url=url, dbtable=f"{table}_staged", **options).load(), table, "overwrite")
-    else:
-        save(df, table, "overwrite" if mode == "replace" else "append")
+    """append, replace or upsert: only the source's rows are staged, then the database replaces rows by key in one transaction."""
+    save = lambda t, m: df.write.format("jdbc").options(url=url, dbtable=t, batchsize=batch, **options).mode(m).save()
+    if mode != "upsert":
+        save(table, "overwrite" if mode == "replace" else "append")
+        return
+    if not keys:
+        raise ValueError("an upsert needs keys")
+    spark, staged = df.sparkSession, f"{table}_staged"
+    save(staged, "overwrite")
+    names = ", ".join(quoted(spark, url, c) for c in df.columns)
+    same = " AND ".join(f"s.{c} = {table}.{c}" for c in (quoted(spark, url, k) for k in keys))
+    _execute(spark, url, [f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staged} s WHERE {same})", f"INSERT INTO {table} ({names}) SELECT {names} FROM {staged}"], options)
+    _execute(spark, url, [f"DROP TABLE {staged}"], options)
+
+
+def _execute(spark: SparkSession, url: str, statements: Sequence[str], options: dict[str, str]) -> None:
+    """Statements in one transaction, over the driver's own connection."""
+    jvm = spark.sparkContext._jvm
+    properties = jvm.java.util.Properties()
+    for k, v in options.items():
+        properties.setProperty(k, v)
+    connection = jvm.java.sql.DriverManager.getConnection(url, properties)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        for s in statements:
+            statement.executeUpdate(s)
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
 
 
 def topic_rows(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
