@@ -107,11 +107,28 @@ def runs_of(texts: DataFrame) -> DataFrame:
 # --- shards and their merge ----------------------------------------------------------------------------------
 
 
-def block_symbols(snippet: bytes) -> np.ndarray:
-    """The hash of the BLOCK bytes from each place, never 0."""
-    p = wide_hash(np.frombuffer(snippet, np.uint8))
-    at = np.arange(len(snippet) - BLOCK + 1)
-    return wide_span(p, at, at + BLOCK) | np.uint64(1)
+def radix_order(key: np.ndarray, most: int) -> np.ndarray:
+    """Stable order of whole numbers from 0 to most: digits of 16 bits, the last one first."""
+    order = np.argsort(key.astype(np.uint16), kind="stable")
+    for shift in range(16, int(most).bit_length(), 16):
+        digit = (key[order] >> key.dtype.type(shift)).astype(np.uint16)
+        order = order[np.argsort(digit, kind="stable")]
+    return order
+
+
+def ranks(key: np.ndarray, most: int) -> np.ndarray:
+    """0, 1, ... by size, equal for equal numbers."""
+    order = radix_order(key, most)
+    by_size = key[order]
+    out = np.zeros(len(key), np.int64)
+    out[order[1:]] = np.cumsum(by_size[1:] != by_size[:-1])
+    return out
+
+
+def begins(ordered: np.ndarray) -> np.ndarray:
+    """Of every place the first of the run of equal numbers that it stands in."""
+    new = np.concatenate(([0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1))
+    return np.repeat(new, np.diff(np.concatenate((new, [len(ordered)]))))
 
 
 class Shard:
@@ -119,27 +136,38 @@ class Shard:
 
     def __init__(self, snippets: list[bytes]):
         # symbols: the hash of the BLOCK bytes from each place; the last BLOCK places of a snippet are ends (0)
-        hashes, sizes = [], []
-        for s in snippets:
-            hashes += [block_symbols(s), np.zeros(BLOCK, np.uint64)]
-            sizes.append(len(s) + 1)
-        self.symbols, self.sizes = np.concatenate(hashes), np.array(sizes)
-        self.order = self._sort()
-
-    def _sort(self) -> np.ndarray:
-        """Suffix order by doubling: ranks over 1, 2, 4, ... blocks. An end sorts first, equal suffixes by place."""
-        n, step = len(self.symbols), BLOCK
-        _, rank = np.unique(self.symbols, return_inverse=True)
-        longest = max(1, int(self.sizes.max()) // BLOCK)
+        self.sizes = np.array([len(s) + 1 for s in snippets])
+        data = np.frombuffer(b"\0".join([*snippets, b""]), np.uint8)
+        p, at = wide_hash(data), np.arange(len(data))
         ends = np.repeat(np.cumsum(self.sizes), self.sizes)
-        at = np.arange(n)
-        while step <= longest * BLOCK:
-            follow = at + step
-            nxt = np.where(follow < ends, rank[np.minimum(follow, n - 1)] + 1, 0)
-            key = rank.astype(np.int64) * (n + 2) + nxt
-            _, rank = np.unique(key, return_inverse=True)
+        whole = at < ends - BLOCK
+        self.symbols = np.zeros(len(data), np.uint64)
+        self.symbols[whole] = wide_span(p, at[whole], at[whole] + BLOCK) | np.uint64(1)
+        self.order = self._sort(ends)
+
+    def _sort(self, ends: np.ndarray) -> np.ndarray:
+        """Suffix order by doubling over 1, 2, 4, ... blocks. An end sorts first, equal suffixes by place.
+
+        A rank is the place where its class begins, so a class is split where it stands: those of one suffix, and those
+        that have come to their end, are looked at no more.
+        """
+        n, step = len(self.symbols), BLOCK
+        active = radix_order(self.symbols, 2**64 - 1)
+        rank = np.empty(n, np.int64)
+        rank[active] = begins(self.symbols[active])
+        while True:
+            r = rank[active]
+            same = r[1:] == r[:-1]
+            several = np.concatenate((same, [False])) | np.concatenate(([False], same))
+            active = active[several & (active + step < ends[active])]
+            if not len(active):
+                return radix_order(rank, n)
+            r, follow = rank[active], rank[active + step]
+            key = r * n + follow
+            o = radix_order(key, n * n)
+            active, r, key = active[o], r[o], key[o]
+            rank[active] = r + begins(key) - begins(r)
             step *= 2
-        return np.argsort(rank, kind="stable")
 
     @property
     def transform(self) -> np.ndarray:
@@ -158,22 +186,22 @@ def merge_shards(shards: list[Shard], rounds: int) -> list[np.ndarray]:
     """
     sizes = [len(s.order) for s in shards]
     source = np.repeat(np.arange(len(shards), dtype=np.int32), sizes)
-    _, symbol = np.unique(np.concatenate([s.transform for s in shards]), return_inverse=True)
-    symbol = symbol.astype(np.int32)
-    is_end = np.concatenate([s.transform for s in shards]) == 0
+    transforms = np.concatenate([s.transform for s in shards])
+    symbol, is_end = ranks(transforms, 2**64 - 1), transforms == 0
+    kinds = int(symbol.max(initial=0))
     first = np.cumsum([0, *sizes[:-1]])
     group, whole = np.zeros(len(source), np.int32), np.ones(len(source), bool)
 
     def places(source: np.ndarray) -> np.ndarray:
         """Index into the concatenated transforms of every place of the interleave."""
         out = np.empty(len(source), np.int64)
-        out[np.argsort(source, kind="stable")] = np.arange(len(source))
+        out[radix_order(source, len(shards))] = np.arange(len(source))
         return out
 
     for _ in range(rounds):
         now = places(source)
         c = symbol[now]
-        order = np.argsort(c, kind="stable")
+        order = radix_order(c, kinds)
         c, g = c[order], group[order]
         whole = whole[order] & ~is_end[now[order]]
         source = source[order]
@@ -190,40 +218,8 @@ def merge_shards(shards: list[Shard], rounds: int) -> list[np.ndarray]:
     return out
 
 
-def hopeful(snippets: list[bytes]) -> list[tuple[int, int]]:
-    """Of every snippet the first start and the last start + 1 of strings of LENGTH bytes whose blocks all seem to stand again (0, 0 for none).
-
-    Symbols are counted in a table of their last bits: one that stands alone there stands alone.
-    """
-    symbols = [block_symbols(s) for s in snippets]
-    slots = np.uint64((1 << max(10, 1 + int(sum(map(len, symbols))).bit_length())) - 1)
-    slot = [((x >> np.uint64(1)) & slots).astype(np.int64) for x in symbols]
-    again = np.bincount(np.concatenate(slot)) > 1
-    out = []
-    for x in slot:
-        twice = again[x]
-        n = len(x) + BLOCK - LENGTH
-        live = twice[:n].copy()
-        for k in range(BLOCK, LENGTH, BLOCK):
-            live &= twice[k : k + n]
-        found = np.flatnonzero(live)
-        out.append((int(found[0]), int(found[-1]) + 1) if len(found) else (0, 0))
-    return out
-
-
 def repeated_starts(snippets: list[bytes]) -> list[np.ndarray]:
     """Of every snippet the starts of strings of LENGTH bytes that start at another place of the snippets, too."""
-    spans = hopeful(snippets)
-    which = [i for i, (a, b) in enumerate(spans) if b]
-    out = [np.zeros(0, np.int64)] * len(snippets)
-    if which:
-        for i, starts in zip(which, merged_starts([snippets[i][spans[i][0] : spans[i][1] - 1 + LENGTH] for i in which]), strict=True):
-            out[i] = starts + spans[i][0]
-    return out
-
-
-def merged_starts(snippets: list[bytes]) -> list[np.ndarray]:
-    """The same by shard transforms and their merge."""
     cuts, size = [0], 0
     for i, s in enumerate(snippets):
         if size and size + len(s) > SHARD:

@@ -302,6 +302,34 @@ def test_repeats_documents(docs):
     _check_repeats(docs.limit(120))
 
 
+@pytest.mark.parametrize("most", [1, 70_000, 2**33, 2**64 - 1])
+def test_radix_order_is_a_stable_order(most):
+    key = np.random.default_rng(0).integers(0, most, 5000, dtype=np.uint64, endpoint=True)
+    key = key if most > 2**62 else key.astype(np.int64)
+    assert (repeats.radix_order(key, most) == np.argsort(key, kind="stable")).all()
+    assert (repeats.ranks(key, most) == np.unique(key, return_inverse=True)[1]).all()
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_shards_order_all_suffixes(seed):
+    rng = random.Random(seed)
+    base = bytes(rng.choices(b"ab", k=900))
+    cut = [base[rng.randint(0, 50) :][: rng.randint(60, 900)] + bytes(rng.choices(b"abc", k=rng.randint(0, 80))) for _ in range(8)]
+    shard = repeats.Shard(cut)
+    ends = np.repeat(np.cumsum(shard.sizes), shard.sizes)
+    key = [tuple(shard.symbols[i : ends[i] : repeats.BLOCK].tolist()) for i in range(len(shard.symbols))]
+    assert shard.order.tolist() == sorted(range(len(key)), key=lambda i: (key[i], i))
+
+
+def test_texts_made_for_sums_to_agree_do_not():
+    """Thue and Morse's sequence and its complement have one polynomial hash modulo 2**64, whatever the base."""
+    from tablewarden.llm.common import prefix_hash
+
+    bits = np.array([bin(i).count("1") & 1 for i in range(4096)], np.uint8)
+    a, b = bits + 97, 98 - bits
+    assert prefix_hash(a)[-1] == prefix_hash(b)[-1] and repeats.wide_hash(a)[-1] != repeats.wide_hash(b)[-1]
+
+
 def test_remove_repeats_keeps_rows_and_columns(odd, none):
     out = repeats.remove_repeats(odd)
     assert out.columns == odd.columns and out.count() == odd.count() and repeats.remove_repeats(none).count() == 0
