@@ -7,7 +7,8 @@ text they share without the texts.
 
 Nulls: a null text is the empty text, whose tree has no sections. A null doc_id comes last in descending
 order. Rows of equal doc_id are ordered by their texts' hashes, then texts; equal rows are interchangeable.
-Empty tables give empty tables; a single row is its own next document.
+Very long texts: all work is in SQL functions over one row at a time, no piece is longer than PIECE. Empty tables give
+empty tables; a single row is its own next document. doc_id is an integer (any type that has quantiles).
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ PIECE = 300
 PARAGRAPHS = r"[^\n]*\n+|[^\n]+"
 PIECES = rf"[^.!?]{{1,{PIECE}}}[.!?]*[ \n]*|[.!?]+[ \n]*"
 #: Hexadecimal digits of a leaf's hash.
-DIGITS = 16
-#: Rows that one task orders.
-ORDERED = 4096
+DIGITS = 32
+#: Rows that one task orders, and ranges at most: beyond their product ranges grow, and their sorts spill. The plan holds one border a range.
+ORDERED, RANGES = 4096, 4096
 
 
 def sections(text: Column) -> Column:
@@ -75,10 +76,10 @@ def with_next(df: DataFrame, key: str, order: list[Column], value: Column, name:
     """df with `name`: the value of the next row in descending key (ties by order); the last row gets the first row's.
 
     Ranges of the key are ordered on their own. The range borders are values of the key (quantiles of it, one
-    in ORDERED rows); rows at a border are also sent to the range below, where they stand last and are dropped.
+    in ORDERED rows, RANGES at most, so the plan does not grow with the table); rows at a border are also sent to the range below, where they stand last and are dropped.
     """
     n = df.count()
-    parts = max(1, math.ceil(n / ORDERED))
+    parts = min(RANGES, max(1, math.ceil(n / ORDERED)))
     marks = df.agg(F.percentile_approx(key, [i / parts for i in range(1, parts + 1)], max(10_000, 4 * parts)).alias("m")).first()["m"] if n else None
     marks = sorted(set(marks or []))
     if not marks:  # no key at all: one order by the ties

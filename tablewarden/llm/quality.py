@@ -7,7 +7,8 @@ probabilities are divided by a temperature that held-back teachers choose.
 
 Nulls: a null text is the empty text (all features 0). Without teachers, or with one kind only, every score is
 the share of label 1 among them (0.5 without any). Empty tables give empty tables. Rows of equal doc_id are
-scored each for itself; labels, lang and source never enter a score.
+scored each for itself, equal texts alike; labels, lang and source never enter a score. Very long texts are pooled
+whole. doc_id is an integer.
 """
 
 from __future__ import annotations
@@ -78,17 +79,17 @@ def context_vectors(df: DataFrame) -> np.ndarray:
                         total += np.bincount(b * DIM + places[a, k], signs[a, k], BUCKETS * DIM)
         if seen:
             salt = TaskContext.get().partitionId() % SALTS
-            blocks = total.astype(np.float32).reshape(-1, BLOCK * DIM)
+            blocks = total.reshape(-1, BLOCK * DIM)
             yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([salt] * len(blocks), pa.int32()), pa.array([b.tobytes() for b in blocks])], schema=schema)
 
     def add(batches):
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, part in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                x = np.frombuffer(part, np.float32).astype(float)
+                x = np.frombuffer(part)
                 held[block] = held[block] + x if block in held else x
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array([*held], pa.int32()), pa.array([0] * len(held), pa.int32()), pa.array([v.astype(np.float32).tobytes() for v in held.values()])], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([*held], pa.int32()), pa.array([0] * len(held), pa.int32()), pa.array([v.tobytes() for v in held.values()])], schema=schema)
 
     ship(df.sparkSession)
     spark_schema = from_arrow_schema(schema)
@@ -97,7 +98,7 @@ def context_vectors(df: DataFrame) -> np.ndarray:
     part = part.repartition("block").mapInArrow(add, spark_schema)
     table = np.zeros((BUCKETS // BLOCK, BLOCK * DIM))
     for row in part.collect():  # BUCKETS x DIM numbers for every corpus
-        table[row["block"]] += np.frombuffer(row["part"], np.float32)
+        table[row["block"]] += np.frombuffer(row["part"])
     return table.reshape(BUCKETS, DIM)
 
 
