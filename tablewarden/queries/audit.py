@@ -28,9 +28,9 @@ def _chain(t):
     return ledger.chain(ledger.canonical(_events(t)))
 
 
-@query("lg1_row_events", "SELECT 'LOAD-' || CAST(r_regionkey AS VARCHAR) AS event_id, r_name AS region FROM region")
+@query("lg1_row_events", "SELECT 'LOAD-' || CAST(o_orderkey AS VARCHAR) AS event_id, o_orderstatus AS status FROM orders")
 def _(t):
-    return ledger.row_events(t.region, "run-1", "LOAD", "LOAD", "2024-01-01", "r_regionkey", {"region": F.col("r_name")}).select("event_id", F.try_element_at("detail", F.lit("region")).alias("region"))
+    return ledger.row_events(t.orders, "run-1", "LOAD", "LOAD", "2024-01-01", "o_orderkey", {"status": F.col("o_orderstatus")}).select("event_id", F.try_element_at("detail", F.lit("status")).alias("status"))
 
 
 _BODY = """'{"action":"' || CASE WHEN value > 90 THEN 'LOAD_ERROR' WHEN event_id % 3 = 0 THEN 'SOURCE_READ' ELSE 'MASK' END || '","category":"' || upper(event_type) || '","detail":{"name":"' || event_type

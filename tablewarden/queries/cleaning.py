@@ -129,10 +129,10 @@ def _(t):
     return t.orders.select("o_orderkey", values.iso_date(raw).alias("d"))
 
 
-@query("xf16_country_codes", "SELECT n_nationkey, CASE WHEN lower(n) = 'germany' THEN 'DE' WHEN lower(n) = 'france' THEN 'FR' ELSE n END AS country FROM (SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'Germany' WHEN 1 THEN ' FRANCE' ELSE n_name END AS raw, trim(raw) AS t, CASE WHEN lower(trim(raw)) IN ('germany', 'france') THEN trim(raw) ELSE raw END AS n FROM nation)")
+@query("xf16_country_codes", "SELECT c_custkey, CASE WHEN lower(n) = 'germany' THEN 'DE' WHEN lower(n) = 'france' THEN 'FR' ELSE n END AS country FROM (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Germany' WHEN 1 THEN ' FRANCE' ELSE c_name END AS raw, trim(raw) AS t, CASE WHEN lower(trim(raw)) IN ('germany', 'france') THEN trim(raw) ELSE raw END AS n FROM customer)")
 def _(t):
-    raw = F.when(F.col("n_nationkey") % 3 == 0, "Germany").when(F.col("n_nationkey") % 3 == 1, " FRANCE").otherwise(F.col("n_name"))
-    return t.nation.select("n_nationkey", values.country_code(raw).alias("country"))
+    raw = F.when(F.col("c_custkey") % 3 == 0, "Germany").when(F.col("c_custkey") % 3 == 1, " FRANCE").otherwise(F.col("c_name"))
+    return t.customer.select("c_custkey", values.country_code(raw).alias("country"))
 
 
 @query("xf17_bool_text", "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'True' WHEN 1 THEN 'False' WHEN 2 THEN 'maybe' END AS b FROM customer")
@@ -153,9 +153,9 @@ def _(t):
     return steps.standardise_counts(t.part, {"p_brand": "lower", "p_name": "upper"})
 
 
-@query("xf20_stamps", "SELECT r_regionkey, r_name, 'run-1' AS _pipeline_id, '2024-01-01T00:00:00Z' AS _loaded_at_utc FROM region")
+@query("xf20_stamps", "SELECT o_orderkey, o_orderstatus, 'run-1' AS _pipeline_id, '2024-01-01T00:00:00Z' AS _loaded_at_utc FROM orders")
 def _(t):
-    return columns.stamp(t.region, "run-1", "2024-01-01T00:00:00Z")
+    return columns.stamp(t.orders.select("o_orderkey", "o_orderstatus"), "run-1", "2024-01-01T00:00:00Z")
 
 
 @query("xf21_drop_empty_rows", f"SELECT bal, seg FROM ({_HOLES}) WHERE bal IS NOT NULL OR seg IS NOT NULL")

@@ -147,9 +147,9 @@ def _(t):
     return diffs.evolution_plan(t.spark, t.orders.schema, new.schema, drop_missing=True)
 
 
-@query("df5_evolve", "SELECT r_regionkey, r_name, NULL AS note FROM region UNION ALL SELECT r_regionkey, r_name, 'new' FROM region")
+@query("df5_evolve", "SELECT s_suppkey, s_name, NULL AS note FROM supplier UNION ALL SELECT s_suppkey, s_name, 'new' FROM supplier")
 def _(t):
-    return diffs.evolve(t.region, t.region.withColumn("note", F.lit("new")))
+    return diffs.evolve(t.supplier.select("s_suppkey", "s_name"), t.supplier.select("s_suppkey", "s_name", F.lit("new").alias("note")))
 
 
 @query("jn9_concept_ids", "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_size * 100 ELSE 0 END AS concept_id FROM part")

@@ -32,12 +32,12 @@ def _(t):
     return readers.read(t.spark, path, "jsonl").select("event_id", "event_type", "props__k")
 
 
-@query("src5_xml", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("src5_xml", "SELECT c_custkey, c_name, c_nationkey FROM customer")
 def _(t):
     path = t.folder()
-    t.nation.select(F.col("n_nationkey").alias("_key"), F.struct(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region")).alias("of")).write.format("xml").option("rowTag", "nation").save(path)
-    rows = readers.read(t.spark, path, "xml", "_key int, of struct<name: string, region: int>", row_tag="nation")
-    return rows.select(F.col("_key").alias("n_nationkey"), F.col("of__name").alias("n_name"), F.col("of__region").alias("n_regionkey"))
+    t.customer.select(F.col("c_custkey").alias("_key"), F.struct(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation")).alias("of")).write.format("xml").option("rowTag", "customer").save(path)
+    rows = readers.read(t.spark, path, "xml", "_key long, of struct<name: string, nation: int>", row_tag="customer")
+    return rows.select(F.col("_key").alias("c_custkey"), F.col("of__name").alias("c_name"), F.col("of__nation").alias("c_nationkey"))
 
 
 @query("src9_fixed_width", "SELECT CAST(s_suppkey AS VARCHAR) AS key, s_name AS name FROM supplier")
@@ -104,11 +104,11 @@ def _(t):
     return loads.replay(t.spark, path, lambda df: df.withColumn("c_acctbal", F.lit(0.0)), "run-1").select("c_custkey", "c_acctbal")
 
 
-@query("ld1_append_replace", "SELECT r_regionkey, r_name FROM region UNION ALL SELECT r_regionkey, r_name FROM region")
+@query("ld1_append_replace", "SELECT o_orderkey, o_totalprice FROM orders UNION ALL SELECT o_orderkey, o_totalprice FROM orders")
 def _(t):
     path = t.folder()
     for mode in ("append", "replace", "append"):
-        loads.write_rows(t.region, path, mode)
+        loads.write_rows(t.orders.select("o_orderkey", "o_totalprice"), path, mode)
     return t.spark.read.parquet(path)
 
 

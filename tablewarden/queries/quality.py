@@ -149,10 +149,20 @@ def _(t):
 
 @query("ql17_synthetic")
 def _(t):
-    top = [(r["p_brand"], r["count"]) for r in t.part.groupBy("p_brand").count().orderBy("p_brand").limit(30).collect()]
-    return quality.synthesise(t.spark, quality.column_statistics(t.part, ["p_size", "p_retailprice", "p_brand", "p_name"]), 1000, {"p_brand": top}, seed=1)
+    """As many rows as the table has; the commonest values, 30 of them, by their counts."""
+    top = [(r["p_brand"], r["count"]) for r in t.part.groupBy("p_brand").count().orderBy(F.desc("count"), "p_brand").limit(30).collect()]
+    return quality.synthesise(t.spark, quality.column_statistics(t.part, ["p_size", "p_retailprice", "p_brand", "p_name"]), t.part.count(), {"p_brand": top}, seed=1)
 
 
-@query("ql18_gate", "SELECT * FROM (VALUES ('schema', 1, 'WARN'), ('baseline', 0, 'PASS'), ('purpose', 2, 'FAIL'), ('contract', 0, 'PASS')) v(\"check\", findings, status) WHERE (SELECT count(*) FROM region) = 5")
+@query("ql18_gate", "SELECT * FROM (VALUES ('schema', 1, 'WARN'), ('baseline', 0, 'PASS'), ('purpose', 2, 'FAIL'), ('contract', 0, 'PASS')) v(\"check\", findings, status) WHERE (SELECT count(*) FROM orders) > 0")
 def _(t):
-    return steps.gate(t.region, t.spark, ["r_regionkey"], 5, [], {"sla": {"min_rows": 1}})
+    rows = t.orders.select("o_orderkey", "o_orderstatus")
+    return steps.gate(rows, t.spark, ["o_orderkey"], rows.count(), [], {"sla": {"min_rows": 1}})
+
+
+@query("governed_rows", "SELECT DISTINCT c_custkey AS customer_id, 'MASKED_' || substr(sha256(c_name), 1, 12) AS full_name, n_name AS nation, c_acctbal AS balance, 'run-1' AS _pipeline_id, '2024-01-01T00:00:00Z' AS _loaded_at_utc FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
+def _(t):
+    """The rows of the governed load: names, masks, repeated rows and stamps; every row twice on the way in."""
+    rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    rows = rows.select(F.col("c_custkey").alias("Customer Id"), F.col("c_name").alias("full_name"), F.col("n_name").alias("Nation"), F.col("c_acctbal").alias("balance"))
+    return steps.govern(rows.unionAll(rows), "run-1", "2024-01-01T00:00:00Z")
