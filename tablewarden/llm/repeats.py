@@ -11,8 +11,12 @@
    interval of a string of LENGTH bytes that starts at two or more places.
    A name whose different runs have more than HOT bytes would fill one task: its windows are counted by hash instead.
 
+Hashes of spans are sums over mixed words of eight bytes, so no two texts can be made to agree whatever the base. Runs
+of one name agree by two 64-bit hashes, that of the name's gram and that of the run.
+
 Nulls: a null text is the empty one; texts shorter than LENGTH bytes keep all bytes. Rows with equal texts are
-places of their own, whatever their doc_id. Empty tables give empty tables.
+places of their own, whatever their doc_id. Very long texts are cut into runs like all others. Ties: all places of a
+string are repeated, none is kept for the others. Empty tables give empty tables. doc_id is an integer.
 """
 
 from __future__ import annotations

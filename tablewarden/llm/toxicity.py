@@ -7,7 +7,8 @@ trees, and those that calibrate do neither.
 
 Nulls: a null text is the empty text (all features 0). Without teachers, or with one kind only, every score is
 the share of label 1 among them (0.5 without any). Empty tables give empty tables. Rows of equal doc_id are
-scored each for itself; labels, lang and source never enter a score.
+scored each for itself, equal texts alike; labels, lang and source never enter a score. Very long texts are described
+whole. Ties in the mined lexicon go to the smaller hash. doc_id is an integer.
 """
 
 from __future__ import annotations
