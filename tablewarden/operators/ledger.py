@@ -204,7 +204,9 @@ def govern_sealed(df: DataFrame, key: str, buckets: int, pipeline_id: str, at: s
     spark = df.sparkSession
     govern_buckets(df, key, buckets, columns).write.parquet(f"{path}/rows")
     rows, read = spark.read.parquet(f"{path}/rows"), df.select(bucket(F.col(key), buckets).alias("segment_id"))
-    chain(bucket_trail(read, rows, pipeline_id, at, columns)).write.parquet(f"{path}/trail")
+    # written before it is chained: a chain reads its events twice
+    bucket_trail(read, rows, pipeline_id, at, columns).write.parquet(f"{path}/events")
+    chain(spark.read.parquet(f"{path}/events")).write.parquet(f"{path}/trail")
     trail = spark.read.parquet(f"{path}/trail")
     seal(heads(trail)).write.parquet(f"{path}/seal")
     sealed = spark.read.parquet(f"{path}/seal")
