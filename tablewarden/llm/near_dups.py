@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, map_rows, mix, scratch, word_hashes
+from .common import fresh, give_back, map_rows, mix, scratch, word_hashes
 
 HASHES, ROWS, BATCH = 128, 4, 32
 #: Chance that a pair at the threshold is pruned in one comparison of a batch.
@@ -333,6 +333,8 @@ def block_links(rows: DataFrame, sizes: DataFrame, sets: DataFrame, classes: Dat
                         out.append((int(ids[x]), int(ids[k])))
                         part[part == part[k]] = part[x]
         cols = list(zip(*out, strict=True)) or [()] * 2
+        if len(sig) > BLOCK // 2:  # a large block's memory goes back at once
+            give_back()
         return pa.table([pa.array(list(v), f.type) for v, f in zip(cols, LINKS, strict=True)], schema=LINKS)
 
     return cells.join(full, "id").groupBy("key", "i", "j").applyInArrow(links, from_arrow_schema(LINKS))

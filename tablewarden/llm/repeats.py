@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, map_rows, mix, scratch, span_hash, sums_of
+from .common import fresh, give_back, map_rows, mix, scratch, span_hash, sums_of
 
 LENGTH, K, BLOCK = 200, 48, 50
 #: Bytes of runs of one name that are merged at once; of runs in a shard; of runs in one merge (and its name's rest).
@@ -267,6 +267,8 @@ def _merged(snippets: DataFrame) -> DataFrame:
                 held, size = [], 0
         if held:
             yield flush(table, held)
+        del table, rows
+        give_back()
 
     def flush(table: dict, held: list[int]) -> pa.RecordBatch:
         rows = []
