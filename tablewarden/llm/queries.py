@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, licenses, media, near_dups, packing, quality, repeats, token_counts, toxicity
+from . import bpe, conversations, fingerprints, licenses, media, near_dups, packing, pii, quality, repeats, token_counts, toxicity
 from .common import documents
 from .labelled import scored, verdict
 
@@ -64,6 +64,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdict(scored(docs, toxicity.fit_toxicity(docs, labels)), 0.5)
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.audit_conversations(conversations.damage(talks), dropped="dropped")
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest_private(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    found = [op1_fingerprints, op2_bpe, op3_licenses, op4_packing, op5_token_counts, op6_media, op7_near_dups, op8_quality, op9_repeats, op10_toxicity]
+    found = [op1_fingerprints, op2_bpe, op3_licenses, op4_packing, op5_token_counts, op6_media, op7_near_dups, op8_quality, op9_repeats, op10_toxicity, op12_conversations, op13_pii]
     return {f.__name__: f for f in found}
