@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversations, fingerprints, licenses, media, near_dups, packing, pii, quality, repeats, token_counts, toxicity
+from . import alignment, bpe, conversations, fingerprints, licenses, media, near_dups, packing, pii, quality, repeats, token_counts, toxicity
 from .common import documents
 from .labelled import scored, verdict
 
@@ -64,6 +64,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdict(scored(docs, toxicity.fit_toxicity(docs, labels)), 0.5)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_texts(documents(spark, sf_dir), *paths, public_tokenizers.PATTERN)
+
+
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     return conversations.audit_conversations(conversations.damage(talks), dropped="dropped")
@@ -74,5 +79,5 @@ def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_fingerprints, op2_bpe, op3_licenses, op4_packing, op5_token_counts, op6_media, op7_near_dups, op8_quality, op9_repeats, op10_toxicity, op12_conversations, op13_pii]
+    found = [op1_fingerprints, op2_bpe, op3_licenses, op4_packing, op5_token_counts, op6_media, op7_near_dups, op8_quality, op9_repeats, op10_toxicity, op11_alignment, op12_conversations, op13_pii]
     return {f.__name__: f for f in found}
