@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, NumericType, StringType, StructType
 
 from ..functions.values import coerce
+from .selection import quantiles
 
 
 def flatten(df: DataFrame, sep: str = "__", depth: int = 10) -> DataFrame:
@@ -81,9 +82,11 @@ def fill_statistic(df: DataFrame, columns: Sequence[str], how: str) -> DataFrame
     cols = [c for c in columns if c in df.columns and isinstance(df.schema[c].dataType, NumericType)]
     if not cols:
         return df
-    stat = {"mean": F.avg, "median": lambda c: F.percentile(c, 0.5)}[how]
-    one = df.agg(*[stat(F.col(c)).alias(c) for c in cols]).first()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(one[c])) for c in cols})
+    if how == "median":
+        one = {c: q[0] for c, q in quantiles(df, cols, [0.5]).items()}
+    else:
+        one = df.agg(*[{"mean": F.avg}[how](F.col(f"`{c}`")).alias(c) for c in cols]).first()
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(one[c])) for c in cols})
 
 
 _BINARY = {ast.Add: "+", ast.Sub: "-", ast.Mult: "*", ast.Div: "/", ast.Mod: "%"}

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, StructType, TimestampNTZType, TimestampType
 from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
+from .ranges import number_rows
+
 
 def row_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """keys, change (added, deleted, changed), column, before, after: values as text, one row a changed column; one full join."""
@@ -29,9 +31,12 @@ def diff_counts(diff: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def positional_diff(old: DataFrame, new: DataFrame, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
-    """row_diff by the place in the given order (within `by`, so that places are counted in parallel)."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    place = lambda df: df.withColumn("_place", F.row_number().over(w))
+    """row_diff by the place in the given order: of the whole table, whose places are counted in ranges, or within `by`."""
+    if by:
+        w = Window.partitionBy(*by).orderBy(*order)
+        place = lambda df: df.withColumn("_place", F.row_number().over(w))
+    else:
+        place = lambda df: number_rows(df, order)
     return row_diff(place(old), place(new), [*by, "_place"])
 
 

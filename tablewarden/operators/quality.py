@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from .aggregates import duplicate_rows
+from .selection import distinct_counts, quantiles
+
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 def _numeric(df: DataFrame, c: str) -> bool:
@@ -21,38 +24,51 @@ def _text(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, StringType)
 
 
-def column_statistics(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4) -> DataFrame:
-    """One row a column, all in one pass: rows, nulls, distinct, zero and negative counts, min/max/mean/std/quartiles of numbers, lengths and empty texts."""
-    parts = []
+PARTS = ("numbers", "texts", "distinct", "quartiles")
+
+
+def column_statistics(df: DataFrame, columns: Sequence[str] | None = None, digits: int | None = 4, parts: Sequence[str] = PARTS) -> DataFrame:
+    """One row a column: rows, nulls, distinct, zero and negative counts, min/max/mean/std/quartiles of numbers, lengths and empty texts.
+
+    Sums come from one aggregate, distinct counts from a second, quartiles by selection (operators.selection); parts says which are
+    wanted, the others are null and cost nothing. Means, deviations and quartiles are rounded to so many digits, or not at all.
+    """
+    cells = []
     none, zero = F.lit(None).cast("double"), F.lit(None).cast("long")
-    for c in columns or df.columns:
-        x, num, text = F.col(c), _numeric(df, c), _text(df, c)
-        d = x.cast("double") if num else none
-        n = F.char_length(x) if text else F.lit(None).cast("int")
-        q = F.percentile(d, [0.25, 0.5, 0.75]) if num else F.array(none, none, none)
-        r = lambda v: F.round(v, digits)
-        parts.append(
+    names = list(columns or df.columns)
+    numbers = [c for c in names if _numeric(df, c)]
+    r = lambda v: v if digits is None else F.round(v, digits)
+    for c in names:
+        x = F.col(f"`{c}`")
+        num, text = c in numbers and "numbers" in parts, _text(df, c) and "texts" in parts
+        d, n = x.cast("double"), F.char_length(x) if text else F.lit(None).cast("int")
+        cells.append(
             F.struct(
                 F.lit(c).alias("column"),
                 F.count("*").alias("rows"),
                 F.count_if(x.isNull()).alias("nulls"),
-                F.count_distinct(x).alias("distinct"),
                 (F.count_if(d == 0) if num else zero).alias("zeros"),
                 (F.count_if(d < 0) if num else zero).alias("negatives"),
                 (F.min(d) if num else none).alias("min"),
                 (F.max(d) if num else none).alias("max"),
                 (r(F.avg(d)) if num else none).alias("mean"),
                 (r(F.stddev_samp(d)) if num else none).alias("std"),
-                r(F.get(q, 0)).alias("p25"),
-                r(F.get(q, 1)).alias("p50"),
-                r(F.get(q, 2)).alias("p75"),
                 (F.min(n).cast("long") if text else zero).alias("min_length"),
                 (F.max(n).cast("long") if text else zero).alias("max_length"),
                 (r(F.avg(n)) if text else none).alias("mean_length"),
                 (F.count_if(x == "") if text else zero).alias("empty"),
             )
         )
-    return df.agg(F.array(*parts).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+    sums = df.agg(F.array(*cells).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+    if "distinct" in parts:
+        sums = sums.join(F.broadcast(distinct_counts(df, names)), "column")
+    else:
+        sums = sums.withColumn("distinct", zero)
+    found = quantiles(df, numbers, QUARTILES) if "quartiles" in parts else {}
+    # a literal a column and quartile: as many as the schema has
+    at = F.create_map(*[x for c, qs in found.items() for x in (F.lit(c), F.array(*[F.lit(q).cast("double") for q in qs]))]) if found else F.lit(None).cast("map<string,array<double>>")
+    sums = sums.withColumns({n: r(F.get(at[F.col("column")], i)) for i, n in enumerate(("p25", "p50", "p75"))})
+    return sums.select("column", "rows", "nulls", "distinct", "zeros", "negatives", "min", "max", "mean", "std", "p25", "p50", "p75", "min_length", "max_length", "mean_length", "empty")
 
 
 def profile_table(df: DataFrame) -> DataFrame:
@@ -364,7 +380,7 @@ def null_alerts(df: DataFrame, critical: Sequence[str] = (), floor: float = 0.5,
 
 def observe(df: DataFrame, dataset: str, observed: str, columns: Sequence[str] | None = None) -> DataFrame:
     """dataset, observed_utc, row_count, column_count, column_stats: one row for the history."""
-    s = column_statistics(df, columns)
+    s = column_statistics(df, columns, parts=("numbers",))
     return s.agg(F.max("rows").alias("row_count"), F.array_sort(F.collect_list(F.struct("column", "nulls", "mean", "std"))).alias("column_stats")).select(F.lit(dataset).alias("dataset"), F.lit(observed).alias("observed_utc"), "row_count", F.lit(len(df.columns)).alias("column_count"), "column_stats")
 
 

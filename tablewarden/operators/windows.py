@@ -7,11 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import fill_ranges
+
 
 def fill_along(df: DataFrame, columns: Sequence[str], how: str, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
-    """Nulls take the nearest value before (forward) or after (backward) them within `by`."""
+    """Nulls take the nearest value before (forward) or after (backward) them within `by`.
+
+    Without `by` the order is that of the whole table, which is scanned in ranges; ranges.fill_ranges does the same for keys
+    that hold a large share of the rows.
+    """
     if not order:
         raise ValueError("an order is needed to fill along")
+    if not by:
+        return fill_ranges(df, columns, how, order)
     w = Window.partitionBy(*by).orderBy(*order)
     if how == "forward":
         w, f = w.rowsBetween(Window.unboundedPreceding, 0), F.last

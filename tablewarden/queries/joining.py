@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, diffs, joins, vectors, windows
+from ..operators import aggregates, diffs, joins, ranges, vectors, windows
 from .registry import query
 
 
@@ -120,11 +120,7 @@ FROM a FULL JOIN b ON a.o_custkey = b.o_custkey AND a._place = b._place WHERE b.
 def _(t):
     keep = ["o_custkey", "o_orderkey", "o_orderstatus"]
     old, new = t.orders.select(*keep), t.orders.filter("o_orderkey % 5 <> 0").select(*keep)
-    w = [F.col("o_orderkey")]
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy(*w))
-    return diffs.row_diff(old.withColumn("_place", place).drop("o_orderkey"), new.withColumn("_place", place).drop("o_orderkey"), ["o_custkey", "_place"])
+    return diffs.positional_diff(old, new, [F.col("o_orderkey")], ["o_custkey"]).filter("column is null or column <> 'o_orderkey'")
 
 
 @query("df3_version_diff", """
@@ -279,6 +275,42 @@ def _(t):
     return windows.fill_along(rows, ["event_type"], "backward", [F.col("ts"), F.col("event_id")], ["user_id"]).select("event_id", "event_type")
 
 
+_WHOLE = "SELECT event_id, user_id, event_type, ts, CASE WHEN event_id % 7 > 0 THEN NULL ELSE user_id END AS last_user, CASE WHEN event_id % 5 > 0 THEN NULL ELSE value END AS last_value FROM events"
+
+
+def _whole(t):
+    return t.events.selectExpr("event_id", "user_id", "event_type", "ts", "case when event_id % 7 > 0 then null else user_id end as last_user", "case when event_id % 5 > 0 then null else value end as last_value")
+
+
+@query("wn1_fill_forward_whole", f"SELECT event_id, last_value(last_user IGNORE NULLS) OVER w AS last_user, last_value(last_value IGNORE NULLS) OVER w AS last_value FROM ({_WHOLE}) WINDOW w AS (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)")
+def _(t):
+    return windows.fill_along(_whole(t), ["last_user", "last_value"], "forward", [F.col("ts"), F.col("event_id")]).select("event_id", "last_user", "last_value")
+
+
+@query("wn1_fill_backward_whole", f"SELECT event_id, first_value(last_user IGNORE NULLS) OVER w AS last_user, first_value(last_value IGNORE NULLS) OVER w AS last_value FROM ({_WHOLE}) WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)")
+def _(t):
+    return windows.fill_along(_whole(t), ["last_user", "last_value"], "backward", [F.col("ts"), F.col("event_id")]).select("event_id", "last_user", "last_value")
+
+
+@query("wn1_fill_hot_keys", f"SELECT event_id, last_value(last_user IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts DESC, event_id ROWS UNBOUNDED PRECEDING) AS last_user FROM ({_WHOLE})")
+def _(t):
+    """A few keys hold all rows: each is filled over many ranges."""
+    return ranges.fill_ranges(_whole(t), ["last_user"], "forward", [F.desc("ts"), F.col("event_id")], ["event_type"]).select("event_id", "last_user")
+
+
+@query("df2_positional_diff_whole", """
+WITH a AS (SELECT row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS _place, o_orderkey, o_orderstatus FROM orders),
+b AS (SELECT row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS _place, o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 50 <> 0),
+p AS (SELECT coalesce(a._place, b._place) AS _place, a._place AS pa, b._place AS pb, CAST(a.o_orderkey AS VARCHAR) AS ka, CAST(b.o_orderkey AS VARCHAR) AS kb, a.o_orderstatus AS sa, b.o_orderstatus AS sb FROM a FULL JOIN b ON a._place = b._place)
+SELECT _place, 'deleted' AS change, NULL AS "column", NULL AS before, NULL AS after FROM p WHERE pb IS NULL
+UNION ALL SELECT _place, 'changed', 'o_orderkey', ka, kb FROM p WHERE pb IS NOT NULL AND ka <> kb
+UNION ALL SELECT _place, 'changed', 'o_orderstatus', sa, sb FROM p WHERE pb IS NOT NULL AND sa IS DISTINCT FROM sb""")
+def _(t):
+    keep = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    old, new = (ranges.number_rows(rows.select(*keep), [F.col("o_totalprice"), F.col("o_orderkey")]).drop("o_totalprice") for rows in (t.orders, t.orders.filter("o_orderkey % 50 <> 0")))
+    return diffs.row_diff(old, new, ["_place"])
+
+
 _DAILY = "SELECT event_type AS dataset, strftime(ts, '%Y-%m-%d') AS observed_utc, count(*) AS row_count, CAST(count(*) % 50 AS BIGINT) AS score FROM events GROUP BY ALL"
 
 

@@ -30,6 +30,21 @@ def _(t):
     return quality.column_statistics(_part(t), digits=2)
 
 
+_SPREAD = "SELECT CASE WHEN l_linenumber = 3 THEN NULL ELSE l_extendedprice END AS price, CASE WHEN l_orderkey % 3 > 0 THEN 7 ELSE l_partkey END AS hot, CASE WHEN l_linenumber = 1 THEN -1e200 * l_partkey WHEN l_linenumber = 2 THEN 1e-9 * l_suppkey ELSE l_quantity - 25 END AS wild, CAST(NULL AS DOUBLE) AS never FROM lineitem"
+
+
+@query("ql2_quartiles", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS \"distinct\", CAST(quantile_cont({c}, 0.25) AS DOUBLE) AS p25, CAST(quantile_cont({c}, 0.5) AS DOUBLE) AS p50, CAST(quantile_cont({c}, 0.75) AS DOUBLE) AS p75 FROM ({_SPREAD})" for c in ("price", "hot", "wild", "never")))
+def _(t):
+    """Nulls, a value that holds two thirds of the rows, values from 1e-9 to 1e205, and no value at all."""
+    rows = t.lineitem.selectExpr(
+        "case when l_linenumber = 3 then null else l_extendedprice end as price",
+        "case when l_orderkey % 3 > 0 then 7 else l_partkey end as hot",
+        "case when l_linenumber = 1 then -1e200 * l_partkey when l_linenumber = 2 then 1e-9 * l_suppkey else l_quantity - 25 end as wild",
+        "cast(null as double) as never",
+    )
+    return quality.column_statistics(rows, digits=None, parts=("distinct", "quartiles")).select("column", "distinct", "p25", "p50", "p75")
+
+
 @query("ql2_time_range", "SELECT CAST(min(ts) AS VARCHAR) AS first, CAST(max(ts) AS VARCHAR) AS last, date_diff('day', min(ts), max(ts)) AS days FROM events")
 def _(t):
     return quality.time_range(t.events, "ts")
@@ -131,9 +146,13 @@ def _(t):
     return quality.null_alerts(rows, ["gone", "often", "p_type", "risen", "p_size"], previous={"p_type": -0.2, "risen": 0.4, "p_size": 0.0})
 
 
-@query("ql14_observe", "SELECT 'part' AS dataset, '2024-01-01' AS observed_utc, count(*) AS row_count, 6 AS column_count FROM part")
+_OBSERVED = """SELECT 'part' AS dataset, '2024-01-01' AS observed_utc, count(*) AS row_count, 6 AS column_count, '{c}' AS "column", count(*) FILTER ({c} IS NULL) AS nulls, {m} AS mean, {s} AS std FROM part"""
+
+
+@query("ql14_observe", " UNION ALL ".join(_OBSERVED.format(c=c, m=f"round(avg({c}), 4)" if n else "NULL", s=f"round(stddev_samp({c}), 4)" if n else "NULL") for c, n in (("p_retailprice", 1), ("p_size", 1), ("p_type", 0))))
 def _(t):
-    return quality.observe(t.part, "part", "2024-01-01", ["p_size", "p_retailprice"]).select("dataset", "observed_utc", "row_count", "column_count")
+    row = quality.observe(t.part, "part", "2024-01-01", ["p_size", "p_retailprice", "p_type"])
+    return row.select("dataset", "observed_utc", "row_count", "column_count", F.explode("column_stats").alias("x")).select("dataset", "observed_utc", "row_count", "column_count", "x.*")
 
 
 @query("ql15_baseline", "SELECT event_type AS dataset, 'ROW_COUNT' AS \"check\" FROM events GROUP BY event_type HAVING abs(count(*) - 1000) > 200")

@@ -440,3 +440,82 @@ def test_upserts_go_on_after_a_failed_batch(spark, tmp_path, monkeypatch):
     assert rows(streams.upserted(spark, str(tmp_path / "folded"), ["k"], "v")) == want
     with pytest.raises(ValueError):
         streams.upsert_stream(None, out, checkpoint, [], "v")
+
+
+# --- selection and ranges ------------------------------------------------------------------------------------
+
+
+def test_quantiles_are_exact(spark):
+    import math
+    import random
+
+    from tablewarden.operators import selection
+
+    rng = random.Random(4)
+    columns = {
+        "same": [3.0] * 999,
+        "hot": [1.0] * 700 + [rng.uniform(-1e6, 1e6) for _ in range(299)],
+        "wide": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(999)],
+        "odd": [math.inf] * 300 + [-math.inf] * 300 + [None] * 99 + [math.nan] * 300,
+        "tiny": [5e-324 * rng.randrange(9) for _ in range(999)],
+        "none": [None] * 999,
+    }
+    df = spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"{c} double" for c in columns)).repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = selection.quantiles(df, list(columns), probs)
+    for c, values in columns.items():
+        there = sorted((v for v in values if v is not None), key=lambda v: (math.isnan(v), v))
+        for p, q in zip(probs, got[c], strict=True):
+            if not there:
+                assert q is None
+                continue
+            at = (len(there) - 1) * p
+            a, b = there[math.floor(at)], there[math.ceil(at)]
+            want = a if a == b or at == math.floor(at) else a + (b - a) * (at - math.floor(at))
+            assert (math.isnan(q) and math.isnan(want)) or q == want, (c, p)
+    assert selection.quantiles(df.limit(0), ["same"], [0.5]) == {"same": [None]} and selection.quantiles(df, [], [0.5]) == {}
+    counts = {r["column"]: r["distinct"] for r in selection.distinct_counts(df, list(columns)).collect()}
+    assert counts == {c: len({"nan" if v != v else v for v in values if v is not None}) for c, values in columns.items()}
+
+
+def test_no_task_holds_a_column(spark, sf):
+    """The plans of a profile have no exact percentile, and no aggregate that gathers values."""
+    from tablewarden.operators import quality
+
+    plan = quality.column_statistics(spark.read.parquet(f"{sf}/lineitem.parquet"))._jdf.queryExecution().toString().lower()
+    assert "percentile" not in plan and "collect_" not in plan
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 16])
+@pytest.mark.parametrize("how", ["forward", "backward"])
+def test_fills_along_ranges(spark, how, ranges):
+    import random
+
+    from tablewarden.operators import ranges as scans
+
+    rng = random.Random(ranges)
+    rows = [(i, rng.choice([None, "a", "a", "a", "b"]), rng.choice([0, 0, 0, i]), rng.choice([None, None, None, i])) for i in range(400)]
+    df = spark.createDataFrame(rows, "i long, k string, t long, v long").repartition(5)
+    order = [F.col("t").desc(), F.col("i")]
+    for by in ([], ["k"]):
+        got = {r["i"]: r["v"] for r in scans.fill_ranges(df, ["v"], how, order, by, ranges).collect()}
+        carried = {}
+        want = {}
+        for i, k, t, v in sorted(rows, key=lambda r: (-r[2], r[0]), reverse=how == "backward"):
+            key = k if by else 0
+            carried[key] = v if v is not None else carried.get(key)
+            want[i] = carried[key]
+        assert got == want
+    assert scans.fill_ranges(df.limit(0), ["v"], how, order).count() == 0
+
+
+def test_places_split_a_value_that_many_rows_share(spark):
+    from tablewarden.operators import ranges as scans
+
+    df = spark.createDataFrame([(i, 7 if i % 10 else i) for i in range(1000)], "i long, v long").repartition(4)
+    rows = scans.number_rows(df, [F.col("v")], "n", 8).collect()
+    assert sorted(r["n"] for r in rows) == list(range(1, 1001))
+    assert [r["v"] for r in sorted(rows, key=lambda r: r["n"])] == sorted(r["v"] for r in rows)
+    sizes = [r["count"] for r in scans.ranged(df, [F.col("v")], 8).groupBy("_range").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 400
+    assert scans.number_rows(df.limit(0), [F.col("v")]).count() == 0
