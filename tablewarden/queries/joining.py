@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, diffs, joins, ranges, vectors, windows
+from ..operators import aggregates, diffs, joins, ranges, vector_index, vectors, windows
 from .registry import query
 
 
@@ -373,6 +373,28 @@ def _(t):
     return found.select("query", "vec_id", F.col("rank").cast("long").alias("rank"))
 
 
+def _indexed(t, k=10):
+    path = t.folder()
+    asked = t.embeddings.filter("vec_id % 50 = 0")
+    vector_index.build_index(t.embeddings, "embedding", "vec_id", path)
+    return path, asked, t.keep(vector_index.search_index(t.spark, path, asked, "embedding", "vec_id", k))
+
+
+@query("so4_indexed_nearest")
+def _(t):
+    return _indexed(t)[2]
+
+
+@query("so4_index_recall", f"""SELECT count(*) AS queries, true AS enough, true AS distances_agree, true AS fewer_rows_read FROM (SELECT DISTINCT a.vec_id FROM embeddings a WHERE a.vec_id % 50 = 0)""")
+def _(t):
+    """queries; whether 0.9 of the exact 10 nearest are found, with their distances; whether a part of the rows is read for it (0.9 at most)."""
+    path, asked, found = _indexed(t)
+    exact = vectors.nearest_each(t.embeddings, asked, "embedding", "vec_id", 10).select("query", "vec_id", F.col("distance").alias("_d"))
+    both = exact.join(found, ["query", "vec_id"], "left").agg(F.avg(F.col("distance").isNotNull().cast("int")).alias("recall"), F.max(F.abs(F.col("distance") - F.col("_d"))).alias("off"))
+    read = vector_index.rows_read(t.spark, path, vector_index.probed(t.spark, path, asked, "embedding", "vec_id")).agg(F.count("*").alias("queries"), F.avg(F.col("rows_read") / F.col("rows")).alias("share"))
+    return both.crossJoin(read).select("queries", (F.col("recall") >= 0.9).alias("enough"), (F.col("off") < 1e-9).alias("distances_agree"), (F.col("share") <= 0.9).alias("fewer_rows_read"))
+
+
 @query("so4_approximate_nearest")
 def _(t):
     return vectors.approximate_nearest(t.embeddings, t.embeddings.filter("vec_id % 50 = 0"), "embedding", "vec_id", 5)

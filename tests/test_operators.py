@@ -519,3 +519,36 @@ def test_places_split_a_value_that_many_rows_share(spark):
     sizes = [r["count"] for r in scans.ranged(df, [F.col("v")], 8).groupBy("_range").count().collect()]
     assert len(sizes) >= 6 and max(sizes) < 400
     assert scans.number_rows(df.limit(0), [F.col("v")]).count() == 0
+
+
+# --- kept vector index ---------------------------------------------------------------------------------------
+
+
+def test_vector_index(spark, tmp_path):
+    import numpy as np
+
+    from tablewarden.operators import vector_index
+
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(30, 16)) * 3
+    x = np.concatenate([centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 16)) * 0.5, np.ones((1500, 16))])
+    df = spark.createDataFrame([(i, v.tolist(), "own") for i, v in enumerate(x)], "id long, v array<double>, list string").repartition(6)
+    asked = df.filter("id % 50 = 0")
+    for kind in ("cosine", "l2"):
+        path = str(tmp_path / kind)
+        vector_index.build_index(df, "v", "id", path, kind)
+        exact = {(r["query"], round(r["distance"], 9)) for r in vectors.nearest_each(df, asked, "v", "id", 10, kind).collect()}
+        rows = vector_index.search_index(spark, path, asked, "v", "id", 10).collect()
+        assert len(rows) == 900 and all(r["query"] != r["id"] for r in rows)
+        found = {(r["query"], round(r["distance"], 9)) for r in rows}
+        assert len(exact & found) >= 0.9 * len(exact)
+        read = vector_index.rows_read(spark, path, vector_index.probed(spark, path, asked, "v", "id")).collect()
+        # a third of the rows are one vector, in one list
+        assert sum(r["rows_read"] < 0.6 * r["rows"] for r in read) > 0.9 * len(read)
+        plan = vector_index.search_index(spark, path, asked.filter("id = 50"), "v", "id", 10, probes=1)._jdf.queryExecution().toString()
+        assert "PartitionFilters: [isnotnull(list" in plan or "PartitionFilters: [list" in plan
+    empty = str(tmp_path / "none")
+    vector_index.build_index(df.limit(0), "v", "id", empty)
+    assert vector_index.search_index(spark, empty, asked, "v", "id").count() == 0
+    with pytest.raises(ValueError):
+        vector_index.build_index(spark.createDataFrame([(1, [1.0, math.nan])], "id long, v array<double>"), "v", "id", str(tmp_path / "bad"))
