@@ -11,8 +11,8 @@ and runs meet again, totals first by secondary sort, and every run gives back it
 A radix of many runs is split by salts, in numbers that follow its bytes; totals are bounded by the vocabularies and copied to
 each salt. Nothing that grows with the corpus is held but one slice, one block a run, and one radix's totals.
 
-Both vocabularies are encoded by their libraries, a distinct pre-token (A) or run of text up to the next space (B) at a
-time; no piece of B spans from another character to a space, so such runs are encoded alone.
+Both vocabularies are encoded by libraries: A whole texts at a time, B a distinct run up to the next space at a time, as no
+piece of B spans from another character to a space.
 
 Nulls: null and empty texts have no tokens, nor have texts whose joined token bytes differ from space + text (U+2581 in the
 text, for one): zeros and an empty digest. Ties for an A id's highest count are all best. Repeated rows, and rows without or
@@ -22,9 +22,10 @@ some 200 bytes a token while it is worked on. Empty tables give empty tables. Fu
 
 from __future__ import annotations
 
+import array
 import hashlib
 import heapq
-import os
+import json
 import re
 import struct
 import tempfile
@@ -33,18 +34,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 
-from .bpe import Generations
 from .common import give_back, scratch, ship
 
-#: Distinct pre-tokens, and runs up to a space, in each of two generations of a worker's memory; longer ones are not remembered.
-CACHED, LONGEST = 120_000, 48
+#: Distinct runs up to a space in each of two generations of a worker's memory, and the length of those that are remembered.
+CACHED, LONGEST = 200_000, 48
 #: Bytes of text that are aligned at once, records and documents of a slice.
 BATCH, RECORDS, SLICE = 1 << 20, 2_000_000, 60_000
 #: Radixes of the A ids: shuffle partitions, within these bounds.
@@ -68,92 +67,100 @@ def _unmapped() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Memory(Generations):
-    """What has been encoded, in two generations."""
+def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the numbers under n: their digits and room for an end behind them, and how many there are."""
+    said = [str(i).encode() for i in range(n)]
+    size = np.array([len(x) for x in said], np.int64)
+    wide = int(size.max()) + 1
+    return np.frombuffer(b"".join(x.ljust(wide) for x in said), np.uint8).reshape(n, wide), size
 
-    def learn(self, part: str, ids: bytes | None) -> None:
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[part] = ids
 
+class Bytes:
+    """Side A: byte-level merges. The library encodes whole texts; what it gives joins to the text's bytes, always."""
 
-class Side:
-    """A vocabulary: bytes of each id, and ids of a text by parts that are encoded alone; None if its bytes are not the text's."""
+    def __init__(self, path: str, pattern: str):
+        import tiktoken
 
-    def __init__(self, table: list[bytes], cut, encode):
-        self.table, self.cut, self.encode_all = table, cut, encode
-        self.lengths = np.array([len(b) for b in table], np.int64)
-        self.known = Memory(lambda part: self.of([part])[0], CACHED)
+        with open(path) as f:
+            read = json.load(f)
+        byte = _unmapped()
+        ranks = {bytes(byte[c] for c in token): i for token, i in read["model"]["vocab"].items() if all(c in byte for c in token)}
+        for extra in read["added_tokens"]:
+            ranks.pop(extra["content"].encode(), None)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in read["model"]["merges"]]
+        order = [read["model"]["vocab"][x + y] for x, y in pairs]
+        if order != sorted(order):
+            raise ValueError("ids don't follow the merges")
+        self.encode = tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        table = {i: b for b, i in ranks.items()}
+        self.lengths = np.array([len(table.get(i, b"")) for i in range(max(table) + 1)], np.int64)
 
-    def of(self, parts: list[str]) -> list[bytes | None]:
-        out = []
-        for part, ids in zip(parts, self.encode_all(parts), strict=True):
-            same = b"".join(map(self.table.__getitem__, ids)) == part.encode()
-            out.append(np.array(ids, "<u4").tobytes() if same else None)
-        return out
+    def ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(self.encode(t), "<u4").tobytes() for t in texts]
+
+
+class Pieces:
+    """Side B: pieces with byte fallback, encoded a run up to the next space at a time; None if a text's pieces don't join to it."""
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        b = self.library = sentencepiece.SentencePieceProcessor(model_file=path)
+        pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
+        if any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", p) for p in pieces):
+            raise ValueError("a piece spans from a word to a space: runs can't be encoded alone")
+        self.table = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace(SPACE_MARK, " ").encode() for p in pieces]
+        self.lengths = np.array([len(x) for x in self.table], np.int64)
+        self.one = [b.piece_to_id(SPACE_MARK)]
+        self.cut = re.compile(" *[^ ]+| +").findall
+        self.known: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
+
+    def _of(self, run: str, ids: list[int]) -> bytes | None:
+        return array.array("I", ids).tobytes() if b"".join(map(self.table.__getitem__, ids)) == run.encode() else None
 
     def ids(self, texts: list[str]) -> list[bytes | None]:
         cut = list(map(self.cut, texts))
-        known, every = self.known, set().union(*cut)
-        late = [p for p in every if p not in known and p not in known.old]
-        now = dict(zip(late, self.of(late), strict=True)) if late else {}
-        for p, ids in now.items():
-            if len(p) <= LONGEST:
-                known.learn(p, ids)
+        every = set().union(*cut)
+        if len(self.known) > CACHED:
+            self.old, self.known = self.known, {}
+        known, old = self.known, self.old
+        late = []
+        for run in every - known.keys():
+            if run in old:
+                known[run] = old[run]
+            else:
+                late.append(run)
+        # The library puts a space before what it encodes, and makes nothing of nothing.
+        for run, ids in zip(late, self.library.encode([run[1:] for run in late], num_threads=1), strict=True):
+            known[run] = self._of(run, ids or self.one)
         out = []
-        for text, parts in zip(texts, cut, strict=True):
-            found = [now[p] if p in now else known[p] for p in parts] if now else list(map(known.__getitem__, parts))
-            out.append(None if None in found or sum(map(len, parts)) != len(text) else b"".join(found))
+        for runs in cut:
+            found = list(map(known.__getitem__, runs))
+            out.append(None if None in found else b"".join(found))
+        for run in late:
+            if len(run) > LONGEST:
+                del known[run]
         return out
 
 
 @lru_cache(2)
-def sides(path_a: str, path_b: str, pattern: str) -> tuple[Side, Side]:
+def sides(path_a: str, path_b: str, pattern: str) -> tuple[Bytes, Pieces]:
     """One a worker process."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import sentencepiece
-    from tokenizers import Tokenizer
-
-    a = Tokenizer.from_file(path_a)
-    a.encode_special_tokens = True
-    byte = _unmapped()
-    names = {i: t for t, i in a.get_vocab(with_added_tokens=True).items()}
-    table = [bytes(byte[c] for c in names[i]) if i in names and all(c in byte for c in names[i]) else names.get(i, "").encode() for i in range(max(names) + 1)]
-    left = Side(table, regex.compile(pattern).findall, lambda parts: [x.ids for x in a.encode_batch(parts, add_special_tokens=False)])
-
-    b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-    pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
-    if any(re.search(f"[^{SPACE_MARK}]{SPACE_MARK}", p) for p in pieces):
-        raise ValueError("a piece spans from a word to a space: parts can't be encoded alone")
-    if len(pieces) > 1 << B_BITS or len(table) > 1 << PAIR_BITS - B_BITS:
+    left, right = Bytes(path_a, pattern), Pieces(path_b)
+    if len(right.lengths) > 1 << B_BITS or len(left.lengths) > 1 << PAIR_BITS - B_BITS:
         raise ValueError("a vocabulary is too large for the records")
-    table_b = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace(SPACE_MARK, " ").encode() for p in pieces]
-    one = [b.piece_to_id(SPACE_MARK)]
-    # The library puts a space before what it encodes, and makes nothing of nothing.
-    right = Side(table_b, re.compile(" *[^ ]+| +").findall, lambda parts: [ids or one for ids in b.encode([p[1:] for p in parts], num_threads=1)])
     return left, right
 
 
 # --- groups and links ----------------------------------------------------------------------------------------
 
 
-def _decimals(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _decimals(ids: np.ndarray, ends: np.ndarray, digits: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the numbers in decimal, each followed by its end, and where each stops."""
-    digits = np.ones(len(ids), np.int64)
-    for power in (10, 100, 1000, 10_000, 100_000):
-        digits += ids >= power
-    stops = np.cumsum(digits + 1)
-    out = np.empty(stops[-1] if len(stops) else 0, np.uint8)
-    out[stops - 1] = ends
-    rest, at = ids.astype(np.int64), stops - 2
-    more = np.arange(len(ids))
-    while len(more):
-        rest, last = np.divmod(rest, 10)
-        out[at] = last + 48
-        keep = rest > 0
-        rest, at, more = rest[keep], at[keep] - 1, more[keep]
-    return out, stops
+    rows, size = digits[ids], sizes[ids]
+    rows[np.arange(len(ids)), size] = ends
+    return rows[np.arange(digits.shape[1]) <= size[:, None]], np.cumsum(size + 1)
 
 
 def align(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -167,7 +174,7 @@ def align(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray)
     return at, np.cumsum(here_a) - here_a, np.cumsum(here_b) - here_b, here_a & here_b
 
 
-def _said(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _said(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray, ends: np.ndarray, digits: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All groups as text, each ended by ";": bytes, where each token's part stops, and the tokens (of both) up to each group's end."""
     upto_a, upto_b = ia[ends] + 1, ib[ends] + 1
     group_a = np.repeat(np.arange(len(upto_a)), np.diff(upto_a, prepend=0))
@@ -179,7 +186,7 @@ def _said(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray, ends: np
     ids[slot_a], ids[slot_b] = a, b
     marks[slot_a[upto_a - 1]] = ord("|")
     marks[slot_b[upto_b - 1]] = ord(";")
-    text, stops = _decimals(ids, marks)
+    text, stops = _decimals(ids, marks, digits, sizes)
     return text, stops, upto_a + upto_b
 
 
@@ -295,9 +302,10 @@ class Levels:
 class Slice:
     """Documents of a task until their records are written as one run a radix."""
 
-    def __init__(self, left: Side, right: Side, radixes: int):
+    def __init__(self, left: Bytes, right: Pieces, radixes: int):
         self.left, self.right = left, right
-        self.radix, self.radixes = radix_of(len(left.table), radixes), radixes
+        self.radix, self.radixes = radix_of(len(left.lengths), radixes), radixes
+        self.digits = _digits(max(len(left.lengths), len(right.lengths)))
         self.clear()
 
     def clear(self) -> None:
@@ -317,7 +325,7 @@ class Slice:
         ends_a, ends_b = np.cumsum(self.left.lengths[a]), np.cumsum(self.right.lengths[b])
         stop_a, stop_b = (np.cumsum([len(s[i]) // 4 for i in have]) for s in (every_a, every_b))
         at, ia, ib, ends = align(a, b, ends_a, ends_b)
-        text, stops, upto = _said(a, b, ia, ib, ends)
+        text, stops, upto = _said(a, b, ia, ib, ends, *self.digits)
         stop_links = np.searchsorted(at, ends_a[stop_a - 1] - 1) + 1
         stop_groups = np.cumsum(ends)[stop_links - 1]
         stop_text = stops[upto[stop_groups - 1] - 1]

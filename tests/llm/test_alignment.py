@@ -113,11 +113,17 @@ def test_salts_split_a_hot_radix(docs, monkeypatch):
 
 
 def test_decimals():
-    ids = np.array([0, 9, 10, 99, 100, 12345, 50256, 7, 100_000, 999_999])
-    text, stops = alignment._decimals(ids, np.full(len(ids), ord(";"), np.uint8))
+    ids = np.array([0, 9, 10, 99, 100, 12345, 50256, 7, 9999])
+    text, stops = alignment._decimals(ids, np.full(len(ids), ord(";"), np.uint8), *alignment._digits(50257))
     assert text.tobytes().decode() == ";".join(map(str, ids)) + ";" and stops[-1] == len(text)
 
 
+def test_long_runs_are_quick(spark):
+    texts = ["a" * 1_000_000, " " * 300_000, "é" * 300_000, "东" * 200_000, "ab" * 400_000 + " x"]
+    rows = alignment.align_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), A, B, PATTERN).collect()
+    assert len(rows) == 5 and all(r["n_links"] >= max(r["n_a"], r["n_b"]) > 0 for r in rows)
+
+
 @pytest.mark.parametrize("bad", ["▁", "a▁b"])
 def test_the_space_mark_is_no_space(spark, bad):
     row = alignment.align_texts(spark.createDataFrame([(1, bad), (2, "a b")], "doc_id long, text string"), A, B, PATTERN).orderBy("doc_id").collect()
