@@ -42,12 +42,20 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).count().agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"), (F.coalesce(F.sum("count"), F.lit(0)) - F.count("*")).alias("duplicates"))
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str], previous: float | None = None) -> DataFrame:
-    """rows, duplicate_count, duplicate_rate, severity: HIGH over 5 % or a jump over 0.01, else OK."""
-    one = df.groupBy(*keys).count().agg(F.sum("count").alias("rows"), (F.sum("count") - F.count("*")).alias("duplicate_count"))
-    rate = F.round(F.col("duplicate_count") / F.col("rows"), 6)
-    high = (rate > 0.05) | (F.lit(previous is not None) & (rate - F.lit(previous or 0.0) > 0.01))
-    return one.withColumn("duplicate_rate", rate).withColumn("severity", F.when(high, "HIGH").otherwise("OK"))
+def duplicate_keys(df: DataFrame, keys: Sequence[str], previous: float | None = None, spike: float = 0.01) -> DataFrame:
+    """rows, duplicate_count, duplicate_rate, missing, severity: HIGH over 5 % or a rise of more than `spike`, MEDIUM for any duplicate, else OK.
+
+    A key column that is absent is HIGH by itself; then nothing is counted, and `missing` names what is absent.
+    """
+    missing = [k for k in keys if k not in df.columns]
+    if missing:
+        none = F.lit(None)
+        return df.agg(F.count("*").alias("rows")).select("rows", none.cast("long").alias("duplicate_count"), none.cast("double").alias("duplicate_rate"), F.lit(",".join(missing)).alias("missing"), F.lit("HIGH").alias("severity"))
+    one = df.groupBy(*keys).count().agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"), (F.coalesce(F.sum("count"), F.lit(0)) - F.count("*")).alias("duplicate_count"))
+    rate = F.round(F.coalesce(F.col("duplicate_count") / F.when(F.col("rows") > 0, F.col("rows")), F.lit(0.0)), 6)
+    high = (rate > 0.05) | (F.lit(previous is not None) & (rate - F.lit(previous or 0.0) > spike))
+    severity = F.when(F.col("duplicate_count") == 0, "OK").when(high, "HIGH").otherwise("MEDIUM")
+    return one.select("rows", "duplicate_count", rate.alias("duplicate_rate"), F.lit(None).cast("string").alias("missing"), severity.alias("severity"))
 
 
 def risky_groups(df: DataFrame, quasi: Sequence[str], k: int = 5, sensitive: str | None = None, diversity: int = 2) -> DataFrame:

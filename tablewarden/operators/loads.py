@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .commits import CommitLog
+
 META = ["_dlq_pipeline_id", "_dlq_reason", "_dlq_timestamp"]
 
 
@@ -85,26 +87,26 @@ def content_hash(df: DataFrame) -> DataFrame:
 
 
 class SnapshotStore:
-    """Versions of datasets as folders, and a manifest table (dataset, version, hash, rows, message, author, at, path)."""
+    """Versions of datasets as folders, and a commit log of them (dataset, version, hash, rows, message, author, at, path).
+
+    Rows are written first, to a folder that nobody else knows; the version exists once its entry is in the log, so two
+    writers get two versions, and readers see whole ones only.
+    """
 
     MANIFEST = "dataset string, version long, hash string, rows long, message string, author string, at string, path string, deleted boolean"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        self.log = CommitLog(spark, f"{root}/manifest", self.MANIFEST)
+
+    @staticmethod
+    def _there(entries: DataFrame) -> DataFrame:
+        gone = entries.filter("deleted").select("dataset", "version").distinct()
+        return entries.filter("not deleted").join(gone, ["dataset", "version"], "left_anti")
 
     def manifest(self) -> DataFrame:
-        """The newest entry of each version, without deleted ones."""
-        try:
-            rows = self.spark.read.schema(self.MANIFEST).parquet(f"{self.root}/manifest")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            rows = self.spark.createDataFrame([], self.MANIFEST)
-        gone = rows.filter("deleted").select("dataset", "version").distinct()
-        return rows.filter("not deleted").join(gone, ["dataset", "version"], "left_anti")
-
-    def _note(self, *row) -> None:
-        self.spark.createDataFrame([row], self.MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
+        """The entries of the versions that are not deleted."""
+        return self._there(self.log.entries()).drop("_commit")
 
     def last(self, dataset: str):
         return self.manifest().filter(F.col("dataset") == dataset).orderBy(F.desc("version")).first()
@@ -114,11 +116,22 @@ class SnapshotStore:
         now, last = content_hash(df).first(), self.last(dataset)
         if last and last["hash"] == now["hash"]:
             return last["version"]
-        version = (last["version"] if last else 0) + 1
-        path = f"{self.root}/data/{dataset}/{version}-{uuid.uuid4().hex[:8]}"
+        path = f"{self.root}/data/{dataset}/{uuid.uuid4().hex}"
         df.write.parquet(path)
-        self._note(dataset, version, now["hash"], now["rows"], message, author, at, path, False)
-        return version
+        found = {}
+
+        def entry(entries: DataFrame) -> dict | None:
+            # deleted versions keep their numbers
+            most = entries.filter(F.col("dataset") == dataset).agg(F.max("version").alias("v")).first()["v"] or 0
+            newest = self._there(entries).filter(F.col("dataset") == dataset).orderBy(F.desc("version")).first()
+            if newest and newest["hash"] == now["hash"]:
+                found["version"] = newest["version"]
+                return None
+            found["version"] = most + 1
+            return {"dataset": dataset, "version": most + 1, "hash": now["hash"], "rows": now["rows"], "message": message, "author": author, "at": at, "path": path, "deleted": False}
+
+        self.log.append(entry)
+        return found["version"]
 
     def checkout(self, dataset: str, version: int | None = None) -> DataFrame:
         rows = self.manifest().filter(F.col("dataset") == dataset)
@@ -128,7 +141,7 @@ class SnapshotStore:
         return self.spark.read.parquet(row["path"])
 
     def delete(self, dataset: str, version: int) -> None:
-        self._note(dataset, version, "", 0, "deleted", "", "", "", True)
+        self.log.append(lambda _: {"dataset": dataset, "version": version, "hash": "", "rows": 0, "message": "deleted", "author": "", "at": "", "path": "", "deleted": True})
 
 
 class ReversibleLoads:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
+import secrets
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import pii_columns
 from ..functions.values import luhn, mask
+from .commits import CommitLog
 
 # Patterns of personal data in values.
 VALUE_PATTERNS = {
@@ -109,20 +111,69 @@ def decrypt(df: DataFrame, columns: Sequence[str], key: bytes) -> DataFrame:
     return df.withColumns({c: F.when(F.col(c).startswith(ENCRYPTED), F.coalesce(dec(F.col(c)), F.col(c))).otherwise(F.col(c)) for c in columns if c in df.columns})
 
 
-def add_noise(df: DataFrame, columns: Sequence[str], epsilon: float, sensitivity: float = 1.0, mechanism: str = "laplace", delta: float = 1e-5, clip: bool = True, seed: int = 0) -> DataFrame:
-    """Laplace (scale s/epsilon) or Gaussian noise, clipped to the range that the column had. Nulls stay."""
+class PrivacyBudget:
+    """What has been spent on each dataset, in a commit log, so that two callers cannot both spend what is left."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.log = CommitLog(spark, root, "dataset string, epsilon double, note string")
+
+    def spent(self, dataset: str) -> float:
+        return self._spent(self.log.entries(), dataset)
+
+    @staticmethod
+    def _spent(entries: DataFrame, dataset: str) -> float:
+        return entries.filter(F.col("dataset") == dataset).agg(F.coalesce(F.sum("epsilon"), F.lit(0.0)).alias("e")).first()["e"]
+
+    def spend(self, dataset: str, epsilon: float, cap: float, note: str = "") -> float:
+        """What is spent now; an error, and nothing spent, beyond the cap."""
+        total = 0.0
+
+        def entry(entries: DataFrame) -> dict:
+            nonlocal total
+            used = self._spent(entries, dataset)
+            if used + epsilon > cap + 1e-12:
+                raise ValueError(f"privacy budget of {dataset} is spent: {used} of {cap}")
+            total = used + epsilon
+            return {"dataset": dataset, "epsilon": float(epsilon), "note": note}
+
+        self.log.append(entry)
+        return total
+
+
+def _uniform(key: str, *parts: Column) -> Column:
+    """In (0, 1], 52 bits of the SHA-256 of a key and the parts: the same if a task runs again, unknown without the key."""
+    return (F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(key), *parts), 256), 1, 13), 16, 10).cast("double") + 1) / float(1 << 52)
+
+
+def add_noise(df: DataFrame, columns: Sequence[str], epsilon: float, sensitivity: float = 1.0, mechanism: str = "laplace", delta: float = 1e-5, clip: bool = True, seed: int | None = None, budget: PrivacyBudget | None = None, dataset: str = "", cap: float = math.inf) -> DataFrame:
+    """Laplace (scale s/epsilon) or Gaussian noise, clipped to the range that the column had, if it had one. Nulls stay.
+
+    Values and noise are multiples of a power of two that is a thousandth of the scale or less, and the noise is the difference of
+    two geometric numbers (Laplace), so no digit of a value shows in the result. The randomness is a fresh 256-bit key for each
+    call; a seed makes it repeat, for tests only. With a budget the spending is committed before anything is returned.
+    """
     if epsilon <= 0 or sensitivity <= 0:
         raise ValueError("epsilon and sensitivity must be positive")
+    if mechanism not in ("laplace", "gaussian"):
+        raise ValueError(f"unknown mechanism: {mechanism}")
+    if budget is not None:
+        budget.spend(dataset, epsilon, cap, f"{mechanism}: {', '.join(columns)}")
+    key = secrets.token_hex(32) if seed is None else f"seed {seed}"
     ends = df.agg(*[F.min(c).cast("double").alias(f"lo_{c}") for c in columns], *[F.max(c).cast("double").alias(f"hi_{c}") for c in columns]).first() if clip else None
+    scale = sensitivity / epsilon if mechanism == "laplace" else sensitivity * math.sqrt(2 * math.log(1.25 / delta)) / epsilon
+    grid = 2.0 ** math.floor(math.log2(scale / 1024))
+    row = F.monotonically_increasing_id().cast("string")
     out = {}
-    for i, c in enumerate(columns):
+    for c in columns:
+        u, v = (_uniform(key, F.lit(c), F.lit(part), row) for part in "ab")
         if mechanism == "laplace":
-            u = F.rand(seed + i) - 0.5
-            noise = -F.signum(u) * F.log1p(-2 * F.abs(u) + 1e-16) * (sensitivity / epsilon)
+            # rounding to the grid may move a value's neighbour by one step more
+            rate = grid * epsilon / (sensitivity + grid)
+            steps = F.floor(F.log(u) / -rate) - F.floor(F.log(v) / -rate)
         else:
-            noise = F.randn(seed + i) * (sensitivity * math.sqrt(2 * math.log(1.25 / delta)) / epsilon)
-        x = F.col(c).cast("double") + noise
-        if clip and ends[f"lo_{c}"] is not None:
+            steps = F.round(F.sqrt(-2 * F.log(u)) * F.cos(2 * math.pi * v) * ((sensitivity + grid) / sensitivity * scale / grid))
+        x = (F.round(F.col(c).cast("double") / grid) + steps) * grid
+        if clip and ends[f"lo_{c}"] is not None and ends[f"lo_{c}"] < ends[f"hi_{c}"]:
             x = F.greatest(F.least(x, F.lit(ends[f"hi_{c}"])), F.lit(ends[f"lo_{c}"]))
         out[c] = F.when(F.col(c).isNotNull(), x)
     return df.withColumns(out)
@@ -136,10 +187,11 @@ def spend_budget(spent: DataFrame, dataset: str, epsilon: float, cap: float) ->
     return spent.unionByName(spent.sparkSession.createDataFrame([(dataset, float(epsilon))], "dataset string, epsilon double"))
 
 
-def noisy_aggregates(df: DataFrame, by: Sequence[str], aggs: dict[str, str], epsilon: float, sensitivity: float = 1.0, seed: int = 0) -> DataFrame:
+def noisy_aggregates(df: DataFrame, by: Sequence[str], aggs: dict[str, str], epsilon: float, sensitivity: float = 1.0, seed: int | None = None, budget: PrivacyBudget | None = None, dataset: str = "", cap: float = math.inf) -> DataFrame:
+    """Aggregates of groups with noise; not clipped. See add_noise."""
     from .aggregates import aggregate
 
-    return add_noise(aggregate(df, by, aggs), list(aggs), epsilon, sensitivity, clip=False, seed=seed)
+    return add_noise(aggregate(df, by, aggs), list(aggs), epsilon, sensitivity, clip=False, seed=seed, budget=budget, dataset=dataset, cap=cap)
 
 
 # --- pseudonyms ------------------------------------------------------------------------------------------
@@ -253,16 +305,27 @@ ADEQUATE = ("AD", "AR", "CA", "FO", "GG", "IL", "IM", "JP", "JE", "NZ", "KR", "C
 REGIONS = {"us-": "US", "eu-west-1": "IE", "eu-west-2": "GB", "eu-west-3": "FR", "eu-central": "DE", "eu-north": "SE", "eu-south": "IT", "ap-northeast-1": "JP", "ap-northeast-2": "KR", "ap-southeast-1": "SG", "ap-southeast-2": "AU", "ap-south": "IN", "ca-central": "CA", "sa-east": "BR"}
 
 
-def transfer_class(source: Column, destination: Column, safeguard: Column | None = None) -> Column:
-    """DOMESTIC, INTRA_EU, ADEQUACY, SCC or BCR (by safeguard), UNKNOWN."""
-    s = F.upper(F.coalesce(safeguard if safeguard is not None else F.lit(None).cast("string"), F.lit("")))
+# Names of safeguards.
+SAFEGUARDS = {"SCC": "SCC", "STANDARD_CONTRACTUAL_CLAUSES": "SCC", "BCR": "BCR", "BINDING_CORPORATE_RULES": "BCR"}
+
+
+def transfer_class(source: Column, destination: Column, safeguard: Column | None = None, default: str | None = "SCC") -> Column:
+    """DOMESTIC, INTRA_EU, ADEQUACY, SCC or BCR (by safeguard), UNKNOWN. Countries whatever their case and the blanks around them.
+
+    Without a safeguard column, and where it is null, `default` holds; a country that is not known makes a transfer UNKNOWN
+    unless the destination has an adequacy decision.
+    """
+    a, b = F.upper(F.trim(source)), F.upper(F.trim(destination))
+    s = F.upper(F.coalesce(safeguard if safeguard is not None else F.lit(None).cast("string"), F.lit(default).cast("string"), F.lit("")))
+    named = F.lit(None).cast("string")
+    for name, short in SAFEGUARDS.items():
+        named = F.when(s == name, F.lit(short)).otherwise(named)
     return (
-        F.when(source.isNull() | destination.isNull(), "UNKNOWN")
-        .when(source == destination, "DOMESTIC")
-        .when(source.isin(*EEA) & destination.isin(*EEA), "INTRA_EU")
-        .when(destination.isin(*ADEQUATE), "ADEQUACY")
-        .when(s.isin("SCC", "BCR"), s)
-        .otherwise("UNKNOWN")
+        F.when(a == b, "DOMESTIC")
+        .when(a.isin(*EEA) & b.isin(*EEA), "INTRA_EU")
+        .when(b.isin(*ADEQUATE), "ADEQUACY")
+        .when(a.isNull() | b.isNull(), "UNKNOWN")
+        .otherwise(F.coalesce(named, F.lit("UNKNOWN")))
     )
 
 
@@ -287,18 +350,24 @@ def consent_events(consents: DataFrame) -> DataFrame:
     return closed.select("subject_hash", "purpose", "granted_utc", "expires_utc", F.least("_w", "_until").alias("withdrawn_utc"), "version")
 
 
-def breach_signals(loads: DataFrame, known: DataFrame, bulk: int = 100_000, quality_drop: float = 20.0) -> DataFrame:
-    """signal, severity, deadline_hours for each load (dataset, rows, pii_fields, columns, quality, country, erased) against what is known of its dataset."""
-    k = known.select(F.col("dataset"), F.col("columns").alias("_columns"), F.col("pii_fields").alias("_pii"), F.col("quality").alias("_quality"), F.col("countries").alias("_countries"))
+def breach_signals(loads: DataFrame, known: DataFrame, bulk: int = 100_000, quality_floor: float = 40.0, erasures: int = 5_000) -> DataFrame:
+    """dataset, signal, severity, deadline_hours for each load (dataset, rows, pii_fields, columns, quality, country, erased) against what is known of its dataset (dataset, columns, pii_fields) and of transfers (countries).
+
+    COLUMNS_VANISHED (HIGH): a column of the last load is gone. FIRST_PII_LOAD (MEDIUM): personal fields in a dataset that
+    had none. BULK_LOAD (MEDIUM): more than `bulk` rows, personal or not. QUALITY_COLLAPSE (HIGH): a score under the floor.
+    BULK_ERASURE (HIGH): more than `erasures` rows erased. NEW_COUNTRY (MEDIUM): a transfer to a country that none went to before.
+    HIGH has 72 hours. What is null gives no signal; a dataset that is not known has no columns that could be gone.
+    """
+    none = F.array().cast("array<string>")
+    k = known.select(F.col("dataset"), F.col("columns").alias("_columns"), F.col("pii_fields").alias("_pii"), F.col("countries").alias("_countries"))
     rows = loads.join(k, "dataset", "left")
-    has = F.size(F.coalesce("pii_fields", F.array().cast("array<string>"))) > 0
     tests = [
-        ("COLUMNS_VANISHED", "MEDIUM", F.size(F.array_except(F.coalesce("_columns", F.array().cast("array<string>")), "columns")) > 0),
-        ("FIRST_PII_LOAD", "MEDIUM", has & F.coalesce(F.size("_pii") <= 0, F.lit(True))),
-        ("BULK_PII_LOAD", "HIGH", has & (F.col("rows") >= bulk)),
-        ("QUALITY_COLLAPSE", "HIGH", F.coalesce(F.col("_quality") - F.col("quality") > quality_drop, F.lit(False))),
-        ("BULK_ERASURE", "HIGH", F.coalesce(F.col("erased") >= bulk / 100, F.lit(False))),
-        ("NEW_COUNTRY", "HIGH", has & F.coalesce(~F.array_contains("_countries", F.col("country")), F.lit(False))),
+        ("COLUMNS_VANISHED", "HIGH", F.size(F.array_except(F.coalesce("_columns", none), F.coalesce("columns", none))) > 0),
+        ("FIRST_PII_LOAD", "MEDIUM", (F.size(F.coalesce("pii_fields", none)) > 0) & (F.size(F.coalesce("_pii", none)) == 0)),
+        ("BULK_LOAD", "MEDIUM", F.col("rows") > bulk),
+        ("QUALITY_COLLAPSE", "HIGH", F.col("quality") < quality_floor),
+        ("BULK_ERASURE", "HIGH", F.col("erased") > erasures),
+        ("NEW_COUNTRY", "MEDIUM", F.col("country").isNotNull() & ~F.coalesce(F.array_contains("_countries", F.col("country")), F.lit(False))),
     ]
     found = F.filter(F.array(*[F.when(t, F.struct(F.lit(n).alias("signal"), F.lit(s).alias("severity"))) for n, s, t in tests]), lambda x: x.isNotNull())
     return rows.select("dataset", F.explode(found).alias("x")).select("dataset", "x.*", F.when(F.col("x.severity") == "HIGH", 72).alias("deadline_hours"))

@@ -6,7 +6,7 @@ import operator
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType
 
@@ -142,17 +142,26 @@ def quality_score(df: DataFrame, passed: int | None = None, total: int | None =
 
 
 def score_alerts(history: DataFrame, drop: float = 10, floor: float = 60, n: int = 3, dimension_drop: float = 15) -> DataFrame:
-    """dataset, observed_utc, score, type, dimension of every alert in a score history: SCORE_DROP, BELOW_FLOOR, ROLLING_DECLINE, and DIMENSION_DROP once a dimension that the history has."""
+    """dataset, observed_utc, score, type, dimension, severity, amount of every alert in a score history.
+
+    SCORE_DROP (amount: the fall; HIGH over twice the limit, else MEDIUM), BELOW_FLOOR (the gap; CRITICAL), ROLLING_DECLINE (the
+    fall over the n scores; HIGH), DIMENSION_DROP once a dimension that the history has (HIGH over 1.5 times the limit, else MEDIUM).
+    """
     from .windows import against_previous, rolling_decline
 
     dims = [c for c in WEIGHTS if c in history.columns]
     h = rolling_decline(against_previous(history, ["dataset"], "observed_utc", ["score", *dims]), n)
-    one = lambda bad, name, dim=None: F.when(bad, F.struct(F.lit(name).alias("type"), F.lit(dim).cast("string").alias("dimension")))
+    h = h.withColumn("_first", F.lag("score", n - 1).over(Window.partitionBy("dataset").orderBy("observed_utc")))
+
+    def one(bad: Column, name: str, severity: Column, amount: Column, dim: str | None = None) -> Column:
+        return F.when(bad, F.struct(F.lit(name).alias("type"), F.lit(dim).cast("string").alias("dimension"), severity.alias("severity"), F.round(amount.cast("double"), 2).alias("amount")))
+
+    fall = lambda c, limit, times: F.when(-F.col(f"{c}_change") > limit * times, "HIGH").otherwise("MEDIUM")
     tests = F.array(
-        one(F.col("score_change") < -drop, "SCORE_DROP"),
-        one(F.col("score") < floor, "BELOW_FLOOR"),
-        one(F.col("declining"), "ROLLING_DECLINE"),
-        *[one(F.col(f"{c}_change") < -dimension_drop, "DIMENSION_DROP", c) for c in dims],
+        one(F.col("score_change") < -drop, "SCORE_DROP", fall("score", drop, 2), -F.col("score_change")),
+        one(F.col("score") < floor, "BELOW_FLOOR", F.lit("CRITICAL"), F.lit(floor) - F.col("score")),
+        one(F.col("declining"), "ROLLING_DECLINE", F.lit("HIGH"), F.col("_first") - F.col("score")),
+        *[one(F.col(f"{c}_change") < -dimension_drop, "DIMENSION_DROP", fall(c, dimension_drop, 1.5), -F.col(f"{c}_change"), c) for c in dims],
     )
     return h.select("dataset", "observed_utc", "score", F.explode(F.filter(tests, lambda x: x.isNotNull())).alias("x")).select("dataset", "observed_utc", "score", "x.*")
 
@@ -349,12 +358,17 @@ def volume_alerts(observations: DataFrame, threshold: float = 0.5, n: int = 5) -
     return volume_baseline(observations, n).withColumn("deviation", F.round(dev, 4)).withColumn("severity", F.when(dev > 2 * threshold, "HIGH").when(dev > threshold, "MEDIUM").otherwise("OK"))
 
 
-def mean_drift(now: DataFrame, previous: DataFrame, threshold: float = 1.0) -> DataFrame:
-    """column, drift: change of the mean over the larger deviation, drifted over the threshold."""
-    p = previous.select("column", F.col("mean").alias("_mean"), F.col("std").alias("_std"))
-    scale = F.greatest("std", "_std")
-    drift = F.abs(F.col("mean") - F.col("_mean")) / F.when(scale > 0, scale)
-    return now.join(p, "column").filter("mean is not null and _mean is not null").select("column", F.round(F.coalesce(drift, F.lit(0.0)), 4).alias("drift"), F.coalesce(drift > threshold, F.lit(False)).alias("drifted"))
+def mean_drift(now: DataFrame, previous: DataFrame, threshold: float = 0.1) -> DataFrame:
+    """column, drift, severity: change of the mean over the larger deviation; MEDIUM over 10, HIGH over 20 times the threshold, else OK.
+
+    now, previous: column_statistics, which should not be rounded (digits=None), or columns of small numbers never drift. Columns
+    that have no mean in either, or do not vary in either, are left out; of one value the deviation is 0.
+    """
+    p = previous.select("column", F.col("mean").alias("_mean"), F.coalesce("std", F.lit(0.0)).alias("_std"))
+    n = now.select("column", "mean", F.coalesce("std", F.lit(0.0)).alias("std"))
+    drift = F.abs(F.col("mean") - F.col("_mean")) / F.greatest("std", "_std", F.lit(1e-10))
+    both = n.join(p, "column").filter("mean is not null and _mean is not null and (std > 0 or _std > 0)")
+    return both.select("column", F.round(drift, 4).alias("drift"), F.when(drift > threshold * 20, "HIGH").when(drift > threshold * 10, "MEDIUM").otherwise("OK").alias("severity"))
 
 
 def null_alerts(df: DataFrame, critical: Sequence[str] = (), floor: float = 0.5, previous: dict[str, float] | None = None, spike: float = 0.2) -> DataFrame:
@@ -384,11 +398,28 @@ def observe(df: DataFrame, dataset: str, observed: str, columns: Sequence[str] |
     return s.agg(F.max("rows").alias("row_count"), F.array_sort(F.collect_list(F.struct("column", "nulls", "mean", "std"))).alias("column_stats")).select(F.lit(dataset).alias("dataset"), F.lit(observed).alias("observed_utc"), "row_count", F.lit(len(df.columns)).alias("column_count"), "column_stats")
 
 
+def null_rates(df: DataFrame, by: str | None = None) -> DataFrame:
+    """(by,) rows, null_rates: the share of nulls of every column, as a map; one aggregate."""
+    columns = [c for c in df.columns if c != by]
+    rates = F.create_map(*[x for c in columns for x in (F.lit(c), F.avg(F.col(f"`{c}`").isNull().cast("int")))]) if columns else F.create_map().cast("map<string,double>")
+    return df.groupBy(*([by] if by else [])).agg(F.count("*").alias("rows"), rates.alias("null_rates"))
+
+
 def baseline_anomalies(now: DataFrame, baseline: DataFrame) -> DataFrame:
-    """dataset, check: row counts beyond 20 % of the expected, null rates beyond 5 points."""
-    rows = now.join(baseline.select("dataset", F.col("row_count").alias("_rows"), F.col("null_rate").alias("_nulls")), "dataset")
-    tests = F.array(F.when(F.abs(F.col("row_count") - F.col("_rows")) > 0.2 * F.col("_rows"), F.lit("ROW_COUNT")), F.when(F.abs(F.col("null_rate") - F.col("_nulls")) > 0.05, F.lit("NULL_RATE")))
-    return rows.select("dataset", F.explode(F.filter(tests, lambda x: x.isNotNull())).alias("check"))
+    """dataset, check, column, expected, actual of what is beyond its dataset's baseline.
+
+    now: dataset, rows, null_rates (map by column). baseline: dataset, expected_rows, null_rates, and its own tolerances
+    row_tolerance (a share of the expected rows; null: 0.2) and null_tolerance (null: 0.05). ROW_COUNT: rows beyond the tolerance.
+    NULL_RATE: a column whose rate differs by more. Rows that are not expected, columns that are not there and datasets
+    without a baseline are not compared.
+    """
+    b = baseline.select("dataset", F.col("expected_rows").alias("_rows"), F.col("null_rates").alias("_rates"), F.coalesce("row_tolerance", F.lit(0.2)).alias("_t"), F.coalesce("null_tolerance", F.lit(0.05)).alias("_n"))
+    both = now.join(b, "dataset")
+    found = lambda check, column, expected, actual: F.struct(F.lit(check).alias("check"), column.cast("string").alias("column"), expected.cast("double").alias("expected"), actual.cast("double").alias("actual"))
+    outside = (F.col("rows") < F.col("_rows") * (1 - F.col("_t"))) | (F.col("rows") > F.col("_rows") * (1 + F.col("_t")))
+    rows = F.when(outside, found("ROW_COUNT", F.lit(None), F.col("_rows"), F.col("rows")))
+    rates = F.transform(F.map_entries(F.coalesce("_rates", F.create_map().cast("map<string,double>"))), lambda e: F.when(F.abs(F.try_element_at("null_rates", e["key"]) - e["value"]) > F.col("_n"), found("NULL_RATE", e["key"], e["value"], F.try_element_at("null_rates", e["key"]))))
+    return both.select("dataset", F.explode(F.filter(F.concat(F.array(rows), rates), lambda x: x.isNotNull())).alias("x")).select("dataset", "x.*")
 
 
 def exposition(observations: DataFrame) -> DataFrame:

@@ -85,12 +85,16 @@ def govern(df: DataFrame, run_id: str, loaded_at: str, strategy: str = "mask", o
     return columns.stamp(sanitise_all(columns.drop_empty_rows(df).dropDuplicates()), run_id, loaded_at)
 
 
-def gate(df: DataFrame, spark: SparkSession, known_columns: Sequence[str], baseline_rows: int, allowed: Sequence[str], contract: dict, consents: DataFrame | None = None, subject: str | None = None, purpose: str = "", as_of: str = "", report: DataFrame | dict | None = None, elapsed: float | None = None) -> DataFrame:
-    """check, findings, status: schema, baseline, purpose, contract and consent, in this order."""
+def gate(df: DataFrame, spark: SparkSession, known_columns: Sequence[str], baseline: dict, allowed: Sequence[str], contract: dict, consents: DataFrame | None = None, subject: str | None = None, purpose: str = "", as_of: str = "", report: DataFrame | dict | None = None, elapsed: float | None = None) -> DataFrame:
+    """check, findings, status: schema, baseline, purpose, contract and consent, in this order.
+
+    baseline: expected_rows, null_rates by column, row_tolerance, null_tolerance; what it lacks is not compared or has its default.
+    """
+    expected = spark.createDataFrame([("", baseline.get("expected_rows"), baseline.get("null_rates") or {}, baseline.get("row_tolerance"), baseline.get("null_tolerance"))], "dataset string, expected_rows long, null_rates map<string,double>, row_tolerance double, null_tolerance double")
     one = lambda name, d, hard: d.agg(F.count("*").alias("findings")).select(F.lit(name).alias("check"), "findings", F.when(F.col("findings") == 0, "PASS").otherwise("FAIL" if hard else "WARN").alias("status"))
     parts = [
         one("schema", diffs.schema_diff(spark, known_columns, df.columns), False),
-        one("baseline", df.agg(F.count("*").alias("n")).filter(F.abs(F.col("n") - baseline_rows) > 0.2 * baseline_rows), False),
+        one("baseline", quality.baseline_anomalies(quality.null_rates(df).withColumn("dataset", F.lit("")), expected), False),
         one("purpose", spark.createDataFrame([(c,) for c in df.columns if c not in allowed], "column string"), True),
         one("contract", quality.check_contract(df, contract, as_of or None, report, elapsed), True),
     ]

@@ -185,9 +185,30 @@ def _(t):
     return aggregates.duplicate_rows(t.lineitem.select("l_orderkey", "l_linenumber"))
 
 
-@query("ag5_duplicate_keys", "SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n) - count(*) AS BIGINT) AS duplicate_count, round((sum(n) - count(*)) / sum(n), 6) AS duplicate_rate, CASE WHEN (sum(n) - count(*)) / sum(n) > 0.05 THEN 'HIGH' ELSE 'OK' END AS severity FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)")
-def _(t):
-    return aggregates.duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"])
+_KEYS = """SELECT '{name}' AS case, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n) - count(*) AS BIGINT) AS duplicate_count, round((sum(n) - count(*)) / sum(n), 6) AS duplicate_rate, NULL AS missing,
+ CASE WHEN sum(n) = count(*) THEN 'OK' WHEN round((sum(n) - count(*)) / sum(n), 6) > 0.05 OR round((sum(n) - count(*)) / sum(n), 6) - {before} > 0.01 THEN 'HIGH' ELSE 'MEDIUM' END AS severity FROM (SELECT count(*) AS n FROM {table} GROUP BY {keys})"""
+_FEW = "(SELECT o_orderkey FROM orders UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 30 = 0)"
+
+
+@query("ag5_duplicate_keys", " UNION ALL ".join([
+    _KEYS.format(name="many", before=1, table="lineitem", keys="l_orderkey, l_linenumber"), _KEYS.format(name="few", before=1, table=_FEW, keys="o_orderkey"),
+    _KEYS.format(name="rising", before=0.0, table=_FEW, keys="o_orderkey"), _KEYS.format(name="none", before=0.0, table="orders", keys="o_orderkey"),
+    "SELECT 'absent', count(*), NULL, NULL, 'gone', 'HIGH' FROM orders",
+]))
+def _(t):
+    few = t.orders.select("o_orderkey").unionAll(t.orders.select("o_orderkey").filter("o_orderkey % 30 = 0"))
+    found = {
+        "many": aggregates.duplicate_keys(t.lineitem, ["l_orderkey", "l_linenumber"]),
+        "few": aggregates.duplicate_keys(few, ["o_orderkey"]),
+        "rising": aggregates.duplicate_keys(few, ["o_orderkey"], previous=0.0),
+        "none": aggregates.duplicate_keys(t.orders, ["o_orderkey"]),
+        "absent": aggregates.duplicate_keys(t.orders, ["o_orderkey", "gone"]),
+    }
+    every = [df.select(F.lit(name).alias("case"), "*") for name, df in found.items()]
+    out = every[0]
+    for df in every[1:]:
+        out = out.unionByName(df)
+    return out
 
 
 @query("ag6_k_anonymity", "SELECT count(*) AS groups, min(n) AS smallest, count(*) FILTER (n < 5) AS groups_at_risk, CAST(coalesce(sum(n) FILTER (n < 5), 0) AS BIGINT) AS rows_at_risk FROM (SELECT count(*) AS n FROM part GROUP BY p_brand, p_size)")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions import names
@@ -112,13 +114,40 @@ def _(t):
 @query("pv10_noise_in_range", "SELECT count(*) AS rows, true AS inside FROM customer")
 def _(t):
     ends = t.customer.agg(F.min("c_acctbal").alias("lo"), F.max("c_acctbal").alias("hi"))
-    noisy = privacy.add_noise(t.customer.select("c_custkey", "c_acctbal"), ["c_acctbal"], epsilon=1.0, sensitivity=10.0, seed=4)
+    noisy = privacy.add_noise(t.customer.select("c_custkey", "c_acctbal"), ["c_acctbal"], epsilon=1.0, sensitivity=10.0)
     return noisy.crossJoin(F.broadcast(ends)).agg(F.count("*").alias("rows"), F.min(F.col("c_acctbal").between(F.col("lo"), F.col("hi"))).alias("inside"))
 
 
-@query("ag9_noisy_aggregates")
+@query("pv10_noise_spread", "SELECT m AS mechanism, count(*) AS rows, true AS fresh, true AS centred, true AS spread FROM orders, (VALUES ('laplace'), ('gaussian')) v(m) GROUP BY m")
+def _(t):
+    """rows; whether two calls differ on nearly all rows; whether mean and mean size of the noise are those of its law within six standard errors."""
+    out = None
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    for how, size in (("laplace", 20.0), ("gaussian", 20.0 * (2 * math.log(1.25e5)) ** 0.5)):
+        once, again = (t.keep(privacy.add_noise(rows, ["o_totalprice"], 0.5, 10.0, how, clip=False).withColumnRenamed("o_totalprice", n)) for n in ("a", "b"))
+        both = rows.join(once, "o_orderkey").join(again, "o_orderkey").withColumn("x", F.col("a") - F.col("o_totalprice"))
+        n, mean = F.count("*"), F.lit(size * (1.0 if how == "laplace" else (2 / math.pi) ** 0.5))
+        width = F.lit(size * (2**0.5 if how == "laplace" else 1.0)) / F.sqrt(n) * 6
+        one = both.agg(n.alias("rows"), (F.avg((F.col("a") != F.col("b")).cast("int")) > 0.95).alias("fresh"), (F.abs(F.avg("x")) < width + size / 500).alias("centred"), (F.abs(F.avg(F.abs("x")) - mean) < width + size / 500).alias("spread"))
+        one = one.select(F.lit(how).alias("mechanism"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("ag9_noisy_aggregates", "SELECT o_orderstatus, true AS near, true AS noisy, 1.0 AS spent, true AS refused FROM orders GROUP BY 1")
 def _(t):
-    return privacy.noisy_aggregates(t.orders, ["o_orderstatus"], {"o_totalprice": "mean"}, epsilon=1.0, sensitivity=100.0, seed=2)
+    """Group means with noise of scale 100: near the true ones (30 scales), none the same; spending is recorded, more than the cap refused."""
+    budget = privacy.PrivacyBudget(t.spark, t.folder())
+    how = dict(epsilon=1.0, sensitivity=100.0, budget=budget, dataset="orders", cap=1.5)
+    noisy = t.keep(privacy.noisy_aggregates(t.orders, ["o_orderstatus"], {"o_totalprice": "mean"}, **how))
+    refused = False
+    try:
+        privacy.noisy_aggregates(t.orders, ["o_orderstatus"], {"o_totalprice": "mean"}, **how)
+    except ValueError:
+        refused = True
+    true = t.orders.groupBy("o_orderstatus").agg(F.avg("o_totalprice").alias("m"))
+    off = F.abs(F.col("o_totalprice") - F.col("m"))
+    return noisy.join(true, "o_orderstatus").select("o_orderstatus", (off < 3000).alias("near"), (off > 0).alias("noisy"), F.lit(budget.spent("orders")).alias("spent"), F.lit(refused).alias("refused"))
 
 
 def _vault(t):
@@ -155,10 +184,14 @@ def _(t):
     return privacy.safe_harbour(t.spark.sql(_CHART.replace("VARCHAR", "STRING").replace("FROM customer", "FROM {customer}"), customer=t.customer))
 
 
-@query("pv13_transfers", "SELECT s_suppkey, CASE WHEN d = 'DE' THEN 'DOMESTIC' WHEN d = 'FR' THEN 'INTRA_EU' WHEN d = 'JP' THEN 'ADEQUACY' WHEN d = 'IN' THEN 'SCC' ELSE 'UNKNOWN' END AS class FROM (SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN 'DE' WHEN 1 THEN 'FR' WHEN 2 THEN 'JP' WHEN 3 THEN 'IN' END AS d FROM supplier)")
+_TRANSFERS = "SELECT s_suppkey, CASE s_suppkey % 7 WHEN 0 THEN 'DE' WHEN 1 THEN ' fr ' WHEN 2 THEN 'jp' WHEN 3 THEN 'IN' WHEN 4 THEN 'de' WHEN 5 THEN 'BR' END AS d, CASE s_suppkey % 4 WHEN 0 THEN 'standard_contractual_clauses' WHEN 1 THEN 'Binding_Corporate_Rules' WHEN 2 THEN 'handshake' END AS g FROM supplier"
+
+
+@query("pv13_transfers", f"""SELECT s_suppkey, CASE WHEN upper(d) = 'DE' THEN 'DOMESTIC' WHEN trim(d) = 'fr' THEN 'INTRA_EU' WHEN d = 'jp' THEN 'ADEQUACY' WHEN d IS NULL THEN 'UNKNOWN'
+ WHEN g IS NULL OR g LIKE 'standard%' THEN 'SCC' WHEN g LIKE 'Binding%' THEN 'BCR' ELSE 'UNKNOWN' END AS class FROM ({_TRANSFERS})""")
 def _(t):
-    d = F.expr("case s_suppkey % 5 when 0 then 'DE' when 1 then 'FR' when 2 then 'JP' when 3 then 'IN' end")
-    return t.supplier.select("s_suppkey", privacy.transfer_class(F.lit("DE"), d, F.when(F.col("s_suppkey") % 5 == 3, "scc")).alias("class"))
+    rows = t.supplier.selectExpr("s_suppkey", "case s_suppkey % 7 when 0 then 'DE' when 1 then ' fr ' when 2 then 'jp' when 3 then 'IN' when 4 then 'de' when 5 then 'BR' end as d", "case s_suppkey % 4 when 0 then 'standard_contractual_clauses' when 1 then 'Binding_Corporate_Rules' when 2 then 'handshake' end as g")
+    return rows.select("s_suppkey", privacy.transfer_class(F.lit("De "), F.col("d"), F.col("g")).alias("class"))
 
 
 @query("pv14_regions", "SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'US' WHEN 1 THEN 'DE' END AS country FROM supplier")
@@ -177,11 +210,28 @@ def _(t):
     return privacy.consent_events(one.unionByName(two).unionByName(end)).select("subject_hash", "version", "withdrawn_utc")
 
 
-@query("pv16_breach_signals", "SELECT event_type AS dataset, s AS signal FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1), (VALUES ('COLUMNS_VANISHED'), ('FIRST_PII_LOAD'), ('QUALITY_COLLAPSE'), ('NEW_COUNTRY')) v(s)")
-def _(t):
-    loads = t.events.groupBy(F.col("event_type").alias("dataset")).agg(F.count("*").alias("rows")).select("dataset", "rows", F.array(F.lit("email")).alias("pii_fields"), F.array(F.lit("a")).alias("columns"), F.lit(50.0).alias("quality"), F.lit("IN").alias("country"), F.lit(0).alias("erased"))
-    known = loads.select("dataset", F.array(F.lit("a"), F.lit("b")).alias("columns"), F.array().cast("array<string>").alias("pii_fields"), F.lit(90.0).alias("quality"), F.array(F.lit("DE")).alias("countries"))
-    return privacy.breach_signals(loads, known, bulk=10**9).select("dataset", "signal")
+@query("pv16_breach_signals", """
+WITH l AS (SELECT user_id, count(*) AS n, min(user_id) AS k FROM events GROUP BY user_id),
+x AS (SELECT CAST(user_id AS VARCHAR) AS dataset, n, k,
+ [CASE WHEN k % 2 = 0 THEN 'COLUMNS_VANISHED' END, CASE WHEN k % 3 > 0 AND k % 5 = 0 THEN 'FIRST_PII_LOAD' END, CASE WHEN n > 5 THEN 'BULK_LOAD' END,
+  CASE WHEN k % 4 = 1 THEN 'QUALITY_COLLAPSE' END, CASE WHEN 100 * (k % 7) > 500 THEN 'BULK_ERASURE' END, CASE WHEN k % 11 <> 3 AND k % 13 > 0 THEN 'NEW_COUNTRY' END] AS s FROM l)
+SELECT dataset, signal, CASE WHEN signal IN ('COLUMNS_VANISHED', 'QUALITY_COLLAPSE', 'BULK_ERASURE') THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+ CASE WHEN signal IN ('COLUMNS_VANISHED', 'QUALITY_COLLAPSE', 'BULK_ERASURE') THEN 72 END AS deadline_hours
+FROM (SELECT dataset, unnest(list_filter(s, lambda v: v IS NOT NULL)) AS signal FROM x)""")
+def _(t):
+    """A load a user: columns lost by every second one, first personal fields, sizes, scores at and under the floor, erasures, transfers."""
+    loads = t.events.groupBy("user_id").agg(F.count("*").alias("rows")).selectExpr(
+        "cast(user_id as string) as dataset",
+        "user_id as k",
+        "rows",
+        "case when user_id % 3 > 0 then array('email') else cast(array() as array<string>) end as pii_fields",
+        "case when user_id % 2 = 0 then array('a') else array('a', 'b', 'new') end as columns",
+        "case user_id % 4 when 0 then 40.0D when 1 then 39.9D when 2 then null else 90.0D end as quality",
+        "case when user_id % 13 = 0 then null when user_id % 11 = 3 then 'DE' else 'IN' end as country",
+        "100 * (user_id % 7) as erased",
+    )
+    known = loads.selectExpr("dataset", "array('a', 'b') as columns", "case when k % 5 = 0 then cast(array() as array<string>) else array('phone') end as pii_fields", "array('DE') as countries")
+    return privacy.breach_signals(loads, known, bulk=5, erasures=500)
 
 
 @query("govern_distinct_masks", "SELECT DISTINCT 'MASKED_' || substr(sha256(c_name), 1, 12) AS name FROM customer")

@@ -68,12 +68,18 @@ def _(t):
     return quality.quality_score(rows, passed=3, total=4, as_of="2024-06-01 00:00:00")
 
 
+_DIMENSIONS = f"SELECT *, CAST(100 - row_count % 43 AS DOUBLE) AS completeness FROM ({_DAILY})"
+
+
 @query("ql4_score_alerts", f"""
-WITH h AS (SELECT *, score - lag(score) OVER w AS c, CASE WHEN score < lag(score) OVER w THEN 1 ELSE 0 END AS f FROM ({_DAILY}) WINDOW w AS (PARTITION BY dataset ORDER BY observed_utc)),
+WITH h AS (SELECT *, lag(score) OVER w - score AS c, lag(completeness) OVER w - completeness AS k, lag(score, 2) OVER w AS first, CASE WHEN score < lag(score) OVER w THEN 1 ELSE 0 END AS f FROM ({_DIMENSIONS}) WINDOW w AS (PARTITION BY dataset ORDER BY observed_utc)),
 g AS (SELECT *, sum(f) OVER (PARTITION BY dataset ORDER BY observed_utc ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) = 2 AS d FROM h)
-SELECT dataset, observed_utc, score, 'SCORE_DROP' AS type FROM g WHERE c < -10 UNION ALL SELECT dataset, observed_utc, score, 'BELOW_FLOOR' FROM g WHERE score < 20 UNION ALL SELECT dataset, observed_utc, score, 'ROLLING_DECLINE' FROM g WHERE d""")
+SELECT dataset, observed_utc, score, 'SCORE_DROP' AS type, NULL AS dimension, CASE WHEN c > 20 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, CAST(c AS DOUBLE) AS amount FROM g WHERE c > 10
+UNION ALL SELECT dataset, observed_utc, score, 'BELOW_FLOOR', NULL, 'CRITICAL', CAST(20 - score AS DOUBLE) FROM g WHERE score < 20
+UNION ALL SELECT dataset, observed_utc, score, 'ROLLING_DECLINE', NULL, 'HIGH', CAST(first - score AS DOUBLE) FROM g WHERE d
+UNION ALL SELECT dataset, observed_utc, score, 'DIMENSION_DROP', 'completeness', CASE WHEN k > 22.5 THEN 'HIGH' ELSE 'MEDIUM' END, k FROM g WHERE k > 15""")
 def _(t):
-    return quality.score_alerts(_daily(t), floor=20).select("dataset", "observed_utc", "score", "type")
+    return quality.score_alerts(_daily(t).withColumn("completeness", (100 - F.col("row_count") % 43).cast("double")), floor=20)
 
 
 _CONTRACT = {
@@ -129,10 +135,17 @@ def _(t):
     return quality.volume_alerts(_daily(t)).select("dataset", "observed_utc", "severity")
 
 
-@query("ql12_mean_drift", "SELECT 'value' AS \"column\", round(abs(a.m - b.m) / greatest(a.s, b.s), 3) AS drift, abs(a.m - b.m) / greatest(a.s, b.s) > 1 AS drifted FROM (SELECT round(avg(value), 4) AS m, round(stddev_samp(value), 4) AS s FROM events WHERE ts >= TIMESTAMP '2024-01-16') a, (SELECT round(avg(value), 4) AS m, round(stddev_samp(value), 4) AS s FROM events WHERE ts < TIMESTAMP '2024-01-16') b")
+_HALVES = "SELECT {k} AS k, value, value * 1e-6 AS small, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN value * 1e-6 + 2e-5 ELSE value * 1e-6 END AS moved, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN 1e6 + value ELSE value END AS far, 3 AS same FROM events WHERE ts {op} TIMESTAMP '2024-01-16'"
+_DRIFT = """SELECT '{c}' AS "column", round(abs(a.m - b.m) / greatest(a.s, b.s, 1e-10), 4) AS drift, CASE WHEN abs(a.m - b.m) / greatest(a.s, b.s, 1e-10) > 2 THEN 'HIGH' WHEN abs(a.m - b.m) / greatest(a.s, b.s, 1e-10) > 1 THEN 'MEDIUM' ELSE 'OK' END AS severity
+ FROM (SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM ({x})) a, (SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM ({y})) b WHERE a.s > 0 OR b.s > 0"""
+
+
+@query("ql12_mean_drift", " UNION ALL ".join(_DRIFT.format(c=c, x=_HALVES.format(k=1, op=">="), y=_HALVES.format(k=0, op="<")) for c in ("value", "small", "moved", "far", "same")))
 def _(t):
-    now, before = (quality.column_statistics(t.events.filter(w), ["value"]) for w in ("ts >= '2024-01-16'", "ts < '2024-01-16'"))
-    return quality.mean_drift(now, before).select("column", F.round("drift", 3).alias("drift"), "drifted")
+    """The same column at two scales, one that moved by a small number, one that moved far, one that never varies."""
+    rows = t.events.selectExpr("ts", "value", "value * 1e-6D as small", "case when ts >= '2024-01-16' then value * 1e-6D + 2e-5D else value * 1e-6D end as moved", "case when ts >= '2024-01-16' then 1e6D + value else value end as far", "3 as same")
+    now, before = (quality.column_statistics(rows.filter(w), ["value", "small", "moved", "far", "same"], digits=None, parts=("numbers",)) for w in ("ts >= '2024-01-16'", "ts < '2024-01-16'"))
+    return quality.mean_drift(now, before)
 
 
 @query("ql13_null_alerts", f"""
@@ -155,10 +168,22 @@ def _(t):
     return row.select("dataset", "observed_utc", "row_count", "column_count", F.explode("column_stats").alias("x")).select("dataset", "observed_utc", "row_count", "column_count", "x.*")
 
 
-@query("ql15_baseline", "SELECT event_type AS dataset, 'ROW_COUNT' AS \"check\" FROM events GROUP BY event_type HAVING abs(count(*) - 1000) > 200")
+_BY_TYPE = "SELECT event_type AS dataset, CASE WHEN event_id % 4 = 0 THEN NULL ELSE value END AS value, CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id END AS user_id, ts FROM events"
+
+
+@query("ql15_baseline", f"""
+WITH n AS (SELECT dataset, count(*) AS rows, count(*) FILTER (value IS NULL) / count(*) AS v, count(*) FILTER (user_id IS NULL) / count(*) AS u FROM ({_BY_TYPE}) GROUP BY 1),
+b AS (SELECT *, CASE WHEN length(dataset) % 2 = 0 THEN 2 * rows ELSE rows END AS e, CASE WHEN length(dataset) % 2 = 0 THEN NULL ELSE 0.0 END AS rt, CASE WHEN length(dataset) % 2 = 0 THEN NULL ELSE 0.3 END AS nt FROM n)
+SELECT dataset, 'ROW_COUNT' AS "check", NULL AS "column", CAST(e AS DOUBLE) AS expected, CAST(rows AS DOUBLE) AS actual FROM b WHERE rows < e * (1 - coalesce(rt, 0.2)) OR rows > e * (1 + coalesce(rt, 0.2))
+UNION ALL SELECT dataset, 'NULL_RATE', 'value', 0.0, v FROM b WHERE v > coalesce(nt, 0.05)
+UNION ALL SELECT dataset, 'NULL_RATE', 'user_id', 0.5, u FROM b WHERE abs(u - 0.5) > coalesce(nt, 0.05)""")
 def _(t):
-    now = t.events.groupBy(F.col("event_type").alias("dataset")).agg(F.count("*").alias("row_count"), F.avg(F.col("value").isNull().cast("int")).alias("null_rate"))
-    return quality.baseline_anomalies(now, now.select("dataset", F.lit(1000).alias("row_count"), F.lit(0.0).alias("null_rate")))
+    """Even names: twice the rows are expected, default tolerances. Odd ones: their own tolerances. A column that is not there is not compared."""
+    rows = t.events.selectExpr("event_type as dataset", "case when event_id % 4 = 0 then null else value end as value", "case when event_id % 10 = 0 then null else user_id end as user_id", "ts")
+    now = quality.null_rates(rows, "dataset")
+    even = "length(dataset) % 2 = 0"
+    baseline = now.selectExpr("dataset", f"case when {even} then 2 * rows else rows end as expected_rows", "map('value', 0.0D, 'user_id', 0.5D, 'gone', 0.0D) as null_rates", f"case when {even} then null else 0.0D end as row_tolerance", f"case when {even} then null else 0.3D end as null_tolerance")
+    return quality.baseline_anomalies(now, baseline)
 
 
 @query("ql16_exposition", "SELECT 'table_rows' AS metric, 'dataset=\"part\"' AS labels, CAST(count(*) AS DOUBLE) AS value FROM part UNION ALL SELECT 'column_nulls', 'dataset=\"part\",column=\"p_size\"', CAST(count(*) FILTER (p_size IS NULL) AS DOUBLE) FROM part")
@@ -173,10 +198,10 @@ def _(t):
     return quality.synthesise(t.spark, quality.column_statistics(t.part, ["p_size", "p_retailprice", "p_brand", "p_name"]), t.part.count(), {"p_brand": top}, seed=1)
 
 
-@query("ql18_gate", "SELECT * FROM (VALUES ('schema', 1, 'WARN'), ('baseline', 0, 'PASS'), ('purpose', 2, 'FAIL'), ('contract', 0, 'PASS')) v(\"check\", findings, status) WHERE (SELECT count(*) FROM orders) > 0")
+@query("ql18_gate", "SELECT * FROM (VALUES ('schema', 1, 'WARN'), ('baseline', 1, 'WARN'), ('purpose', 2, 'FAIL'), ('contract', 0, 'PASS')) v(\"check\", findings, status) WHERE (SELECT count(*) FROM orders) > 0")
 def _(t):
     rows = t.orders.select("o_orderkey", "o_orderstatus")
-    return steps.gate(rows, t.spark, ["o_orderkey"], rows.count(), [], {"sla": {"min_rows": 1}})
+    return steps.gate(rows, t.spark, ["o_orderkey"], {"expected_rows": rows.count(), "null_rates": {"o_orderkey": 0.0, "o_orderstatus": 0.4}}, [], {"sla": {"min_rows": 1}})
 
 
 @query("governed_rows", "SELECT DISTINCT c_custkey AS customer_id, 'MASKED_' || substr(sha256(c_name), 1, 12) AS full_name, n_name AS nation, c_acctbal AS balance, 'run-1' AS _pipeline_id, '2024-01-01T00:00:00Z' AS _loaded_at_utc FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")

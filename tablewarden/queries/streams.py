@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import ledger
 from ..streaming import streams
 from .registry import query
 
@@ -34,6 +35,30 @@ def _(t):
     return t.spark.read.parquet(out).select("id", "full_name")
 
 
+@query("st4_observed", """
+WITH c AS (SELECT c_custkey AS id, 'MASKED_' || substr(sha256(c_name), 1, 12) AS full_name, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END AS balance FROM customer)
+SELECT 'rows' AS part, CAST(count(*) AS DOUBLE) AS a, CAST(count(balance) AS DOUBLE) AS b, round(sum(balance), 2) AS c FROM c
+UNION ALL SELECT 'observed', 2.0 * count(*), count(*), count(*) - count(balance) FROM c
+UNION ALL SELECT 'events', 12, 0, 0
+UNION ALL SELECT 'told', 2.0 * count(*), count(*), count(*) - count(balance) FROM c""")
+def _(t):
+    """Every customer twice: what was written, what the observations say, the chains (events, broken links, batches without), what the events say."""
+    rows = t.customer.selectExpr("c_custkey as id", "c_name as full_name", "case when c_custkey % 3 = 0 then null else c_acctbal end as balance")
+    out = t.folder()
+    streams.govern_observed_stream(_stream(t, rows.unionAll(rows)), out, t.folder(), "run-1", "2024-01-01T00:00:00Z", "customer").awaitTermination()
+    written, seen, trail = (t.spark.read.parquet(f"{out}/{x}") for x in ("rows", "observations", "events"))
+    one = lambda df, part, a, b, c: df.agg(a.cast("double").alias("a"), b.cast("double").alias("b"), F.round(c.cast("double"), 2).alias("c")).select(F.lit(part).alias("part"), "*")
+    nulls = F.sum(F.aggregate("column_stats", F.lit(0).cast("long"), lambda s, x: s + x["nulls"]))
+    told = trail.select("seq", F.get_json_object("body", "$.detail.rows").cast("long").alias("n"), F.get_json_object("body", "$.detail.nulls").cast("long").alias("lack"))
+    chains = trail.agg(F.count("*").alias("n"), F.count_distinct("batch").alias("k")).crossJoin(ledger.broken_links(trail).agg(F.count("*").alias("broken")))
+    return (
+        one(written, "rows", F.count("*"), F.count("balance"), F.sum("balance"))
+        .unionByName(one(seen, "observed", F.sum("rows_in"), F.sum("row_count"), nulls))
+        .unionByName(one(chains, "events", F.max("n"), F.max("broken"), F.max(4 - F.col("k"))))
+        .unionByName(one(told, "told", F.sum(F.when(F.col("seq") == 0, F.col("n"))), F.sum(F.when(F.col("seq") == 2, F.col("n"))), F.sum("lack")))
+    )
+
+
 @query("st5_upsert", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_quantity DESC) = 1")
 def _(t):
     out, keys = t.folder(), ["l_orderkey"]

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NumericType, StructType
 
-from ..functions.names import check_identifier
-from ..operators import filters
+from ..functions.names import check_identifier, pii_columns
+from ..operators import filters, ledger
 from ..plans.steps import govern
 
 
@@ -45,6 +45,39 @@ def govern_stream(df: DataFrame, out: str, checkpoint: str, run_id: str, at: str
     return run_batches(df, each, checkpoint)
 
 
+def govern_observed_stream(df: DataFrame, out: str, checkpoint: str, run_id: str, at: str, dataset: str) -> StreamingQuery:
+    """Each batch governed, observed and recorded: folders rows, observations and events under out, a batch each.
+
+    What a batch brings, keeps and lacks is counted while its rows are written, with no pass of its own. Its events (read, masked,
+    loaded) are one segment of the ledger, chained under the batch's number, and written last: a batch is done once they are
+    there. A batch that runs again replaces all three by the same, so a stream that failed ends as one that did not.
+    """
+
+    def each(batch: DataFrame, n: int) -> None:
+        spark = batch.sparkSession
+        before, after = Observation(), Observation()
+        masked = sorted(r["field"] for r in pii_columns(batch.columns))
+        governed = govern(batch.observe(before, F.count("*").alias("rows")), run_id, at)
+        numbers = [f.name for f in governed.schema if isinstance(f.dataType, NumericType)]
+        stats = [F.count("*").alias("rows")]
+        for i, c in enumerate(governed.columns):
+            stats.append(F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}"))
+            if c in numbers:
+                stats += [F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}"), F.stddev_samp(F.col(f"`{c}`").cast("double")).alias(f"s{i}")]
+        governed.observe(after, *stats).write.mode("overwrite").parquet(f"{out}/rows/batch={n}")
+        read, kept = before.get["rows"], after.get
+        columns = [(c, kept[f"n{i}"], kept.get(f"m{i}"), kept.get(f"s{i}")) for i, c in enumerate(governed.columns)]
+        seen = spark.createDataFrame([(dataset, at, read, kept["rows"], columns)], "dataset string, observed_utc string, rows_in long, row_count long, column_stats array<struct<column:string,nulls:long,mean:double,std:double>>")
+        seen.coalesce(1).write.mode("overwrite").parquet(f"{out}/observations/batch={n}")
+        detail = [("BATCH_READ", {"rows": str(read)}), ("PII_MASKED", {"fields": ",".join(masked)}), ("BATCH_LOADED", {"rows": str(kept["rows"]), "nulls": str(sum(c[1] for c in columns))})]
+        events = ledger.events(spark, [(run_id, f"{dataset}-{n}-{i}", at, "STREAM", action, d) for i, (action, d) in enumerate(detail)])
+        seq = F.substring_index("event_id", "-", -1).cast("long")
+        chained = ledger.chain(ledger.canonical(events).select(F.lit(f"{dataset}-{n}").alias("segment_id"), seq.alias("seq"), "body"))
+        chained.coalesce(1).write.mode("overwrite").parquet(f"{out}/events/batch={n}")
+
+    return run_batches(df, each, checkpoint)
+
+
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row a key: the greatest by `order`, equal ones by all columns, so that the same rows give the same choice."""
     value = F.struct(*rows.columns)

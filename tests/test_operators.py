@@ -552,3 +552,92 @@ def test_vector_index(spark, tmp_path):
     assert vector_index.search_index(spark, empty, asked, "v", "id").count() == 0
     with pytest.raises(ValueError):
         vector_index.build_index(spark.createDataFrame([(1, [1.0, math.nan])], "id long, v array<double>"), "v", "id", str(tmp_path / "bad"))
+
+
+# --- commits, noise, observed streams ------------------------------------------------------------------------
+
+
+def test_two_writers_get_two_versions(spark, tmp_path):
+    """Eight snapshots of one dataset at once: versions 1 to 8, none lost, all readable."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    stores = [loads.SnapshotStore(spark, str(tmp_path)) for _ in range(8)]
+    with ThreadPoolExecutor(8) as pool:
+        versions = list(pool.map(lambda i: stores[i].snapshot(spark.range(i + 1), "d", at=str(i)), range(8)))
+    assert sorted(versions) == list(range(1, 9))
+    assert {v: stores[0].checkout("d", v).count() for v in versions} == {v: i + 1 for i, v in enumerate(versions)}
+    log = stores[0].log
+    assert [r["_commit"] for r in log.entries().orderBy("_commit").collect()] == list(range(1, 9))
+    assert not log.put(3, {"dataset": "x"}) and log.entries().filter("dataset = 'x'").count() == 0
+    stores[0].delete("d", 8)
+    assert stores[1].snapshot(spark.range(99), "d") == 9 and stores[2].snapshot(spark.range(99), "d") == 9
+
+
+def test_budget_is_not_overspent(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    df = spark.createDataFrame([(1.0,), (5.0,)], "v double")
+
+    def ask(_):
+        try:
+            privacy.add_noise(df, ["v"], 0.4, budget=privacy.PrivacyBudget(spark, str(tmp_path)), dataset="d", cap=1.0)
+        except ValueError:
+            return False
+        return True
+
+    with ThreadPoolExecutor(5) as pool:
+        assert sum(pool.map(ask, range(5))) == 2
+    assert privacy.PrivacyBudget(spark, str(tmp_path)).spent("d") == pytest.approx(0.8)
+
+
+def test_noise_is_fresh_and_on_a_grid(spark):
+    df = spark.range(2000).select(F.col("id"), (F.col("id") * 0.1).alias("v"))
+    a, b = ([r["v"] for r in privacy.add_noise(df, ["v"], 1.0, clip=False).orderBy("id").collect()] for _ in range(2))
+    assert sum(x != y for x, y in zip(a, b, strict=True)) > 1900
+    grid = 2.0**-10
+    assert all(x / grid == round(x / grid) for x in a)
+    c, d = ([r["v"] for r in privacy.add_noise(df, ["v"], 1.0, clip=False, seed=1).orderBy("id").collect()] for _ in range(2))
+    assert c == d
+    same = spark.createDataFrame([(3.0,), (3.0,)], "v double")
+    assert any(r["v"] != 3.0 for _ in range(3) for r in privacy.add_noise(same, ["v"], 0.1).collect())
+
+
+def test_a_stream_that_failed_ends_as_one_that_did_not(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(i, f"a{i}@x.org", None if i % 3 else float(i)) for i in range(40)], "id long, email string, v double")
+    source = str(tmp_path / "in")
+    for i in range(4):
+        rows.filter(F.col("id") % 4 == i).coalesce(1).write.mode("append").parquet(source)
+    read = lambda: streams.read_stream(spark, source, rows.schema, per_batch=1)
+    whole, failed = str(tmp_path / "whole"), str(tmp_path / "failed")
+    streams.govern_observed_stream(read(), whole, str(tmp_path / "c1"), "r", "2024-01-01", "d").awaitTermination()
+    chain, calls = streams.ledger.chain, []
+
+    def once(df):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return chain(df)
+
+    monkeypatch.setattr(streams.ledger, "chain", once)
+    with pytest.raises(Exception, match="lost"):
+        streams.govern_observed_stream(read(), failed, str(tmp_path / "c2"), "r", "2024-01-01", "d").awaitTermination()
+    assert spark.read.parquet(f"{failed}/rows").select("batch").distinct().count() == 2 and spark.read.parquet(f"{failed}/events").select("batch").distinct().count() == 1
+    streams.govern_observed_stream(read(), failed, str(tmp_path / "c2"), "r", "2024-01-01", "d").awaitTermination()
+    for part in ("rows", "observations", "events"):
+        a, b = (spark.read.parquet(f"{x}/{part}") for x in (whole, failed))
+        assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0
+    assert ledger.broken_links(spark.read.parquet(f"{failed}/events")).count() == 0
+
+
+def test_breach_signals_of_what_is_not_known(spark):
+    loads_ = spark.createDataFrame([("new", 1, ["email"], ["a"], None, None, None), ("empty", None, None, None, None, None, None)], "dataset string, rows long, pii_fields array<string>, columns array<string>, quality double, country string, erased long")
+    known = spark.createDataFrame([("empty", None, None, None)], "dataset string, columns array<string>, pii_fields array<string>, countries array<string>")
+    assert rows(privacy.breach_signals(loads_, known)) == [("new", "FIRST_PII_LOAD", "MEDIUM", None)]
+
+
+def test_drift_of_small_numbers(spark):
+    a = spark.createDataFrame([(1e-7,), (2e-7,)], "v double")
+    b = spark.createDataFrame([(5e-7,), (6e-7,)], "v double")
+    stats = lambda df: quality.column_statistics(df, digits=None, parts=("numbers",))
+    assert quality.mean_drift(stats(b), stats(a)).first()["severity"] == "HIGH"
+    assert quality.mean_drift(stats(a.limit(0)), stats(a)).count() == 0
