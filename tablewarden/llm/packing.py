@@ -4,8 +4,9 @@ The program: as few configurations (multisets of lengths that fit into a sequenc
 Multiplicative weights price the lengths; a knapsack table over the capacity finds for every length the best
 configuration that holds it; those that are worth about the most are used, and what a round covers of a length
 lowers its weight. Any prices give a lower bound on the number of sequences, of which the best is kept. The
-fractional solution is rounded: of its full configurations the whole parts, then one more of each while its pieces
-are there. What is left is solved and rounded once more, and the last pieces are packed by best fit, longest first. All of this sees
+fractional solution is rounded at several shares of fullness: of configurations that are full enough the whole parts, then
+one more of each while its pieces are there; the rest goes by best fit, longest first, into the room that they leave and
+into new sequences. The rounding of fewest sequences holds, so the plan is never worse than best fit alone. All of this sees
 only the histogram (one count a length, so never more than the capacity); Spark ranks the pieces within their
 length and each takes the slot of its rank.
 
@@ -39,8 +40,9 @@ CAPACITY = 2048
 ROUNDS, STEP, RATE, SLACK = 40, 0.05, 1.0, 0.5
 #: Rounds after those that cover what is left, without covering any length again.
 LAST = 12
-#: Times that the program is solved, each time for what rounding left; only configurations this close to the fullest are taken whole.
-SOLVES, FULL = 2, 0.995
+#: How full, against the fullest, configurations must be that are taken whole. Every share is tried; for the first the program
+#: is solved SOLVES times, each time for what rounding left.
+FULLS, SOLVES = (0.995, 0.98, 0.95, 0.9, 0.8, 0.0), 4
 #: Pieces of one length that one task ranks, about.
 RANKED = 20_000
 #: Distinct words in each of the two generations whose ids one Python worker keeps.
@@ -247,8 +249,8 @@ def solve(histogram: np.ndarray, capacity: int = CAPACITY) -> tuple[dict[tuple[i
     return used, bound
 
 
-def fill(rest: np.ndarray, capacity: int) -> dict[tuple[int, ...], int]:
-    """Best fit, longest first. Bins of equal room are filled together: a piece always goes on in the bin that took one of its length."""
+def fill(rest: np.ndarray, capacity: int, begun: dict[tuple[int, ...], int] | None = None) -> dict[tuple[int, ...], int]:
+    """Best fit, longest first, into the begun configurations and new ones. Bins of equal room are filled together: a piece always goes on in the bin that took one of its length."""
     rooms: list[int] = []
     bins: dict[int, dict[tuple[int, ...], int]] = {}
 
@@ -258,6 +260,8 @@ def fill(rest: np.ndarray, capacity: int) -> dict[tuple[int, ...], int]:
             bins[room] = {}
         bins[room][items] = bins[room].get(items, 0) + n
 
+    for items, n in (begun or {}).items():
+        put(capacity - sum(items), items, n)
     for a in np.flatnonzero(rest)[::-1].tolist():
         n = int(rest[a])
         while n:
@@ -271,7 +275,7 @@ def fill(rest: np.ndarray, capacity: int) -> dict[tuple[int, ...], int]:
                 room, items, there = capacity, (), n
             each = min(n, room // a)
             whole = min(there, n // each)
-            put(room - each * a, (*items, *[a] * each), whole)
+            put(room - each * a, tuple(sorted((*items, *[a] * each), reverse=True)), whole)
             if items and there > whole:
                 put(room, items, there - whole)
             n -= whole * each
@@ -282,11 +286,10 @@ def fill(rest: np.ndarray, capacity: int) -> dict[tuple[int, ...], int]:
     return out
 
 
-def plan(histogram: np.ndarray, capacity: int = CAPACITY, report: dict | None = None) -> dict[tuple[int, ...], int]:
-    """Whole configurations that hold exactly histogram[l] pieces of every length. report: gets the lower bound and the pieces that best fit placed."""
+def rounded(histogram: np.ndarray, capacity: int, found: dict[tuple[int, ...], float], share: float, solves: int) -> tuple[dict[tuple[int, ...], int], np.ndarray]:
+    """Whole configurations of a fractional solution that are full enough, and the pieces that they leave, which are solved again."""
     rest = histogram.astype(np.int64).copy()
     out: dict[tuple[int, ...], int] = {}
-    bound = 0.0
 
     def take(items: tuple[int, ...], most: int) -> None:
         held = Counter(items)
@@ -296,22 +299,40 @@ def plan(histogram: np.ndarray, capacity: int = CAPACITY, report: dict | None =
             for a, k in held.items():
                 rest[a] -= k * n
 
-    for _ in range(SOLVES):
-        if not rest.any():
-            break
-        found, least = solve(rest, capacity)
-        bound = max(bound, least)
-        fullest = max(map(sum, found))
-        found = {c: x for c, x in found.items() if sum(c) >= FULL * fullest}
-        for items, x in sorted(found.items(), key=lambda c: (-c[1], c[0])):
+    for i in range(solves):
+        if i:
+            found = solve(rest, capacity)[0]
+        fullest, before = max(map(sum, found)), rest.sum()
+        good = {c: x for c, x in found.items() if sum(c) >= share * fullest}
+        for items, x in sorted(good.items(), key=lambda c: (-c[1], c[0])):
             take(items, math.floor(x))
-        for items in sorted(found, key=lambda c: (math.floor(found[c]) - found[c], c)):
+        for items in sorted(good, key=lambda c: (math.floor(good[c]) - good[c], c)):
             take(items, 1)
-    for items, n in fill(rest, capacity).items():
-        out[items] = out.get(items, 0) + n
+        # a program that places next to nothing of what is left would not place more of it
+        if not rest.any() or before - rest.sum() < 0.02 * before:
+            break
+    return out, rest
+
+
+def plan(histogram: np.ndarray, capacity: int = CAPACITY, report: dict | None = None) -> dict[tuple[int, ...], int]:
+    """Whole configurations that hold exactly histogram[l] pieces of every length: of the roundings the one of fewest sequences.
+
+    Each is ended by best fit, into the room that its own configurations leave first; best fit alone is tried as well, and
+    of plans of as many sequences that one holds of which the program placed the most. report: gets the lower bound and the
+    pieces that best fit placed.
+    """
+    if not histogram.any():
+        return {}
+    found, bound = solve(histogram, capacity)
+    alone = fill(histogram, capacity)
+    best = (sum(alone.values()), int(histogram.sum()), alone)
+    for share in FULLS:
+        taken, rest = rounded(histogram, capacity, found, share, SOLVES if share == FULLS[0] else 1)
+        whole = fill(rest, capacity, taken)
+        best = min(best, (sum(whole.values()), int(rest.sum()), whole), key=lambda p: p[:2])
     if report is not None:
-        report.update(bound=bound, by_best_fit=int(rest.sum()))
-    return out
+        report.update(bound=bound, by_best_fit=best[1])
+    return best[2]
 
 
 # --- slots -------------------------------------------------------------------------------------------------
@@ -361,7 +382,7 @@ def pack(pieces: DataFrame, keys: list[str], capacity: int = CAPACITY) -> DataFr
     if len(histogram) > capacity + 1:
         raise ValueError("lengths must be 1 to the capacity")
     histogram = np.pad(histogram, (0, capacity + 1 - len(histogram)))
-    table = slots(plan(histogram, capacity))  # at most SOLVES * ROUNDS configurations a length and those of fill(): no growth with the pieces
+    table = slots(plan(histogram, capacity))  # configurations of the program and of fill(), a number that the capacity bounds: no growth with the pieces
     lo, times, first, at = (table[c].to_numpy(np.int64) for c in ("lo", "times", "first", "at"))
     span = int(histogram.max(initial=0)) + 1
     order = table["length"].to_numpy(np.int64) * span + lo
