@@ -5,7 +5,9 @@ segments and gives the exact length, or rejects. The type found at offset 0 corr
 media further in are carved. A payload becomes a column by wrapping it as 8-bit mono PCM in a RIFF container.
 
 Nulls: null bytes are empty bytes, of type application/octet-stream and without media; a null declared type is
-never right. Very long payloads: what formats share in looking for their ends is found once a payload. Ties: of media
+never right. Very long payloads: a place that validators walk through is looked at once a payload, however many formats seem to
+begin before it (chains of chunks, blocks and segments, ends of scans and archives), and check sums of overlapping chunks come from
+sums over the payload. Ties: of media
 that start together the longest comes first, then by type. Empty tables give empty tables, repeated rows are sniffed
 each for itself. doc_id is an integer; sniff_column takes a key of any type.
 """
@@ -44,6 +46,40 @@ MAGIC = {
 }
 
 
+#: Bytes between the sums that a payload keeps.
+SUMMED = 1 << 14
+#: The polynomial of CRC-32, lowest power first.
+_POLYNOMIAL = 0xEDB88320
+
+
+def _times(a: int, b: int) -> int:
+    """Product of two polynomials of CRC-32."""
+    out = 0
+    for i in range(31, -1, -1):
+        if a >> i & 1:
+            out ^= b
+        b = b >> 1 ^ (_POLYNOMIAL if b & 1 else 0)
+    return out
+
+
+@lru_cache(64)
+def _zeros(k: int) -> int:
+    """What 2**k zero bytes behind a text multiply its CRC-32 by."""
+    if not k:
+        return 1 << 23
+    half = _zeros(k - 1)
+    return _times(half, half)
+
+
+def _shifted(crc: int, size: int) -> int:
+    k = 0
+    while size:
+        if size & 1:
+            crc = _times(crc, _zeros(k))
+        size, k = size >> 1, k + 1
+    return crc
+
+
 class Buffer(bytes):
     """Bytes, with what the validators have found in them: each part is looked for once, however often a format seems to begin."""
 
@@ -52,12 +88,39 @@ class Buffer(bytes):
         self.jpeg: dict[int, tuple[int, bool]] = {}
         self.gif: dict[int, tuple[int, bool]] = {}
         self.blocks: dict[int, int] = {}
+        self.png: dict[int, int] = {}
+        self.flac: dict[int, bool] = {}
+        #: Of chunks of a RIFF: the next one's place, a place further on, what stands up to either, and how far the last one is.
+        self.riff: dict[int, tuple[int, int, int, int, int]] = {}
 
     def places(self, what: bytes) -> list[int]:
         if what not in self._places:
             self._places[what] = [m.start() for m in re.finditer(re.escape(what), self)]
         return self._places[what]
 
+    @cached_property
+    def markers(self) -> list[int]:
+        """Places that end a scan of a JPEG: 0xFF before neither a stuffed zero nor a restart."""
+        return [m.start() for m in re.finditer(rb"\xff(?![\x00\xd0-\xd7])", self)]
+
+    @cached_property
+    def _sums(self) -> list[int]:
+        """CRC-32 of the first 0, SUMMED, 2 SUMMED ... bytes."""
+        out = [0]
+        for at in range(0, len(self), SUMMED):
+            out.append(zlib.crc32(self[at : at + SUMMED], out[-1]))
+        return out
+
+    def _sum_to(self, end: int) -> int:
+        k = end // SUMMED
+        return zlib.crc32(self[k * SUMMED : end], self._sums[k])
+
+    def crc(self, start: int, end: int) -> int:
+        """CRC-32 of a part, in a time that its length does not matter for."""
+        if end - start <= 4 * SUMMED:
+            return zlib.crc32(self[start:end])
+        return self._sum_to(end) ^ _shifted(self._sum_to(start), end - start)
+
     @cached_property
     def archives(self) -> dict[int, int]:
         """Start -> end of the archives whose end record and directory are sound."""
@@ -71,29 +134,66 @@ class Buffer(bytes):
         return out
 
 
+def _chunk(b: Buffer, pos: int) -> tuple[int, int, int, int, int]:
+    """Of the chunk at pos: the next place, a place further on, which of fmt (1) and data (2) stand before either, and its depth from the last."""
+    path = []
+    while pos not in b.riff:
+        if pos + 8 > len(b):
+            b.riff[pos] = pos, pos, 0, 0, 0
+            break
+        path.append(pos)
+        size = struct.unpack_from("<I", b, pos + 4)[0]
+        pos += 8 + size + (size & 1)
+    for at in reversed(path):
+        name = b[at : at + 4]
+        own = 1 if name == b"fmt " else 2 if name == b"data" else 0
+        _, far, _, mask, depth = b.riff[pos]
+        _, further, _, more, deep = b.riff[far]
+        if depth - deep == deep - b.riff[further][4]:
+            b.riff[at] = pos, further, own, own | mask | more, depth + 1
+        else:
+            b.riff[at] = pos, pos, own, own, depth + 1
+        pos = at
+    return b.riff[pos]
+
+
 def _wav(b: Buffer, at: int) -> int:
     if len(b) < at + 12 or b[at + 8 : at + 12] != b"WAVE":
         return 0
     end = at + 8 + struct.unpack_from("<I", b, at + 4)[0]
-    pos, seen = at + 12, set()
-    while pos + 8 <= end <= len(b):
-        name, size = b[pos : pos + 4], struct.unpack_from("<I", b, pos + 4)[0]
-        seen.add(name)
-        pos += 8 + size + (size & 1)
-    return end - at if pos == end and {b"fmt ", b"data"} <= seen else 0
+    if end > len(b):
+        return 0
+    pos, seen = at + 12, 0
+    while pos < end:
+        nxt, far, own, all_, _ = _chunk(b, pos)
+        if nxt == pos:
+            return 0
+        pos, seen = (far, seen | all_) if far <= end else (nxt, seen | own)
+    return end - at if pos == end and seen == 3 else 0
 
 
 def _png(b: Buffer, at: int) -> int:
-    pos = at + 8
-    while pos + 12 <= len(b):
-        size, name = struct.unpack_from(">I", b, pos)[0], b[pos + 4 : pos + 8]
-        end = pos + 12 + size
-        if end > len(b) or (pos == at + 8 and name != b"IHDR") or zlib.crc32(b[pos + 4 : end - 4]) != struct.unpack_from(">I", b, end - 4)[0]:
-            return 0
-        if name == b"IEND":
-            return end - at
-        pos = end
-    return 0
+    """Chunks with right sums up to the end chunk; the first is a header of 13 bytes."""
+    if b[at + 8 : at + 16] != b"\0\0\0\rIHDR":
+        return 0
+    pos, path, end = at + 8, [], 0
+    while pos not in b.png:
+        stop = pos + 12 + struct.unpack_from(">I", b, pos)[0] if pos + 12 <= len(b) else 0
+        if not pos < stop <= len(b):
+            break
+        path.append((pos, stop))
+        if b[pos + 4 : pos + 8] == b"IEND":
+            end = stop
+            break
+        pos = stop
+    else:
+        end = b.png[pos]
+    # sums only once the chunks lead to an end
+    for pos, stop in reversed(path):
+        if end and b.crc(pos + 4, stop - 4) != struct.unpack_from(">I", b, stop - 4)[0]:
+            end = 0
+        b.png[pos] = end
+    return end - at if end else 0
 
 
 def _blocks(b: Buffer, pos: int) -> int:
@@ -159,8 +259,8 @@ def _jpeg(b: Buffer, at: int) -> int:
         nxt = pos + 2 + size
         if b[pos + 1] == 0xDA:
             scan = True
-            while (nxt := b.find(b"\xff", nxt)) >= 0 and nxt + 1 < len(b) and (b[nxt + 1] == 0 or 0xD0 <= b[nxt + 1] <= 0xD7):
-                nxt += 2
+            k = bisect_left(b.markers, nxt)
+            nxt = b.markers[k] if k < len(b.markers) else -1
         path.append((pos, scan))
         if nxt < 0:
             break
@@ -194,15 +294,21 @@ def _zip(b: Buffer, at: int) -> int:
 
 def _flac(b: Buffer, at: int) -> int:
     """FLAC frames have no length: metadata must be sound, and the stream is taken to the end."""
-    pos, first = at + 4, True
-    while pos + 4 <= len(b):
-        kind, size = b[pos] & 127, int.from_bytes(b[pos + 1 : pos + 4], "big")
-        if first and (kind != 0 or size != 34):
-            return 0
-        stop, pos, first = b[pos] & 128, pos + 4 + size, False
-        if stop:
-            return len(b) - at if pos + 2 <= len(b) and b[pos] == 0xFF and b[pos + 1] & 0xFC == 0xF8 else 0
-    return 0
+    if at + 8 > len(b) or b[at + 4] & 127 or b[at + 5 : at + 8] != b"\0\0\x22":
+        return 0
+    pos, path, sound = at + 4, [], False
+    while pos not in b.flac:
+        if pos + 4 > len(b):
+            break
+        path.append(pos)
+        last, pos = b[pos] & 128, pos + 4 + int.from_bytes(b[pos + 1 : pos + 4], "big")
+        if last:
+            sound = pos + 2 <= len(b) and b[pos] == 0xFF and b[pos + 1] & 0xFC == 0xF8
+            break
+    else:
+        sound = b.flac[pos]
+    b.flac.update(dict.fromkeys(path, sound))
+    return len(b) - at if sound else 0
 
 
 VALID = {"audio/wav": _wav, "image/png": _png, "image/gif": _gif, "image/jpeg": _jpeg, "image/bmp": _bmp, "application/pdf": _pdf, "application/zip": _zip, "audio/flac": _flac}

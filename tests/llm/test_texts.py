@@ -298,6 +298,66 @@ def test_a_megabyte_of_beginnings_is_quick(piece):
     assert time.process_time() - began < 4  # linear: some tenths of a second on a free machine
 
 
+def _heads(head, shared, size=1_000_000):
+    """Many beginnings, each of which leads into the part that all share."""
+    n = (size - len(shared)) // len(head(0))
+    each = len(head(0))
+    return b"".join(head((n - i - 1) * each) for i in range(n)) + shared
+
+
+SHARED = {
+    # a JPEG whose scan never ends, from each of the heads
+    "jpeg": (lambda rest: b"\xff\xd8\xff\xe0" + struct.pack(">H", min(65535, rest + 2)) + b"\xff\xda\0\2", b"\xff\0" * 400_000),
+    # a chain of empty blocks that no frame follows
+    "flac": (lambda rest: b"fLaC\0\0\0\x22" + bytes(34) + b"\x01" + rest.to_bytes(3, "big"), b"\x01\0\0\0" * 100_000),
+    # long chunks with wrong sums that lead to one end
+    "png": (lambda rest: b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR" + bytes(13) + struct.pack(">I", zlib.crc32(b"IHDR" + bytes(13))) + struct.pack(">I", rest + 500_000) + b"long", bytes(500_000) + b"sums" + struct.pack(">I", 0) + b"IEND" + struct.pack(">I", zlib.crc32(b"IEND"))),
+    # a chain of chunks whose end none of the heads says
+    "wav": (lambda rest: b"RIFF" + struct.pack("<I", rest + 8 * 1000) + b"WAVEfmt " + struct.pack("<I", rest), b"data\0\0\0\0" * 60_000),
+}
+
+
+@pytest.mark.parametrize("name", sorted(SHARED))
+def test_beginnings_that_share_a_part_are_quick(name):
+    data = _heads(*SHARED[name])
+    began = time.process_time()
+    media.sniff(data)
+    assert time.process_time() - began < 6  # about a second on a free machine; minutes if each beginning walked for itself
+
+
+def test_sums_of_parts():
+    data = random.Random(2).randbytes(300_000)
+    b = media.Buffer(data)
+    for start, end in ((0, 0), (0, 300_000), (5, 200_000), (16384, 299_999), (1, 70_000), (100, 65_637)):
+        assert b.crc(start, end) == zlib.crc32(data[start:end])
+
+
+def _plain_wav(b, at):
+    if b[at : at + 4] != b"RIFF" or b[at + 8 : at + 12] != b"WAVE" or len(b) < at + 12:
+        return 0
+    end = at + 8 + struct.unpack_from("<I", b, at + 4)[0]
+    pos, seen = at + 12, set()
+    while pos + 8 <= end <= len(b):
+        size = struct.unpack_from("<I", b, pos + 4)[0]
+        seen.add(b[pos : pos + 4])
+        pos += 8 + size + (size & 1)
+    return end - at if pos == end and {b"fmt ", b"data"} <= seen else 0
+
+
+def test_chunks_walked_together_are_the_chunks_walked_alone():
+    rng = random.Random(7)
+    for _ in range(300):
+        parts = []
+        for _ in range(rng.randrange(3, 40)):
+            size = rng.choice([0, 0, 2, 3, 8, 20, 100])
+            parts.append(rng.choice([b"fmt ", b"data", b"LIST", b"RIFF"]) + struct.pack("<I", size) + rng.choice([b"WAVE" + bytes(96), bytes(100)])[:size])
+        data = b"".join(parts)
+        b = media.Buffer(data)
+        for at in range(len(data)):
+            if data[at : at + 4] == b"RIFF":
+                assert media._wav(b, at) == _plain_wav(data, at)
+
+
 def test_files_of_one_archive_and_two_archives():
     def archive(files):
         body = b"".join(b"PK\x03\x04" + f for f in files)
