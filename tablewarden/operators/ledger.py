@@ -227,9 +227,26 @@ def lineage(audit: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def open_lineage(runs: DataFrame, namespace: str) -> DataFrame:
-    """One JSON text a run (run_id, job, type, at, inputs, outputs, rows) in the open run-event format."""
-    sets = lambda c: F.transform(c, lambda n: F.struct(F.lit(namespace).alias("namespace"), n.alias("name")))
-    body = F.struct(F.col("type").alias("eventType"), F.col("at").alias("eventTime"), F.struct(F.col("run_id").alias("runId")).alias("run"), F.struct(F.lit(namespace).alias("namespace"), F.col("job").alias("name")).alias("job"), sets("inputs").alias("inputs"), sets("outputs").alias("outputs"), F.struct(F.struct(F.col("rows").alias("rowCount")).alias("outputStatistics")).alias("outputFacets"))
+    """run_id, value: one JSON text a run in the open run-event format.
+
+    runs: run_id, job, type (START, COMPLETE, FAIL), at, inputs, outputs, rows; and where there are such columns, fields
+    (array of name, type: the schema facet of every output), assertions (array of assertion, column, success: the quality facet
+    of every input) and error (the message of a failed run). What is null is left out.
+    """
+    has = lambda c: c in runs.columns
+    named = lambda n: [F.lit(namespace).alias("namespace"), n.alias("name")]
+    rows = F.when(F.col("rows").isNotNull(), F.struct(F.struct(F.col("rows").alias("rowCount")).alias("outputStatistics")))
+    schema = F.when(F.col("fields").isNotNull(), F.struct(F.struct(F.col("fields").alias("fields")).alias("schema"))) if has("fields") else F.lit(None).cast("struct<schema:string>")
+    checks = F.when(F.col("assertions").isNotNull(), F.struct(F.struct(F.col("assertions").alias("assertions")).alias("dataQualityAssertions"))) if has("assertions") else F.lit(None).cast("struct<dataQualityAssertions:string>")
+    failed = F.when(F.col("error").isNotNull(), F.struct(F.struct(F.col("error").alias("message"), F.lit("python").alias("programmingLanguage")).alias("errorMessage"))) if has("error") else F.lit(None).cast("struct<errorMessage:string>")
+    body = F.struct(
+        F.col("type").alias("eventType"),
+        F.col("at").alias("eventTime"),
+        F.struct(F.col("run_id").alias("runId"), failed.alias("facets")).alias("run"),
+        F.struct(*named(F.col("job"))).alias("job"),
+        F.transform("inputs", lambda n: F.struct(*named(n), checks.alias("inputFacets"))).alias("inputs"),
+        F.transform("outputs", lambda n: F.struct(*named(n), schema.alias("facets"), rows.alias("outputFacets"))).alias("outputs"),
+    )
     return runs.select("run_id", F.to_json(body).alias("value"))
 
 

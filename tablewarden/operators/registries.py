@@ -57,6 +57,55 @@ def search(df: DataFrame, query: str, fields: list[str], tenant: str | None = No
     return rows.withColumn("hits", hits).filter("hits > 0").withColumn("all_words", F.col("hits") == len(words))
 
 
+# Saturation of a term's count, and weight of a text's length.
+K1, B = 1.2, 0.75
+
+
+def build_search_index(df: DataFrame, key: str, fields: list[str], path: str) -> None:
+    """Write an inverted index of df's texts under path: `terms` (term, key, count, positions, length), parted by the term, and `texts` (key, text, length).
+
+    Terms are runs of letters and digits, ASCII and others, lower-cased. A term that many texts hold is one row a text, so
+    no row grows with the table.
+    """
+    text = F.lower(F.concat_ws(" ", *fields))
+    rows = df.select(F.col(key).alias("key"), text.alias("text"), F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("words"))
+    rows = rows.withColumn("length", F.size("words"))
+    rows.select("key", "text", "length").write.mode("overwrite").parquet(f"{path}/texts")
+    placed = rows.select("key", "length", F.posexplode("words").alias("at", "term")).groupBy("term", "key", "length").agg(F.count("*").alias("count"), F.array_sort(F.collect_list("at")).alias("positions"))
+    placed.repartition("term", F.pmod(F.xxhash64("key"), F.lit(16))).sortWithinPartitions("term", "key").write.mode("overwrite").parquet(f"{path}/terms")
+
+
+def search_index(spark: SparkSession, path: str, query: str, phrase: bool = False) -> DataFrame:
+    """key, score, terms (found), all_terms of the texts that hold terms of the query, by BM25; phrase: terms must follow one another.
+
+    Only the query's terms are read (a filter that reaches the files). If no text holds any of them, texts that contain the
+    query as it stands are found, with a score of 0.
+    """
+    import re
+
+    words = re.findall(r"[^\W_]+", query.lower())
+    texts = spark.read.parquet(f"{path}/texts")
+    found = spark.read.parquet(f"{path}/terms").filter(F.col("term").isin(sorted(set(words))))
+    size = texts.agg(F.count("*").alias("_n"), F.avg("length").alias("_mean"))
+    often = found.groupBy("term").agg(F.count("*").alias("_df"))  # a row a term of the query
+    weight = F.log(1 + (F.col("_n") - F.col("_df") + 0.5) / (F.col("_df") + 0.5))
+    part = weight * F.col("count") * (K1 + 1) / (F.col("count") + K1 * (1 - B + B * F.col("length") / F.col("_mean")))
+    scored = found.join(F.broadcast(often), "term").crossJoin(F.broadcast(size)).groupBy("key").agg(F.round(F.sum(part), 6).alias("score"), F.count("*").cast("int").alias("terms"), F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("_at"))
+    if phrase and words:
+        starts = F.col("_at")[words[0]]
+        for i, w in enumerate(words[1:], 1):
+            starts = F.array_intersect(starts, _back(F.col("_at")[w], i))
+        scored = scored.filter((F.col("terms") == len(set(words))) & (F.size(starts) > 0))
+    scored = scored.select("key", "score", "terms", (F.col("terms") == len(set(words))).alias("all_terms"))
+    if phrase or found.limit(1).count():
+        return scored
+    return texts.filter(F.contains("text", F.lit(query.strip().lower())) if query.strip() else F.lit(False)).select("key", F.lit(0.0).alias("score"), F.lit(0).alias("terms"), F.lit(False).alias("all_terms"))
+
+
+def _back(positions: Column, n: int) -> Column:
+    return F.transform(positions, lambda p: p - n)
+
+
 def model_impact(models: DataFrame, dataset: str) -> DataFrame:
     """Models (model, version, datasets) that were trained on a dataset."""
     return models.filter(F.array_contains("datasets", dataset)).select("model", "version")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, ledger
+from ..operators import aggregates, ledger, lineage
 from .registry import query
 
 _SEG = 16
@@ -139,8 +140,43 @@ def _(t):
     return ledger.lineage(_events(t))[1].select("from_event", "to_event")
 
 
-@query("ln2_open_lineage", "SELECT CAST(o_orderkey AS VARCHAR) AS run_id, 'COMPLETE' AS type, o_orderpriority AS job FROM orders")
+@query("ln1_columns", """
+WITH o AS (SELECT o_orderkey AS id, sha256(c_name) AS customer, CASE WHEN o_orderkey % 7 > 0 THEN o_totalprice * (1 + c_nationkey) END AS price, o_orderstatus, 'run-1' AS run,
+ row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS nth FROM orders JOIN customer ON o_custkey = c_custkey),
+n AS (SELECT count(id) AS id, count(customer) AS customer, count(price) AS price, count(o_orderstatus) AS status, count(run) AS run, count(nth) AS nth FROM o)
+SELECT source, v."column", target, how, CASE target WHEN 'id' THEN n.id WHEN 'customer' THEN n.customer WHEN 'price' THEN n.price WHEN 'o_orderstatus' THEN n.status WHEN 'run' THEN n.run WHEN 'nth' THEN n.nth END AS "values"
+FROM n, (VALUES ('orders', 'o_orderkey', 'id', 'renamed'), ('customer', 'c_name', 'customer', 'derived'), ('orders', 'o_totalprice', 'price', 'derived'), ('orders', 'o_orderkey', 'price', 'derived'), ('customer', 'c_nationkey', 'price', 'derived'),
+ ('orders', 'o_orderstatus', 'o_orderstatus', 'copied'), (NULL, NULL, 'run', 'constant'), ('orders', 'o_custkey', 'nth', 'derived'), ('orders', 'o_orderdate', 'nth', 'derived'), ('orders', 'o_orderkey', 'nth', 'derived'),
+ ('orders', 'o_orderpriority', NULL, 'dropped'), ('customer', 'c_custkey', NULL, 'dropped'), ('customer', 'c_acctbal', NULL, 'dropped'), ('customer', 'c_mktsegment', NULL, 'dropped')) v(source, "column", target, how)""")
 def _(t):
-    runs = t.orders.select(F.col("o_orderkey").cast("string").alias("run_id"), F.col("o_orderpriority").alias("job"), F.lit("COMPLETE").alias("type"), F.lit("2024-01-01").alias("at"), F.array(F.lit("orders")).alias("inputs"), F.array(F.lit("dw.orders")).alias("outputs"), F.col("o_custkey").alias("rows"))
-    out = ledger.open_lineage(runs, "ns")
-    return out.select(F.get_json_object("value", "$.run.runId").alias("run_id"), F.get_json_object("value", "$.eventType").alias("type"), F.get_json_object("value", "$.job.name").alias("job"))
+    """A join with a mask, a rename, a derived column, a constant, a window and drops: its columns' origins, and how many values each holds."""
+    nth = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
+    rows = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).withColumn("nth", nth)
+    price = F.when(F.col("o_orderkey") % 7 > 0, F.col("o_totalprice") * (1 + F.col("c_nationkey")))
+    rows = rows.select(F.col("o_orderkey").alias("id"), F.sha2("c_name", 256).alias("customer"), price.alias("price"), "o_orderstatus", F.lit("run-1").alias("run"), "nth")
+    return lineage.with_values(lineage.column_lineage(rows), rows).select("source", "column", "target", "how", "values")
+
+
+@query("ln2_open_lineage", """SELECT CAST(o_orderkey AS VARCHAR) AS run_id, CASE WHEN o_orderkey % 5 = 0 THEN 'FAIL' ELSE 'COMPLETE' END AS type, '2024-01-01' AS at, o_orderpriority AS job, 'ns' AS namespace, 'orders' AS input, 'dw.orders' AS output,
+ CASE WHEN o_orderkey % 5 > 0 THEN o_custkey END AS rows, 'o_totalprice' AS field, 'double' AS kind, 'not_null' AS assertion, CASE WHEN o_totalprice > 1000 THEN 'true' ELSE 'false' END AS success, CASE WHEN o_orderkey % 5 = 0 THEN 'lost' END AS error FROM orders""")
+def _(t):
+    fail = F.col("o_orderkey") % 5 == 0
+    runs = t.orders.select(
+        F.col("o_orderkey").cast("string").alias("run_id"),
+        F.col("o_orderpriority").alias("job"),
+        F.when(fail, "FAIL").otherwise("COMPLETE").alias("type"),
+        F.lit("2024-01-01").alias("at"),
+        F.array(F.lit("orders")).alias("inputs"),
+        F.array(F.lit("dw.orders")).alias("outputs"),
+        F.when(~fail, F.col("o_custkey")).alias("rows"),
+        F.array(*[F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("type")) for f in t.orders.schema]).alias("fields"),
+        F.array(F.struct(F.lit("not_null").alias("assertion"), F.lit("o_totalprice").alias("column"), (F.col("o_totalprice") > 1000).alias("success"))).alias("assertions"),
+        F.when(fail, "lost").alias("error"),
+    )
+    at = {
+        "run_id": "run.runId", "type": "eventType", "at": "eventTime", "job": "job.name", "namespace": "job.namespace", "input": "inputs[0].name", "output": "outputs[0].name", "rows": "outputs[0].outputFacets.outputStatistics.rowCount",
+        "field": "outputs[0].facets.schema.fields[3].name", "kind": "outputs[0].facets.schema.fields[3].type", "assertion": "inputs[0].inputFacets.dataQualityAssertions.assertions[0].assertion",
+        "success": "inputs[0].inputFacets.dataQualityAssertions.assertions[0].success", "error": "run.facets.errorMessage.message",
+    }
+    got = lambda path: F.get_json_object("value", f"$.{path}")
+    return ledger.open_lineage(runs, "ns").select(*[(got(p).cast("long") if n == "rows" else got(p)).alias(n) for n, p in at.items()])

@@ -94,6 +94,37 @@ def _(t):
     return registries.search(t.part, "Part standard", ["p_name", "p_type"]).select("p_partkey", "hits")
 
 
+_RANKED = """
+WITH w AS (SELECT p_partkey AS key, p_size, unnest(regexp_extract_all(lower(p_name || ' ' || p_type || ' ' || p_brand), '[\\p{L}\\p{N}]+')) AS term FROM part),
+l AS (SELECT key, count(*) AS length FROM w GROUP BY key), s AS (SELECT count(*) AS n, avg(length) AS mean FROM l),
+c AS (SELECT key, term, count(*) AS c FROM w WHERE term IN ('standard', 'brand', 'bolt', '5') GROUP BY ALL), d AS (SELECT term, count(*) AS df FROM c GROUP BY term)
+SELECT key, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * length / mean))), 6) AS score, CAST(count(*) AS INTEGER) AS terms, count(*) = 4 AS all_terms
+FROM c JOIN d USING (term) JOIN l USING (key), s GROUP BY key"""
+
+
+@query("reg4_ranked", _RANKED)
+def _(t):
+    path = t.folder()
+    registries.build_search_index(t.part, "p_partkey", ["p_name", "p_type", "p_brand"], path)
+    return registries.search_index(t.spark, path, "Standard bolt, BRAND#5")
+
+
+@query("reg4_phrase", "SELECT p_partkey AS key, true AS all_terms FROM part WHERE contains(' ' || lower(p_type || ' ' || p_name || ' ' || p_name) || ' ', ' ' || (SELECT lower(min(p_name)) FROM part) || ' ')")
+def _(t):
+    """Texts in which the words of the first name stand one after the other."""
+    path = t.folder()
+    registries.build_search_index(t.part, "p_partkey", ["p_type", "p_name", "p_name"], path)
+    return registries.search_index(t.spark, path, t.part.agg(F.min("p_name")).first()[0], phrase=True).select("key", "all_terms")
+
+
+@query("reg4_fallback", "SELECT p_partkey AS key, 0.0 AS score FROM part WHERE contains(lower(p_name || ' ' || p_type), 'tandar')")
+def _(t):
+    """No text holds the term, so parts of words are looked for."""
+    path = t.folder()
+    registries.build_search_index(t.part, "p_partkey", ["p_name", "p_type"], path)
+    return registries.search_index(t.spark, path, "TANDAR").select("key", "score")
+
+
 def _models(t):
     m = t.orders.groupBy(F.col("o_orderstatus").alias("model"), (F.col("o_orderkey") % 2).cast("int").alias("version")).agg(F.count("*").cast("double").alias("n"), F.max("o_custkey").cast("double").alias("m"))
     return m.select("model", "version", F.array(F.lit("orders"), F.col("model")).alias("datasets"), F.create_map(F.lit("rows"), F.col("n"), F.lit("largest"), F.col("m")).alias("metrics"))

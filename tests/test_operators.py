@@ -641,3 +641,34 @@ def test_drift_of_small_numbers(spark):
     stats = lambda df: quality.column_statistics(df, digits=None, parts=("numbers",))
     assert quality.mean_drift(stats(b), stats(a)).first()["severity"] == "HIGH"
     assert quality.mean_drift(stats(a.limit(0)), stats(a)).count() == 0
+
+
+# --- lineage, search -----------------------------------------------------------------------------------------
+
+
+def test_column_lineage(spark):
+    from tablewarden.operators import lineage
+
+    a = spark.createDataFrame([(1, "x", "m@x.org")], "id long, kind string, email string")
+    b = spark.createDataFrame([(1, 2.0)], "id long, v double")
+    df = a.join(b, "id").withColumn("hidden", F.sha2("email", 256)).drop("email").withColumnRenamed("v", "value")
+    df = df.unionByName(df.limit(0)).groupBy("id", "hidden").agg(F.sum("value").alias("value"))
+    got = {(r["source"], r["column"], r["target"], r["how"]) for r in lineage.column_lineage(df, {"a": a, "b": b}).collect()}
+    assert got == {("a", "id", "id", "copied"), ("a", "email", "hidden", "derived"), ("b", "v", "value", "derived"), ("a", "kind", None, "dropped"), ("b", "id", None, "dropped")}
+    assert {r["pii"] for r in lineage.column_lineage(df, {"a": a, "b": b}).collect() if r["column"] == "email"} != {None}
+    twice = a.alias("p").join(a.alias("q"), F.col("p.id") == F.col("q.id")).select(F.col("q.kind").alias("kind"))
+    assert {(r["column"], r["how"]) for r in lineage.column_lineage(twice, {"a": a}).collect() if r["target"]} == {("kind", "copied")}
+    assert lineage.with_values(lineage.column_lineage(df.limit(0)), df.limit(0)).filter("values > 0").count() == 0
+
+
+def test_ranked_search(spark, tmp_path):
+    rows_ = [(1, "red fish, blue fish", None), (2, "blue sky", "red"), (3, None, None), (4, "", "x"), (5, "naïve Größe", "fish red")]
+    df = spark.createDataFrame(rows_, "id long, a string, b string")
+    path = str(tmp_path / "index")
+    registries.build_search_index(df, "id", ["a", "b"], path)
+    find = lambda q, **how: [(r["key"], r["terms"]) for r in registries.search_index(spark, path, q, **how).orderBy(F.desc("score"), "key").collect()]
+    assert find("fish") == [(1, 1), (5, 1)] and {k for k, n in find("RED fish") if n == 2} == {1, 5}
+    assert [k for k, _ in find("red fish", phrase=True)] == [1] and [k for k, _ in find("GRÖSSE größe")] == [5]
+    assert [k for k, _ in find("ïv")] == [5] and find("") == [] and find("zebra") == []
+    registries.build_search_index(df.limit(0), "id", ["a", "b"], path)
+    assert find("fish") == []
