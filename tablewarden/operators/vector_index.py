@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: Rows that centroids and codebooks are fitted on, lists, vectors of a block, queries of a block.
 SAMPLE, LISTS, BLOCK, ASKED = 20_000, 4096, 2048, 128
 #: Entries of a code's part, centroids of a part, rounds of fitting.
@@ -74,6 +76,7 @@ def build_index(df: DataFrame, vector: str, key: str, path: str, kind: str = "co
     if kind not in ("cosine", "l2"):
         raise ValueError(f"unknown distance: {kind}")
     spark = df.sparkSession
+    ship(spark)
     n = df.count()
     share = min(1.0, 1.2 * sample / max(n, 1))
     first = df.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < int(np.ceil(share * 1_000_000))).select(key, vector).limit(sample).orderBy(key).collect()
@@ -131,6 +134,7 @@ def _model(spark: SparkSession, path: str):
 
 def probed(spark: SparkSession, path: str, queries: DataFrame, vector: str, key: str, probes: int | None = None, least: int = 40) -> DataFrame:
     """query, list, vector: the lists that each query probes, nearest first: `probes` of them, and on until they hold `least` rows."""
+    ship(spark)
     kind, size, default, _, centres, _ = _model(spark, path)
     most = min(len(centres), probes or default)
     sizes = np.zeros(len(centres), np.int64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import loads
-from ..sources import readers, sinks
+from ..sources import archives, keyed, readers, sinks
 from .registry import query
 
 _PART = "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part"
@@ -67,6 +67,38 @@ def _(t):
     return readers.read_database(t.spark, url, "SUPPLIER", columns=["s_suppkey", "s_name"], where="s_nationkey < 10", key="s_suppkey", partitions=3, **driver)
 
 
+_KINDS = ("zip", "tgz", "lz4", "zst")
+
+
+@query("src10_archives", f"SELECT kind, o_orderkey, o_orderpriority FROM orders, (VALUES {', '.join(f'({chr(39)}{k}{chr(39)})' for k in _KINDS)}) v(kind)")
+def _(t):
+    """The same rows out of a zip and a tgz of two members each, a frame of lz4 and one of zst."""
+    folder = t.folder()
+    rows = t.orders.select("o_orderkey", "o_orderpriority")
+    out = None
+    for kind in _KINDS:
+        rows.repartition(2 if kind in ("zip", "tgz") else 1).write.options(header=True).csv(f"{folder}/{kind}-in")
+        path = f"{folder}/orders.{'csv.' if kind in ('lz4', 'zst') else ''}{kind}"
+        sinks.write_archive(t.spark, f"{folder}/{kind}-in", path)
+        part = archives.read_archives(t.spark, path, schema=rows.schema).select(F.lit(kind).alias("kind"), "o_orderkey", "o_orderpriority")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("src12_keyed", "SELECT p_brand, p_partkey, p_name FROM part WHERE p_size < 40")
+def _(t):
+    """By a primary key of a text and a number, which the database is asked for: the first half, then from its last key on."""
+    url = f"jdbc:derby:memory:k{abs(hash(t.folder()))};create=true"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    sinks.write_database(t.part.select("p_brand", "p_partkey", "p_name", "p_size"), url, "PART", "replace", **driver | {"createTableColumnTypes": "p_brand VARCHAR(40), p_name VARCHAR(80)"})
+    sinks.run_statements(t.spark, url, ['ALTER TABLE PART ALTER COLUMN "p_brand" NOT NULL', 'ALTER TABLE PART ALTER COLUMN "p_partkey" NOT NULL', 'ALTER TABLE PART ADD PRIMARY KEY ("p_brand", "p_partkey")'], **driver)
+    key = keyed.primary_key(t.spark, url, "PART", **driver)
+    columns = ["p_brand", "p_partkey", "p_name"]
+    first = t.keep(keyed.read_keyed(t.spark, url, "PART", columns=columns, where='"p_size" < 40 AND "p_brand" < \'Brand#2\'', partitions=3, **driver))
+    rest = keyed.read_keyed(t.spark, url, "PART", columns=columns, where='"p_size" < 40', partitions=4, resume_after=keyed.last_key(first, key), **driver)
+    return first.unionByName(rest)
+
+
 @query("src13_fingerprints", "SELECT 'orders.parquet' AS file, count(*) AS rows, 6 AS columns, true AS hashed FROM orders")
 def _(t):
     found = readers.fingerprints(t.spark, f"{t.sf_dir}/orders.parquet", "parquet")

@@ -58,6 +58,46 @@ def write_database(df: DataFrame, url: str, table: str, mode: str = "append", ke
     _execute(spark, url, [f"DROP TABLE {staged}"], options)
 
 
+def run_statements(spark: SparkSession, url: str, statements: Sequence[str], **options: str) -> None:
+    """Statements of the caller in one transaction."""
+    _execute(spark, url, statements, options)
+
+
+def write_archive(spark: SparkSession, folder: str, path: str) -> None:
+    """The part files of a folder as the members of a zip or tgz, or one after the other as a frame of lz4 or zst; copied as streams, by the driver."""
+    import shutil
+    import tarfile
+    import zipfile
+
+    import pyarrow as pa
+
+    from .archives import CODECS, _files, kind
+
+    fs, at = _files(folder)
+    files = sorted(i.path for i in fs.get_file_info(pa.fs.FileSelector(at)) if i.base_name.startswith("part-"))
+    out_fs, out = _files(path)
+    codec = kind(path)
+    if codec == "zip":
+        with out_fs.open_output_stream(out) as f, zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED) as z:
+            for p in files:
+                with fs.open_input_stream(p) as raw, z.open(p.rsplit("/", 1)[-1], "w", force_zip64=True) as member:
+                    shutil.copyfileobj(raw, member, 1 << 20)
+    elif codec == "tar":
+        with out_fs.open_output_stream(out) as f, tarfile.open(fileobj=f, mode="w|gz") as t:
+            for p in files:
+                info = tarfile.TarInfo(p.rsplit("/", 1)[-1])
+                info.size = fs.get_file_info(p).size
+                with fs.open_input_stream(p) as raw:
+                    t.addfile(info, raw)
+    elif codec in CODECS.values():
+        with out_fs.open_output_stream(out, compression=codec) as f:
+            for p in files:
+                with fs.open_input_stream(p) as raw:
+                    shutil.copyfileobj(raw, f, 1 << 20)
+    else:
+        raise ValueError(f"no archive: {path}")
+
+
 def _execute(spark: SparkSession, url: str, statements: Sequence[str], options: dict[str, str]) -> None:
     """Statements in one transaction, over the driver's own connection."""
     jvm = spark.sparkContext._jvm

@@ -672,3 +672,64 @@ def test_ranked_search(spark, tmp_path):
     assert [k for k, _ in find("ïv")] == [5] and find("") == [] and find("zebra") == []
     registries.build_search_index(df.limit(0), "id", ["a", "b"], path)
     assert find("fish") == []
+
+
+# --- archives, databases by key ------------------------------------------------------------------------------
+
+
+def test_archives(spark, tmp_path):
+    import gzip
+    import io
+    import tarfile
+    import zipfile
+
+    from tablewarden.sources import archives
+
+    a = 'id,text\n1,"two\nlines, and a comma"\n2,\n'
+    b = '{"id": 3, "text": "x"}\nbroken\n\n{"id": "four", "text": null}\n'
+    c = gzip.compress("text\tid\ny\t5\n".encode())
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
+        for name, body in (("a.csv", a), ("d/b.jsonl", b), ("c.tsv.gz", c), ("readme.bin", "?"), ("e.csv", "")):
+            z.writestr(name, body)
+    with tarfile.open(tmp_path / "y.tgz", "w:gz") as t:
+        for name, body in (("a.csv", a.encode()), ("b.csv", b"id,text\n6,z\n")):
+            info = tarfile.TarInfo(name)
+            info.size = len(body)
+            t.addfile(info, io.BytesIO(body))
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    schema = StructType([StructField("id", LongType()), StructField("text", StringType())])
+    got = archives.read_archives(spark, str(tmp_path / "x.zip"), schema=schema)
+    assert got.rdd.getNumPartitions() == 4
+    want = [(1, "two\nlines, and a comma", "a.csv"), (2, None, "a.csv"), (3, "x", "d/b.jsonl"), (None, None, "d/b.jsonl"), (None, None, "d/b.jsonl"), (5, "y", "c.tsv.gz")]
+    assert sorted(rows(got), key=str) == sorted(want, key=str)
+    tar = archives.read_archives(spark, f"file://{tmp_path}/y.tgz")
+    assert tar.columns == ["id", "text", "_member"] and tar.rdd.getNumPartitions() == 2 and sorted(r["id"] for r in tar.collect()) == ["1", "2", "6"]
+    assert archives.read_archives(spark, str(tmp_path), schema=schema).count() == 9
+    with pytest.raises(ValueError):
+        archives.members(str(tmp_path / "x.csv"))
+
+
+def test_database_by_key(spark, tmp_path):
+    from tablewarden.sources import keyed
+
+    url, driver = f"jdbc:derby:memory:t{abs(hash(str(tmp_path)))};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows_ = [(f"k'{i % 7}", i // 7 if i % 11 else None, float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows_, "a string, b int, v double")
+    sinks.write_database(df, url, "T", "replace", **driver, createTableColumnTypes="a VARCHAR(20)")
+    assert keyed.primary_key(spark, url, "T", **driver) == []
+    for key in (["a", "b"], ["a"], ["v"], []):
+        got = keyed.read_keyed(spark, url, "T", key, partitions=5, **driver)
+        assert sorted(rows(got), key=str) == sorted(rows_, key=str)
+        sizes = got.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) >= 4
+    first = keyed.read_keyed(spark, url, "T", ["a", "b"], where='"v" < 150', partitions=3, **driver)
+    done = keyed.last_key(first, ["a", "b"])
+    rest = keyed.read_keyed(spark, url, "T", ["a", "b"], partitions=3, resume_after=done, **driver)
+    assert all((r["a"], r["b"]) > done for r in rest.collect())
+    assert rest.count() == sum(b is not None and (a, b) > done for a, b, _ in rows_)
+    sinks.write_database(df.limit(0), url, "EMPTY", "replace", **driver, createTableColumnTypes="a VARCHAR(20)")
+    assert keyed.read_keyed(spark, url, "EMPTY", ["a"], **driver).count() == 0
+    assert keyed.literal("it's") == "'it''s'"
+    with pytest.raises(TypeError):
+        keyed.literal(b"x")
