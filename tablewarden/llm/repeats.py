@@ -9,10 +9,11 @@
    merged: the interleave of the shards is refined symbol by symbol from the transforms alone, while classes of
    equal prefixes are split (the common prefixes). After LENGTH / BLOCK rounds a class of two or more is an
    interval of a string of LENGTH bytes that starts at two or more places.
-   A name whose different runs have more than HOT bytes would fill one task: its windows are counted by hash instead.
+   A name whose different runs have more than HOT bytes would fill one task: its windows are counted by hash instead, in
+   chunks, of which equal windows are one row with their places.
 
 Hashes of spans are sums over mixed words of eight bytes, so no two texts can be made to agree whatever the base. Runs
-of one name agree by two 64-bit hashes, that of the name's gram and that of the run.
+of one name agree by two 64-bit hashes, that of the name's gram and that of the run; texts are told apart by two as well.
 
 Nulls: a null text is the empty one; texts shorter than LENGTH bytes keep all bytes. Rows with equal texts are
 places of their own, whatever their doc_id. Very long texts are cut into runs like all others. Ties: all places of a
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, give_back, map_rows, mix, scratch, span_hash, sums_of
@@ -36,6 +37,8 @@ from .common import fresh, give_back, map_rows, mix, scratch, span_hash, sums_of
 LENGTH, K, BLOCK = 200, 48, 50
 #: Bytes of runs of one name that are merged at once; of runs in a shard; of runs in one merge (and its name's rest).
 HOT, SHARD, TASK = 3 << 19, 1 << 19, 2 << 20
+#: Windows of a long text that are named at once, and that are counted by hash at once.
+PART, CHUNK = 1 << 20, 1 << 18
 #: Bytes of rows under which one side of a join is sent to all tasks.
 SMALL = 8 << 20
 
@@ -68,6 +71,12 @@ def wide_span(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return span_hash(prefix, starts, ends - (WIDE - 1))
 
 
+def text_keys(text: Column, *names: str) -> list[Column]:
+    """Two 64-bit hashes of a text, which stand for it where texts are not moved."""
+    keys = [F.xxhash64(text), F.xxhash64(F.lit("again"), text)]
+    return [k.alias(n) for k, n in zip(keys, names, strict=True)] if names else keys
+
+
 def name_runs(text: bytes) -> tuple[np.ndarray, ...] | None:
     """Of every run: name, hash of its bytes, first window, last window + 1, grams of this name in the text (2 for more)."""
     data = np.frombuffer(text, np.uint8)
@@ -86,22 +95,23 @@ def name_runs(text: bytes) -> tuple[np.ndarray, ...] | None:
     return name[lo], wide_span(p, lo, hi - 1 + LENGTH), lo, hi, np.minimum(count[np.searchsorted(named, name[lo])], 2)
 
 
-RUNS = pa.schema([("name", pa.int64()), ("bytes_hash", pa.int64()), ("text_hash", pa.int64()), ("n_bytes", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("grams", pa.int32())])
+RUNS = pa.schema([("name", pa.int64()), ("bytes_hash", pa.int64()), ("text_hash", pa.int64()), ("text_more", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("grams", pa.int32())])
 
 
 def runs_of(texts: DataFrame) -> DataFrame:
+    """The runs of every text, in parts of PART windows: where a part ends, a run is cut."""
+
     def make():
         def step(c):
-            parts: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int32, np.int32, np.int32, np.int32)]
-            for key, t in zip(c["text_hash"], c["text"], strict=True):
+            parts: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64, np.int32, np.int32, np.int32)]
+            for key, more, t in zip(c["text_hash"], c["text_more"], c["text"], strict=True):
                 raw = t.encode()
-                found = name_runs(raw)
-                if found:
-                    size = len(found[0])
-                    for part, x in zip(parts, (found[0], found[1], np.full(size, key), np.full(size, len(raw)), *found[2:]), strict=True):
+                for at in range(0, max(0, len(raw) - LENGTH + 1), PART):
+                    name, own, lo, hi, grams = name_runs(raw[at : at + PART + LENGTH - 1])
+                    for part, x in zip(parts, (name, own, np.full(len(name), key), np.full(len(name), more), lo + at, hi + at, grams), strict=True):
                         part.append(x)
             out = [np.concatenate(p) for p in parts]
-            return dict(zip(RUNS.names, (out[0].view(np.int64), out[1].view(np.int64), out[2], *(x.astype(np.int32) for x in out[3:])), strict=True))
+            return dict(zip(RUNS.names, (out[0].view(np.int64), out[1].view(np.int64), out[2], out[3], *(x.astype(np.int32) for x in out[4:])), strict=True))
 
         return step
 
@@ -238,7 +248,7 @@ def repeated_starts(snippets: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-RANGES = pa.schema([("text_hash", pa.int64()), ("n_bytes", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
+RANGES = pa.schema([("text_hash", pa.int64()), ("text_more", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())])
 
 
 def _starts_to_ranges(starts: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -249,7 +259,7 @@ def _starts_to_ranges(starts: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def _merged(snippets: DataFrame) -> DataFrame:
-    """Ranges of repeated windows among the snippets of each name; snippets: name, text_hash, n_bytes, lo, twice, snippet."""
+    """Ranges of repeated windows among the snippets of each name; snippets: name, text_hash, text_more, lo, twice, snippet."""
     from pyspark.sql.pandas.types import from_arrow_schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +285,7 @@ def _merged(snippets: DataFrame) -> DataFrame:
         for i, starts in zip(held, repeated_starts([table["snippet"][i] for i in held]), strict=True):
             if not table["twice"][i]:
                 lo = table["lo"][i]
-                rows += [(table["text_hash"][i], table["n_bytes"][i], lo + a, lo + b) for a, b in _starts_to_ranges(starts)]
+                rows += [(table["text_hash"][i], table["text_more"][i], lo + a, lo + b) for a, b in _starts_to_ranges(starts)]
         cols = list(zip(*rows, strict=True)) or [()] * 4
         return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, RANGES, strict=True)], schema=RANGES)
 
@@ -283,40 +293,60 @@ def _merged(snippets: DataFrame) -> DataFrame:
 
 
 def _counted(snippets: DataFrame) -> DataFrame:
-    """The same for names of very many runs: every window by its hash."""
-    schema = pa.schema([("window", pa.int64()), ("text_hash", pa.int64()), ("n_bytes", pa.int32()), ("lo", pa.int32()), ("twice", pa.bool_())])
+    """The same for names of very many runs: every window by its hash and its name's, in chunks whose equal windows are one row with their places."""
+    from pyspark.sql.pandas.types import from_arrow_schema
+
+    schema = pa.schema([("name", pa.int64()), ("window", pa.int64()), ("text_hash", pa.int64()), ("text_more", pa.int64()), ("chunk", pa.int32()), ("twice", pa.bool_()), ("n", pa.int64()), ("places", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {n: batch.column(n)[i].as_py() for n in ("name", "text_hash", "text_more", "lo", "twice")}
+                snippet = np.frombuffer(batch.column("snippet")[i].as_buffer(), np.uint8)
+                for start in range(0, len(snippet) - LENGTH + 1, CHUNK):
+                    part = snippet[start : start + CHUNK + LENGTH - 1]
+                    at = np.arange(len(part) - LENGTH + 1)
+                    window = wide_span(wide_hash(part), at, at + LENGTH)
+                    order = np.argsort(window, kind="stable")
+                    window = window[order]
+                    first = np.concatenate(([0], np.flatnonzero(window[1:] != window[:-1]) + 1))
+                    ends = np.append(first, len(window))
+                    places = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((ends * 4).astype("<i4").tobytes()), pa.py_buffer(order.astype("<i4").tobytes())])
+                    same = {n: pa.array(np.full(len(first), row[n] if n != "chunk" else row["lo"] + start), f.type) for n, f in zip(schema.names, schema, strict=True) if n in row or n == "chunk"}
+                    cols = same | {"window": pa.array(window[first].view(np.int64)), "n": pa.array(np.diff(ends)), "places": places}
+                    yield pa.RecordBatch.from_arrays([cols[n] for n in schema.names], schema=schema)
+        give_back()
 
     def make():
         def step(c):
-            out = {f.name: [] for f in schema}
-            for key, n, lo, twice, s in zip(c["text_hash"], c["n_bytes"], c["lo"], c["twice"], c["snippet"], strict=True):
-                at = np.arange(len(s) - LENGTH + 1)
-                out["window"] += wide_span(wide_hash(np.frombuffer(s, np.uint8)), at, at + LENGTH).view(np.int64).tolist()
-                out["lo"] += (at + lo).tolist()
-                for k, v in (("text_hash", key), ("n_bytes", n), ("twice", twice)):
-                    out[k] += [v] * len(at)
-            return out
+            rows = []
+            for key, more, lo, places in zip(c["text_hash"], c["text_more"], c["chunk"], c["places"], strict=True):
+                starts = np.sort(np.frombuffer(b"".join(places), "<i4"))
+                rows += [(key, more, lo + a, lo + b) for a, b in _starts_to_ranges(starts)]
+            return dict(zip(RANGES.names, list(zip(*rows, strict=True)) or [()] * 4, strict=True))
 
         return step
 
-    windows = map_rows(snippets, make, schema)
-    again = windows.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1")
-    return windows.filter("not twice").join(again, "window", "left_semi").select("text_hash", "n_bytes", "lo", (F.col("lo") + 1).alias("hi"))
+    windows = scratch(snippets.mapInArrow(run, from_arrow_schema(schema)), "windows")
+    again = windows.groupBy("name", "window").agg(F.sum("n").alias("all")).filter("all > 1")
+    # of a chunk four bytes a window at most
+    found = windows.filter("not twice").join(again, ["name", "window"], "left_semi").groupBy("text_hash", "text_more", "chunk").agg(F.collect_list("places").alias("places"))
+    return map_rows(found, make, RANGES, rows=16)
 
 
 def repeated_windows(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """text_hash, n_bytes, lo, hi: starts lo to hi - 1 of windows of LENGTH bytes that stand in docs (text) again."""
-    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text")
+    """text_hash, text_more (together the text's 128-bit hash), lo, hi: starts lo to hi - 1 of windows of LENGTH bytes that stand in docs (text) again."""
+    texts = docs.select(*text_keys(F.col("text"), "text_hash", "text_more"), "text")
     runs = scratch(runs_of(texts), "runs")
     names = runs.groupBy("name").agg(F.sum("grams").alias("n")).filter("n > 1").select("name")
-    own = ["name", "bytes_hash", "text_hash", "n_bytes", "lo", "hi", "grams"]
+    own = ["name", "bytes_hash", "text_hash", "text_more", "lo", "hi", "grams"]
     found = scratch(runs.join(scratch(names, "names"), "name", "left_semi").groupBy(*own).agg(F.count("*").alias("m")), "found")
-    equal = scratch(found.groupBy("name", "bytes_hash").agg(F.sum("m").alias("m"), F.max("grams").alias("grams"), F.min(F.struct("text_hash", "n_bytes", "lo", "hi")).alias("one")), "equal")
-    whole = found.drop("m").join(equal.filter("m > 1").select("name", "bytes_hash"), ["name", "bytes_hash"], "left_semi").select("text_hash", "n_bytes", "lo", "hi")
+    equal = scratch(found.groupBy("name", "bytes_hash").agg(F.sum("m").alias("m"), F.max("grams").alias("grams"), F.min(F.struct("text_hash", "text_more", "lo", "hi")).alias("one")), "equal")
+    whole = found.drop("m").join(equal.filter("m > 1").select("name", "bytes_hash"), ["name", "bytes_hash"], "left_semi").select("text_hash", "text_more", "lo", "hi")
     # names with runs that have no equal: all their different runs meet
     mixed = equal.groupBy("name").agg(F.count("*").alias("runs"), F.sum(F.col("one.hi") - F.col("one.lo") + LENGTH).alias("size"), F.sum((F.col("m") == 1).cast("int")).alias("single"), F.max("grams").alias("grams"))
     mixed = scratch(mixed.filter("single > 0 and (runs > 1 or grams > 1)").select("name", "size"), "mixed")
-    wanted = scratch(equal.join(mixed, "name").select("name", "size", (F.col("m") > 1).alias("twice"), "one.text_hash", "one.n_bytes", "one.lo", "one.hi"), "wanted")
+    wanted = scratch(equal.join(mixed, "name").select("name", "size", (F.col("m") > 1).alias("twice"), "one.text_hash", "one.text_more", "one.lo", "one.hi"), "wanted")
     size = wanted.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo") + LENGTH), F.lit(0)).alias("bytes")).first()
     snippets = scratch(_cut(texts, wanted), "snippets")
     parts = max(1, math.ceil(size["bytes"] / TASK))
@@ -326,29 +356,29 @@ def repeated_windows(docs: DataFrame, hot: int = HOT) -> DataFrame:
 
 def _cut(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of the wanted runs, from one row of each text."""
-    lists = wanted.groupBy("text_hash", "n_bytes").agg(F.collect_list(F.struct("name", "size", "twice", "lo", "hi")).alias("cuts"))
+    lists = wanted.groupBy("text_hash", "text_more").agg(F.collect_list(F.struct("name", "size", "twice", "lo", "hi")).alias("cuts"))
     # of all texts only those that hold a wanted run are moved
     keys = scratch(wanted.select("text_hash").distinct(), "keys")
     some = texts.join(F.broadcast(keys) if keys.count() * 16 <= SMALL else keys, "text_hash", "left_semi")
-    some = some.withColumn("n_bytes", F.octet_length("text")).groupBy("text_hash", "n_bytes").agg(F.first("text").alias("text"))
-    schema = pa.schema([("name", pa.int64()), ("size", pa.int64()), ("twice", pa.bool_()), ("text_hash", pa.int64()), ("n_bytes", pa.int32()), ("lo", pa.int32()), ("snippet", pa.binary())])
+    some = some.groupBy("text_hash", "text_more").agg(F.first("text").alias("text"))
+    schema = pa.schema([("name", pa.int64()), ("size", pa.int64()), ("twice", pa.bool_()), ("text_hash", pa.int64()), ("text_more", pa.int64()), ("lo", pa.int32()), ("snippet", pa.binary())])
 
     def make():
         def step(c):
             out = {f.name: [] for f in schema}
-            for key, n, text, cuts in zip(c["text_hash"], c["n_bytes"], c["text"], c["cuts"], strict=True):
+            for key, more, text, cuts in zip(c["text_hash"], c["text_more"], c["text"], c["cuts"], strict=True):
                 raw = text.encode()
                 for x in cuts:
                     for k in ("name", "size", "twice", "lo"):
                         out[k].append(x[k])
                     out["text_hash"].append(key)
-                    out["n_bytes"].append(n)
+                    out["text_more"].append(more)
                     out["snippet"].append(raw[x["lo"] : x["hi"] - 1 + LENGTH])
             return out
 
         return step
 
-    return map_rows(some.join(lists, ["text_hash", "n_bytes"]).select("text_hash", "n_bytes", "text", "cuts"), make, schema, rows=128)
+    return map_rows(some.join(lists, ["text_hash", "text_more"]).select("text_hash", "text_more", "text", "cuts"), make, schema, rows=128)
 
 
 def kept_mask(n: int, ranges: list) -> np.ndarray:
@@ -363,11 +393,11 @@ def kept_mask(n: int, ranges: list) -> np.ndarray:
 def with_ranges(docs: DataFrame, name: str, hot: int = HOT) -> DataFrame:
     """docs (all columns, null texts empty) with `name`: the starts of repeated windows in its text, null without any."""
     found = repeated_windows(docs.select(F.coalesce("text", F.lit("")).alias("text")), hot)
-    key, size = fresh(docs, "text_hash"), fresh(docs, "n_bytes")
-    ranges = found.groupBy("text_hash", "n_bytes").agg(F.collect_set(F.struct("lo", "hi")).alias(name)).withColumnsRenamed({"text_hash": key, "n_bytes": size})
+    key, more = fresh(docs, "text_hash"), fresh(docs, "text_more")
+    ranges = found.groupBy("text_hash", "text_more").agg(F.collect_set(F.struct("lo", "hi")).alias(name)).withColumnsRenamed({"text_hash": key, "text_more": more})
     text = F.coalesce("text", F.lit(""))
-    rows = docs.withColumns({key: F.xxhash64(text), size: F.octet_length(text), "text": text})
-    return rows.join(scratch(ranges, "ranges"), [key, size], "left").drop(key, size)
+    rows = docs.withColumns(dict(zip((key, more), text_keys(text), strict=True)) | {"text": text})
+    return rows.join(scratch(ranges, "ranges"), [key, more], "left").drop(key, more)
 
 
 def digest_kept(docs: DataFrame, hot: int = HOT) -> DataFrame:

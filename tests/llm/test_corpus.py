@@ -303,6 +303,33 @@ def test_repeats_planted(spark, hot, monkeypatch):
     _check_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), hot)
 
 
+@pytest.mark.parametrize("part,chunk", [(300, 64), (1 << 20, 1000)])
+def test_repeats_of_long_texts_in_parts(spark, monkeypatch, part, chunk):
+    """Texts that are named and counted in small parts: the same results. (Workers fork from this process's code, so constants are sent as defaults.)"""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcé", k=rng.randint(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    shared = text(120)
+    texts = ["z" * 3000, "z" * 2500, "ab" * 1500, text(200) + shared + text(150) + shared, shared[:-30] + text(90), "abc" * 900 + text(20)]
+    raws = [t.encode() for t in texts]
+    found = [repeats.name_runs(r) for r in raws]
+    for raw, (name, own, lo, hi, _) in zip(raws, found, strict=True):
+        cut = [repeats.name_runs(raw[at : at + part + repeats.LENGTH - 1]) for at in range(0, len(raw) - repeats.LENGTH + 1, part)]
+        assert sum(int((c[3] - c[2]).sum()) for c in cut) == int((hi - lo).sum()) == len(raw) - repeats.LENGTH + 1
+        every = lambda runs, ats: {(a + i, int(n)) for (names, _, los, his, _), a in zip(runs, ats, strict=True) for n, l, h in zip(names, los, his, strict=True) for i in range(l, h)}
+        assert every(cut, range(0, len(raw) - repeats.LENGTH + 1, part)) == every([(name, own, lo, hi, None)], [0])
+    monkeypatch.setattr(repeats, "PART", part)
+    monkeypatch.setattr(repeats, "CHUNK", chunk)
+    _check_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 0)
+
+
+def test_megabytes_of_one_byte_take_bounded_memory(spark):
+    """Two texts of one byte, of different lengths: all but nothing stays, and no worker needs much more than the texts."""
+    df = spark.createDataFrame([(1, "x" * 4_000_000), (2, "x" * 3_000_001), (3, "y" * 150)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in repeats.digest_kept(df).collect()}
+    assert got == {1: (4_000_000, 1), 2: (3_000_001, 1), 3: (0, 0)}
+
+
 def test_merge_of_transforms_is_the_merge_of_suffixes():
     """Counts of equal prefixes from the interleave, against counting the prefixes."""
     rng = random.Random(2)
