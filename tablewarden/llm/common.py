@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import set_own_folder
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -47,12 +49,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where it is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-tablewarden-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    """The folder named in spark.checkpoint.dir; one of this machine only where it is unset in local mode, as in tests."""
+    return spark.conf.get("spark.checkpoint.dir", None) or set_own_folder(spark)
 
 
 def scratch(df: DataFrame, name: str) -> DataFrame:

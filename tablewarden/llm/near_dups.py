@@ -158,7 +158,8 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     """a, b of the pairs whose full sets reach the threshold. Texts are moved, not sets: they are smaller."""
     texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), classes, docs)
     one = lambda k: texts.select(F.col("id").alias(k), F.col("class").alias(f"c{k}"), F.col("text").alias(f"t{k}"))
-    both = pairs.select("a", "b").join(one("a"), "a").join(one("b"), "b")
+    # leaders last: their texts are put to rows that stand by leader, and are not moved with each of them
+    both = pairs.select("a", "b").join(one("b"), "b").join(one("a"), "a")
     percent = round(threshold * 100)
 
     def check():
