@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 
 def check_vector(v: Sequence[float]) -> list[float]:
     if not len(v) or not all(math.isfinite(x) for x in v):
@@ -55,12 +57,74 @@ def _blocks(df: DataFrame, vector: str, key: str, size: int, name: str) -> DataF
     return df.select(key, vector).mapInPandas(pack, f"{name}_keys array<long>, {name}_data binary")
 
 
-def nearest_each(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, kind: str = "cosine", block: int = 256, rows: int = 4096) -> DataFrame:
+#: Bytes of query vectors that are sent to all tasks; more of them meet the rows in blocks.
+SENT = 32 << 20
+
+
+def _distances(q: np.ndarray, x: np.ndarray, kind: str) -> np.ndarray:
+    if kind == "l2":
+        return np.sqrt(np.maximum((q**2).sum(1)[:, None] + (x**2).sum(1) - 2 * q @ x.T, 0))
+    d = -(q @ x.T)
+    return 1 + d / (np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1)) if kind == "cosine" else d
+
+
+def _best(d: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k least distances of each row, ties by key, and their keys."""
+    order = np.lexsort((keys, d), axis=1)[:, :k]
+    return np.take_along_axis(d, order, 1), np.take_along_axis(keys, order, 1)
+
+
+def nearest_each(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, kind: str = "cosine", block: int = 256, rows: int = 4096, sent: int = SENT) -> DataFrame:
     """query, key, distance, rank of the k nearest rows to each query vector (itself left out).
 
-    Blocks of the stated queries meet blocks of all rows; of each meeting k rows a query are left, so only
-    those are shuffled, and neither side is gathered anywhere.
+    Queries of `sent` bytes at most, as counted first, go to all tasks; each task keeps k rows a query over all that it reads,
+    and only those are shuffled. More queries meet the rows in blocks, and k rows a query are left of each meeting.
     """
+    w = Window.partitionBy("query").orderBy("distance", key)
+    ranked = lambda found: found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    size = queries.agg(F.coalesce(F.sum(F.size(vector)), F.lit(0)).alias("n")).first()["n"] * 8
+    if size > sent:
+        return ranked(_in_blocks(df, queries, vector, key, k, kind, block, rows))
+    own = queries.select(key, vector).orderBy(key).collect()
+    if not own:
+        return ranked(_in_blocks(df, queries, vector, key, k, kind, block, rows))
+    who, q = np.array([r[key] for r in own]), np.array([check_vector(r[vector]) for r in own])
+
+    def scan(frames):
+        import pandas as pd
+
+        best = np.full((len(who), 0), np.inf)
+        near = np.zeros((len(who), 0), np.int64)
+        for f in frames:
+            for at in range(0, len(f), rows):
+                part = f.iloc[at : at + rows]
+                x, keys = np.stack([np.asarray(v, float) for v in part[vector]]), part[key].to_numpy(np.int64)
+                if not x.size or not np.isfinite(x).all():
+                    raise ValueError("a vector must have entries, all finite")
+                for lo in range(0, len(who), block):
+                    hi = min(lo + block, len(who))
+                    if lo == 0:
+                        wide = np.full((len(who), best.shape[1] + min(k, len(x))), np.inf)
+                        names = np.zeros(wide.shape, np.int64)
+                    d = _distances(q[lo:hi], x, kind)
+                    d[who[lo:hi, None] == keys] = np.inf
+                    m = min(k, len(x))
+                    edge = np.partition(d, m - 1, axis=1)[:, m - 1 : m]
+                    for i in range(hi - lo):  # all ties at the edge, then the least keys
+                        j = np.flatnonzero(d[i] <= edge[i])
+                        j = j[np.lexsort((keys[j], d[i, j]))[:m]]
+                        wide[lo + i, best.shape[1] : best.shape[1] + len(j)] = d[i, j]
+                        names[lo + i, best.shape[1] : best.shape[1] + len(j)] = keys[j]
+                wide[:, : best.shape[1]], names[:, : best.shape[1]] = best, near
+                best, near = _best(wide, names, k)
+        i, j = np.nonzero(np.isfinite(best))
+        yield pd.DataFrame({"query": who[i], key: near[i, j], "distance": best[i, j]})
+
+    ship(df.sparkSession)
+    return ranked(df.select(key, vector).mapInPandas(scan, f"query long, {key} long, distance double"))
+
+
+def _in_blocks(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int, kind: str, block: int, rows: int) -> DataFrame:
     import pandas as pd
 
     def scan(frames):
@@ -68,23 +132,15 @@ def nearest_each(df: DataFrame, queries: DataFrame, vector: str, key: str, k: in
             for qk, qd, dk, dd in zip(f["q_keys"], f["q_data"], f["d_keys"], f["d_data"], strict=True):
                 qk, dk = np.asarray(qk), np.asarray(dk)
                 q, x = np.frombuffer(qd, "<f8").reshape(len(qk), -1), np.frombuffer(dd, "<f8").reshape(len(dk), -1)
-                if kind == "l2":
-                    d = np.sqrt(np.maximum((q**2).sum(1)[:, None] + (x**2).sum(1) - 2 * q @ x.T, 0))
-                else:
-                    d = -(q @ x.T)
-                    if kind == "cosine":
-                        d = 1 + d / (np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(x, axis=1))
+                d = _distances(q, x, kind)
                 d[qk[:, None] == dk] = np.inf
-                m = min(k + 1, d.shape[1])
-                near = np.argpartition(d, m - 1, axis=1)[:, :m]
-                edge = np.take_along_axis(d, near, 1).max(1)
-                i, j = np.nonzero((d <= edge[:, None]) & np.isfinite(d))  # with all ties at the edge
-                yield pd.DataFrame({"query": qk[i], key: dk[j], "distance": d[i, j]})
+                best, near = _best(d, np.broadcast_to(dk, d.shape), k)
+                i, j = np.nonzero(np.isfinite(best))
+                yield pd.DataFrame({"query": qk[i], key: near[i, j], "distance": best[i, j]})
 
+    ship(df.sparkSession)
     pairs = _blocks(df, vector, key, rows, "d").crossJoin(_blocks(queries, vector, key, block, "q"))
-    found = pairs.mapInPandas(scan, f"query long, {key} long, distance double")
-    w = Window.partitionBy("query").orderBy("distance", key)
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return pairs.mapInPandas(scan, f"query long, {key} long, distance double")
 
 
 def approximate_nearest(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, tables: int = 28, bits: int | None = None, bucket: int = 20_000, sample: int = 1000, seed: int = 3) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import loads
-from ..sources import archives, keyed, readers, sinks
+from ..sources import archives, keyed, ranges, readers, sinks
 from .registry import query
 
 _PART = "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part"
@@ -105,6 +105,20 @@ def _(t):
     return found.select("file", "rows", "columns", F.col("sha256").rlike("^[0-9a-f]{64}$").alias("hashed"))
 
 
+@query("src13_large_files", "SELECT CAST(sum(octet_length(encode(o_orderkey || ',' || o_orderpriority)) + 1) AS BIGINT) AS bytes, true AS plain_agrees, true AS trees_agree, true AS trees_tell FROM orders")
+def _(t):
+    """Text files and their copies by ranges of 4,096 bytes: plain hashes are those of whole values, equal files have equal trees, other ones others."""
+    first, copy, other = t.folder(), t.folder(), t.folder()
+    lines = t.keep(t.orders.select(F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderpriority").alias("value")))
+    for path, rows in ((first, lines), (copy, lines), (other, lines.select(F.concat(F.substring("value", 1, 1), F.lower(F.substring("value", 2, 99))).alias("value")))):
+        rows.coalesce(1).write.text(path)
+    found, again, changed = (t.keep(ranges.large_fingerprints(t.spark, p, 4096)) for p in (first, copy, other))
+    whole = readers.fingerprints(t.spark, first).select("file", F.col("sha256").alias("_whole"))
+    one = found.join(whole, "file").agg(F.sum("bytes").alias("bytes"), (F.count_if(F.col("sha256") == F.col("_whole")) == F.count("*")).alias("plain_agrees"))
+    trees = lambda df, name: df.agg(F.array_join(F.array_sort(F.collect_list("tree")), ",").alias(name))
+    return one.crossJoin(trees(found, "_a")).crossJoin(trees(again, "_b")).crossJoin(trees(changed, "_c")).select("bytes", "plain_agrees", (F.col("_a") == F.col("_b")).alias("trees_agree"), (F.col("_a") != F.col("_c")).alias("trees_tell"))
+
+
 @query("src14_per_file", "SELECT count(*) AS rows, 4 AS files FROM part")
 def _(t):
     path = t.folder()

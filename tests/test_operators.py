@@ -733,3 +733,33 @@ def test_database_by_key(spark, tmp_path):
     assert keyed.literal("it's") == "'it''s'"
     with pytest.raises(TypeError):
         keyed.literal(b"x")
+
+
+def test_nearest_by_both_ways(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(300, 8)), np.ones((200, 8))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>").repartition(4)
+    asked = df.filter("id % 7 = 0")
+    for kind in ("cosine", "l2", "inner"):
+        a, b = (sorted((r["query"], r["rank"], r["id"], round(r["distance"], 9)) for r in vectors.nearest_each(df, asked, "v", "id", 6, kind, block=16, rows=64, sent=s).collect()) for s in (1 << 20, 0))
+        assert a == b and len(a) == 6 * asked.count()
+    assert vectors.nearest_each(df.limit(0), asked, "v", "id").count() == 0 and vectors.nearest_each(df, asked.limit(0), "v", "id").count() == 0
+
+
+def test_fingerprints_of_ranges(spark, tmp_path):
+    import hashlib
+
+    from tablewarden.sources import ranges as parts
+
+    body = bytes(range(256)) * 100
+    for name, data in (("a", body), ("b", body), ("c", body[:-1]), ("empty", b"")):
+        (tmp_path / name).write_bytes(data)
+    got = {r["file"]: r for r in parts.large_fingerprints(spark, f"file:{tmp_path}", 1000).collect()}
+    assert {n: (r["bytes"], r["ranges"]) for n, r in got.items()} == {"a": (25600, 26), "b": (25600, 26), "c": (25599, 26), "empty": (0, 0)}
+    assert got["a"]["sha256"] == hashlib.sha256(body).hexdigest() and got["empty"]["sha256"] == hashlib.sha256(b"").hexdigest()
+    assert got["a"]["tree"] == got["b"]["tree"] and len({got[n]["tree"] for n in ("a", "c", "empty")}) == 3
+    assert parts.hash_ranges(spark, str(tmp_path / "a"), 1000).rdd.getNumPartitions() == 26
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        parts.hash_ranges(spark, str(tmp_path / "none")).collect()
