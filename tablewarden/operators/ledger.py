@@ -138,11 +138,28 @@ def number_leaves(segment_heads: DataFrame, ranges: int = 32) -> DataFrame:
     return rows.join(sizes, "_r").select((F.col("_before") + F.col("_m").bitwiseAND((1 << 33) - 1)).alias("i"), "segment_id", "hash")
 
 
+#: Leaves that are folded in one row.
+FOLD = 4096
+
+
+def _fold(leaves: Column) -> Column:
+    """The root over FOLD sorted leaf hashes at most: twelve rounds of half as many; a last odd one is paired with itself."""
+    pairs = lambda a: F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / 2).cast("int")), lambda i: F.sha2(F.concat(F.get(a, i * 2), F.coalesce(F.get(a, i * 2 + 1), F.get(a, i * 2))), 256))
+    rounds = FOLD.bit_length() - 1
+    top = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), leaves, lambda a, _: F.when(F.size(a) > 1, pairs(a)).otherwise(a))
+    return F.when(F.size(leaves) > 0, F.get(top, F.lit(0)))
+
+
 def seal(segment_heads: DataFrame) -> DataFrame:
-    """merkle_root, segment_count, total_events."""
+    """merkle_root, segment_count, total_events. Up to FOLD segments are one row, more are numbered and paired level by level."""
+    totals = [F.count("*").alias("segment_count"), F.coalesce(F.sum("entry_count"), F.lit(0)).alias("total_events")]
+    if segment_heads.limit(FOLD + 1).count() <= FOLD:
+        own = leaf(F.col("segment_id"), F.col("entry_count"), F.col("last_hash"))
+        one = segment_heads.agg(*totals, F.array_sort(F.collect_list(F.struct("segment_id", own.alias("hash")))).alias("_leaves"))
+        hashes = F.transform("_leaves", lambda x: x["hash"])
+        return one.select(F.coalesce(_fold(hashes), F.lit(EMPTY_ROOT)).alias("merkle_root"), "segment_count", "total_events")
     top = _levels(number_leaves(segment_heads).select("i", "hash"))[-1]
-    totals = segment_heads.agg(F.count("*").alias("segment_count"), F.coalesce(F.sum("entry_count"), F.lit(0)).alias("total_events"))
-    return totals.join(top.select(F.col("hash").alias("_root")), F.lit(True), "left").select(F.coalesce("_root", F.lit(EMPTY_ROOT)).alias("merkle_root"), "segment_count", "total_events")
+    return segment_heads.agg(*totals).join(top.select(F.col("hash").alias("_root")), F.lit(True), "left").select(F.coalesce("_root", F.lit(EMPTY_ROOT)).alias("merkle_root"), "segment_count", "total_events")
 
 
 def verify_seal(chained: DataFrame, sealed: DataFrame) -> DataFrame:
@@ -187,31 +204,39 @@ def govern_buckets(df: DataFrame, key: str, buckets: int, columns: list[str]) ->
     return df.withColumns({"segment_id": bucket(F.col(key), buckets)} | {c: mask(F.col(c)) for c in columns}).dropDuplicates()
 
 
-def bucket_trail(read: DataFrame, governed: DataFrame, pipeline_id: str, at: str, columns: list[str]) -> DataFrame:
-    """segment_id, seq, body: start, mask and finish events of each bucket; read, governed: rows with their segment_id."""
-    stats = read.groupBy("segment_id").agg(F.count("*").alias("rows_in")).join(governed.groupBy("segment_id").agg(F.count("*").alias("rows_out")), "segment_id")
-    one = lambda seq, action, detail: F.struct(F.lit(seq).alias("seq"), F.to_json(F.struct(F.lit(action).alias("action"), F.lit("PARTITION").alias("category"), detail.cast("string").alias("detail"), F.lit(pipeline_id).alias("pipeline_id"), F.lit(at).alias("timestamp_utc"))).alias("body"))
-    events = F.array(one(0, "START", F.col("rows_in")), one(1, "MASK", F.lit(",".join(columns))), one(2, "FINISH", F.col("rows_out")))
-    return stats.select("segment_id", F.explode(events).alias("x")).select("segment_id", "x.*")
+def bucket_trail(counts: DataFrame, pipeline_id: str, at: str, columns: list[str]) -> DataFrame:
+    """The chained start, mask and finish events of each bucket, as chain() makes them; counts: segment_id, rows_in, rows_out.
+
+    A bucket has three events, so its chain is three nested hashes in its own row.
+    """
+    body = lambda action, detail: F.to_json(F.struct(F.lit(action).alias("action"), F.lit("PARTITION").alias("category"), detail.cast("string").alias("detail"), F.lit(pipeline_id).alias("pipeline_id"), F.lit(at).alias("timestamp_utc")))
+    rows = counts.select("segment_id", body("START", F.col("rows_in")).alias("_b0"), body("MASK", F.lit(",".join(columns))).alias("_b1"), body("FINISH", F.col("rows_out")).alias("_b2"))
+    before: Column = F.lit(GENESIS)
+    for i in range(3):
+        rows = rows.withColumns({f"_p{i}": before, f"_h{i}": F.sha2(F.concat_ws("|", before, f"_b{i}"), 256)})
+        before = F.col(f"_h{i}")
+    events = F.array(*[F.struct(F.lit(i).cast("long").alias("seq"), F.lit(0).cast("long").alias("block"), F.col(f"_b{i}").alias("body"), F.col(f"_p{i}").alias("prev_hash"), F.col(f"_h{i}").alias("self_hash")) for i in range(3)])
+    return rows.select("segment_id", F.explode(events).alias("x")).select("segment_id", "x.*")
 
 
 def govern_sealed(df: DataFrame, key: str, buckets: int, pipeline_id: str, at: str, columns: list[str], path: str) -> DataFrame:
     """Govern df by buckets into `path`: rows, the chained trail and its seal are written, then verified as they stand there.
 
     merkle_root, segment_count, total_events, rows_in, rows_out, ok. Every bucket has its own chain, so nothing is shared
-    between the tasks that write.
+    between the tasks that write. A row says in _copies for how many it stands, so what came in is counted in what is written.
     """
+    from ..functions.values import mask
+
     spark = df.sparkSession
-    govern_buckets(df, key, buckets, columns).write.parquet(f"{path}/rows")
-    rows, read = spark.read.parquet(f"{path}/rows"), df.select(bucket(F.col(key), buckets).alias("segment_id"))
-    # written before it is chained: a chain reads its events twice
-    bucket_trail(read, rows, pipeline_id, at, columns).write.parquet(f"{path}/events")
-    chain(spark.read.parquet(f"{path}/events")).write.parquet(f"{path}/trail")
+    masked = df.withColumns({"segment_id": bucket(F.col(key), buckets)} | {c: mask(F.col(c)) for c in columns})
+    masked.groupBy(*masked.columns).agg(F.count("*").alias("_copies")).write.parquet(f"{path}/rows")
+    counts = spark.read.parquet(f"{path}/rows").groupBy("segment_id").agg(F.sum("_copies").alias("rows_in"), F.count("*").alias("rows_out"))
+    bucket_trail(counts, pipeline_id, at, columns).write.parquet(f"{path}/trail")
     trail = spark.read.parquet(f"{path}/trail")
     seal(heads(trail)).write.parquet(f"{path}/seal")
     sealed = spark.read.parquet(f"{path}/seal")
-    counts = trail.select("seq", F.get_json_object("body", "$.detail").try_cast("long").alias("n")).agg(F.coalesce(F.sum(F.when(F.col("seq") == 0, F.col("n"))), F.lit(0)).alias("rows_in"), F.coalesce(F.sum(F.when(F.col("seq") == 2, F.col("n"))), F.lit(0)).alias("rows_out"))
-    return sealed.crossJoin(counts).crossJoin(verify_seal(trail, sealed).select("ok"))
+    told = trail.select("seq", F.get_json_object("body", "$.detail").try_cast("long").alias("n")).agg(F.coalesce(F.sum(F.when(F.col("seq") == 0, F.col("n"))), F.lit(0)).alias("rows_in"), F.coalesce(F.sum(F.when(F.col("seq") == 2, F.col("n"))), F.lit(0)).alias("rows_out"))
+    return sealed.crossJoin(told).crossJoin(verify_seal(trail, sealed).select("ok"))
 
 
 # --- lineage -------------------------------------------------------------------------------------------------

@@ -763,3 +763,14 @@ def test_fingerprints_of_ranges(spark, tmp_path):
     assert parts.hash_ranges(spark, str(tmp_path / "a"), 1000).rdd.getNumPartitions() == 26
     with pytest.raises(Exception, match="FileNotFoundError"):
         parts.hash_ranges(spark, str(tmp_path / "none")).collect()
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 8, 13])
+def test_root_of_one_row_is_the_root_of_levels(spark, monkeypatch, n):
+    heads = spark.createDataFrame([(i, i + 1, f"h{i}") for i in range(n)], "segment_id long, entry_count long, last_hash string")
+    one = ledger.seal(heads).first()
+    monkeypatch.setattr(ledger, "FOLD", -1)
+    if n:
+        assert one == ledger.seal(heads).first()
+    else:
+        assert one["merkle_root"] == ledger.EMPTY_ROOT
