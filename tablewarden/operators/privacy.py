@@ -148,8 +148,9 @@ def _uniform(key: str, *parts: Column) -> Column:
 def add_noise(df: DataFrame, columns: Sequence[str], epsilon: float, sensitivity: float = 1.0, mechanism: str = "laplace", delta: float = 1e-5, clip: bool = True, seed: int | None = None, budget: PrivacyBudget | None = None, dataset: str = "", cap: float = math.inf) -> DataFrame:
     """Laplace (scale s/epsilon) or Gaussian noise, clipped to the range that the column had, if it had one. Nulls stay.
 
-    Values and noise are multiples of a power of two that is a thousandth of the scale or less, and the noise is the difference of
-    two geometric numbers (Laplace), so no digit of a value shows in the result. The randomness is a fresh 256-bit key for each
+    Values and noise are multiples of a power of two that is a thousandth of the scale and of the sensitivity or less, so that the
+    step added to the sensitivity widens the noise by a thousandth at most, and the noise is the difference of two geometric
+    numbers (Laplace), so no digit of a value shows in the result. The randomness is a fresh 256-bit key for each
     call; a seed makes it repeat, for tests only. With a budget the spending is committed before anything is returned.
     """
     if epsilon <= 0 or sensitivity <= 0:
@@ -161,7 +162,7 @@ def add_noise(df: DataFrame, columns: Sequence[str], epsilon: float, sensitivity
     key = secrets.token_hex(32) if seed is None else f"seed {seed}"
     ends = df.agg(*[F.min(c).cast("double").alias(f"lo_{c}") for c in columns], *[F.max(c).cast("double").alias(f"hi_{c}") for c in columns]).first() if clip else None
     scale = sensitivity / epsilon if mechanism == "laplace" else sensitivity * math.sqrt(2 * math.log(1.25 / delta)) / epsilon
-    grid = 2.0 ** math.floor(math.log2(scale / 1024))
+    grid = 2.0 ** math.floor(math.log2(min(scale, sensitivity) / 1024))
     row = F.monotonically_increasing_id().cast("string")
     out = {}
     for c in columns:

@@ -774,3 +774,10 @@ def test_root_of_one_row_is_the_root_of_levels(spark, monkeypatch, n):
         assert one == ledger.seal(heads).first()
     else:
         assert one["merkle_root"] == ledger.EMPTY_ROOT
+
+
+def test_noise_is_as_wide_as_its_law(spark):
+    df = spark.range(20_000).select(F.lit(5.0).alias("v"))
+    for how, mean in (("laplace", 100.0), ("gaussian", 100.0 * (2 * math.log(1.25e5)) ** 0.5 * (2 / math.pi) ** 0.5)):
+        x = privacy.add_noise(df, ["v"], 0.01, 1.0, how, clip=False, seed=5).select(F.avg(F.abs(F.col("v") - 5.0)).alias("m")).first()["m"]
+        assert abs(x / mean - 1) < 0.03
