@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import loads
-from ..sources import archives, keyed, ranges, readers, sinks
+from ..sources import archives, keyed, ranges, readers, sinks, sqlite
 from .registry import query
 
 _PART = "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part"
@@ -54,17 +54,23 @@ def _(t):
     return readers.read(t.spark, path, "csv", _SCHEMA)
 
 
+def _database(t) -> str:
+    """A new database file that the driver and all executors can open."""
+    path = t.folder()
+    sqlite.make_folder(path)
+    return f"sqlite:{path}/db"
+
+
 @query("src11_src12_database", "SELECT s_suppkey, CASE WHEN s_nationkey < 3 THEN upper(s_name) || '!' ELSE s_name END AS s_name FROM supplier WHERE s_nationkey < 10 UNION ALL SELECT -s_suppkey, 'new' FROM supplier WHERE s_nationkey < 3")
 def _(t):
-    """Through the JDBC source and the embedded database that comes with Spark: written, upserted there, read in parts by a key whose bounds are asked for, filtered at the source."""
-    url = f"jdbc:derby:memory:w{abs(hash(t.folder()))};create=true"
-    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    """Through a database file in the folder that the cluster shares: written, upserted there, read in parts by a key whose bounds are asked for, filtered at the source."""
+    url = _database(t)
     rows = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
-    sinks.write_database(rows, url, "SUPPLIER", "replace", **driver)
+    sinks.write_database(rows, url, "SUPPLIER", "replace")
     changed = rows.filter("s_nationkey < 3").selectExpr("s_suppkey", "concat(upper(s_name), '!') as s_name", "s_nationkey")
     changed = changed.unionByName(rows.filter("s_nationkey < 3").selectExpr("-s_suppkey as s_suppkey", "'new' as s_name", "s_nationkey"))
-    sinks.write_database(changed, url, "SUPPLIER", "upsert", keys=["s_suppkey"], **driver)
-    return readers.read_database(t.spark, url, "SUPPLIER", columns=["s_suppkey", "s_name"], where="s_nationkey < 10", key="s_suppkey", partitions=3, **driver)
+    sinks.write_database(changed, url, "SUPPLIER", "upsert", keys=["s_suppkey"])
+    return readers.read_database(t.spark, url, "SUPPLIER", columns=["s_suppkey", "s_name"], where="s_nationkey < 10", key="s_suppkey", partitions=3)
 
 
 _KINDS = ("zip", "tgz", "lz4", "zst")
@@ -88,14 +94,12 @@ def _(t):
 @query("src12_keyed", "SELECT p_brand, p_partkey, p_name FROM part WHERE p_size < 40")
 def _(t):
     """By a primary key of a text and a number, which the database is asked for: the first half, then from its last key on."""
-    url = f"jdbc:derby:memory:k{abs(hash(t.folder()))};create=true"
-    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    sinks.write_database(t.part.select("p_brand", "p_partkey", "p_name", "p_size"), url, "PART", "replace", **driver | {"createTableColumnTypes": "p_brand VARCHAR(40), p_name VARCHAR(80)"})
-    sinks.run_statements(t.spark, url, ['ALTER TABLE PART ALTER COLUMN "p_brand" NOT NULL', 'ALTER TABLE PART ALTER COLUMN "p_partkey" NOT NULL', 'ALTER TABLE PART ADD PRIMARY KEY ("p_brand", "p_partkey")'], **driver)
-    key = keyed.primary_key(t.spark, url, "PART", **driver)
+    url = _database(t)
+    sinks.write_database(t.part.select("p_brand", "p_partkey", "p_name", "p_size"), url, "PART", "replace", primary=["p_brand", "p_partkey"])
+    key = keyed.primary_key(t.spark, url, "PART")
     columns = ["p_brand", "p_partkey", "p_name"]
-    first = t.keep(keyed.read_keyed(t.spark, url, "PART", columns=columns, where='"p_size" < 40 AND "p_brand" < \'Brand#2\'', partitions=3, **driver))
-    rest = keyed.read_keyed(t.spark, url, "PART", columns=columns, where='"p_size" < 40', partitions=4, resume_after=keyed.last_key(first, key), **driver)
+    first = t.keep(keyed.read_keyed(t.spark, url, "PART", columns=columns, where='"p_size" < 40 AND "p_brand" < \'Brand#2\'', partitions=3))
+    rest = keyed.read_keyed(t.spark, url, "PART", columns=columns, where='"p_size" < 40', partitions=4, resume_after=keyed.last_key(first, key))
     return first.unionByName(rest)
 
 

@@ -19,11 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import check_identifier
+from . import sqlite
 from .readers import quoted
 
 
 def primary_key(spark: SparkSession, url: str, table: str, **options: str) -> list[str]:
     """The columns of the primary key in its order; none without one. table: name or schema.name, as the database writes it."""
+    if sqlite.is_file(url):
+        return sqlite.primary_key(url, table)
     jvm = spark.sparkContext._jvm
     properties = jvm.java.util.Properties()
     for k, v in options.items():
@@ -72,7 +75,7 @@ def after(names: Sequence[str], values: Sequence, equal: bool) -> str:
 
 def _page(url: str, order: str, skip: int) -> str:
     """The row at a place of an order, in the database's words."""
-    if url.startswith(("jdbc:mysql", "jdbc:mariadb", "jdbc:sqlite")):
+    if url.startswith(("jdbc:mysql", "jdbc:mariadb", "jdbc:sqlite", "sqlite:")):
         return f"ORDER BY {order} LIMIT 1 OFFSET {skip}"
     return f"ORDER BY {order} OFFSET {skip} ROWS FETCH NEXT 1 ROWS ONLY"
 
@@ -80,19 +83,21 @@ def _page(url: str, order: str, skip: int) -> str:
 def read_keyed(spark: SparkSession, url: str, table: str, key: Sequence[str] = (), columns: Sequence[str] = (), where: str | None = None, partitions: int = 8, resume_after: Sequence | None = None, **options: str) -> DataFrame:
     """The table's rows in ranges of its key, in its order; resume_after: only those whose key comes after this one (keys with nulls, which come first, are then read already)."""
     names = [check_identifier(c) for c in (key or primary_key(spark, url, table, **options))]
+    file = sqlite.is_file(url)
     read = lambda what: spark.read.format("jdbc").options(url=url, dbtable=what, **options)
+    ask = lambda sql: sqlite.ask(url, sql) if file else read(f"({sql}) t").load().first()
     if not names:
-        names = read(f"(SELECT * FROM {table} WHERE 1 = 0) t").load().columns
+        names = [*sqlite.table_columns(url, table)] if file else read(f"(SELECT * FROM {table} WHERE 1 = 0) t").load().columns
     own = [quoted(spark, url, c) for c in names]
     full = " AND ".join(f"{c} IS NOT NULL" for c in own)
     only = [full, *([after(own, resume_after, False)] if resume_after is not None else []), *([f"({where})"] if where else [])]
     inside = " AND ".join(only)
-    rows = read(f"(SELECT COUNT(*) AS n FROM {table} WHERE {inside}) t").load().first()[0]
+    rows = ask(f"SELECT COUNT(*) AS n FROM {table} WHERE {inside}")[0]
     borders = []
     for i in range(1, partitions):
         place = rows * i // partitions
         if place and (not borders or place != rows * (i - 1) // partitions):
-            found = read(f"(SELECT {', '.join(own)} FROM {table} WHERE {inside} {_page(url, ', '.join(own), place)}) t").load().first()
+            found = ask(f"SELECT {', '.join(own)} FROM {table} WHERE {inside} {_page(url, ', '.join(own), place)}")
             if found is not None and (not borders or tuple(found) != borders[-1]):
                 borders.append(tuple(found))
     ranges = []
@@ -103,6 +108,9 @@ def read_keyed(spark: SparkSession, url: str, table: str, key: Sequence[str] = (
     if resume_after is None:
         lacking = " OR ".join(f"{c} IS NULL" for c in own)
         ranges.insert(0, " AND ".join([f"({lacking})", *([f"({where})"] if where else [])]))
+    if file:
+        df = sqlite.read(spark, url, table, list(dict.fromkeys([*columns, *names])) if columns else (), ranges).sortWithinPartitions(*names)
+        return df.select(*columns) if columns else df
     options_ = {k: str(v) for k, v in options.items()}
     df = spark.read.jdbc(url, table, predicates=ranges, properties=options_).sortWithinPartitions(*names)
     return df.select(*columns) if columns else df

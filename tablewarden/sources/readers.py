@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.names import check_identifier
 from ..operators.columns import flatten
+from . import sqlite
 
 # Extensions of formats and of codecs that Spark opens by itself.
 FORMATS = {"csv": "csv", "tsv": "tsv", "json": "json", "jsonl": "jsonl", "ndjson": "jsonl", "xml": "xml", "parquet": "parquet", "orc": "orc", "avro": "avro", "fw": "fixed"}
@@ -57,10 +58,16 @@ def quoted(spark: SparkSession, url: str, name: str) -> str:
 
 
 def read_database(spark: SparkSession, url: str, table: str | None = None, query: str | None = None, columns: Sequence[str] = (), where: str | None = None, key: str | None = None, bounds: tuple[int, int] | None = None, partitions: int = 8, ordered: bool = False, **options: str) -> DataFrame:
-    """A table or query of a JDBC source; columns and the filter go to the source.
+    """A table or query of a JDBC source, or a table of a SQLite file (see sources.sqlite); columns and the filter go to the source.
 
     A numeric key reads it in parts; its bounds are asked of the source unless given. ordered: by the key, else by all columns.
     """
+    if sqlite.is_file(url):
+        if query or bounds or not table:
+            raise ValueError("a database file is read by table, and asked for its bounds")
+        parts = sqlite.ranges(url, table, check_identifier(key), partitions, where) if key else [where or "1 = 1"]
+        df = sqlite.read(spark, url, table, columns, parts)
+        return df.orderBy(*([key] if key else df.columns)) if ordered else df
     source = f"({query}) q" if query else table
     read = lambda what: spark.read.format("jdbc").options(url=url, dbtable=what, **options)
     if key and not bounds:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.loads import upsert
+from . import sqlite
 from .readers import quoted
 
 # Destinations by the writer that serves them.
@@ -42,8 +43,13 @@ def upsert_files(df: DataFrame, path: str, out: str, keys: Sequence[str]) -> Dat
     return df.sparkSession.read.parquet(out)
 
 
-def write_database(df: DataFrame, url: str, table: str, mode: str = "append", keys: Sequence[str] = (), batch: int = 10_000, **options: str) -> None:
-    """append, replace or upsert: only the source's rows are staged, then the database replaces rows by key in one transaction."""
+def write_database(df: DataFrame, url: str, table: str, mode: str = "append", keys: Sequence[str] = (), batch: int = 10_000, primary: Sequence[str] = (), **options: str) -> None:
+    """append, replace or upsert: only the source's rows are staged, then the database replaces rows by key in one transaction. primary: of a new table in a SQLite file."""
+    if sqlite.is_file(url):
+        sqlite.write(df, url, table, mode, keys, primary)
+        return
+    if primary:
+        raise ValueError("over JDBC a primary key is added by run_statements")
     save = lambda t, m: df.write.format("jdbc").options(url=url, dbtable=t, batchsize=batch, **options).mode(m).save()
     if mode != "upsert":
         save(table, "overwrite" if mode == "replace" else "append")

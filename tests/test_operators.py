@@ -781,3 +781,38 @@ def test_noise_is_as_wide_as_its_law(spark):
     for how, mean in (("laplace", 100.0), ("gaussian", 100.0 * (2 * math.log(1.25e5)) ** 0.5 * (2 / math.pi) ** 0.5)):
         x = privacy.add_noise(df, ["v"], 0.01, 1.0, how, clip=False, seed=5).select(F.avg(F.abs(F.col("v") - 5.0)).alias("m")).first()["m"]
         assert abs(x / mean - 1) < 0.03
+
+
+def test_database_in_a_file(spark, tmp_path):
+    from tablewarden.sources import keyed
+
+    url = f"sqlite:file://{tmp_path}/db"
+    rows_ = [(f"k'{i % 7}", i // 7 if i % 11 else None, float(i), i % 2 == 0) for i in range(300)]
+    df = spark.createDataFrame(rows_, "a string, b int, v double, f boolean").repartition(3)
+    sinks.write_database(df, url, "T", "replace")
+    for key in (["a", "b"], ["v"], []):
+        assert sorted(rows(keyed.read_keyed(spark, url, "T", key, partitions=5)), key=str) == sorted(rows_, key=str)
+    for key in ("b", None):
+        got = readers.read_database(spark, url, "T", columns=["v"], where="v < 150", key=key, partitions=4)
+        assert rows(got) == sorted([(float(i),) for i in range(150)], key=repr)
+    sinks.write_database(df.filter("v < 10").withColumn("a", F.lit("new")), url, "T", "upsert", keys=["v"])
+    sinks.write_database(df.filter("v = 20"), url, "T", "append")
+    again = readers.read_database(spark, url, "T")
+    assert again.count() == 301 and again.filter("a = 'new'").count() == 10 and again.schema == df.schema
+    sinks.write_database(df.dropna(), url, "K", "replace", primary=["a", "b"])
+    assert keyed.primary_key(spark, url, "K") == ["a", "b"]
+    with pytest.raises(Exception, match="UNIQUE"):
+        sinks.write_database(df.dropna().limit(1), url, "K", "append")
+    assert readers.read_database(spark, url, "K").count() == df.dropna().count()
+    sinks.write_database(df.limit(0), url, "E", "replace")
+    assert keyed.read_keyed(spark, url, "E", ["v"]).count() == 0
+    with pytest.raises(TypeError):
+        sinks.write_database(spark.sql("select current_date() as d"), url, "D")
+
+
+def test_database_queries_use_no_database_of_one_process():
+    import inspect
+
+    from tablewarden.queries import loading
+
+    assert "derby:memory" not in inspect.getsource(loading)
