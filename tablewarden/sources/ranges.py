@@ -1,8 +1,8 @@
 """Files of any size by byte ranges: a data source whose rows are the hashes of ranges, so no file is ever one value.
 
 Two fingerprints come from it. `sha256` is the plain one, read as a stream by one task a file, as the hash asks for. `tree` is
-SHA-256 over the hashes of RANGE bytes each, in order, with the size and RANGE before them; its ranges are hashed by as many
-tasks as there are. Equal files have equal values of both; a tree is no plain hash and is compared with trees of the same RANGE only.
+SHA-256 over the hashes of RANGE bytes each, in order, with the size and RANGE before them; its ranges are hashed by PARTS tasks
+a file or by one for each SPAN bytes, if these are more; small ranges that follow one another are rows of one task. Equal files have equal values of both; a tree is no plain hash and is compared with trees of the same RANGE only.
 
 Paths are those that sources.archives can open. An empty file has no ranges.
 """
@@ -22,14 +22,16 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from ..session import ship
 from .archives import _files
 
-#: Bytes of a range, and of a read.
-RANGE, BYTES = 64 << 20, 1 << 20
+#: Bytes of a range, of a task's ranges, and of a read; tasks of a file of fewer bytes; rows of a batch.
+RANGE, SPAN, BYTES, PARTS, ROWS = 64 << 20, 64 << 20, 1 << 20, 64, 4096
 SCHEMA = "file string, size long, at long, bytes long, sha256 string"
 
 
 class Part(InputPartition):
-    def __init__(self, path: str, size: int, at: int, length: int):
-        self.path, self.size, self.at, self.length = path, size, at, length
+    """Ranges of `step` bytes each, the last one shorter, that begin at `at` and are `length` bytes together."""
+
+    def __init__(self, path: str, size: int, at: int, length: int, step: int):
+        self.path, self.size, self.at, self.length, self.step = path, size, at, length, step
 
 
 def _found(paths: Sequence[str]) -> Iterator[tuple[str, int]]:
@@ -50,26 +52,36 @@ def _found(paths: Sequence[str]) -> Iterator[tuple[str, int]]:
 class RangeReader(DataSourceReader):
     def __init__(self, options: dict):
         step = int(options["range"])
-        self.parts = [Part(p, size, at, min(step or size, size - at)) for p, size in _found(json.loads(options["paths"])) for at in (range(0, size, step) if step and size else [0])]
+        self.parts = []
+        for p, size in _found(json.loads(options["paths"])):
+            span = step * max(1, min(SPAN // step, -(-size // (step * PARTS)))) if step else size
+            self.parts += [Part(p, size, at, min(span, size - at), step or size) for at in (range(0, size, span) if size else [0])]
 
     def partitions(self) -> Sequence[InputPartition]:
         return self.parts
 
     def read(self, part: Part) -> Iterator[pa.RecordBatch]:
         fs, at = _files(part.path)
-        digest, left = hashlib.sha256(), part.length
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        rows: list[tuple] = []
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), types, strict=True)], names=["file", "size", "at", "bytes", "sha256"])
         with fs.open_input_file(at) as f:
             f.seek(part.at)
-            while left:
-                data = f.read(min(BYTES, left))
-                if not data:
-                    raise OSError(f"{part.path} has become shorter while it was read")
-                digest.update(data)
-                left -= len(data)
-        names = ["file", "size", "at", "bytes", "sha256"]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-        values = [part.path, part.size, part.at, part.length, digest.hexdigest()]
-        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names=names)
+            for start in range(part.at, part.at + part.length, part.step) if part.length else [part.at]:
+                length = min(part.step, part.at + part.length - start)
+                digest, left = hashlib.sha256(), length
+                while left:
+                    data = f.read(min(BYTES, left))
+                    if not data:
+                        raise OSError(f"{part.path} has become shorter while it was read")
+                    digest.update(data)
+                    left -= len(data)
+                rows.append((part.path, part.size, start, length, digest.hexdigest()))
+                if len(rows) == ROWS:
+                    yield batch()
+                    rows = []
+        if rows:
+            yield batch()
 
 
 class RangeSource(DataSource):

@@ -816,3 +816,19 @@ def test_database_queries_use_no_database_of_one_process():
     from tablewarden.queries import loading
 
     assert "derby:memory" not in inspect.getsource(loading)
+
+
+def test_small_ranges_of_a_file_share_a_task(spark, tmp_path):
+    import hashlib
+
+    from tablewarden.sources import ranges
+
+    data = bytes(range(256)) * 400 + b"rest"
+    (tmp_path / "x").write_bytes(data)
+    (tmp_path / "empty").write_bytes(b"")
+    found = ranges.hash_ranges(spark, str(tmp_path), 10)
+    assert found.rdd.getNumPartitions() == 65
+    got = {r["at"]: (r["bytes"], r["sha256"]) for r in found.filter("size > 0").collect()}
+    assert got == {i: (len(data[i : i + 10]), hashlib.sha256(data[i : i + 10]).hexdigest()) for i in range(0, len(data), 10)}
+    whole = {r["file"]: (r["bytes"], r["ranges"], r["sha256"]) for r in ranges.large_fingerprints(spark, str(tmp_path), 10).collect()}
+    assert whole == {"x": (len(data), len(got), hashlib.sha256(data).hexdigest()), "empty": (0, 0, hashlib.sha256(b"").hexdigest())}
