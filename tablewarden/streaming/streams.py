@@ -13,6 +13,9 @@ from ..functions.names import check_identifier, pii_columns
 from ..operators import filters, ledger
 from ..plans.steps import govern
 
+#: Tasks among which the rows of one key are dealt out.
+SALTS = 8
+
 
 def read_stream(spark: SparkSession, path: str, schema: StructType | str, form: str = "parquet", per_batch: int | None = None) -> DataFrame:
     r = spark.readStream.format(form).schema(schema)
@@ -79,8 +82,12 @@ def govern_observed_stream(df: DataFrame, out: str, checkpoint: str, run_id: str
 
 
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row a key: the greatest by `order`, equal ones by all columns, so that the same rows give the same choice."""
+    """One row a key: the greatest by `order`, equal ones by all columns, so that the same rows give the same choice.
+
+    Rows are dealt out first, so that a task holds the keys of its share and not all of a file's; a hot key's go to SALTS tasks.
+    """
     value = F.struct(*rows.columns)
+    rows = rows.repartition(*keys, F.pmod(F.xxhash64(*order), F.lit(SALTS)))
     return rows.groupBy(*keys).agg(F.max_by(value, F.struct(*order, *rows.columns)).alias("_row")).select("_row.*")
 
 

@@ -832,3 +832,11 @@ def test_small_ranges_of_a_file_share_a_task(spark, tmp_path):
     assert got == {i: (len(data[i : i + 10]), hashlib.sha256(data[i : i + 10]).hexdigest()) for i in range(0, len(data), 10)}
     whole = {r["file"]: (r["bytes"], r["ranges"], r["sha256"]) for r in ranges.large_fingerprints(spark, str(tmp_path), 10).collect()}
     assert whole == {"x": (len(data), len(got), hashlib.sha256(data).hexdigest()), "empty": (0, 0, hashlib.sha256(b"").hexdigest())}
+
+
+def test_latest_rows_are_dealt_out_before_keys_are_held(spark):
+    df = spark.createDataFrame([(i % 5, i, f"x{i}") for i in range(50)], "k int, v int, x string").coalesce(1)
+    found = streams.latest(df, ["k"], ["v"])
+    assert rows(found) == [(i, 45 + i, f"x{45 + i}") for i in range(5)]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("partial_max_by") < plan.rindex("Repartition" if "Repartition" in plan else "Exchange")
