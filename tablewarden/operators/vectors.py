@@ -1,15 +1,17 @@
-"""Nearest vectors, exact and through random projections."""
+"""Nearest vectors, exact and through an index."""
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import shared_folder, ship
+from . import vector_index
 
 
 def check_vector(v: Sequence[float]) -> list[float]:
@@ -143,32 +145,13 @@ def _in_blocks(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int,
     return pairs.mapInPandas(scan, f"query long, {key} long, distance double")
 
 
-def approximate_nearest(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, tables: int = 28, bits: int | None = None, bucket: int = 20_000, sample: int = 1000, seed: int = 3) -> DataFrame:
-    """query, key, distance, rank by cosine, over rows that share a bucket: signs of `bits` random projections in each of `tables` tables.
+def approximate_nearest(df: DataFrame, queries: DataFrame, vector: str, key: str, k: int = 10, bucket: int | None = None, recall: float = 0.95) -> DataFrame:
+    """query, key, distance, rank by cosine, over an index that is made for this search and left in the shared folder.
 
-    The projections are centred on the mean of `sample` rows at most; every row is indexed. Bits grow with the rows, so
-    that a bucket holds about `bucket` of them; beyond 4 bits the buckets that differ in one bit are looked at, too.
-    Only keys meet in buckets; vectors are joined to the pairs.
+    See vector_index: every row is in one list, queries meet blocks of the lists that they probe, and k rows a query leave a block,
+    so no pair is ever a row. bucket: rows of a list, about; unless given lists grow as the root of the rows.
     """
-    if bits is None:
-        bits = min(28, max(4, math.ceil(math.log2(max(1, df.count() / bucket)))))
-    first = df.select(vector).limit(sample).collect()
-    x = np.array([r[vector] for r in first], float)
-    rng = np.random.default_rng(seed)
-    planes = rng.normal(size=(tables, bits, x.shape[1])) if len(x) else np.zeros((tables, bits, 1))
-    mean = x.mean(0) if len(x) else np.zeros(1)
-    planes = planes.tolist()
-    shift = [[float(np.dot(p, mean)) for p in t] for t in planes]
-
-    def codes(c: Column) -> Column:
-        """The bits of each table."""
-        signs = [[F.when(_dot(c, F.array(*[F.lit(v) for v in planes[t][b]])) > F.lit(shift[t][b]), F.lit(1 << b)).otherwise(F.lit(0)).cast("long") for b in range(bits)] for t in range(tables)]
-        return F.array(*[sum(s[1:], s[0]) for s in signs])
-
-    flips = F.array(*[F.lit(v).cast("long") for v in [0, *([1 << b for b in range(bits)] if bits > 4 else [])]])
-    own = df.select(F.col(key), F.posexplode(codes(F.col(vector))).alias("_t", "_b"))
-    asked = queries.select(F.col(key).alias("query"), F.posexplode(codes(F.col(vector))).alias("_t", "_c")).select("query", "_t", F.explode(F.transform(flips, lambda x: x.bitwiseXOR(F.col("_c")))).alias("_b"))
-    pairs = asked.join(own, ["_t", "_b"]).filter(F.col("query") != F.col(key)).select("query", key).distinct()
-    pairs = pairs.join(df.select(key, F.col(vector).alias("_v")), key).join(queries.select(F.col(key).alias("query"), F.col(vector).alias("_q")), "query")
-    w = Window.partitionBy("query").orderBy("distance", key)
-    return pairs.select("query", key, distance(F.col("_q"), F.col("_v"), "cosine").alias("distance")).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    lists = min(vector_index.LISTS, max(1, math.ceil(df.count() / bucket))) if bucket else None
+    vector_index.build_index(df, vector, key, path, "cosine", lists, k, recall)
+    return vector_index.search_index(df.sparkSession, path, queries, vector, key, k)

@@ -840,3 +840,11 @@ def test_latest_rows_are_dealt_out_before_keys_are_held(spark):
     assert rows(found) == [(i, 45 + i, f"x{45 + i}") for i in range(5)]
     plan = found._jdf.queryExecution().sparkPlan().toString()
     assert plan.index("partial_max_by") < plan.rindex("Repartition" if "Repartition" in plan else "Exchange")
+
+
+def test_approximate_search_joins_no_pairs(spark, sf):
+    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    found = vectors.approximate_nearest(e, e.filter("vec_id % 50 = 0"), "embedding", "vec_id", 5)
+    assert found.columns == ["query", "vec_id", "distance", "rank"]
+    # blocks of lists meet blocks of queries; vectors are not joined to pairs afterwards
+    assert found._jdf.queryExecution().sparkPlan().toString().count("Join") == 1
