@@ -241,7 +241,10 @@ def peeled(rows: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFram
         before, after = sizes.count(), hopeful.count()
         if before == after:
             break
-        rows = still_open(rows.join(hopeful.select("id"), "id", "left_semi"), "peeled")
+        # a row a class is joined, not one for each of its bands
+        places = rows.groupBy("id").agg(F.first("component").alias("component"), F.collect_list(F.struct("key", "band")).alias("_at"))
+        stay = places.join(hopeful.select("id"), "id", "left_semi").select("id", "component", F.explode("_at").alias("_at"))
+        rows = still_open(stay.select("_at.key", "_at.band", "id", "component"), "peeled")
     return rows, sizes
 
 

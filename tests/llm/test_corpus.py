@@ -469,3 +469,21 @@ def test_filtering_stages_follow_the_scores(spark, name):
 
 def test_run_is_the_stages(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_peeling_joins_a_row_a_class(spark, monkeypatch):
+    from tablewarden.llm import near_dups
+
+    joined = []
+    real = near_dups.still_open
+
+    def seen(rows, name):
+        joined.append(rows._jdf.queryExecution().analyzed().toString())
+        return real(rows, name)
+
+    monkeypatch.setattr(near_dups, "still_open", seen)
+    rows = spark.createDataFrame([(k, k, i, i) for k in (1, 2) for i in (1, 2, 3)], "key long, band int, id long, component long")
+    sets = spark.createDataFrame([(1, 4, [1, 2, 3, 4]), (2, 4, [1, 2, 3, 4]), (3, 4, [6, 7, 8, 9])], "id long, n long, shingles array<long>")
+    left, _ = near_dups.peeled(rows, sets, 0.8)
+    assert sorted(map(tuple, left.collect())) == [(k, k, i, i) for k in (1, 2) for i in (1, 2)]
+    assert joined and all(p.index("explode(") < p.index("LeftSemi") for p in joined)
