@@ -232,18 +232,20 @@ def peeled(rows: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFram
     own: shingles that no other class of the open buckets has; a similarity is at most the share of the others.
     """
     percent = round(threshold * 100)
+    held, places = sets, None
     for _ in range(PEELS):
-        held = sets.join(rows.select("id").distinct(), "id", "left_semi")
         lone = held.select("id", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("m"), F.min("id").alias("id")).filter("m = 1")
         sizes = held.select("id", "n").join(lone.groupBy("id").agg(F.count("*").alias("own")), "id", "left").fillna(0, ["own"])
         sizes = scratch(sizes, "sizes")
-        hopeful = sizes.filter(100 * (F.col("n") - F.col("own")) >= percent * F.col("n"))
+        hopeful = sizes.filter(100 * (F.col("n") - F.col("own")) >= percent * F.col("n")).select("id")
         before, after = sizes.count(), hopeful.count()
         if before == after:
             break
-        # a row a class is joined, not one for each of its bands
-        places = rows.groupBy("id").agg(F.first("component").alias("component"), F.collect_list(F.struct("key", "band")).alias("_at"))
-        stay = places.join(hopeful.select("id"), "id", "left_semi").select("id", "component", F.explode("_at").alias("_at"))
+        held, places = sets.join(hopeful, "id", "left_semi"), hopeful
+    if places is not None:
+        # a row a class is joined, not one for each of its bands; written, or Spark moves the join below the grouping
+        classes = scratch(rows.groupBy("id").agg(F.first("component").alias("component"), F.collect_list(F.struct("key", "band")).alias("_at")), "places")
+        stay = classes.join(places, "id", "left_semi").select("id", "component", F.explode("_at").alias("_at"))
         rows = still_open(stay.select("_at.key", "_at.band", "id", "component"), "peeled")
     return rows, sizes
 

@@ -487,3 +487,24 @@ def test_peeling_joins_a_row_a_class(spark, monkeypatch):
     left, _ = near_dups.peeled(rows, sets, 0.8)
     assert sorted(map(tuple, left.collect())) == [(k, k, i, i) for k in (1, 2) for i in (1, 2)]
     assert joined and all(p.index("explode(") < p.index("LeftSemi") for p in joined)
+
+
+def test_peeling_moves_no_band_in_its_rounds(spark, monkeypatch):
+    """Three rounds (4 leaves, then 3, then none): bands are read once after them, and the join's input is a row a class when it runs, too."""
+    from tablewarden.llm import near_dups
+
+    moved = []
+    real = near_dups.still_open
+
+    def seen(rows, name):
+        moved.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return real(rows, name)
+
+    monkeypatch.setattr(near_dups, "still_open", seen)
+    rows = spark.createDataFrame([(k, k, i, i) for k in (1, 2, 3) for i in (1, 2, 3, 4)], "key long, band int, id long, component long")
+    held = {1: range(1, 11), 2: range(1, 11), 3: [*range(1, 6), *range(20, 25)], 4: [*range(20, 25), *range(100, 110)]}
+    sets = spark.createDataFrame([(i, len(x), list(x)) for i, x in held.items()], "id long, n long, shingles array<long>")
+    left, sizes = near_dups.peeled(rows, sets, 0.8)
+    assert sorted(map(tuple, left.collect())) == [(k, k, i, i) for k in (1, 2, 3) for i in (1, 2)]
+    assert sorted(map(tuple, sizes.select("id", "n", "own").collect())) == [(1, 10, 0), (2, 10, 0)]
+    assert len(moved) == 1 and "LeftSemi" in moved[0] and "collect_list" not in moved[0]
