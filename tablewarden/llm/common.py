@@ -75,6 +75,16 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def plain(column: pa.Array) -> list:
+    """column.to_pylist(); lists of whole numbers are cut from one list of their values, as an object an element costs several times as much."""
+    if not (pa.types.is_list(column.type) and pa.types.is_integer(column.type.value_type)) or column.values.null_count:
+        return column.to_pylist()
+    ends = column.offsets.to_numpy()
+    at, values = (ends - ends[0]).tolist(), column.values[ends[0] : ends[-1]].to_numpy().tolist()
+    out = [values[a:b] for a, b in zip(at, at[1:], strict=False)]
+    return [x if ok else None for x, ok in zip(out, column.is_valid().to_pylist(), strict=True)] if column.null_count else out
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: pa.Schema, rows: int = 512) -> DataFrame:
     """mapInArrow over small slices. make() runs once a task and returns columns -> columns."""
     from pyspark.sql.pandas.types import from_arrow_schema
@@ -84,7 +94,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                out = step({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
+                out = step({n: plain(part.column(i)) for i, n in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
         give_back()
 
